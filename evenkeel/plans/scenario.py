@@ -65,7 +65,7 @@ def applicability(scenarios: DataFrame, routed: DataFrame) -> DataFrame:
         F.col("enabled").alias("config_enabled"),
         F.lit(True).alias("configured"),
     )
-    modes = F.filter(F.transform(F.split(F.coalesce("valid_comparison_modes", F.lit("")), ","), F.trim), lambda m: m != "")
+    modes = F.filter(F.transform(F.split(F.coalesce("valid_comparison_modes", F.lit("")), ","), lambda m: F.trim(m)), lambda m: m != "")
     reason = (
         F.when(F.col("configured").isNull(), "table has no config")
         .when(~F.col("config_enabled"), "table is disabled")
