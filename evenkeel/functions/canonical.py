@@ -1,40 +1,37 @@
-"""Canonical text of rows, and the digests that stand for them in shuffles."""
+"""Canonical text of rows, and the digests that stand for them in shuffles. All functions return SQL."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from evenkeel.functions import sqltext
 from evenkeel.functions.types import FLOATING, NESTED, TIMESTAMP, type_of, with_sorted_maps
 from evenkeel.spec import HASH_DECIMALS
 
-_KEEP_NULLS = {"ignoreNullFields": "false"}
-
 
 def canonical(
-    col: Column,
+    e: str,
     dtype: T.DataType,
     decimals: int = HASH_DECIMALS,
     decimal_as_double: bool = False,
     timestamp_unit: str = "second",
-) -> Column:
+) -> str:
     """The text under which a value is hashed: two values are equal when their texts are."""
     if isinstance(dtype, T.BinaryType):
-        return F.hex(col)
+        return f"hex({e})"
     if isinstance(dtype, FLOATING):
-        return F.round(col, decimals).cast("string")
+        return f"CAST(round({e}, {decimals}) AS STRING)"
     if isinstance(dtype, T.DecimalType) and decimal_as_double:
-        return F.round(col.cast("double"), decimals).cast("string")
+        return f"CAST(round(CAST({e} AS DOUBLE), {decimals}) AS STRING)"
     if isinstance(dtype, NESTED):
-        return F.to_json(with_sorted_maps(col, dtype), _KEEP_NULLS)
+        return sqltext.json(with_sorted_maps(e, dtype))
     if isinstance(dtype, TIMESTAMP):
-        instant = col.cast("timestamp")
-        epoch = F.unix_micros(instant) if timestamp_unit == "microsecond" else F.unix_seconds(instant)
-        return epoch.cast("string")
-    return col.cast("string")
+        epoch = "unix_micros" if timestamp_unit == "microsecond" else "unix_seconds"
+        return f"CAST({epoch}(CAST({e} AS TIMESTAMP)) AS STRING)"
+    return f"CAST({e} AS STRING)"
 
 
 def decimals_for(tolerance: float) -> int:
@@ -44,41 +41,40 @@ def decimals_for(tolerance: float) -> int:
     return min(HASH_DECIMALS, max(0, math.ceil(-math.log10(tolerance))))
 
 
-def canonical_columns(df: DataFrame, columns, **form) -> list[Column]:
-    return [canonical(F.col(f"`{c}`"), type_of(df, c), **form).alias(c) for c in columns]
+def canonical_columns(df: DataFrame, columns, **form) -> dict[str, str]:
+    return {c: canonical(sqltext.name(c), type_of(df, c), **form) for c in columns}
 
 
 def canonical_rows(df: DataFrame, columns, **form) -> DataFrame:
     """Project ``columns`` to their canonical text."""
-    return df.select(*canonical_columns(df, columns, **form))
+    return df.selectExpr(*[f"{e} AS {sqltext.name(c)}" for c, e in canonical_columns(df, columns, **form).items()])
 
 
-def row_json(df: DataFrame, columns, **form) -> Column:
+def row_json(df: DataFrame, columns, **form) -> str:
     """One row as JSON of its canonical values: columns by name, nulls spelled out."""
-    return F.to_json(F.struct(*canonical_columns(df, sorted(columns), **form)), _KEEP_NULLS)
+    return sqltext.json(sqltext.struct(canonical_columns(df, sorted(columns), **form)))
 
 
-def row_digest(df: DataFrame, columns, **form) -> Column:
+def row_digest(df: DataFrame, columns, **form) -> str:
     """SHA-256 (hex) over the row's JSON; a constant if there is nothing to hash."""
-    if not columns:
-        return F.lit("no_compare_cols")
-    return F.sha2(row_json(df, columns, **form), 256)
+    return f"sha2({row_json(df, columns, **form)}, 256)" if columns else "'no_compare_cols'"
 
 
-def with_row_hash(df: DataFrame, columns, keys=(), name: str = "row_hash", **form) -> DataFrame:
+def with_row_hash(df: DataFrame, columns, keys=(), column: str = "row_hash", **form) -> DataFrame:
     """Add the digest of the compared columns that are not keys."""
-    return df.withColumn(name, row_digest(df, [c for c in columns if c not in set(keys)], **form))
+    digest = row_digest(df, [c for c in columns if c not in set(keys)], **form)
+    return df.selectExpr("*", f"{digest} AS {sqltext.name(column)}")
 
 
-def digest_words(digest: Column) -> list[Column]:
+def digest_words(digest: str) -> list[str]:
     """Two 64-bit words of a hex digest.
 
     Fixed-width words can live in hash-aggregate buffers, which strings cannot; 128 bits of SHA-256
     leave no practical chance that two different rows of one key look alike.
     """
-    return [F.xxhash64(F.substring(digest, 1, 32)), F.xxhash64(F.substring(digest, 33, 32))]
+    return [f"xxhash64(substring({digest}, {start}, 32))" for start in (1, 33)]
 
 
-def key_json(keys, prefix: str = "") -> Column:
+def key_json(keys) -> str:
     """Key values as JSON text, nulls spelled out."""
-    return F.to_json(F.struct(*[F.col(f"`{prefix}{k}`").cast("string").alias(k) for k in keys]), _KEEP_NULLS)
+    return sqltext.json(sqltext.struct({k: f"CAST({sqltext.name(k)} AS STRING)" for k in keys}))

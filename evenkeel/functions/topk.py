@@ -2,28 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 _LANES = 64
 
 
-def top_per_group(df: DataFrame, groups, order, k: int, rank: str | None = None, lanes: int = _LANES) -> DataFrame:
-    """The first ``k`` rows of each group by ``order``.
+def top_per_group(df: DataFrame, groups, order, k: int, rank: str = "", lanes: int = _LANES) -> DataFrame:
+    """The first ``k`` rows of each group by ``order`` (SQL expressions), with their place if ``rank``
+    names a column for it.
 
     Each input task belongs to one of ``lanes``. The first window ranks inside (group, lane), where
     the planner keeps at most k rows per task before the shuffle; the second merges at most
     lanes * k rows per group. So no task ever holds a whole group, and the pick is the exact one.
     """
-    lane, first, last = "__lane", "__rank_in_lane", rank or "__rank"
-    staged = df.withColumn(lane, F.spark_partition_id() % F.lit(lanes))
-    within = Window.partitionBy(*groups, lane).orderBy(*order)
-    across = Window.partitionBy(*groups).orderBy(*order)
+    by, how, place = ", ".join(groups), ", ".join(order), rank or "__rank"
     picked = (
-        staged.withColumn(first, F.row_number().over(within))
-        .filter(F.col(first) <= k)
-        .withColumn(last, F.row_number().over(across))
-        .filter(F.col(last) <= k)
-        .drop(lane, first)
+        df.selectExpr("*", f"spark_partition_id() % {lanes} AS __lane")
+        .selectExpr("*", f"row_number() OVER (PARTITION BY {by}, __lane ORDER BY {how}) AS __rank_in_lane")
+        .filter(f"__rank_in_lane <= {k}")
+        .selectExpr("*", f"row_number() OVER (PARTITION BY {by} ORDER BY {how}) AS {place}")
+        .filter(f"{place} <= {k}")
     )
-    return picked if rank else picked.drop(last)
+    return picked.drop("__lane", "__rank_in_lane", "__rank")

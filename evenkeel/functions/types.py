@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from evenkeel.functions import sqltext
+
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FLOATING = (T.FloatType, T.DoubleType)
 NESTED = (T.ArrayType, T.MapType, T.StructType)
@@ -62,29 +63,27 @@ def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
     return None
 
 
-def with_sorted_maps(col: Column, dtype: T.DataType) -> Column:
+def with_sorted_maps(e: str, dtype: T.DataType, depth: int = 0) -> str:
     """Rewrite every map so that its entries are in key order; equal maps then print alike."""
     if not holds_map(dtype):
-        return col
+        return e
+    x = f"x{depth}"
     if isinstance(dtype, T.ArrayType):
-        return F.transform(col, lambda x: with_sorted_maps(x, dtype.elementType))
+        return f"transform({e}, {x} -> {with_sorted_maps(x, dtype.elementType, depth + 1)})"
     if isinstance(dtype, T.StructType):
-        fields = [with_sorted_maps(col[f.name], f.dataType).alias(f.name) for f in dtype.fields]
-        return F.when(col.isNotNull(), F.struct(*fields))
-
-    def entry(e: Column) -> Column:
-        value = e["value"]
-        if holds_map(dtype.valueType):  # maps have no order of their own, their text has
-            value = F.to_json(with_sorted_maps(value, dtype.valueType))
-        return F.struct(e["key"].alias("key"), value.alias("value"))
-
-    return F.map_from_entries(F.array_sort(F.transform(F.map_entries(col), entry)))
+        fields = {f.name: with_sorted_maps(f"({e}).{sqltext.name(f.name)}", f.dataType, depth) for f in dtype.fields}
+        return f"if(({e}) IS NULL, NULL, {sqltext.struct(fields)})"
+    value = f"{x}.value"
+    if holds_map(dtype.valueType):  # maps have no order of their own, their text has
+        value = sqltext.json(with_sorted_maps(value, dtype.valueType, depth + 1))
+    entry = sqltext.struct({"key": f"{x}.key", "value": value})
+    return f"map_from_entries(array_sort(transform(map_entries({e}), {x} -> {entry})))"
 
 
-def as_text(col: Column, dtype: T.DataType) -> Column:
+def as_text(e: str, dtype: T.DataType) -> str:
     """A value as evidence: readable text that keeps full precision."""
     if isinstance(dtype, T.BinaryType):
-        return F.hex(col)
+        return f"hex({e})"
     if isinstance(dtype, NESTED):
-        return F.to_json(with_sorted_maps(col, dtype), {"ignoreNullFields": "false"})
-    return col.cast("string")
+        return sqltext.json(with_sorted_maps(e, dtype))
+    return f"CAST({e} AS STRING)"

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evenkeel.errors import ConfigError, SchemaDrift
+from evenkeel.functions import sqltext
 from evenkeel.functions.canonical import canonical
+from evenkeel.functions.literals import literal_frame
 from evenkeel.functions.types import NESTED, common_type, type_of
 from evenkeel.spec import DRIFT_POLICIES
 
-DRIFT_SCHEMA = "column_name string, drift string, source_type string, target_type string"
+DRIFT_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("column_name", "drift", "source_type", "target_type")])
 
 
 def resolve_columns(source: DataFrame, target: DataFrame, skip=(), policy: str = "fail") -> list[str]:
@@ -46,27 +48,26 @@ def schema_drift(source: DataFrame, target: DataFrame) -> DataFrame:
         else:
             continue
         rows.append((name, kind, s and s.simpleString(), t and t.simpleString()))
-    return source.sparkSession.createDataFrame(rows, DRIFT_SCHEMA)
+    return literal_frame(source.sparkSession, rows, DRIFT_SCHEMA)
 
 
 def align(source: DataFrame, target: DataFrame, columns) -> tuple[DataFrame, DataFrame]:
     """Project both sides to ``columns`` under one type each; text where no common type exists."""
     left, right = [], []
     for c in columns:
-        s, t = type_of(source, c), type_of(target, c)
+        s, t, q = type_of(source, c), type_of(target, c), sqltext.name(c)
         shared = common_type(s, t)
         for out, dtype in ((left, s), (right, t)):
-            col = F.col(f"`{c}`")
             if shared is None:
-                out.append(canonical(col, dtype).alias(c))
+                out.append(f"{canonical(q, dtype)} AS {q}")
             else:
-                out.append((col if dtype == shared else col.cast(shared)).alias(c))
-    return source.select(*left), target.select(*right)
+                out.append(q if dtype == shared else f"CAST({q} AS {shared.simpleString()}) AS {q}")
+    return source.selectExpr(*left), target.selectExpr(*right)
 
 
 def coerce_complex_to_json(df: DataFrame) -> DataFrame:
     """Arrays, maps and structs as JSON text, for sinks that only know scalar columns."""
-    return df.select(*[
-        F.to_json(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, NESTED) else F.col(f"`{f.name}`")
+    return df.selectExpr(*[
+        f"to_json({sqltext.name(f.name)}) AS {sqltext.name(f.name)}" if isinstance(f.dataType, NESTED) else sqltext.name(f.name)
         for f in df.schema.fields
     ])

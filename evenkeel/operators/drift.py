@@ -17,6 +17,7 @@ from evenkeel.errors import ConfigError
 from evenkeel.functions.canonical import canonical_columns
 from evenkeel.functions.names import safe_name
 from evenkeel.functions.predicates import differs
+from evenkeel.functions.sqltext import name
 from evenkeel.functions.types import TIMESTAMP, is_numeric, type_of
 from evenkeel.operators.keys import require_keys
 from evenkeel.sources.window import time_literal
@@ -31,7 +32,7 @@ def _small(picked: DataFrame, n: int) -> DataFrame:
 
 
 def _content_order(df: DataFrame) -> list[Column]:
-    return canonical_columns(df, sorted(df.columns), timestamp_unit="microsecond")
+    return [F.expr(e) for e in canonical_columns(df, sorted(df.columns), timestamp_unit="microsecond").values()]
 
 
 def pick_newest(df: DataFrame, n: int, filter_column: str | None, keys=()) -> DataFrame:
@@ -45,7 +46,7 @@ def bump_into_window(df: DataFrame, filter_column: str | None, at: datetime) ->
     """Set the filter column to a time inside the window, if it holds times."""
     if not filter_column or not isinstance(type_of(df, filter_column), TIMESTAMP):
         return df
-    return df.withColumn(filter_column, time_literal(at, type_of(df, filter_column)))
+    return df.withColumn(filter_column, F.expr(time_literal(at, type_of(df, filter_column))))
 
 
 def noop(df: DataFrame) -> DataFrame:
@@ -91,7 +92,7 @@ def update_column(
         if f.name == column:
             col = F.when(changed, value.cast(f.dataType)).otherwise(col)
         elif f.name == filter_column and isinstance(f.dataType, TIMESTAMP):
-            col = F.when(changed, time_literal(at, f.dataType)).otherwise(col)
+            col = F.when(changed, F.expr(time_literal(at, f.dataType))).otherwise(col)
         out.append(col.alias(f.name))
     return joined.select(*out)
 
@@ -126,10 +127,8 @@ def clear_keys(key_columns: DataFrame, table: str) -> DataFrame:
 def _without_rows(df: DataFrame, rows: DataFrame, n: int) -> DataFrame:
     """Drop every row that equals one of ``rows`` in all columns, nulls included."""
     victims = rows.select(*[F.col(f"`{c}`").alias(f"v__{c}") for c in df.columns])
-    same = F.lit(True)
-    for f in df.schema.fields:
-        same = same & ~differs(F.col(f"`{f.name}`"), F.col(f"`v__{f.name}`"), f.dataType)
-    return df.join(_small(victims, n), same, "left_anti")
+    same = " AND ".join(f"NOT ({differs(name(f.name), name('v__' + f.name), f.dataType)})" for f in df.schema.fields)
+    return df.join(_small(victims, n), F.expr(same), "left_anti")
 
 
 def delete_rows_keyless(df: DataFrame, count: int = 1, filter_column: str | None = None) -> DataFrame:
@@ -185,6 +184,6 @@ def update_fraction(
         if f.name in assignments:
             col = F.when(hit, assignments[f.name].cast(f.dataType)).otherwise(col)
         elif f.name == filter_column and isinstance(f.dataType, TIMESTAMP):
-            col = F.when(hit, time_literal(at, f.dataType)).otherwise(col)
+            col = F.when(hit, F.expr(time_literal(at, f.dataType))).otherwise(col)
         out.append(col.alias(f.name))
     return df.select(*out)

@@ -7,11 +7,13 @@ combined before they travel, and duplicate keys cannot multiply each other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evenkeel.functions import sqltext
 from evenkeel.functions.canonical import digest_words, key_json, row_digest
-from evenkeel.functions.predicates import any_null, differs
+from evenkeel.functions.predicates import differs
+from evenkeel.functions.sqltext import any_null, name, names
 from evenkeel.functions.topk import top_per_group
 from evenkeel.functions.types import as_text, type_of
 from evenkeel.operators.columns import align
@@ -20,25 +22,22 @@ from evenkeel.spec import PRESENT, SAMPLE_CAP
 
 # The order in which classes share a total sample cap.
 DIFF_CLASSES = ("only_in_target", "only_in_source", "hash_diff", "value_diff")
-
-
-def _names(keys) -> list[str]:
-    return [f"`{k}`" for k in keys]
+_TAGS = {"source": ("1 AS __s", "0 AS __t"), "target": ("0 AS __s", "1 AS __t")}
+_COUNTED = ("sum(__s) AS n_source", "sum(__t) AS n_target")
 
 
 def _sorted_union(columns, keys) -> list[str]:
     return list(keys) + [c for c in columns if c not in set(keys)]
 
 
-def _classify(changed: Column, label: str, keys) -> Column:
-    return (
-        F.when(any_null(keys), "null_key")
-        .when((F.col("n_source") > 1) | (F.col("n_target") > 1), "duplicate_key")
-        .when(F.col("n_source") == 0, "only_in_target")
-        .when(F.col("n_target") == 0, "only_in_source")
-        .when(changed, label)
-        .otherwise("match")
-    )
+def _classify(changed: str, label: str, keys) -> str:
+    return f"""CASE
+        WHEN {any_null(keys)} THEN 'null_key'
+        WHEN n_source > 1 OR n_target > 1 THEN 'duplicate_key'
+        WHEN n_source = 0 THEN 'only_in_target'
+        WHEN n_target = 0 THEN 'only_in_source'
+        WHEN {changed} THEN '{label}'
+        ELSE 'match' END AS diff_class"""
 
 
 def hash_pairs(source: DataFrame, target: DataFrame, keys, columns, **form) -> DataFrame:
@@ -48,26 +47,18 @@ def hash_pairs(source: DataFrame, target: DataFrame, keys, columns, **form) -> D
     values = [c for c in columns if c not in set(keys)]
     s, t = align(source, target, _sorted_union(columns, keys))
 
-    def narrow(df: DataFrame, is_source: int) -> DataFrame:
-        hashed = df.select(*_names(keys), row_digest(df, values, **form).alias("__digest"))
-        w0, w1 = digest_words(F.col("__digest"))
-        return hashed.select(
-            *_names(keys), F.lit(is_source).alias("__s"), F.lit(1 - is_source).alias("__t"), w0.alias("__w0"), w1.alias("__w1")
-        )
+    def narrow(df: DataFrame, side: str) -> DataFrame:
+        hashed = df.selectExpr(*names(keys), f"{row_digest(df, values, **form)} AS __digest")
+        w0, w1 = digest_words("__digest")
+        return hashed.selectExpr(*names(keys), *_TAGS[side], f"{w0} AS __w0", f"{w1} AS __w1")
 
     # xor over one row per side is zero exactly when the two digests are equal
     pairs = (
-        narrow(s, 1).unionByName(narrow(t, 0))
-        .groupBy(*_names(keys))
-        .agg(
-            F.sum("__s").alias("n_source"),
-            F.sum("__t").alias("n_target"),
-            F.bit_xor("__w0").alias("__x0"),
-            F.bit_xor("__w1").alias("__x1"),
-        )
+        narrow(s, "source").unionByName(narrow(t, "target"))
+        .groupBy(*names(keys))
+        .agg(*[F.expr(e) for e in _COUNTED], F.expr("bit_xor(__w0) AS __x0"), F.expr("bit_xor(__w1) AS __x1"))
     )
-    changed = (F.col("__x0") != 0) | (F.col("__x1") != 0)
-    return pairs.select(*_names(keys), "n_source", "n_target", _classify(changed, "hash_diff", keys).alias("diff_class"))
+    return pairs.selectExpr(*names(keys), "n_source", "n_target", _classify("__x0 <> 0 OR __x1 <> 0", "hash_diff", keys))
 
 
 def column_pairs(source: DataFrame, target: DataFrame, keys, columns, tolerance: float = 0.0) -> DataFrame:
@@ -77,132 +68,104 @@ def column_pairs(source: DataFrame, target: DataFrame, keys, columns, tolerance:
     require_keys(target, keys)
     values = sorted(c for c in columns if c not in set(keys))
     s, t = align(source, target, _sorted_union(columns, keys))
-    row = F.struct(*_names(values)) if values else F.struct(F.lit(1).alias("__none"))
+    row = sqltext.struct({c: name(c) for c in values}) if values else "named_struct('none', 1)"
 
-    def tagged(df: DataFrame, is_source: int) -> DataFrame:
-        here = df.select(
-            *_names(keys), F.lit(is_source).alias("__s"), F.lit(1 - is_source).alias("__t"), row.alias("__row")
-        )
-        return here.select(
-            *_names(keys), "__s", "__t",
-            F.when(F.col("__s") == 1, F.col("__row")).alias("__source"),
-            F.when(F.col("__t") == 1, F.col("__row")).alias("__target"),
-        )
+    def tagged(df: DataFrame, side: str) -> DataFrame:
+        # both sides carry both columns under one nullable struct type
+        here = df.selectExpr(*names(keys), *_TAGS[side], f"{row} AS __row")
+        return here.selectExpr(*names(keys), "__s", "__t", "if(__s = 1, __row, NULL) AS __source", "if(__t = 1, __row, NULL) AS __target")
 
     pairs = (
-        tagged(s, 1).unionByName(tagged(t, 0))
-        .groupBy(*_names(keys))
-        .agg(
-            F.sum("__s").alias("n_source"),
-            F.sum("__t").alias("n_target"),
-            F.first("__source", ignorenulls=True).alias("__source"),
-            F.first("__target", ignorenulls=True).alias("__target"),
-        )
+        tagged(s, "source").unionByName(tagged(t, "target"))
+        .groupBy(*names(keys))
+        .agg(*[F.expr(e) for e in _COUNTED], F.expr("first(__source, true) AS __source"), F.expr("first(__target, true) AS __target"))
     )
-    none = F.expr("cast(array() as array<struct<column_name:string,source_value:string,target_value:string>>)")
     checks = []
     for c in values:
         dtype = type_of(s, c)
-        a, b = F.col("__source")[c], F.col("__target")[c]
-        detail = F.struct(
-            F.lit(c).alias("column_name"), as_text(a, dtype).alias("source_value"), as_text(b, dtype).alias("target_value")
-        )
-        checks.append(F.when(differs(a, b, dtype, tolerance), detail))
-    paired = (F.col("n_source") == 1) & (F.col("n_target") == 1) & ~any_null(keys)
-    diffs = F.when(paired, F.array_compact(F.array(*checks))).otherwise(none) if checks else none
-    return pairs.select(*_names(keys), "n_source", "n_target", diffs.alias("diffs")).select(
-        *_names(keys), "n_source", "n_target", _classify(F.size("diffs") > 0, "value_diff", keys).alias("diff_class"), "diffs"
+        a, b = f"__source.{name(c)}", f"__target.{name(c)}"
+        detail = sqltext.struct({"column_name": sqltext.text(c), "source_value": as_text(a, dtype), "target_value": as_text(b, dtype)})
+        checks.append(f"if({differs(a, b, dtype, tolerance)}, {detail}, NULL)")
+    none = "CAST(array() AS ARRAY<STRUCT<column_name: STRING, source_value: STRING, target_value: STRING>>)"
+    paired = f"n_source = 1 AND n_target = 1 AND NOT {any_null(keys)}"
+    diffs = f"if({paired}, array_compact(array({', '.join(checks)})), {none})" if checks else none
+    return pairs.selectExpr(*names(keys), "n_source", "n_target", f"{diffs} AS diffs").selectExpr(
+        *names(keys), "n_source", "n_target", _classify("size(diffs) > 0", "value_diff", keys), "diffs"
     )
 
 
 def class_counts(pairs: DataFrame) -> DataFrame:
     """Number of keys per diff class."""
-    return pairs.groupBy("diff_class").agg(F.count(F.lit(1)).alias("n"))
+    return pairs.groupBy("diff_class").agg(F.expr("count(1) AS n"))
 
 
 def value_diffs(pairs: DataFrame, keys) -> DataFrame:
     """One row per (key, column) that differs, with both values as text."""
     return (
-        pairs.filter(F.col("diff_class") == "value_diff")
-        .select(*_names(keys), F.explode("diffs").alias("d"))
-        .select(*_names(keys), "d.column_name", "d.source_value", "d.target_value")
+        pairs.filter("diff_class = 'value_diff'")
+        .selectExpr(*names(keys), "explode(diffs) AS d")
+        .selectExpr(*names(keys), "d.column_name", "d.source_value", "d.target_value")
     )
 
 
 def value_diffs_by_column(pairs: DataFrame, keys) -> DataFrame:
-    return value_diffs(pairs, keys).groupBy("column_name").agg(F.count(F.lit(1)).alias("n"))
-
-
-def _issue(count: str, side: str, text: str) -> Column:
-    return F.when(F.col(count) > 0, F.concat(F.lit(f"{side}: "), F.col(count).cast("string"), F.lit(text)))
+    return value_diffs(pairs, keys).groupBy("column_name").agg(F.expr("count(1) AS n"))
 
 
 def keyed_outcome(pairs: DataFrame, keys, mode: str, label: str) -> DataFrame:
     """The outcome row of a keyed mode: counts and differences, or the key-quality error."""
     nulls = any_null(keys)
-    zero = F.lit(0)
-
-    def total(col, when=None) -> Column:
-        picked = col if when is None else F.when(when, col)
-        return F.coalesce(F.sum(picked), zero).cast("bigint")
-
-    totals = pairs.agg(
-        total(F.col("n_source")).alias("source_count"),
-        total(F.col("n_target")).alias("target_count"),
-        total(F.col("n_source"), nulls).alias("null_source"),
-        total(F.col("n_target"), nulls).alias("null_target"),
-        total(F.greatest(F.col("n_source") - 1, zero)).alias("dup_source"),
-        total(F.greatest(F.col("n_target") - 1, zero)).alias("dup_target"),
-        F.count_if(F.col("diff_class") == "only_in_source").alias("only_source"),
-        F.count_if(F.col("diff_class") == "only_in_target").alias("only_target"),
-        F.count_if(F.col("diff_class") == label).alias("changed"),
-    )
-    issues = F.concat_ws(
-        "; ",
-        _issue("null_target", "target", " rows with NULL PK values"),
-        _issue("dup_target", "target", " duplicate PK rows"),
-        _issue("null_source", "source", " rows with NULL PK values"),
-        _issue("dup_source", "source", " duplicate PK rows"),
-    )
-    sound = F.col("issues") == ""
-    clean = (F.col("only_source") + F.col("only_target") + F.col("changed")) == 0
+    totals = {
+        "source_count": "n_source",
+        "target_count": "n_target",
+        "null_source": f"if({nulls}, n_source, 0)",
+        "null_target": f"if({nulls}, n_target, 0)",
+        "dup_source": "greatest(n_source - 1, 0)",
+        "dup_target": "greatest(n_target - 1, 0)",
+        "only_source": "if(diff_class = 'only_in_source', 1, 0)",
+        "only_target": "if(diff_class = 'only_in_target', 1, 0)",
+        "changed": f"if(diff_class = '{label}', 1, 0)",
+    }
     what = {"hash_diff": "hash_diff", "value_diff": "col_diff"}[label]
-    summary = F.concat(
-        F.lit("Mismatches: "), F.col("only_target").cast("string"), F.lit(" only_in_target, "),
-        F.col("only_source").cast("string"), F.lit(" only_in_source, "),
-        F.col("changed").cast("string"), F.lit(f" {what}"),
-    )
-    return totals.withColumn("issues", issues).select(
-        F.lit(mode).alias("comparison_mode"),
-        "source_count",
-        "target_count",
-        F.when(sound, F.col("source_count") == F.col("target_count")).alias("count_match"),
-        F.when(sound, F.col("only_source")).alias("rows_only_in_source"),
-        F.when(sound, F.col("only_target")).alias("rows_only_in_target"),
-        F.when(sound, F.col("changed")).alias("rows_with_mismatches"),
-        F.when(~sound, "DATA_QUALITY_ERROR").when(clean, "PASS").otherwise("FAIL").alias("raw_status"),
-        F.when(~sound, F.col("issues")).when(~clean, summary).alias("error_message"),
+    return (
+        pairs.agg(*[F.expr(f"CAST(coalesce(sum({e}), 0) AS BIGINT) AS {n}") for n, e in totals.items()])
+        .selectExpr(
+            "*",
+            """concat_ws('; ',
+                if(null_target > 0, concat('target: ', null_target, ' rows with NULL PK values'), NULL),
+                if(dup_target > 0, concat('target: ', dup_target, ' duplicate PK rows'), NULL),
+                if(null_source > 0, concat('source: ', null_source, ' rows with NULL PK values'), NULL),
+                if(dup_source > 0, concat('source: ', dup_source, ' duplicate PK rows'), NULL)) AS issues""",
+            "only_source + only_target + changed = 0 AS clean",
+        )
+        .selectExpr(
+            f"'{mode}' AS comparison_mode",
+            "source_count",
+            "target_count",
+            "if(issues = '', source_count = target_count, NULL) AS count_match",
+            "if(issues = '', only_source, NULL) AS rows_only_in_source",
+            "if(issues = '', only_target, NULL) AS rows_only_in_target",
+            "if(issues = '', changed, NULL) AS rows_with_mismatches",
+            "CASE WHEN issues <> '' THEN 'DATA_QUALITY_ERROR' WHEN clean THEN 'PASS' ELSE 'FAIL' END AS raw_status",
+            f"""CASE WHEN issues <> '' THEN issues WHEN NOT clean THEN concat('Mismatches: ', only_target, ' only_in_target, ',
+                only_source, ' only_in_source, ', changed, ' {what}') END AS error_message""",
+        )
     )
 
 
 def keyed_samples(pairs: DataFrame, keys, cap: int = SAMPLE_CAP) -> DataFrame:
     """Up to ``cap`` keys per mismatch class, first keys first, as evidence rows."""
     detailed = "diffs" in pairs.columns
-    picked = top_per_group(
-        pairs.filter(F.col("diff_class").isin(*DIFF_CLASSES)), ["diff_class"], _names(keys), cap
-    )
+    shown = ", ".join(sqltext.text(c) for c in DIFF_CLASSES)
+    picked = top_per_group(pairs.filter(f"diff_class IN ({shown})"), ["diff_class"], names(keys), cap)
     if detailed:
-        picked = picked.select("*", F.explode_outer("diffs").alias("d"))
-    none = F.lit(None).cast("string")
-
-    def marker(side: str, detail: str) -> Column:
-        present = F.when(F.col("diff_class") == f"only_in_{side}", PRESENT)
-        return present.when(F.col("diff_class") == "value_diff", F.col(detail)) if detailed else present
-
-    return picked.select(
-        F.col("diff_class").alias("mismatch_type"),
-        key_json(keys).alias("pk_values"),
-        (F.col("d.column_name") if detailed else none).alias("column_name"),
-        marker("source", "d.source_value").alias("source_value"),
-        marker("target", "d.target_value").alias("target_value"),
+        picked = picked.selectExpr("*", "explode_outer(diffs) AS d")
+    value = "CASE WHEN diff_class = 'value_diff' THEN d.{0}_value" if detailed else "CASE"
+    marker = value + f" WHEN diff_class = 'only_in_{{0}}' THEN '{PRESENT}' END AS {{0}}_value"
+    return picked.selectExpr(
+        "diff_class AS mismatch_type",
+        f"{key_json(keys)} AS pk_values",
+        "d.column_name" if detailed else "CAST(NULL AS STRING) AS column_name",
+        marker.format("source"),
+        marker.format("target"),
     )

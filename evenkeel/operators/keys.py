@@ -10,14 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.errors import ConfigError
-from evenkeel.functions.predicates import any_null
+from evenkeel.functions.sqltext import any_null, names
 from evenkeel.operators.columns import align
 
 
-def _names(keys) -> list[str]:
-    return [f"`{k}`" for k in keys]
-
-
 def require_keys(df: DataFrame, keys, what: str = "keys") -> None:
     missing = [k for k in keys if k not in df.columns]
     if not keys or missing:
@@ -28,21 +24,21 @@ def key_quality(df: DataFrame, keys) -> DataFrame:
     """One row: all rows, rows with a null in the key, distinct keys, surplus copies."""
     require_keys(df, keys)
     return (
-        df.groupBy(*_names(keys))
-        .agg(F.count(F.lit(1)).alias("__n"))
+        df.groupBy(*names(keys))
+        .agg(F.expr("count(1) AS __n"))
         .agg(
-            F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("total_rows"),
-            F.coalesce(F.sum(F.when(any_null(keys), F.col("__n"))), F.lit(0)).cast("bigint").alias("null_key_rows"),
-            F.count(F.lit(1)).cast("bigint").alias("distinct_keys"),
+            F.expr("CAST(coalesce(sum(__n), 0) AS BIGINT) AS total_rows"),
+            F.expr(f"CAST(coalesce(sum(if({any_null(keys)}, __n, 0)), 0) AS BIGINT) AS null_key_rows"),
+            F.expr("count(1) AS distinct_keys"),
         )
-        .withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_keys"))
+        .selectExpr("*", "total_rows - distinct_keys AS duplicate_rows")
     )
 
 
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     require_keys(df, keys)
-    return df.groupBy(*_names(keys)).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
+    return df.groupBy(*names(keys)).agg(F.expr("count(1) AS n_rows")).filter("n_rows > 1")
 
 
 def key_counts(source: DataFrame, target: DataFrame, keys) -> DataFrame:
@@ -51,20 +47,20 @@ def key_counts(source: DataFrame, target: DataFrame, keys) -> DataFrame:
     require_keys(target, keys)
     s, t = align(source, target, keys)
     return (
-        s.withColumn("__s", F.lit(1)).withColumn("__t", F.lit(0))
-        .unionByName(t.withColumn("__s", F.lit(0)).withColumn("__t", F.lit(1)))
-        .groupBy(*_names(keys))
-        .agg(F.sum("__s").alias("n_source"), F.sum("__t").alias("n_target"))
+        s.selectExpr("*", "1 AS __s", "0 AS __t")
+        .unionByName(t.selectExpr("*", "0 AS __s", "1 AS __t"))
+        .groupBy(*names(keys))
+        .agg(F.expr("sum(__s) AS n_source"), F.expr("sum(__t) AS n_target"))
     )
 
 
 def keys_only_in_source(source: DataFrame, target: DataFrame, keys) -> DataFrame:
     """Keys without a partner in the target, with their number of rows. A null never has a partner."""
-    found = key_counts(source, target, keys).filter("n_source > 0").filter((F.col("n_target") == 0) | any_null(keys))
-    return found.select(*_names(keys), F.col("n_source").alias("n_rows"))
+    lone = key_counts(source, target, keys).filter(f"n_source > 0 AND (n_target = 0 OR {any_null(keys)})")
+    return lone.selectExpr(*names(keys), "n_source AS n_rows")
 
 
 def keys_only_in_target(source: DataFrame, target: DataFrame, keys) -> DataFrame:
     """Keys without a partner in the source, with their number of rows. A null never has a partner."""
-    found = key_counts(source, target, keys).filter("n_target > 0").filter((F.col("n_source") == 0) | any_null(keys))
-    return found.select(*_names(keys), F.col("n_target").alias("n_rows"))
+    lone = key_counts(source, target, keys).filter(f"n_target > 0 AND (n_source = 0 OR {any_null(keys)})")
+    return lone.selectExpr(*names(keys), "n_target AS n_rows")

@@ -7,7 +7,7 @@ wide the rows are. Evidence is fetched afterwards, for the few rows that are sho
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.errors import ConfigError
@@ -20,14 +20,13 @@ from evenkeel.spec import SAMPLE_CAP
 def _tagged(source: DataFrame, target: DataFrame, columns, form, evidence: bool = False) -> DataFrame:
     if not columns:
         raise ConfigError("no columns to compare after applying the skip list and the drift policy")
-    sides = []
-    for df, is_source in zip(align(source, target, columns), (1, 0)):
-        extra = [row_json(df, columns, **form).alias("evidence")] if evidence else []
-        sides.append(df.select(
-            F.unhex(row_digest(df, columns, **form)).alias("__digest"),
-            F.lit(is_source).alias("__s"), F.lit(1 - is_source).alias("__t"), *extra,
-        ))
-    return sides[0].unionByName(sides[1])
+    s, t = align(source, target, columns)
+
+    def tag(df: DataFrame, *side: str) -> DataFrame:
+        extra = [f"{row_json(df, columns, **form)} AS evidence"] if evidence else []
+        return df.selectExpr(f"unhex({row_digest(df, columns, **form)}) AS __digest", *side, *extra)
+
+    return tag(s, "1 AS __s", "0 AS __t").unionByName(tag(t, "0 AS __s", "1 AS __t"))
 
 
 def row_buckets(source: DataFrame, target: DataFrame, columns, **form) -> DataFrame:
@@ -35,58 +34,46 @@ def row_buckets(source: DataFrame, target: DataFrame, columns, **form) -> DataFr
     return (
         _tagged(source, target, columns, form)
         .groupBy("__digest")
-        .agg(F.sum("__s").alias("n_source"), F.sum("__t").alias("n_target"))
+        .agg(F.expr("sum(__s) AS n_source"), F.expr("sum(__t) AS n_target"))
     )
 
 
-def diverging_buckets(buckets: DataFrame) -> DataFrame:
-    """Rows whose number of copies differs, with the class of the difference."""
-    return buckets.filter("n_source <> n_target").select(
-        F.lower(F.hex("__digest")).alias("row_hash"),
-        F.when(F.col("n_source") == 0, "only_in_target_multiset")
-        .when(F.col("n_target") == 0, "only_in_source_multiset")
-        .otherwise("multiset_count_diff").alias("mismatch_type"),
-        "n_source",
-        "n_target",
-    )
+_BUCKET_CLASS = """CASE WHEN n_source = 0 THEN 'only_in_target_multiset' WHEN n_target = 0 THEN 'only_in_source_multiset'
+    ELSE 'multiset_count_diff' END AS mismatch_type"""
 
 
-def _rows(n: str) -> Column:
-    return F.when(F.col(n) == 1, " extra row in ").otherwise(" extra rows in ")
+def diverging_buckets(buckets: DataFrame) -> DataFrame:
+    """Rows whose number of copies differs, with the class of the difference."""
+    return buckets.filter("n_source <> n_target").selectExpr("lower(hex(__digest)) AS row_hash", _BUCKET_CLASS, "n_source", "n_target")
 
 
 def multiset_outcome(buckets: DataFrame, mode: str) -> DataFrame:
     """The outcome row of a keyless mode. Equal totals with different content are inconclusive:
     without a key nothing says which row became which."""
-    zero = F.lit(0)
-    totals = buckets.agg(
-        F.coalesce(F.sum("n_source"), zero).cast("bigint").alias("source_count"),
-        F.coalesce(F.sum("n_target"), zero).cast("bigint").alias("target_count"),
-        F.coalesce(F.sum(F.greatest(F.col("n_source") - F.col("n_target"), zero)), zero).cast("bigint").alias("only_source"),
-        F.coalesce(F.sum(F.greatest(F.col("n_target") - F.col("n_source"), zero)), zero).cast("bigint").alias("only_target"),
-        F.count_if(F.col("n_source") != F.col("n_target")).alias("n_buckets"),
-    )
-    equal = F.col("source_count") == F.col("target_count")
-    same = F.col("n_buckets") == 0
-    sides = F.concat_ws(
-        ", ",
-        F.when(F.col("only_target") > 0, F.concat(F.col("only_target").cast("string"), _rows("only_target"), F.lit("target"))),
-        F.when(F.col("only_source") > 0, F.concat(F.col("only_source").cast("string"), _rows("only_source"), F.lit("source"))),
-    )
-    buckets_text = F.concat(F.col("n_buckets").cast("string"), F.when(F.col("n_buckets") == 1, " distinct row").otherwise(" distinct rows"))
-    return totals.select(
-        F.lit(mode).alias("comparison_mode"),
+    totals = {
+        "source_count": "n_source",
+        "target_count": "n_target",
+        "rows_only_in_source": "greatest(n_source - n_target, 0)",
+        "rows_only_in_target": "greatest(n_target - n_source, 0)",
+        "n_buckets": "if(n_source <> n_target, 1, 0)",
+    }
+
+    def extra(side: str) -> str:
+        n = f"rows_only_in_{side}"
+        return f"if({n} > 0, concat({n}, if({n} = 1, ' extra row in ', ' extra rows in '), '{side}'), NULL)"
+
+    sides = f"concat(concat_ws(', ', {extra('target')}, {extra('source')}), ' (', n_buckets, if(n_buckets = 1, ' distinct row', ' distinct rows'), ' affected; see samples)')"
+    return buckets.agg(*[F.expr(f"CAST(coalesce(sum({e}), 0) AS BIGINT) AS {n}") for n, e in totals.items()]).selectExpr(
+        f"'{mode}' AS comparison_mode",
         "source_count",
         "target_count",
-        equal.alias("count_match"),
-        F.col("only_source").alias("rows_only_in_source"),
-        F.col("only_target").alias("rows_only_in_target"),
-        F.lit(0).cast("bigint").alias("rows_with_mismatches"),
-        F.when(same, "PASS").when(~equal, "FAIL").otherwise("INCONCLUSIVE").alias("raw_status"),
-        F.when(same, F.lit(None).cast("string"))
-        .when(~equal, F.concat(sides, F.lit(" ("), buckets_text, F.lit(" affected; see samples)")))
-        .otherwise(F.concat(F.lit("contents differ while totals match: "), sides, F.lit(" ("), buckets_text, F.lit(" affected; see samples)")))
-        .alias("error_message"),
+        "source_count = target_count AS count_match",
+        "rows_only_in_source",
+        "rows_only_in_target",
+        "CAST(0 AS BIGINT) AS rows_with_mismatches",
+        "CASE WHEN n_buckets = 0 THEN 'PASS' WHEN source_count <> target_count THEN 'FAIL' ELSE 'INCONCLUSIVE' END AS raw_status",
+        f"""CASE WHEN n_buckets = 0 THEN NULL WHEN source_count <> target_count THEN {sides}
+            ELSE concat('contents differ while totals match: ', {sides}) END AS error_message""",
     )
 
 
@@ -102,14 +89,12 @@ def bucket_samples(source: DataFrame, target: DataFrame, columns, cap: int = SAM
     """Up to ``cap`` diverging rows in digest order: content and copies on each side."""
     buckets = row_buckets(source, target, columns, **form).filter("n_source <> n_target")
     picked = buckets.orderBy("__digest").limit(cap)
-    return _with_evidence(picked, source, target, columns, form).select(
-        F.when(F.col("n_source") == 0, "only_in_target_multiset")
-        .when(F.col("n_target") == 0, "only_in_source_multiset")
-        .otherwise("multiset_count_diff").alias("mismatch_type"),
-        F.col("evidence").alias("pk_values"),
-        F.lit(None).cast("string").alias("column_name"),
-        F.col("n_source").cast("string").alias("source_value"),
-        F.col("n_target").cast("string").alias("target_value"),
+    return _with_evidence(picked, source, target, columns, form).selectExpr(
+        _BUCKET_CLASS,
+        "evidence AS pk_values",
+        "CAST(NULL AS STRING) AS column_name",
+        "CAST(n_source AS STRING) AS source_value",
+        "CAST(n_target AS STRING) AS target_value",
     )
 
 
@@ -118,20 +103,15 @@ def excess_rows(source: DataFrame, target: DataFrame, columns, cap: int = SAMPLE
     surplus = (
         row_buckets(source, target, columns, **form)
         .filter("n_source <> n_target")
-        .select(
-            "__digest",
-            F.when(F.col("n_source") > F.col("n_target"), "source").otherwise("target").alias("side"),
-            F.abs(F.col("n_source") - F.col("n_target")).alias("surplus"),
-        )
+        .selectExpr("__digest", "if(n_source > n_target, 'source', 'target') AS side", "abs(n_source - n_target) AS surplus")
     )
     picked = top_per_group(surplus, ["side"], ["__digest"], max(1, cap // 2))
-    in_source = F.col("side") == "source"
-    return _with_evidence(picked, source, target, columns, form).select(
-        F.concat(F.lit("only_in_"), F.col("side"), F.lit("_no_pk")).alias("mismatch_type"),
-        F.col("evidence").alias("pk_values"),
-        F.lit(None).cast("string").alias("column_name"),
-        F.when(in_source, F.col("surplus")).otherwise(0).cast("string").alias("source_value"),
-        F.when(in_source, 0).otherwise(F.col("surplus")).cast("string").alias("target_value"),
+    return _with_evidence(picked, source, target, columns, form).selectExpr(
+        "concat('only_in_', side, '_no_pk') AS mismatch_type",
+        "evidence AS pk_values",
+        "CAST(NULL AS STRING) AS column_name",
+        "if(side = 'source', CAST(surplus AS STRING), '0') AS source_value",
+        "if(side = 'target', CAST(surplus AS STRING), '0') AS target_value",
     )
 
 

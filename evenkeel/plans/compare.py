@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -11,12 +12,13 @@ from pyspark.sql import functions as F
 
 from evenkeel.errors import ConfigError, SchemaDrift
 from evenkeel.functions.canonical import decimals_for
+from evenkeel.functions.literals import literal_frame
 from evenkeel.operators import counts, keyed, keys as key_ops, multiset
 from evenkeel.operators.columns import resolve_columns
 from evenkeel.plans.config import missing_keys_message, route
 from evenkeel.plans.verdict import as_result, samples_audit
 from evenkeel.sources.window import scan, window_bounds
-from evenkeel.spec import OUTCOME_SCHEMA, SAMPLE_SCHEMA, TableSpec
+from evenkeel.spec import OUTCOME_SCHEMA, RESULT_SCHEMA, SAMPLE_SCHEMA, TableSpec
 
 
 @dataclass(frozen=True)
@@ -27,19 +29,23 @@ class Comparison:
 
     mode: str
     outcome: DataFrame
-    samples: DataFrame
+    evidence: Callable[[], DataFrame]
     base: DataFrame | None = None
 
+    @property
+    def samples(self) -> DataFrame:
+        return self.evidence()
+
 
 def _failed(spark: SparkSession, mode: str, raw_status: str, message: str) -> Comparison:
     row = [(mode, None, None, None, None, None, None, raw_status, message)]
-    return Comparison(mode, spark.createDataFrame(row, OUTCOME_SCHEMA), spark.createDataFrame([], SAMPLE_SCHEMA))
+    return Comparison(mode, literal_frame(spark, row, OUTCOME_SCHEMA), lambda: literal_frame(spark, [], SAMPLE_SCHEMA))
 
 
 def _basic_samples(source: DataFrame, target: DataFrame, spec: TableSpec) -> DataFrame:
     """Keys without a partner."""
     pairs = key_ops.key_counts(source, target, spec.keys)
-    lone = pairs.withColumn("diff_class", F.when(F.col("n_target") == 0, "only_in_source").when(F.col("n_source") == 0, "only_in_target"))
+    lone = pairs.selectExpr("*", "CASE WHEN n_target = 0 THEN 'only_in_source' WHEN n_source = 0 THEN 'only_in_target' END AS diff_class")
     return keyed.keyed_samples(lone, spec.keys, spec.sample_cap)
 
 
@@ -63,8 +69,10 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec) -> Comparison
         return _failed(spark, spec.mode, "DATA_QUALITY_ERROR", missing_keys_message(spec.mode, spec.name))
 
     if mode == "basic":
-        samples = _basic_samples(source, target, spec) if spec.keys else spark.createDataFrame([], SAMPLE_SCHEMA)
-        return Comparison(mode, counts.diff_basic(source, target), samples)
+        return Comparison(
+            mode, counts.diff_basic(source, target),
+            lambda: _basic_samples(source, target, spec) if spec.keys else literal_frame(spark, [], SAMPLE_SCHEMA),
+        )
 
     columns = resolve_columns(source, target, spec.skip, spec.drift_policy)
     unit = {"timestamp_unit": spec.timestamp_unit or "second"}
@@ -78,8 +86,9 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec) -> Comparison
             form = {"decimals": decimals_for(spec.effective_tolerance), "decimal_as_double": True, **unit}
             pick = multiset.excess_rows
         buckets = multiset.row_buckets(source, target, columns, **form)
-        samples = pick(source, target, columns, spec.sample_cap, **form)
-        return Comparison(mode, multiset.multiset_outcome(buckets, mode), samples, buckets)
+        return Comparison(
+            mode, multiset.multiset_outcome(buckets, mode), lambda: pick(source, target, columns, spec.sample_cap, **form), buckets
+        )
 
     absent = [k for k in spec.keys if k not in columns]
     if absent:
@@ -94,7 +103,7 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec) -> Comparison
     else:
         pairs, label = keyed.column_pairs(source, target, spec.keys, columns, spec.effective_tolerance), "value_diff"
     outcome = keyed.keyed_outcome(pairs, spec.keys, recorded, label)
-    return Comparison(recorded, outcome, keyed.keyed_samples(pairs, spec.keys, spec.sample_cap), pairs)
+    return Comparison(recorded, outcome, lambda: keyed.keyed_samples(pairs, spec.keys, spec.sample_cap), pairs)
 
 
 @dataclass(frozen=True)
@@ -102,8 +111,8 @@ class TablePair:
     """Where the two sides of a spec come from; read when the table's turn comes."""
 
     spec: TableSpec
-    source: object
-    target: object
+    source: Callable[[], DataFrame]
+    target: Callable[[], DataFrame]
 
 
 def run_tables(
@@ -140,8 +149,8 @@ def run_tables(
         finally:
             if base is not None:
                 base.unpersist()
-        outcome = spark.createDataFrame([tuple(row.get(f.name) for f in OUTCOME_SCHEMA)], OUTCOME_SCHEMA)
-        as_result(outcome, meta, time.monotonic() - began, distinct_column_status).coalesce(1).write.mode("append").parquet(result_path)
-    return spark.read.parquet(result_path).filter(F.col("run_id") == run_id)
+        outcome = literal_frame(spark, [[row.get(f.name) for f in OUTCOME_SCHEMA]], OUTCOME_SCHEMA)
+        as_result(outcome, meta, time.monotonic() - began, distinct_column_status).write.mode("append").parquet(result_path)
+    return spark.read.schema(RESULT_SCHEMA).parquet(result_path).filter(F.col("run_id") == run_id)
 
 

@@ -6,8 +6,10 @@ import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evenkeel.errors import ConfigError
+from evenkeel.functions.literals import literal_frame
 from evenkeel.operators.keys import require_keys
 from evenkeel.spec import (
     DEFAULT_FILTER_DAYS, DEFAULT_LAG_MINUTES, DEFAULT_MAX_ROWS_ADVANCED, DEFAULT_TOLERANCE,
@@ -117,7 +119,7 @@ def select_tables(configs: DataFrame, requested) -> DataFrame:
     names = parse_table_filter(requested)
     if not names:
         return configs.filter("enabled")
-    wanted = configs.sparkSession.createDataFrame([(n,) for n in names], "table_name string")
+    wanted = literal_frame(configs.sparkSession, [(n,) for n in names], T.StructType([T.StructField("table_name", T.StringType())]))
     missing = [r[0] for r in config_missing_tables(wanted, configs).orderBy("table_name").collect()]
     if missing:
         raise ConfigError(f"requested tables have no enabled config: {missing}; nothing was run")

@@ -2,125 +2,103 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evenkeel.functions import sqltext
 from evenkeel.functions.topk import top_per_group
 from evenkeel.operators.keyed import DIFF_CLASSES
 from evenkeel.spec import FAILING_STATUSES, MESSAGE_CHARS, RESULT_SCHEMA, SAMPLE_CAP, SAMPLE_VALUE_CHARS
 
-_DIFFS = ("rows_only_in_source", "rows_only_in_target", "rows_with_mismatches")
-
-
-def status(distinct_column_status: bool = False) -> Column:
+def status_sql(distinct_column_status: bool = False) -> str:
     """Audit status from ``raw_status`` and ``count_match``; different counts win over content."""
-    raw = F.col("raw_status")
-    verdict = (
-        F.when(raw == "PASS", "pass")
-        .when(raw == "INCONCLUSIVE", "inconclusive")
-        .when(raw == "SCHEMA_DRIFT", "schema_drift")
-        .when(raw.isin("ERROR", "DATA_QUALITY_ERROR"), "error")
-        .when(~F.col("count_match"), "count_mismatch")
-    )
-    if distinct_column_status:
-        verdict = verdict.when(F.col("comparison_mode") == "advanced", "column_mismatch")
-    return verdict.otherwise("hash_mismatch")
+    by_column = "WHEN comparison_mode = 'advanced' THEN 'column_mismatch'" if distinct_column_status else ""
+    return f"""CASE
+        WHEN raw_status = 'PASS' THEN 'pass'
+        WHEN raw_status = 'INCONCLUSIVE' THEN 'inconclusive'
+        WHEN raw_status = 'SCHEMA_DRIFT' THEN 'schema_drift'
+        WHEN raw_status IN ('ERROR', 'DATA_QUALITY_ERROR') THEN 'error'
+        WHEN NOT count_match THEN 'count_mismatch'
+        {by_column}
+        ELSE 'hash_mismatch' END"""
 
 
-def mismatch_count() -> Column:
-    total = F.lit(0).cast("bigint")
-    for c in _DIFFS:
-        total = total + F.coalesce(F.col(c), F.lit(0))
-    return total
+MISMATCHES_SQL = "CAST(coalesce(rows_only_in_source, 0) + coalesce(rows_only_in_target, 0) + coalesce(rows_with_mismatches, 0) AS BIGINT)"
 
 
 def with_verdict(outcomes: DataFrame, distinct_column_status: bool = False) -> DataFrame:
-    return outcomes.withColumns({"status": status(distinct_column_status), "mismatch_count": mismatch_count()})
+    return outcomes.selectExpr("*", f"{status_sql(distinct_column_status)} AS status", f"{MISMATCHES_SQL} AS mismatch_count")
 
 
 def as_result(outcome: DataFrame, meta: dict, seconds: float, distinct_column_status: bool = False) -> DataFrame:
     """Outcome rows with run metadata, in the shape that is stored."""
-    judged = with_verdict(outcome, distinct_column_status).withColumns({
-        "run_id": F.lit(meta["run_id"]),
-        "table_name": F.lit(meta["table_name"]),
-        "window_start": _ntz(meta["window_start"]),
-        "window_end": _ntz(meta["window_end"]),
-        "safety_lag_minutes": F.lit(meta["safety_lag_minutes"]),
-        "executed_at": _ntz(meta["executed_at"]),
-        "duration_seconds": F.lit(round(seconds, 2)),
-        "error_message": F.substring("error_message", 1, MESSAGE_CHARS),
-    })
-    return judged.select(*RESULT_SCHEMA.names)
-
-
-def _ntz(ts: datetime) -> Column:
-    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    columns = {
+        **{c: c for c in RESULT_SCHEMA.names},
+        "run_id": sqltext.text(meta["run_id"]),
+        "table_name": sqltext.text(meta["table_name"]),
+        "window_start": sqltext.moment(meta["window_start"]),
+        "window_end": sqltext.moment(meta["window_end"]),
+        "safety_lag_minutes": str(meta["safety_lag_minutes"]),
+        "executed_at": sqltext.moment(meta["executed_at"]),
+        "duration_seconds": f"{seconds:.2f}D",
+        "error_message": f"substring(error_message, 1, {MESSAGE_CHARS})",
+    }
+    judged = with_verdict(outcome, distinct_column_status)
+    return judged.selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
 
 
 def run_summary(results: DataFrame) -> DataFrame:
     """Totals and overall status of each run."""
-    passed, failed = F.col("pass_count"), F.col("fail_count")
-    return (
-        results.groupBy("run_id")
-        .agg(
-            F.count(F.lit(1)).alias("total_tables"),
-            F.count_if(F.col("status") == "pass").alias("pass_count"),
-            F.count_if(F.col("status").isin(*FAILING_STATUSES)).alias("fail_count"),
-        )
-        .withColumn("overall", F.when(failed == 0, "success").when(passed > 0, "partial").otherwise("failed"))
+    failing = ", ".join(sqltext.text(x) for x in FAILING_STATUSES)
+    totals = results.groupBy("run_id").agg(
+        F.expr("count(1) AS total_tables"),
+        F.expr("count_if(status = 'pass') AS pass_count"),
+        F.expr(f"count_if(status IN ({failing})) AS fail_count"),
     )
+    overall = "CASE WHEN fail_count = 0 THEN 'success' WHEN pass_count > 0 THEN 'partial' ELSE 'failed' END AS overall"
+    return totals.selectExpr("*", overall)
 
 
 def run_digest(results: DataFrame) -> DataFrame:
     """One line of figures per result: count delta with its direction, and number of issues."""
-    d = F.col("target_count") - F.col("source_count")
-    delta = (
-        F.when(d.isNull(), "—")
-        .when(d == 0, "0")
-        .when(d > 0, F.concat(F.lit("+"), d.cast("string"), F.lit(" target")))
-        .otherwise(F.concat(F.lit("+"), (-d).cast("string"), F.lit(" source")))
-    )
-    return results.select(
-        "run_id", "table_name", "comparison_mode", "status", "source_count", "target_count",
-        delta.alias("delta"), mismatch_count().alias("issues"),
+    delta = """CASE
+        WHEN source_count IS NULL OR target_count IS NULL THEN '—'
+        WHEN target_count = source_count THEN '0'
+        WHEN target_count > source_count THEN concat('+', target_count - source_count, ' target')
+        ELSE concat('+', source_count - target_count, ' source') END AS delta"""
+    return results.selectExpr(
+        "run_id", "table_name", "comparison_mode", "status", "source_count", "target_count", delta, f"{MISMATCHES_SQL} AS issues"
     )
 
 
 def samples_audit(samples: DataFrame, run_id: str, table: str, captured_at: datetime, cap: int = SAMPLE_CAP) -> DataFrame:
     """Samples of one table as stored: numbered, cut to length, at most ``cap`` in all."""
-    tagged = samples.withColumns({"run_id": F.lit(run_id), "table_name": F.lit(table)})
-    return number_samples(tagged, cap).withColumn("captured_at", _ntz(captured_at))
+    tagged = samples.selectExpr("*", f"{sqltext.text(run_id)} AS run_id", f"{sqltext.text(table)} AS table_name")
+    return number_samples(tagged, cap).selectExpr("*", f"{sqltext.moment(captured_at)} AS captured_at")
 
 
 def number_samples(samples: DataFrame, cap: int = SAMPLE_CAP) -> DataFrame:
     """Sequence per (run, table): classes in their fixed order, then by key and column."""
-    place = F.coalesce(F.array_position(F.array(*[F.lit(c) for c in DIFF_CLASSES]), F.col("mismatch_type")), F.lit(0))
-    order = [place, F.col("mismatch_type"), F.col("pk_values"), F.col("column_name").asc_nulls_first()]
+    classes = ", ".join(sqltext.text(c) for c in DIFF_CLASSES)
+    order = [f"array_position(array({classes}), mismatch_type)", "mismatch_type", "pk_values", "column_name NULLS FIRST"]
     numbered = top_per_group(samples, ["run_id", "table_name"], order, cap, rank="sample_seq")
-
-    def cut(column: str) -> Column:
-        return F.substring(column, 1, SAMPLE_VALUE_CHARS).alias(column)
-
-    return numbered.select(
-        "run_id", "table_name", "sample_seq", "mismatch_type", cut("pk_values"), "column_name",
-        cut("source_value"), cut("target_value"),
-    )
+    cut = [f"substring({c}, 1, {SAMPLE_VALUE_CHARS}) AS {c}" for c in ("pk_values", "source_value", "target_value")]
+    return numbered.selectExpr("run_id", "table_name", "sample_seq", "mismatch_type", "column_name", *cut)
 
 
 def latest_results(results: DataFrame) -> DataFrame:
     """The newest result of each table, by time of execution. A table's history collapses inside each
     task before it is shuffled, so a table with a long one is no burden."""
-    return top_per_group(results, ["table_name"], [F.col("executed_at").desc(), F.col("run_id").desc()], 1)
+    return top_per_group(results, ["table_name"], ["executed_at DESC", "run_id DESC"], 1)
 
 
-def failure_trend(results: DataFrame, now: Column, days: int = 7) -> DataFrame:
+def failure_trend(results: DataFrame, now: datetime, days: int = 7) -> DataFrame:
     """Results other than ``pass`` in the days before ``now``, per table and status, most first."""
-    since = F.timestamp_add("DAY", F.lit(-days), now)
     return (
-        results.filter((F.col("executed_at") >= since) & (F.col("status") != "pass"))
+        results.filter(f"executed_at >= {sqltext.moment(now - timedelta(days=days))} AND status <> 'pass'")
         .groupBy("table_name", "status")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.col("n").desc(), "table_name", "status")
+        .agg(F.expr("count(1) AS n"))
+        .orderBy(F.desc("n"), "table_name", "status")
     )

@@ -5,15 +5,24 @@ from __future__ import annotations
 import tempfile
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evenkeel.errors import ConfigError, ParityFailure
+from evenkeel.functions.literals import literal_frame
 from evenkeel.functions.names import safe_name
 
-COPY_SCHEMA = "table_name string, status string, n_rows bigint, seconds double, error string"
+COPY_SCHEMA = T.StructType([
+    T.StructField("table_name", T.StringType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("n_rows", T.LongType()),
+    T.StructField("seconds", T.DoubleType()),
+    T.StructField("error", T.StringType()),
+])
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -82,7 +91,7 @@ class CopyJob:
     """A table to copy. ``read`` is called at copy time, so a bad source fails that table alone."""
 
     table: str
-    read: object
+    read: Callable[[], DataFrame]
     path: str
     mode: str = "overwrite"
 
@@ -98,7 +107,7 @@ def copy_tables(spark: SparkSession, jobs) -> DataFrame:
         except Exception as failure:  # noqa: BLE001 - isolation is the point
             n, status, error = 0, "failed", str(failure)[:200]
         rows.append((job.table, status, n, time.monotonic() - began, error))
-    return spark.createDataFrame(rows, COPY_SCHEMA)
+    return literal_frame(spark, rows, COPY_SCHEMA)
 
 
 def copy_summary(results: DataFrame) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.errors import ConfigError
+from evenkeel.functions import sqltext
 from evenkeel.functions.names import safe_name
 from evenkeel.functions.types import type_of
 from evenkeel.spec import DEFAULT_FILTER_DAYS, DEFAULT_LAG_MINUTES
@@ -23,11 +24,10 @@ def window_bounds(now: datetime, days: int = DEFAULT_FILTER_DAYS, lag_minutes: i
     return end - timedelta(days=days), end
 
 
-def with_window_bounds(configs: DataFrame, now: Column) -> DataFrame:
-    """The same for a frame of effective settings; ``now`` is a ``timestamp_ntz`` in UTC."""
-    end = F.timestamp_add("MINUTE", -F.col("safety_lag_minutes"), now)
-    return configs.withColumn("window_end", end).withColumn(
-        "window_start", F.timestamp_add("DAY", -F.col("filter_days"), F.col("window_end"))
+def with_window_bounds(configs: DataFrame, now: str) -> DataFrame:
+    """The same for a frame of effective settings; ``now`` is SQL for a ``timestamp_ntz`` in UTC."""
+    return configs.selectExpr("*", f"timestampadd(MINUTE, -safety_lag_minutes, {now}) AS window_end").selectExpr(
+        "*", "timestampadd(DAY, -filter_days, window_end) AS window_start"
     )
 
 
@@ -44,17 +44,15 @@ def fill_template(template: str, start: datetime, end: datetime) -> str:
     return template.replace(_PLACEHOLDERS[0], iso_utc(start)).replace(_PLACEHOLDERS[1], iso_utc(end))
 
 
-def time_literal(ts: datetime, dtype: T.DataType) -> Column:
-    # A literal of the column's own type: a cast on the column would block the pushdown.
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
-    return F.lit(iso_utc(ts)).cast("timestamp")
+def time_literal(ts: datetime, dtype: T.DataType) -> str:
+    """SQL for an instant in the column's own type: a cast on the column would block the pushdown."""
+    return sqltext.moment(ts) if isinstance(dtype, T.TimestampNTZType) else f"TIMESTAMP '{iso_utc(ts)}'"
 
 
 def windowed_scan(df: DataFrame, column: str, start: datetime, end: datetime) -> DataFrame:
     """Rows with ``start <= column < end``; rows without a time are left out."""
     dtype = type_of(df, safe_name(column, "filter column"))
-    return df.filter((F.col(column) >= time_literal(start, dtype)) & (F.col(column) < time_literal(end, dtype)))
+    return df.filter(f"{column} >= {time_literal(start, dtype)} AND {column} < {time_literal(end, dtype)}")
 
 
 def expr_window_scan(df: DataFrame, template: str, start: datetime, end: datetime, trusted: bool = False) -> DataFrame:
@@ -65,7 +63,7 @@ def expr_window_scan(df: DataFrame, template: str, start: datetime, end: datetim
     """
     if not trusted:
         raise ConfigError(f"filter expression is not marked as trusted: {template!r}")
-    return df.filter(F.expr(re.sub(r'"(\w+)"', r"`\1`", fill_template(template, start, end))))
+    return df.filter(re.sub(r'"(\w+)"', r"`\1`", fill_template(template, start, end)))
 
 
 def scan(df: DataFrame, filter_column: str | None, start: datetime, end: datetime, trusted: bool = False) -> DataFrame:
@@ -78,4 +76,4 @@ def scan(df: DataFrame, filter_column: str | None, start: datetime, end: datetim
 
 
 def windowed_count(df: DataFrame, filter_column: str | None, start: datetime, end: datetime, trusted: bool = False) -> DataFrame:
-    return scan(df, filter_column, start, end, trusted).agg(F.count(F.lit(1)).alias("n"))
+    return scan(df, filter_column, start, end, trusted).agg(F.expr("count(1) AS n"))

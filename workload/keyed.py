@@ -62,7 +62,7 @@ def window_bounds(spark, d):
     events = load(spark, d, "events").select(
         "event_id", "ts", (F.col("user_id") % 10).cast("int").alias("filter_days"), (F.col("event_id") % 90).cast("int").alias("safety_lag_minutes")
     )
-    return window.with_window_bounds(events, F.col("ts"))
+    return window.with_window_bounds(events, "ts")
 
 
 def count_delta(spark, d):

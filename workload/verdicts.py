@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from evenkeel import TableSpec, run_tables
@@ -31,7 +33,7 @@ def latest_results(spark, d):
 
 
 def failure_trend(spark, d):
-    return v.failure_trend(v.with_verdict(outcomes(spark, d)), F.lit("2001-06-01").cast("timestamp_ntz"), 365)
+    return v.failure_trend(v.with_verdict(outcomes(spark, d)), datetime(2001, 6, 1), 365)
 
 
 def table_pairs(spark, d) -> list[TablePair]:
