@@ -15,15 +15,16 @@ from evenkeel.spec import HASH_DECIMALS
 def canonical(
     e: str,
     dtype: T.DataType,
-    decimals: int = HASH_DECIMALS,
+    decimals: int | None = HASH_DECIMALS,
     decimal_as_double: bool = False,
     timestamp_unit: str = "second",
 ) -> str:
-    """The text under which a value is hashed: two values are equal when their texts are."""
+    """The text under which a value is hashed: two values are equal when their texts are. Floats are
+    rounded, unless ``decimals`` is None."""
     if isinstance(dtype, T.BinaryType):
         return f"hex({e})"
     if isinstance(dtype, FLOATING):
-        return f"CAST(round({e}, {decimals}) AS STRING)"
+        return f"CAST({e} AS STRING)" if decimals is None else f"CAST(round({e}, {decimals}) AS STRING)"
     if isinstance(dtype, T.DecimalType) and decimal_as_double:
         return f"CAST(round(CAST({e} AS DOUBLE), {decimals}) AS STRING)"
     if isinstance(dtype, NESTED):

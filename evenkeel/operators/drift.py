@@ -1,8 +1,8 @@
 """Known damage: functions that turn a table into a copy with one kind of difference.
 
 Each takes a frame and returns a frame. Rows are picked in a fixed order (newest first by the filter
-column, then by key or by content), so a run can be repeated and checked. A pick of ``n`` rows is the
-size of the damage; it is small by intent and only then broadcast.
+column, then by key or by content), so a run can be repeated and checked. A pick is a top-n that tasks
+prune on their own; the planner knows its size from the limit and joins it accordingly.
 """
 
 from __future__ import annotations
@@ -14,23 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.errors import ConfigError
-from evenkeel.functions.canonical import canonical_columns
+from evenkeel.functions.canonical import canonical_columns, row_digest
 from evenkeel.functions.names import safe_name
-from evenkeel.functions.predicates import differs
-from evenkeel.functions.sqltext import name
 from evenkeel.functions.types import TIMESTAMP, is_numeric, type_of
 from evenkeel.operators.keys import require_keys
 from evenkeel.sources.window import time_literal
 from evenkeel.spec import NEW_KEY_OFFSET, NEW_KEY_PREFIX
 
-_BROADCAST_ROWS = 10_000
-
-
-def _small(picked: DataFrame, n: int) -> DataFrame:
-    """Broadcast a pick that is proven small by its limit; a larger one is left to the planner."""
-    return F.broadcast(picked) if n <= _BROADCAST_ROWS else picked
-
-
 def _content_order(df: DataFrame) -> list[Column]:
     return [F.expr(e) for e in canonical_columns(df, sorted(df.columns), timestamp_unit="microsecond").values()]
 
@@ -64,7 +54,7 @@ def _on_keys(keys) -> list[Column]:
 
 def delete_rows(df: DataFrame, keys, count: int = 50, filter_column: str | None = None) -> DataFrame:
     """Remove the newest rows, by key."""
-    return df.join(_small(_victims(df, keys, count, filter_column), count), _on_keys(keys), "left_anti")
+    return df.join(_victims(df, keys, count, filter_column), _on_keys(keys), "left_anti")
 
 
 def insert_extra_rows(df: DataFrame, keys, at: datetime, count: int = 30, filter_column: str | None = None) -> DataFrame:
@@ -84,7 +74,7 @@ def update_column(
 ) -> DataFrame:
     """Overwrite a column on the newest rows and keep those rows inside the window."""
     hit = _victims(df, keys, count, filter_column).withColumn("v__hit", F.lit(True))
-    joined = df.join(_small(hit, count), _on_keys(keys), "left_outer")
+    joined = df.join(hit, _on_keys(keys), "left_outer")
     changed = F.coalesce(F.col("v__hit"), F.lit(False))
     out = []
     for f in df.schema.fields:
@@ -111,7 +101,7 @@ def null_out_key(df: DataFrame, keys, count: int = 5) -> DataFrame:
     order = [F.col(f"`{k}`") for k in keys]
     some = df.filter(F.col(f"`{keys[0]}`").isNotNull()).select(*order).distinct().orderBy(*order).limit(count)
     hit = some.select(*[F.col(f"`{k}`").alias(f"v__{k}") for k in keys], F.lit(True).alias("v__hit"))
-    joined = df.join(_small(hit, count), _on_keys(keys), "left_outer")
+    joined = df.join(hit, _on_keys(keys), "left_outer")
     first = keys[0]
     return joined.select(*[
         (F.when(F.col("v__hit").isNull(), F.col(f"`{c}`")) if c == first else F.col(f"`{c}`")).alias(c) for c in df.columns
@@ -124,16 +114,18 @@ def clear_keys(key_columns: DataFrame, table: str) -> DataFrame:
     return key_columns.filter(F.col("table_name") != table)
 
 
-def _without_rows(df: DataFrame, rows: DataFrame, n: int) -> DataFrame:
-    """Drop every row that equals one of ``rows`` in all columns, nulls included."""
-    victims = rows.select(*[F.col(f"`{c}`").alias(f"v__{c}") for c in df.columns])
-    same = " AND ".join(f"NOT ({differs(name(f.name), name('v__' + f.name), f.dataType)})" for f in df.schema.fields)
-    return df.join(_small(victims, n), F.expr(same), "left_anti")
+def _without_rows(df: DataFrame, rows: DataFrame) -> DataFrame:
+    """Drop every row that equals one of ``rows`` in all columns, nulls included. Rows are matched by
+    the digest of their exact content, so wide rows travel as 64 characters."""
+    exact = {"decimals": None, "timestamp_unit": "microsecond"}
+    victims = rows.selectExpr(f"{row_digest(rows, rows.columns, **exact)} AS v__row")
+    marked = df.selectExpr("*", f"{row_digest(df, df.columns, **exact)} AS __row")
+    return marked.join(victims, F.expr("__row = v__row"), "left_anti").drop("__row")
 
 
 def delete_rows_keyless(df: DataFrame, count: int = 1, filter_column: str | None = None) -> DataFrame:
     """Remove the newest rows by content. Exact copies of a picked row go with it."""
-    return _without_rows(df, pick_newest(df, count, filter_column), count)
+    return _without_rows(df, pick_newest(df, count, filter_column))
 
 
 def _mutate(rows: DataFrame, suffix: str, filter_column: str | None) -> DataFrame:
@@ -162,7 +154,7 @@ def insert_extra_rows_keyless(
 def content_swap_keyless(df: DataFrame, suffix: str = "_swap", filter_column: str | None = None) -> DataFrame:
     """Replace the newest row by a changed one; the number of rows stays the same when it is unique."""
     victim = pick_newest(df, 1, filter_column)
-    return _without_rows(df, victim, 1).unionByName(_mutate(victim, suffix, filter_column))
+    return _without_rows(df, victim).unionByName(_mutate(victim, suffix, filter_column))
 
 
 def share_of(keys, fraction: float) -> Column:

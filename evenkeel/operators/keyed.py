@@ -1,8 +1,9 @@
-"""Keyed diff: rows are paired by key, then compared by digest or column by column.
+"""Keyed diff: rows are paired by key, then compared by digest and, where asked, column by column.
 
 The pairing is a union of both tagged sides and one ``groupBy`` on the key instead of a full outer
-join. One shuffle then yields counts, key quality and differences together, copies of a key are
-combined before they travel, and duplicate keys cannot multiply each other.
+join. One shuffle of keys and digests then yields counts, key quality and differences together,
+copies of a key are combined before they travel, and duplicate keys cannot multiply each other.
+The column-by-column diff reads full rows only for the keys whose digests differ.
 """
 
 from __future__ import annotations
@@ -18,12 +19,14 @@ from evenkeel.functions.topk import top_per_group
 from evenkeel.functions.types import as_text, type_of
 from evenkeel.operators.columns import align
 from evenkeel.operators.keys import require_keys
+from evenkeel.sources.tables import snapshot
 from evenkeel.spec import PRESENT, SAMPLE_CAP
 
 # The order in which classes share a total sample cap.
 DIFF_CLASSES = ("only_in_target", "only_in_source", "hash_diff", "value_diff")
 _TAGS = {"source": ("1 AS __s", "0 AS __t"), "target": ("0 AS __s", "1 AS __t")}
 _COUNTED = ("sum(__s) AS n_source", "sum(__t) AS n_target")
+_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def _sorted_union(columns, keys) -> list[str]:
@@ -61,25 +64,55 @@ def hash_pairs(source: DataFrame, target: DataFrame, keys, columns, **form) -> D
     return pairs.selectExpr(*names(keys), "n_source", "n_target", _classify("__x0 <> 0 OR __x1 <> 0", "hash_diff", keys))
 
 
-def column_pairs(source: DataFrame, target: DataFrame, keys, columns, tolerance: float = 0.0) -> DataFrame:
-    """Per key: rows on each side, ``diff_class`` under the tolerance, and ``diffs``, an array with
-    one (column_name, source_value, target_value) for each column that differs."""
-    require_keys(source, keys)
-    require_keys(target, keys)
+def condensed(pairs: DataFrame, keys) -> DataFrame:
+    """The pairs that are no match, and one row with null keys that stands for all that are.
+
+    It holds everything an outcome or a sample needs, and is as small as the damage.
+    """
+    nothing = [f"CAST(NULL AS {type_of(pairs, k).simpleString()}) AS {name(k)}" for k in keys]
+    matched = (
+        pairs.filter("diff_class = 'match'")
+        .agg(F.expr("coalesce(sum(n_source), 0) AS n_source"), F.expr("coalesce(sum(n_target), 0) AS n_target"))
+        .selectExpr(*nothing, "n_source", "n_target", "'match' AS diff_class")
+    )
+    return pairs.filter("diff_class <> 'match'").unionByName(matched)
+
+
+def exact_findings(source: DataFrame, target: DataFrame, keys, columns) -> DataFrame:
+    """The condensed digest pass under exact texts (no rounding, microseconds), kept in the shared
+    folder. Equal texts mean equal values, so only its ``hash_diff`` keys can differ in a column."""
+    pairs = hash_pairs(source, target, keys, columns, decimals=None, timestamp_unit="microsecond")
+    return snapshot(condensed(pairs, keys), "pairs")
+
+
+def _size(df: DataFrame) -> int:
+    """Bytes of a frame of scalar columns, measured on its text, plus a fixed cost per value."""
+    each = " + ".join(f"coalesce(octet_length(CAST({name(c)} AS STRING)), 0) + 16" for c in df.columns)
+    return df.agg(F.expr(f"coalesce(sum({each}), 0) AS n")).first()["n"]
+
+
+def column_findings(
+    source: DataFrame, target: DataFrame, keys, columns, tolerance: float = 0.0, digests: DataFrame | None = None
+) -> DataFrame:
+    """Condensed pairs under the tolerance: ``diff_class`` (``value_diff`` in place of ``hash_diff``)
+    and ``diffs``, an array with one (column_name, source_value, target_value) per differing column.
+
+    Two passes: digests find the keys that may differ, then full rows are fetched for these alone.
+    The first pass runs at once, because the size of these keys decides how they are joined: up to
+    ``_BROADCAST_BYTES`` they are broadcast and no full row is shuffled; beyond, both sides are shuffled
+    by key. Each such key has one row per side, so the join cannot multiply.
+    """
+    found = exact_findings(source, target, keys, columns) if digests is None else digests
+    suspects = found.filter("diff_class = 'hash_diff'").select(*names(keys))
+    if _size(suspects) <= _BROADCAST_BYTES:
+        suspects = F.broadcast(suspects)
     values = sorted(c for c in columns if c not in set(keys))
     s, t = align(source, target, _sorted_union(columns, keys))
-    row = sqltext.struct({c: name(c) for c in values}) if values else "named_struct('none', 1)"
 
-    def tagged(df: DataFrame, side: str) -> DataFrame:
-        # both sides carry both columns under one nullable struct type
-        here = df.selectExpr(*names(keys), *_TAGS[side], f"{row} AS __row")
-        return here.selectExpr(*names(keys), "__s", "__t", "if(__s = 1, __row, NULL) AS __source", "if(__t = 1, __row, NULL) AS __target")
+    def rows(df: DataFrame, as_name: str) -> DataFrame:
+        row = sqltext.struct({c: name(c) for c in values}) if values else "named_struct('none', 1)"
+        return df.join(suspects, list(keys), "left_semi").selectExpr(*names(keys), f"{row} AS {as_name}")
 
-    pairs = (
-        tagged(s, "source").unionByName(tagged(t, "target"))
-        .groupBy(*names(keys))
-        .agg(*[F.expr(e) for e in _COUNTED], F.expr("first(__source, true) AS __source"), F.expr("first(__target, true) AS __target"))
-    )
     checks = []
     for c in values:
         dtype = type_of(s, c)
@@ -87,11 +120,15 @@ def column_pairs(source: DataFrame, target: DataFrame, keys, columns, tolerance:
         detail = sqltext.struct({"column_name": sqltext.text(c), "source_value": as_text(a, dtype), "target_value": as_text(b, dtype)})
         checks.append(f"if({differs(a, b, dtype, tolerance)}, {detail}, NULL)")
     none = "CAST(array() AS ARRAY<STRUCT<column_name: STRING, source_value: STRING, target_value: STRING>>)"
-    paired = f"n_source = 1 AND n_target = 1 AND NOT {any_null(keys)}"
-    diffs = f"if({paired}, array_compact(array({', '.join(checks)})), {none})" if checks else none
-    return pairs.selectExpr(*names(keys), "n_source", "n_target", f"{diffs} AS diffs").selectExpr(
-        *names(keys), "n_source", "n_target", _classify("size(diffs) > 0", "value_diff", keys), "diffs"
+    detailed = (
+        rows(s, "__source").join(rows(t, "__target"), list(keys))
+        .selectExpr(*names(keys), f"{f'array_compact(array({", ".join(checks)}))' if checks else none} AS diffs")
+        .selectExpr(
+            *names(keys), "CAST(1 AS BIGINT) AS n_source", "CAST(1 AS BIGINT) AS n_target",
+            "if(size(diffs) > 0, 'value_diff', 'match') AS diff_class", "diffs",
+        )
     )
+    return found.filter("diff_class <> 'hash_diff'").selectExpr("*", f"{none} AS diffs").unionByName(detailed)
 
 
 def class_counts(pairs: DataFrame) -> DataFrame:
@@ -112,16 +149,16 @@ def value_diffs_by_column(pairs: DataFrame, keys) -> DataFrame:
     return value_diffs(pairs, keys).groupBy("column_name").agg(F.expr("count(1) AS n"))
 
 
-def keyed_outcome(pairs: DataFrame, keys, mode: str, label: str) -> DataFrame:
-    """The outcome row of a keyed mode: counts and differences, or the key-quality error."""
-    nulls = any_null(keys)
+def keyed_outcome(pairs: DataFrame, mode: str, label: str) -> DataFrame:
+    """The outcome row of a keyed mode, from pairs or from their condensed form: counts and
+    differences, or the key-quality error."""
     totals = {
         "source_count": "n_source",
         "target_count": "n_target",
-        "null_source": f"if({nulls}, n_source, 0)",
-        "null_target": f"if({nulls}, n_target, 0)",
-        "dup_source": "greatest(n_source - 1, 0)",
-        "dup_target": "greatest(n_target - 1, 0)",
+        "null_source": "if(diff_class = 'null_key', n_source, 0)",
+        "null_target": "if(diff_class = 'null_key', n_target, 0)",
+        "dup_source": "if(diff_class = 'match', 0, greatest(n_source - 1, 0))",
+        "dup_target": "if(diff_class = 'match', 0, greatest(n_target - 1, 0))",
         "only_source": "if(diff_class = 'only_in_source', 1, 0)",
         "only_target": "if(diff_class = 'only_in_target', 1, 0)",
         "changed": f"if(diff_class = '{label}', 1, 0)",

@@ -38,6 +38,16 @@ def row_buckets(source: DataFrame, target: DataFrame, columns, **form) -> DataFr
     )
 
 
+def condensed(buckets: DataFrame) -> DataFrame:
+    """The diverging buckets, and one row without a digest that stands for all others."""
+    equal = (
+        buckets.filter("n_source = n_target")
+        .agg(F.expr("coalesce(sum(n_source), 0) AS n_source"), F.expr("coalesce(sum(n_target), 0) AS n_target"))
+        .selectExpr("CAST(NULL AS BINARY) AS __digest", "n_source", "n_target")
+    )
+    return buckets.filter("n_source <> n_target").unionByName(equal)
+
+
 _BUCKET_CLASS = """CASE WHEN n_source = 0 THEN 'only_in_target_multiset' WHEN n_target = 0 THEN 'only_in_source_multiset'
     ELSE 'multiset_count_diff' END AS mismatch_type"""
 
@@ -80,15 +90,17 @@ def multiset_outcome(buckets: DataFrame, mode: str) -> DataFrame:
 def _with_evidence(picked: DataFrame, source: DataFrame, target: DataFrame, columns, form) -> DataFrame:
     """Attach the content of each picked row. ``picked`` holds at most the sample cap of rows, so it
     is small enough to broadcast whatever the size of the tables."""
-    found = _tagged(source, target, columns, form, evidence=True).join(F.broadcast(picked.select("__digest")), "__digest", "left_semi")
-    content = found.select("__digest", "evidence").distinct()
-    return content.join(F.broadcast(picked), "__digest")
+    found = _tagged(source, target, columns, form, evidence=True).join(F.broadcast(picked), "__digest")
+    return found.drop("__s", "__t").distinct()
 
 
-def bucket_samples(source: DataFrame, target: DataFrame, columns, cap: int = SAMPLE_CAP, **form) -> DataFrame:
-    """Up to ``cap`` diverging rows in digest order: content and copies on each side."""
-    buckets = row_buckets(source, target, columns, **form).filter("n_source <> n_target")
-    picked = buckets.orderBy("__digest").limit(cap)
+def bucket_samples(
+    source: DataFrame, target: DataFrame, columns, cap: int = SAMPLE_CAP, buckets: DataFrame | None = None, **form
+) -> DataFrame:
+    """Up to ``cap`` diverging rows in digest order: content and copies on each side. ``buckets`` are
+    those of the same frames, if they are at hand."""
+    found = row_buckets(source, target, columns, **form) if buckets is None else buckets
+    picked = found.filter("n_source <> n_target").orderBy("__digest").limit(cap)
     return _with_evidence(picked, source, target, columns, form).selectExpr(
         _BUCKET_CLASS,
         "evidence AS pk_values",
@@ -98,11 +110,13 @@ def bucket_samples(source: DataFrame, target: DataFrame, columns, cap: int = SAM
     )
 
 
-def excess_rows(source: DataFrame, target: DataFrame, columns, cap: int = SAMPLE_CAP, **form) -> DataFrame:
+def excess_rows(
+    source: DataFrame, target: DataFrame, columns, cap: int = SAMPLE_CAP, buckets: DataFrame | None = None, **form
+) -> DataFrame:
     """Distinct surplus rows with their surplus, half the cap for each side, in digest order."""
+    found = row_buckets(source, target, columns, **form) if buckets is None else buckets
     surplus = (
-        row_buckets(source, target, columns, **form)
-        .filter("n_source <> n_target")
+        found.filter("n_source <> n_target")
         .selectExpr("__digest", "if(n_source > n_target, 'source', 'target') AS side", "abs(n_source - n_target) AS surplus")
     )
     picked = top_per_group(surplus, ["side"], ["__digest"], max(1, cap // 2))

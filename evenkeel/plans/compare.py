@@ -17,6 +17,7 @@ from evenkeel.operators import counts, keyed, keys as key_ops, multiset
 from evenkeel.operators.columns import resolve_columns
 from evenkeel.plans.config import missing_keys_message, route
 from evenkeel.plans.verdict import as_result, samples_audit
+from evenkeel.sources.tables import snapshot
 from evenkeel.sources.window import scan, window_bounds
 from evenkeel.spec import OUTCOME_SCHEMA, RESULT_SCHEMA, SAMPLE_SCHEMA, TableSpec
 
@@ -24,13 +25,11 @@ from evenkeel.spec import OUTCOME_SCHEMA, RESULT_SCHEMA, SAMPLE_SCHEMA, TableSpe
 @dataclass(frozen=True)
 class Comparison:
     """``outcome`` is one row (``OUTCOME_SCHEMA``); ``samples`` (``SAMPLE_SCHEMA``) are the evidence for
-    a raw status of FAIL or INCONCLUSIVE. Both are lazy and come from ``base``, the per-key or per-row
-    frame that is worth persisting when both are to be read from one snapshot."""
+    a raw status of FAIL or INCONCLUSIVE."""
 
     mode: str
     outcome: DataFrame
     evidence: Callable[[], DataFrame]
-    base: DataFrame | None = None
 
     @property
     def samples(self) -> DataFrame:
@@ -49,16 +48,12 @@ def _basic_samples(source: DataFrame, target: DataFrame, spec: TableSpec) -> Dat
     return keyed.keyed_samples(lone, spec.keys, spec.sample_cap)
 
 
-def exceeds(source: DataFrame, target: DataFrame, limit: int) -> bool:
-    row = counts.count_delta(source, target).first()
-    return max(row["source_count"], row["target_count"]) > limit
-
-
-def compare(source: DataFrame, target: DataFrame, spec: TableSpec) -> Comparison:
+def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool = False) -> Comparison:
     """Plan the comparison of two frames. Schema drift raises; every other finding is in the outcome.
 
-    No job runs here, except for ``advanced``: it counts rows first, to decide whether it is small
-    enough for a column-by-column diff.
+    With ``keep`` the findings are written to the shared folder first, so that outcome and samples come
+    from one pass over one state of the tables. Without it nothing runs here, except for ``advanced``:
+    its digest pass decides by row counts whether a column-by-column diff is allowed, and for which keys.
     """
     spark = source.sparkSession
     try:
@@ -75,19 +70,21 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec) -> Comparison
         )
 
     columns = resolve_columns(source, target, spec.skip, spec.drift_policy)
-    unit = {"timestamp_unit": spec.timestamp_unit or "second"}
+    form = {"timestamp_unit": spec.timestamp_unit or "second"}
     if mode in ("hash_no_pk", "advanced_no_pk"):
         if not columns:
             return _failed(spark, mode, "DATA_QUALITY_ERROR", f"{mode}: no columns to compare for '{spec.name}'; "
                            "shorten its skip list or change its drift policy")
-        if mode == "hash_no_pk":
-            form, pick = unit, multiset.bucket_samples
-        else:
-            form = {"decimals": decimals_for(spec.effective_tolerance), "decimal_as_double": True, **unit}
+        pick = multiset.bucket_samples
+        if mode == "advanced_no_pk":
+            form |= {"decimals": decimals_for(spec.effective_tolerance), "decimal_as_double": True}
             pick = multiset.excess_rows
         buckets = multiset.row_buckets(source, target, columns, **form)
+        if keep:
+            buckets = snapshot(multiset.condensed(buckets), "buckets")
         return Comparison(
-            mode, multiset.multiset_outcome(buckets, mode), lambda: pick(source, target, columns, spec.sample_cap, **form), buckets
+            mode, multiset.multiset_outcome(buckets, mode),
+            lambda: pick(source, target, columns, spec.sample_cap, buckets=buckets, **form),
         )
 
     absent = [k for k in spec.keys if k not in columns]
@@ -95,15 +92,25 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec) -> Comparison
         text = "; ".join(f"PK column '{k}' missing in compared columns" for k in absent)
         return _failed(spark, mode, "DATA_QUALITY_ERROR", text)
 
-    recorded = mode
-    if mode == "advanced" and exceeds(source, target, spec.effective_max_rows):
-        mode, recorded = "hash", "hash (fallback)"
+    recorded, label = mode, "hash_diff"
+    if mode == "advanced":
+        digests = keyed.exact_findings(source, target, spec.keys, columns)
+        seen = digests.agg(F.expr("greatest(sum(n_source), sum(n_target)) AS n")).first()["n"]
+        if seen > spec.effective_max_rows:
+            mode, recorded = "hash", "hash (fallback)"
+        else:
+            label = "value_diff"
+            findings = keyed.column_findings(source, target, spec.keys, columns, spec.effective_tolerance, digests)
     if mode == "hash":
-        pairs, label = keyed.hash_pairs(source, target, spec.keys, columns, **unit), "hash_diff"
-    else:
-        pairs, label = keyed.column_pairs(source, target, spec.keys, columns, spec.effective_tolerance), "value_diff"
-    outcome = keyed.keyed_outcome(pairs, spec.keys, recorded, label)
-    return Comparison(recorded, outcome, lambda: keyed.keyed_samples(pairs, spec.keys, spec.sample_cap), pairs)
+        findings = keyed.hash_pairs(source, target, spec.keys, columns, **form)
+        if keep:
+            findings = keyed.condensed(findings, spec.keys)
+    if keep:
+        findings = snapshot(findings, "findings")
+    return Comparison(
+        recorded, keyed.keyed_outcome(findings, recorded, label),
+        lambda: keyed.keyed_samples(findings, spec.keys, spec.sample_cap),
+    )
 
 
 @dataclass(frozen=True)
@@ -132,13 +139,10 @@ def run_tables(
         start, end = window_bounds(now, spec.effective_days, spec.effective_lag)
         meta = {"run_id": run_id, "table_name": spec.name, "window_start": start, "window_end": end,
                 "safety_lag_minutes": spec.effective_lag, "executed_at": now}
-        base = None
         try:
             source = scan(pair.source(), spec.filter_column_source or spec.filter_column, start, end, trusted_expressions)
             target = scan(pair.target(), spec.filter_column, start, end, trusted_expressions)
-            plan = compare(source, target, spec)
-            # Result and samples are two writes; without this the second would read both sides again.
-            base = plan.base.persist() if plan.base is not None else None
+            plan = compare(source, target, spec, keep=True)
             row = plan.outcome.first().asDict()
             if row["raw_status"] in ("FAIL", "INCONCLUSIVE"):
                 samples_audit(plan.samples, run_id, spec.name, now, spec.sample_cap).write.mode("append").parquet(sample_path)
@@ -146,9 +150,6 @@ def run_tables(
             row = {"comparison_mode": spec.mode, "raw_status": "SCHEMA_DRIFT", "error_message": str(drift)}
         except Exception as failure:  # noqa: BLE001 - one table must not stop the run
             row = {"comparison_mode": spec.mode, "raw_status": "ERROR", "error_message": str(failure)[:500]}
-        finally:
-            if base is not None:
-                base.unpersist()
         outcome = literal_frame(spark, [[row.get(f.name) for f in OUTCOME_SCHEMA]], OUTCOME_SCHEMA)
         as_result(outcome, meta, time.monotonic() - began, distinct_column_status).write.mode("append").parquet(result_path)
     return spark.read.schema(RESULT_SCHEMA).parquet(result_path).filter(F.col("run_id") == run_id)

@@ -28,27 +28,26 @@ COPY_SCHEMA = T.StructType([
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors can reach, as the session names it in ``spark.checkpoint.dir``.
 
-    Where the setting is absent, as in tests on one machine, a new local folder is made for the
-    session and remembered in it.
+    Where the setting is absent, as in tests on one machine, the session gets a new local folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
+def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The frame, written to the shared folder: a fixed snapshot with no lineage behind it."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+def snapshot(df: DataFrame, label: str = "snapshot") -> DataFrame:
+    """The frame as a table in the shared folder: fixed content with no lineage behind it, which a
+    lost executor cannot change."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def discover_tables(spark: SparkSession, folder: str) -> list[str]:

@@ -116,9 +116,9 @@ def _hash_pairs(spark, d):
     return keyed.hash_pairs(source, target, _KEY, source.columns)
 
 
-def _column_pairs(spark, d):
+def _findings(spark, d):
     source, target = orders_pair(spark, d)
-    return keyed.column_pairs(source, target, _KEY, source.columns, 0.001)
+    return keyed.column_findings(source, target, _KEY, source.columns, 0.001)
 
 
 def diff_hash_classes(spark, d):
@@ -148,24 +148,24 @@ def diff_fallback(spark, d):
 
 def tolerant_diff(spark, d):
     """Diff classes under the tolerance, per key and with the number of differing columns."""
-    pairs = _column_pairs(spark, d)
+    pairs = _findings(spark, d)
     return pairs.filter("diff_class = 'value_diff'").select("o_orderkey", F.size("diffs").alias("n_columns"))
 
 
 def value_diffs(spark, d):
-    return keyed.value_diffs(_column_pairs(spark, d), _KEY)
+    return keyed.value_diffs(_findings(spark, d), _KEY)
 
 
 def value_diffs_by_column(spark, d):
-    return keyed.value_diffs_by_column(_column_pairs(spark, d), _KEY)
+    return keyed.value_diffs_by_column(_findings(spark, d), _KEY)
 
 
 def mismatch_samples(spark, d):
-    return keyed.keyed_samples(_column_pairs(spark, d), _KEY)
+    return keyed.keyed_samples(_findings(spark, d), _KEY)
 
 
 def samples_audit(spark, d):
-    samples = keyed.keyed_samples(_column_pairs(spark, d), _KEY)
+    samples = keyed.keyed_samples(_findings(spark, d), _KEY)
     return store_samples(samples, "run_1", "orders", ORDERS_NOW)
 
 
