@@ -72,19 +72,37 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def copy_table(df: DataFrame, path: str, mode: str = "overwrite") -> int:
-    """Write a frame to ``path`` and return the number of rows written.
+def catalog_tables(spark: SparkSession, schema: str) -> DataFrame:
+    """Names of the tables of a catalog schema."""
+    return spark.sql(f"SHOW TABLES IN {safe_name(schema, 'schema')}").filter("NOT isTemporary").select(F.col("tableName").alias("table_name"))
 
-    The rows are counted by the write itself. The observation sits directly under the writer, in the
-    result stage, where Spark counts each partition once even if its task is run again.
-    """
-    if mode not in ("overwrite", "append"):
-        raise ConfigError(f"unknown write mode {mode!r}; known: overwrite, append")
+
+def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Rows that ``write`` wrote, counted by the write itself. The observation sits directly under the
+    writer, in the result stage, where Spark counts each partition once even if its task is run again."""
     seen = Observation(f"copy-{uuid.uuid4().hex}")
-    df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode(mode).parquet(path)
+    write(df.observe(seen, F.count(F.lit(1)).alias("n_rows")))
     return int(seen.get["n_rows"])
 
 
+def _check_mode(mode: str) -> None:
+    if mode not in ("overwrite", "append"):
+        raise ConfigError(f"unknown write mode {mode!r}; known: overwrite, append")
+
+
+def copy_table(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """Write a frame to parquet files and return the number of rows written."""
+    _check_mode(mode)
+    return _counted(df, lambda out: out.write.mode(mode).parquet(path))
+
+
+def copy_to_catalog(df: DataFrame, table: str, mode: str = "overwrite", file_format: str = "parquet") -> int:
+    """The same for a catalog table; overwriting replaces its schema too."""
+    _check_mode(mode)
+    name = ".".join(safe_name(part, "table name") for part in table.split("."))
+    return _counted(df, lambda out: out.write.format(file_format).mode(mode).option("overwriteSchema", "true").saveAsTable(name))
+
+
 @dataclass(frozen=True)
 class CopyJob:
     """A table to copy. ``read`` is called at copy time, so a bad source fails that table alone."""
