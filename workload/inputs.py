@@ -131,7 +131,7 @@ OUTCOME_KEYS = {
     "table_name": "concat('part_', CAST(l_partkey AS STRING))",
 }
 OUTCOME_AGGREGATES = {
-    "comparison_mode": "MIN(CASE WHEN l_partkey % 3 = 0 THEN 'advanced' ELSE 'hash' END)",
+    "part": "MIN(l_partkey)",
     "source_count": "CASE WHEN MIN(l_partkey) % 13 = 0 THEN CAST(NULL AS BIGINT) ELSE CAST(COUNT(*) AS BIGINT) END",
     "target_count": "CASE WHEN MIN(l_partkey) % 13 = 0 THEN CAST(NULL AS BIGINT) ELSE CAST(COUNT(*) + SUM(CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN -1 WHEN l_linenumber = 2 AND l_returnflag = 'A' THEN 1 ELSE 0 END) AS BIGINT) END",
     "rows_only_in_source": "CASE WHEN MIN(l_partkey) % 13 = 0 THEN CAST(NULL AS BIGINT) ELSE CAST(SUM(CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 1 ELSE 0 END) AS BIGINT) END",
@@ -140,6 +140,7 @@ OUTCOME_AGGREGATES = {
     "executed_at": "MAX(l_shipdate)",
 }
 OUTCOME_DERIVED = {
+    "comparison_mode": "CASE WHEN part % 3 = 0 THEN 'advanced' ELSE 'hash' END",
     "count_match": "source_count = target_count",
     "raw_status": "CASE WHEN source_count IS NULL THEN 'DATA_QUALITY_ERROR' "
                   "WHEN rows_only_in_source + rows_only_in_target + rows_with_mismatches = 0 THEN 'PASS' "
