@@ -12,6 +12,18 @@ from evenkeel.functions.types import FLOATING, NESTED, TIMESTAMP, type_of, with_
 from evenkeel.spec import HASH_DECIMALS
 
 
+def rounded(e: str, decimals: int) -> str:
+    """``round(e, decimals)`` for doubles, several times faster where the value has no more decimals.
+
+    ``round`` goes through decimal text. Below 10^14 units the scaled value is off by less than 0.01, so
+    when it is whole, the nearest double to that many units is the rounded value; adding 0 drops the
+    sign of a negative zero.
+    """
+    unit = f"1e{decimals}D"
+    scaled = f"{e} * {unit}"
+    return f"if(abs({e}) < 1e{14 - decimals}D AND {scaled} = rint({scaled}), rint({scaled}) / {unit} + 0.0D, round({e}, {decimals}))"
+
+
 def canonical(
     e: str,
     dtype: T.DataType,
@@ -23,8 +35,8 @@ def canonical(
     rounded, unless ``decimals`` is None."""
     if isinstance(dtype, T.BinaryType):
         return f"hex({e})"
-    if isinstance(dtype, FLOATING):
-        return f"CAST({e} AS STRING)" if decimals is None else f"CAST(round({e}, {decimals}) AS STRING)"
+    if isinstance(dtype, FLOATING) and decimals is not None:
+        return f"CAST({rounded(e, decimals) if isinstance(dtype, T.DoubleType) else f'round({e}, {decimals})'} AS STRING)"
     if isinstance(dtype, T.DecimalType) and decimal_as_double:
         return f"CAST(round(CAST({e} AS DOUBLE), {decimals}) AS STRING)"
     if isinstance(dtype, NESTED):

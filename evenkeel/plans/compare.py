@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from evenkeel.errors import ConfigError, SchemaDrift
 from evenkeel.functions.canonical import decimals_for
 from evenkeel.functions.literals import literal_frame
+from evenkeel.functions.sqltext import any_null
 from evenkeel.operators import counts, keyed, keys as key_ops, multiset
 from evenkeel.operators.columns import resolve_columns
 from evenkeel.plans.config import missing_keys_message, route
 from evenkeel.plans.verdict import as_result, samples_audit
 from evenkeel.sources.tables import snapshot
-from evenkeel.sources.window import scan, window_bounds
+from evenkeel.sources.window import scan, use_utc, window_bounds
 from evenkeel.spec import OUTCOME_SCHEMA, RESULT_SCHEMA, SAMPLE_SCHEMA, TableSpec
 
 
@@ -42,9 +43,14 @@ def _failed(spark: SparkSession, mode: str, raw_status: str, message: str) -> Co
 
 
 def _basic_samples(source: DataFrame, target: DataFrame, spec: TableSpec) -> DataFrame:
-    """Keys without a partner."""
-    pairs = key_ops.key_counts(source, target, spec.keys)
-    lone = pairs.selectExpr("*", "CASE WHEN n_target = 0 THEN 'only_in_source' WHEN n_source = 0 THEN 'only_in_target' END AS diff_class")
+    """Keys without a partner; one with a null has none on either side."""
+    null = any_null(spec.keys)
+    lone = key_ops.key_counts(source, target, spec.keys).selectExpr(
+        "*",
+        f"""explode(array_compact(array(
+            if(n_source > 0 AND (n_target = 0 OR {null}), 'only_in_source', NULL),
+            if(n_target > 0 AND (n_source = 0 OR {null}), 'only_in_target', NULL)))) AS diff_class""",
+    )
     return keyed.keyed_samples(lone, spec.keys, spec.sample_cap)
 
 
@@ -56,6 +62,7 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool =
     its digest pass decides by row counts whether a column-by-column diff is allowed, and for which keys.
     """
     spark = source.sparkSession
+    use_utc(spark)
     try:
         mode = route(spec.mode, bool(spec.keys), spec.pk_fallback_strategy)
     except ConfigError as unknown:
@@ -134,6 +141,7 @@ def run_tables(
 ) -> DataFrame:
     """Compare each pair inside its window, append its result and samples as parquet, and return the
     results of the run. A table that fails becomes a result row; the others still run."""
+    use_utc(spark)
     for pair in pairs:
         spec, began = pair.spec, time.monotonic()
         start, end = window_bounds(now, spec.effective_days, spec.effective_lag)

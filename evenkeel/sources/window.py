@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,12 @@ from evenkeel.spec import DEFAULT_FILTER_DAYS, DEFAULT_LAG_MINUTES
 _PLACEHOLDERS = ("{window_start}", "{window_end}")
 
 
+def use_utc(spark: SparkSession) -> None:
+    """Put the session into UTC: windows and timestamp texts must not depend on where a job runs."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def window_bounds(now: datetime, days: int = DEFAULT_FILTER_DAYS, lag_minutes: int = DEFAULT_LAG_MINUTES) -> tuple[datetime, datetime]:
     """``end`` lies the safety lag before ``now``, ``start`` the given days before ``end`` (all UTC)."""
     end = now - timedelta(minutes=lag_minutes)

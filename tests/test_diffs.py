@@ -44,6 +44,10 @@ def test_basic(small, spark):
         ("only_in_target", '{"k":"6"}', None, None, "EXISTS"),
     ]
     assert compare(s, t, TableSpec("tab", "basic")).samples.count() == 0
+    nulls = spark.createDataFrame([(None, 1.0, "a")], SCHEMA)
+    assert rows(compare(nulls, nulls.union(nulls), TableSpec("tab", "basic", keys=("k",))).samples) == [
+        ("only_in_source", '{"k":null}', None, "EXISTS", None), ("only_in_target", '{"k":null}', None, None, "EXISTS"),
+    ]
 
 
 def test_hash(small):

@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import types as T
 
 from evenkeel.functions import sqltext
-from evenkeel.functions.canonical import canonical_rows, decimals_for, key_json, row_json, with_row_hash
+from evenkeel.functions.canonical import canonical_rows, decimals_for, key_json, rounded, row_json, with_row_hash
 from evenkeel.functions.predicates import differs
 from evenkeel.functions.types import as_text, common_type
 
@@ -54,6 +54,19 @@ def test_canonical_text(spark, sql, form, want):
     assert text(spark, sql, **form) == want
 
 
+def test_fast_rounding_equals_round(spark):
+    """Values with few decimals, their neighbours, ties, large and special values."""
+    values = spark.range(0, 40_000, 1, 8).selectExpr("CAST(pmod(xxhash64(id), 2000000000000000) - 1000000000000000 AS DOUBLE) AS u", "id")
+    shapes = ["u / 1e8D", "u / 1e2D", "u / 1e9D", "u / 1e15D", "(rint(u / 1e5D) + 0.5D) / 1e8D", "u / 1e8D * (1 + 2.220446049250313e-16D)",
+              "u / 1e8D * (1 - 1.1102230246251565e-16D)", "u", "u * 1e290D", "rint(u / 1e12D)", "-0.0D", "double('NaN')", "double('-Infinity')",
+              "CAST(NULL AS DOUBLE)", "u * 4.9e-324D"]
+    for decimals in (8, 3, 0):
+        for shape in shapes:
+            df = values.selectExpr(f"{shape} AS v")
+            wrong = df.selectExpr("v", f"CAST({rounded('v', decimals)} AS STRING) AS a", f"CAST(round(v, {decimals}) AS STRING) AS b").filter("NOT (a <=> b)")
+            assert wrong.limit(3).collect() == [], (decimals, shape)
+
+
 def test_row_json_keeps_columns_apart(spark):
     df = spark.createDataFrame([("a||b", "c"), ("a", "b||c"), (None, "x"), ("x", None)], "p string, q string")
     texts = {r[0] for r in df.selectExpr(row_json(df, ["q", "p"])).collect()}

@@ -11,11 +11,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evenkeel.sources.window import use_utc
+
 NOW = datetime(2024, 1, 20, 0, 30)  # inside the time span of ``events``
 ORDERS_NOW = datetime(2000, 1, 1, 0, 30)  # inside the time span of ``orders``
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    use_utc(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
