@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from evenkeel.plans import scenario as scn
 from evenkeel.plans.config import mode_routing
 from workload.config import ROUTED_SQL, loaded_config
