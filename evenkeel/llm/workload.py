@@ -1,8 +1,8 @@
 """The registered queries of the subpackage and the SQL that checks them."""
 
-from evenkeel.llm import recipes
+from evenkeel.llm import decontamination, recipes
 
-_MODULES = (recipes,)
+_MODULES = (recipes, decontamination)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
