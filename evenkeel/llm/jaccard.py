@@ -347,6 +347,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = mapped.filter("bucket = -2").select("doc_id", "n", "low", "high")
     # One set of each kind of equal sets goes on; hot kinds are counted in the map task.
     kinds = own.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "low", "high").agg(F.min("doc_id").alias("first"))
+    kinds = snapshot(kinds, "kinds")  # a join of two plain exchanges, which adaptive execution can split
     own = snapshot(own.join(kinds, ["n", "low", "high"], "left").select("doc_id", "n", "first"), "set-kinds")
 
     near = mapped.filter("bucket >= 0").select("bucket", "ids", "keys").groupBy("bucket").applyInArrow(_bucket_pairs, "u long, v long")
@@ -364,7 +365,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     parts = snapshot(parts, "parts")
     weights = parts.groupBy("part").agg(F.count(F.lit(1)).alias("members"), F.ceil(F.sum("n") / block_shingles).alias("blocks")).filter("members > 1")
     chosen = parts.join(weights, "part").select("doc_id", "part", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("block"), "blocks")
-    sets = snapshot(_sets(docs.join(chosen, "doc_id").select("doc_id", "text", "part", "block", "blocks"), length).dropDuplicates(["doc_id", "shingles"]), "sets")
+    sets = snapshot(_sets(docs.join(chosen.hint("merge"), "doc_id").select("doc_id", "text", "part", "block", "blocks"), length).dropDuplicates(["doc_id", "shingles"]), "sets")
     task = _task(percent)
     tasked = sets.withColumn("label", F.col("doc_id")).withColumn("probe", F.lit(False))
     links = snapshot(tasked.groupBy("part", "block").applyInArrow(task, "u long, v long"), "links")
