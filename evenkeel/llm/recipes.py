@@ -74,6 +74,7 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     nothing = F.array().cast("array<struct<key:bigint,ordinal:int>>")
     texts = snapshot(texts.withColumn("recipe", F.coalesce("recipe", nothing)), "recipe-lists")
     groups = texts.groupBy("recipe").agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
+    groups = snapshot(groups, "groups")  # a join of two plain exchanges, which adaptive execution can split
     return texts.join(groups, "recipe").select(
         "doc_id",
         F.col("keep.doc_id").alias("keep_id"),
