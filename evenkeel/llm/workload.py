@@ -1,8 +1,8 @@
 """The registered queries of the subpackage and the SQL that checks them."""
 
-from evenkeel.llm import decontamination, jaccard, recipes, repeats, toxicity
+from evenkeel.llm import decontamination, jaccard, packing, recipes, repeats, toxicity
 
-_MODULES = (recipes, decontamination, jaccard, toxicity, repeats)
+_MODULES = (recipes, decontamination, jaccard, toxicity, repeats, packing)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
