@@ -1,8 +1,8 @@
 """The registered queries of the subpackage and the SQL that checks them."""
 
-from evenkeel.llm import decontamination, jaccard, packing, recipes, repeats, sanitise, token_files, toxicity
+from evenkeel.llm import chat, decontamination, jaccard, packing, recipes, repeats, sanitise, token_files, toxicity, url_filter
 
-_MODULES = (recipes, decontamination, jaccard, toxicity, repeats, packing, sanitise, token_files)
+_MODULES = (url_filter, repeats, recipes, chat, decontamination, packing, jaccard, toxicity, token_files, sanitise)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
