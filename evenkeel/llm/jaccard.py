@@ -120,47 +120,56 @@ def _hubs(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return keys[fresh], ids[fresh], pairs
 
 
-_MAPPED = "bucket long, ids binary, keys binary, doc_id long, n long, low long, high long"
+def _planes(ids: np.ndarray) -> bytes:
+    """Numbers byte by byte of the same rank, so that what they have in common takes no room when compressed."""
+    return ids.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def _mapped(docs: DataFrame, length: int, percent: int, buckets: int) -> DataFrame:
-    """What one reading of the texts gives: rows of keys by bucket (0 and up), of local pairs (-1), and of documents
-    with their set size and a 128-bit signature of the set (-2)."""
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(np.int64).ravel()
+
+
+def _pieces_of(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First and last row, shingles and bounds of the texts (column 1) of a batch."""
+    data, offsets = text_bytes(batch.column(1))
+    for a, b in pieces(offsets):
+        yield a, b, *shingle_sets(Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], SPACED, fold=True), length)
+
+
+def _signatures(docs: DataFrame, length: int) -> DataFrame:
+    """doc_id, the size of its set and 128 bits that stand for it."""
+
+    def read(batches):
+        for batch in batches:
+            for a, b, values, bounds in _pieces_of(batch, length):
+                sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(values ^ s), dtype=np.uint64)]) for s in (np.uint64(3), _ODD)]
+                low, high = ((s[bounds[1:]] - s[bounds[:-1]]).view(np.int64) for s in sums)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(np.diff(bounds)), pa.array(low), pa.array(high)], ["doc_id", "n", "low", "high"])
+
+    return docs.mapInArrow(read, "doc_id long, n long, low long, high long")
+
+
+def _keys(docs: DataFrame, length: int, percent: int, buckets: int) -> DataFrame:
+    """Group keys and their smallest ids by bucket (0 and up), and the pairs that the task has found itself (-1)."""
     bands = Bands(percent)
 
     def rows(bucket, ids, keys) -> pa.RecordBatch:
-        n = len(bucket)
-        none = pa.nulls(n, pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(ids, pa.binary()), pa.array(keys, pa.binary()), none, none, none, none],
-                                          ["bucket", "ids", "keys", "doc_id", "n", "low", "high"])
+        return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(ids, pa.binary()), pa.array(keys, pa.binary())], ["bucket", "ids", "keys"])
 
     def flush(held) -> Iterator[pa.RecordBatch]:
         keys, ids, pairs = _hubs(np.concatenate([k for k, _ in held]), np.concatenate([i for _, i in held]))
         if len(pairs):
-            yield rows([-1], [np.ascontiguousarray(pairs[:, 0]).tobytes()], [np.ascontiguousarray(pairs[:, 1]).tobytes()])
+            yield rows([-1], [_planes(pairs[:, 0])], [_planes(pairs[:, 1])])
         cuts = np.searchsorted(keys, (np.arange(1, buckets, dtype=np.float64) * (2.0**64 / buckets)).astype(np.uint64))
         cuts = [0, *cuts.tolist(), len(keys)]
         full = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-        yield rows(full, [ids[cuts[b] : cuts[b + 1]].tobytes() for b in full], [keys[cuts[b] : cuts[b + 1]].tobytes() for b in full])
+        yield rows(full, [_planes(ids[cuts[b] : cuts[b + 1]]) for b in full], [keys[cuts[b] : cuts[b + 1]].tobytes() for b in full])
 
     def read(batches):
         held, n_held = [], 0
         for batch in batches:
-            ids = batch.column(0).cast(pa.int64())
-            known = np.asarray(ids.is_valid())
-            numbers = np.asarray(ids.fill_null(0))
-            data, offsets = text_bytes(batch.column(1))
-            for a, b in pieces(offsets):
-                words = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], SPACED, fold=True)
-                values, bounds = shingle_sets(words, length)
-                sizes = np.diff(bounds)
-                sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(values ^ s), dtype=np.uint64)]) for s in (np.uint64(3), _ODD)]
-                low, high = ((s[bounds[1:]] - s[bounds[:-1]]).view(np.int64) for s in sums)
-                none = pa.nulls(b - a, pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(b - a, -2)), none, none, ids[a:b], pa.array(sizes.astype(np.int64)), pa.array(low), pa.array(high)],
-                    ["bucket", "ids", "keys", "doc_id", "n", "low", "high"],
-                )
+            known, numbers = np.asarray(batch.column(0).is_valid()), np.asarray(batch.column(0).fill_null(0))
+            for a, b, values, bounds in _pieces_of(batch, length):
                 keys, texts = group_keys(values, bounds, bands)
                 use = known[a:b][texts]
                 held.append((keys[use], numbers[a:b][texts[use]]))
@@ -171,13 +180,15 @@ def _mapped(docs: DataFrame, length: int, percent: int, buckets: int) -> DataFra
         if n_held:
             yield from flush(held)
 
-    return docs.mapInArrow(read, _MAPPED)
+    return docs.mapInArrow(read, "bucket long, ids binary, keys binary")
 
 
 def _bucket_pairs(key, table):
-    """Pairs (u, v) of ids that share a key over the map tasks."""
+    """Pairs (u, v) of ids that share a key over the map tasks; those of a task as they are."""
+    ids = np.concatenate([_from_planes(x) for x in table["ids"].to_pylist()])
+    if key[0].as_py() < 0:
+        return pa.table({"u": ids, "v": np.concatenate([_from_planes(x) for x in table["keys"].to_pylist()])})
     keys = np.concatenate([np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()])
-    ids = np.concatenate([np.frombuffer(x, np.int64) for x in table["ids"].to_pylist()])
     pairs = _hubs(keys, ids)[2]
     return pa.table({"u": pairs[:, 0], "v": pairs[:, 1]})
 
@@ -292,9 +303,7 @@ def _sets(docs: DataFrame, length: int) -> DataFrame:
 
     def read(batches):
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            for a, b in pieces(offsets):
-                values, bounds = shingle_sets(Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], SPACED, fold=True), length)
+            for a, b, values, bounds in _pieces_of(batch, length):
                 packed = [values[bounds[i] : bounds[i + 1]].tobytes() for i in range(b - a)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[a:b], batch.column(2)[a:b], batch.column(3)[a:b], batch.column(4)[a:b], pa.array(packed, pa.binary())],
@@ -342,23 +351,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the smallest id that links reach)."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(256, int(size / 6 * 0.2 / BUCKET_KEYS))
-    mapped = snapshot(_mapped(docs, length, percent, buckets), "shingle-keys")
-    own = mapped.filter("bucket = -2").select("doc_id", "n", "low", "high")
+    buckets = max(256, int(size / 6 * 4 * (100 - percent) / 200 / BUCKET_KEYS))
+    own = snapshot(_signatures(docs, length), "signatures")
     # One set of each kind of equal sets goes on; hot kinds are counted in the map task.
     kinds = own.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "low", "high").agg(F.min("doc_id").alias("first"))
     kinds = snapshot(kinds, "kinds")  # a join of two plain exchanges, which adaptive execution can split
     own = snapshot(own.join(kinds, ["n", "low", "high"], "left").select("doc_id", "n", "first"), "set-kinds")
 
-    near = mapped.filter("bucket >= 0").select("bucket", "ids", "keys").groupBy("bucket").applyInArrow(_bucket_pairs, "u long, v long")
-
-    def unpack(batches):
-        for batch in batches:
-            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(u, np.int64)), pa.array(np.frombuffer(v, np.int64))], ["u", "v"])
-
-    local = mapped.filter("bucket = -1").select("ids", "keys").mapInArrow(unpack, "u long, v long")
-    may = components(snapshot(near.union(local).distinct(), "may-link"))
+    # Pairs of a task need no bucket; their rows are salted, as there are many with the number -1.
+    keys = _keys(docs, length, percent, buckets).withColumn("salt", F.when(F.col("bucket") < 0, F.xxhash64("ids")).otherwise(0))
+    pairs = keys.groupBy("bucket", "salt").applyInArrow(_bucket_pairs, "u long, v long")
+    may = components(snapshot(pairs.distinct(), "may-link"))
 
     firsts = own.filter("doc_id = first").select("doc_id", "n").distinct()
     parts = may.join(firsts, F.col("node") == F.col("doc_id")).select("doc_id", "n", F.col("label").alias("part"))
