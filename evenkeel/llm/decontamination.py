@@ -268,20 +268,22 @@ def judge(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", coverage: int = 20, **options) -> DataFrame:
     """The documents that are not contaminated, unchanged and with all their columns."""
-    found = _judged(matched(docs, items, docs.columns, text_col, **options), coverage)
-    return found.filter(~F.col("__contaminated")).select(*docs.columns)
+    whole = docs.select(F.struct("*").alias("whole"), F.col(text_col).alias("text"))
+    found = _judged(matched(whole, items, ["whole"], **options), coverage)
+    return found.filter(~F.col("__contaminated")).select("whole.*")
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", longest: int = WINDOW, coverage: int = 2, **options) -> DataFrame:
     """Documents without the hit spans of at least ``longest`` words: the words that stay, lower-cased and joined by a
     space, where something was removed, else the text as it was. A document with one in ``coverage`` words hit goes."""
-    found = _judged(matched(docs, items, docs.columns, text_col, **options), coverage).filter(~F.col("__contaminated"))
-    folded = F.translate(F.col(text_col), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    whole = docs.select(F.struct("*").alias("whole"), F.col(text_col).alias("text"))
+    found = _judged(matched(whole, items, ["whole", "text"], **options), coverage).filter(~F.col("__contaminated"))
+    folded = F.translate(F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = F.regexp_extract_all(folded, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), 0)
     spans = F.filter("__hits", lambda r: r["last"] - r["first"] + 1 >= longest)
     left = F.filter(words, lambda w, i: ~F.exists(spans, lambda r: (r["first"] <= i) & (i <= r["last"])))
-    text = F.when(F.size(spans) > 0, F.concat_ws(" ", left)).otherwise(F.col(text_col))
-    return found.withColumn(text_col, text).select(*docs.columns)
+    text = F.when(F.size(spans) > 0, F.concat_ws(" ", left)).otherwise(F.col("text"))
+    return found.select(*[text.alias(c) if c == text_col else F.col("whole")[c].alias(c) for c in docs.columns])
 
 
 def op5_suffix_automaton(spark, d: str) -> DataFrame:

@@ -385,8 +385,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents whose id is the smallest of their component, and those without an id, with all their columns."""
     found = near_duplicates(docs, id_col, text_col, **options)
-    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    whole = docs.select(F.struct("*").alias("whole"), F.col(id_col).cast("long").alias("id"))
+    return whole.join(gone, F.col("id") == F.col("gone"), "left_anti").select("whole.*")
 
 
 def op7_count_vector_tree(spark, d: str) -> DataFrame:

@@ -88,11 +88,11 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     found = snapshot(copies(docs, id_col, text_col), "copies")
-    kept = found.filter("kept").select(F.col("doc_id").alias("__keep"), F.col("text_sha256").alias("__sha"))
-    same = F.col(id_col).eqNullSafe(F.col("__keep")) & (F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256) == F.col("__sha"))
-    out = docs.join(kept, same, "left_semi")
+    kept = found.filter("kept").select(F.col("doc_id").alias("keep"), F.col("text_sha256").alias("keep_sha"))
+    whole = docs.select(F.struct("*").alias("whole"), F.col(id_col).alias("id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("sha"))
+    out = whole.join(kept, F.col("id").eqNullSafe(F.col("keep")) & (F.col("sha") == F.col("keep_sha")), "left_semi")
     repeated = found.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1)
-    return out.dropDuplicates([id_col, text_col]) if repeated else out
+    return (out.dropDuplicates(["id", "sha"]) if repeated else out).select("whole.*")
 
 
 def op3_chunk_recipes(spark, d: str) -> DataFrame:

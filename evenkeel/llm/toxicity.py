@@ -365,13 +365,14 @@ def scored(docs: DataFrame, network: bytes, carry: list[str], text_col: str = "t
 
 def held_out(id_col: str = "doc_id"):
     """The quarter of ids whose labels never teach."""
-    return F.crc32(F.col(id_col).cast("string")) % 4 == 2
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, **options) -> DataFrame:
     """The documents that score below the threshold, with all their columns."""
     network = fit(docs, labels, text_col=text_col, learn_from=~held_out(), **options)
-    return scored(docs, network, docs.columns, text_col).filter(F.col("__score") < threshold).select(*docs.columns)
+    whole = docs.select(F.struct("*").alias("whole"), F.col(text_col).alias("text"))
+    return scored(whole, network, ["whole"]).filter(F.col("__score") < threshold).select("whole.*")
 
 
 def op8_gated_recurrent(spark, d: str) -> DataFrame:

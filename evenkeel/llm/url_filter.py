@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from evenkeel.sources.tables import snapshot
 
-BUCKET_SECONDS = 30 * 86400
+#: Width of a bucket, and into how many the captures' time is cut at most.
+BUCKET_SECONDS, BUCKETS = 30 * 86400, 1000
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)"
 
@@ -58,21 +59,24 @@ def validity(entries: DataFrame) -> DataFrame:
 
 def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched_at", bucket: int = BUCKET_SECONDS) -> DataFrame:
     """The rows of ``captures`` with blocked, n_entries (active entries that match) and entry, the first of them by
-    list and pattern as ``list:pattern``."""
-    own = captures.columns
-    whole = snapshot(captures.withColumn("__row", F.monotonically_increasing_id()), "captures")
-    span = whole.agg(F.min(fetched).alias("first"), F.max(fetched).alias("last")).first()
-    asked = whole.select("__row", F.col(fetched).alias("__at"), F.explode(keys(F.col(url))).alias("__key"))
-    asked = asked.withColumn("__bucket", F.floor(F.col("__at") / bucket))
+    list and pattern as ``list:pattern``; columns of the captures with these names are replaced."""
+    whole = captures.select(F.struct("*").alias("capture"), F.col(url).alias("url"), F.col(fetched).cast("long").alias("fetched"), F.monotonically_increasing_id().alias("row"))
+    whole = snapshot(whole, "captures")
+    span = whole.agg(F.min("fetched").alias("first"), F.max("fetched").alias("last")).first()
+    if span["first"] is not None:
+        bucket = max(bucket, -(-(span["last"] - span["first"]) // BUCKETS))
+    asked = whole.select("row", "fetched", F.explode(keys(F.col("url"))).alias("asked"))
+    asked = asked.withColumn("at_bucket", F.floor(F.col("fetched") / bucket))
     first, last = (0, -1) if span["first"] is None else (span["first"] // bucket, span["last"] // bucket)
     from_, to = F.greatest(F.floor(F.col("since") / bucket), F.lit(first)), F.least(F.coalesce(F.floor(F.col("until") / bucket), F.lit(last)), F.lit(last))
     held = validity(entries).withColumn("lo", from_).withColumn("hi", to).filter("lo <= hi").withColumn("bucket", F.explode(F.sequence("lo", "hi")))
     held = snapshot(held.select("list", "key", "since", "until", "bucket"), "intervals")
-    active = (F.col("__at") >= F.col("since")) & (F.col("until").isNull() | (F.col("__at") < F.col("until")))
-    met = asked.join(held, (F.col("__key") == F.col("key")) & (F.col("__bucket") == F.col("bucket")) & active)
-    found = met.groupBy("__row").agg(F.count(F.lit(1)).alias("n"), F.min(F.concat_ws(":", "list", "key")).alias("e"))
-    out = whole.join(found.withColumnRenamed("__row", "__met"), F.col("__row") == F.col("__met"), "left")
-    return out.select(*own, F.col("n").isNotNull().alias("blocked"), F.coalesce("n", F.lit(0).cast("long")).alias("n_entries"), F.col("e").alias("entry"))
+    active = (F.col("fetched") >= F.col("since")) & (F.col("until").isNull() | (F.col("fetched") < F.col("until")))
+    met = asked.join(held, (F.col("asked") == F.col("key")) & (F.col("at_bucket") == F.col("bucket")) & active)
+    found = met.groupBy("row").agg(F.count(F.lit(1)).alias("n"), F.min(F.concat_ws(":", "list", "key")).alias("entry"))
+    results = [F.col("n").isNotNull().alias("blocked"), F.coalesce("n", F.lit(0).cast("long")).alias("n_entries"), F.col("entry")]
+    own = [F.col("capture")[c].alias(c) for c in captures.columns if c.lower() not in ("blocked", "n_entries", "entry")]
+    return whole.join(found, "row", "left").select(*own, *results)
 
 
 # -- the registered query: lists and fetch times derived from the pages ---------------------------------------------------

@@ -88,14 +88,18 @@ class Words:
         if not len(self):
             return np.empty(0, np.uint64)
         lengths = self.ends - self.starts
-        before = np.cumsum(lengths) - lengths
-        at = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(before, lengths)
-        power = np.ones(int(lengths.max()), np.uint64)
-        power[1:] = _MULTIPLIER
+        power = np.full(int(lengths.max()), _MULTIPLIER)
+        power[0] = 1
         power = np.cumprod(power, dtype=np.uint64)
-        value = power[at]
-        value *= _BYTE_CODE[self.data[np.repeat(self.starts, lengths) + at]]
-        return mix(np.add.reduceat(value, before) + lengths.astype(np.uint64))
+        total, out = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths)]), np.empty(len(self), np.uint64)
+        for first, end in pieces(total):  # a very long text takes no more room than several short ones
+            own = lengths[first:end]
+            before = np.cumsum(own) - own
+            at = np.arange(int(own.sum()), dtype=np.int64) - np.repeat(before, own)
+            value = power[at]
+            value *= _BYTE_CODE[self.data[np.repeat(self.starts[first:end], own) + at]]
+            out[first:end] = np.add.reduceat(value, before) + own.astype(np.uint64)
+        return mix(out)
 
     def text_of(self) -> np.ndarray:
         """For each word the number of its text."""
