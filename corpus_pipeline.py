@@ -24,8 +24,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links connect, the one with the smallest id: 5-word shingles, a similarity of 0.8."""
-    return jaccard.keep_first(docs, length=5, percent=80)
+    """One document of each group that links connect, the one with the smallest id: 3-word shingles, a similarity of 0.9."""
+    return jaccard.keep_first(docs)
 
 
 def without_test_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
