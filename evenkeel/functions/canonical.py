@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from evenkeel.functions import sqltext
-from evenkeel.functions.types import FLOATING, NESTED, TIMESTAMP, type_of, with_sorted_maps
+from evenkeel.functions.types import FLOATING, NESTED, TIMESTAMP, as_text, type_of, with_sorted_maps
 from evenkeel.spec import HASH_DECIMALS
 
 
@@ -28,17 +28,19 @@ def canonical(
     e: str,
     dtype: T.DataType,
     decimals: int | None = HASH_DECIMALS,
-    decimal_as_double: bool = False,
+    round_decimals: bool = False,
     timestamp_unit: str = "second",
 ) -> str:
     """The text under which a value is hashed: two values are equal when their texts are. Floats are
-    rounded, unless ``decimals`` is None."""
+    rounded, unless ``decimals`` is None; decimals are where ``round_decimals`` says so, and stay decimals."""
     if isinstance(dtype, T.BinaryType):
         return f"hex({e})"
     if isinstance(dtype, FLOATING) and decimals is not None:
         return f"CAST({rounded(e, decimals) if isinstance(dtype, T.DoubleType) else f'round({e}, {decimals})'} AS STRING)"
-    if isinstance(dtype, T.DecimalType) and decimal_as_double:
-        return f"CAST(round(CAST({e} AS DOUBLE), {decimals}) AS STRING)"
+    if isinstance(dtype, FLOATING):
+        return f"CAST({e} + CAST(0 AS {dtype.simpleString()}) AS STRING)"  # drops the sign of a negative zero
+    if isinstance(dtype, T.DecimalType) and round_decimals and decimals is not None:
+        return f"CAST(round({e}, {decimals}) AS STRING)"
     if isinstance(dtype, NESTED):
         return sqltext.json(with_sorted_maps(e, dtype))
     if isinstance(dtype, TIMESTAMP):
@@ -47,11 +49,9 @@ def canonical(
     return f"CAST({e} AS STRING)"
 
 
-def decimals_for(tolerance: float) -> int:
-    """Decimal places that keep differences above the tolerance visible, between 0 and 8."""
-    if tolerance <= 0:
-        return HASH_DECIMALS
-    return min(HASH_DECIMALS, max(0, math.ceil(-math.log10(tolerance))))
+def decimals_for(tolerance: float) -> int | None:
+    """Decimal places that keep differences above the tolerance visible; ``None``, which is exact, for none."""
+    return None if tolerance <= 0 else max(0, math.ceil(-math.log10(tolerance)))
 
 
 def canonical_columns(df: DataFrame, columns, **form) -> dict[str, str]:
@@ -88,6 +88,6 @@ def digest_words(digest: str) -> list[str]:
     return [f"xxhash64(substring({digest}, {start}, 32))" for start in (1, 33)]
 
 
-def key_json(keys) -> str:
+def key_json(keys, df: DataFrame) -> str:
     """Key values as JSON text, nulls spelled out."""
-    return sqltext.json(sqltext.struct({k: f"CAST({sqltext.name(k)} AS STRING)" for k in keys}))
+    return sqltext.json(sqltext.struct({k: as_text(sqltext.name(k), type_of(df, k)) for k in keys}))

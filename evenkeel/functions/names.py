@@ -11,7 +11,7 @@ _IDENTIFIER = re.compile(IDENTIFIER_PATTERN)
 
 
 def safe_name(name: str, kind: str = "identifier") -> str:
-    if not isinstance(name, str) or not _IDENTIFIER.match(name):
+    if not isinstance(name, str) or not _IDENTIFIER.fullmatch(name):
         raise ConfigError(f"invalid {kind}: {name!r}")
     return name
 

@@ -6,6 +6,10 @@ from __future__ import annotations
 from datetime import datetime
 
 
+_MICROSECONDS = "yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS"
+_JSON_OPTIONS = f"'ignoreNullFields', 'false', 'timestampFormat', '{_MICROSECONDS}XXX', 'timestampNTZFormat', '{_MICROSECONDS}'"
+
+
 def name(column: str) -> str:
     """A column name, quoted."""
     return "`" + column.replace("`", "``") + "`"
@@ -30,8 +34,8 @@ def struct(fields: dict[str, str]) -> str:
 
 
 def json(expression: str) -> str:
-    """JSON text with nulls spelled out."""
-    return f"to_json({expression}, map('ignoreNullFields', 'false'))"
+    """JSON text with nulls spelled out and times to the microsecond."""
+    return f"to_json({expression}, map({_JSON_OPTIONS}))"
 
 
 def any_null(columns) -> str:

@@ -13,6 +13,9 @@ NESTED = (T.ArrayType, T.MapType, T.StructType)
 TIMESTAMP = (T.TimestampType, T.TimestampNTZType)
 TEXT = (T.StringType, T.CharType, T.VarcharType)
 
+# Holds every bigint, and of a double all that matters beside one.
+WIDE = T.DecimalType(38, 18)
+
 # Decimal digits that hold every value of the integral type.
 _INTEGRAL_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
 
@@ -49,7 +52,12 @@ def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
         return T.TimestampType()
     if a == b:
         return a
+    for date, time in ((a, b), (b, a)):
+        if isinstance(date, T.DateType) and isinstance(time, TIMESTAMP):
+            return T.TimestampType()
     if is_numeric(a) and is_numeric(b):
+        if T.LongType() in (a, b) and isinstance(a if b == T.LongType() else b, FLOATING):
+            return WIDE
         if isinstance(a, FLOATING) or isinstance(b, FLOATING):
             return T.DoubleType()
         if isinstance(a, INTEGRAL) and isinstance(b, INTEGRAL):
@@ -63,6 +71,15 @@ def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
     return None
 
 
+def converted(e: str, dtype: T.DataType, to: T.DataType) -> str:
+    """A value in the common type. A double that no bigint equals, as it is too large or not a number, becomes a
+    number that no bigint has."""
+    if isinstance(dtype, FLOATING) and to == WIDE:
+        beyond = f"CAST('{'9' * 20}' AS {to.simpleString()})"
+        return f"if(abs({e}) < 1e19D, CAST({e} AS {to.simpleString()}), if({e} IS NULL, NULL, {beyond}))"
+    return f"CAST({e} AS {to.simpleString()})"
+
+
 def with_sorted_maps(e: str, dtype: T.DataType, depth: int = 0) -> str:
     """Rewrite every map so that its entries are in key order; equal maps then print alike."""
     if not holds_map(dtype):

@@ -9,7 +9,7 @@ from evenkeel.errors import ConfigError, SchemaDrift
 from evenkeel.functions import sqltext
 from evenkeel.functions.canonical import canonical
 from evenkeel.functions.literals import literal_frame
-from evenkeel.functions.types import NESTED, common_type, type_of
+from evenkeel.functions.types import NESTED, common_type, converted, type_of
 from evenkeel.spec import DRIFT_POLICIES
 
 DRIFT_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("column_name", "drift", "source_type", "target_type")])
@@ -61,7 +61,7 @@ def align(source: DataFrame, target: DataFrame, columns) -> tuple[DataFrame, Dat
             if shared is None:
                 out.append(f"{canonical(q, dtype)} AS {q}")
             else:
-                out.append(q if dtype == shared else f"CAST({q} AS {shared.simpleString()}) AS {q}")
+                out.append(q if dtype == shared else f"{converted(q, dtype, shared)} AS {q}")
     return source.selectExpr(*left), target.selectExpr(*right)
 
 

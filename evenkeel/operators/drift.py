@@ -73,6 +73,7 @@ def update_column(
     df: DataFrame, keys, column: str, value: Column, at: datetime, count: int = 20, filter_column: str | None = None
 ) -> DataFrame:
     """Overwrite a column on the newest rows and keep those rows inside the window."""
+    _changeable(df, column, (*keys, filter_column))
     hit = _victims(df, keys, count, filter_column).withColumn("v__hit", F.lit(True))
     joined = df.join(hit, _on_keys(keys), "left_outer")
     changed = F.coalesce(F.col("v__hit"), F.lit(False))
@@ -91,7 +92,17 @@ def add_extra_column(df: DataFrame, column_name: str = "scenario_extra") -> Data
     return df.withColumn(safe_name(column_name, "column"), F.lit(None).cast("string"))
 
 
-def drop_column(df: DataFrame, column_name: str) -> DataFrame:
+def _changeable(df: DataFrame, column: str, needed) -> None:
+    """A mutation that changes nothing would look like a check that finds nothing."""
+    if column not in df.columns:
+        raise ConfigError(f"no column {column!r} to change")
+    if column in needed:
+        raise ConfigError(f"column {column!r} is a key or the filter column and must stay")
+
+
+def drop_column(df: DataFrame, column_name: str, needed=()) -> DataFrame:
+    """Without a column; ``needed`` ones are refused."""
+    _changeable(df, column_name, needed)
     return df.drop(column_name)
 
 

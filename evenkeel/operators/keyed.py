@@ -20,9 +20,9 @@ from evenkeel.functions.types import as_text, type_of
 from evenkeel.operators.columns import align
 from evenkeel.operators.keys import require_keys
 from evenkeel.sources.tables import snapshot
-from evenkeel.spec import PRESENT, SAMPLE_CAP
+from evenkeel.spec import PRESENT
 
-# The order in which classes share a total sample cap.
+# The order in which classes are stored.
 DIFF_CLASSES = ("only_in_target", "only_in_source", "hash_diff", "value_diff")
 _TAGS = {"source": ("1 AS __s", "0 AS __t"), "target": ("0 AS __s", "1 AS __t")}
 _COUNTED = ("sum(__s) AS n_source", "sum(__t) AS n_target")
@@ -99,19 +99,26 @@ def column_findings(
 
     Two passes: digests find the keys that may differ, then full rows are fetched for these alone.
     The first pass runs at once, because the size of these keys decides how they are joined: up to
-    ``_BROADCAST_BYTES`` they are broadcast and no full row is shuffled; beyond, both sides are shuffled
-    by key. Each such key has one row per side, so the join cannot multiply.
+    ``_BROADCAST_BYTES`` they are broadcast and no other row is shuffled; beyond, both sides are shuffled
+    by key. Both sides' rows and the suspects themselves then meet in one ``groupBy`` on the key, so the
+    counts are those of the first pass, and a row that has gone since is reported as a difference.
     """
     found = exact_findings(source, target, keys, columns) if digests is None else digests
     suspects = found.filter("diff_class = 'hash_diff'").select(*names(keys))
+    known = suspects
     if _size(suspects) <= _BROADCAST_BYTES:
         suspects = F.broadcast(suspects)
     values = sorted(c for c in columns if c not in set(keys))
     s, t = align(source, target, _sorted_union(columns, keys))
 
-    def rows(df: DataFrame, as_name: str) -> DataFrame:
-        row = sqltext.struct({c: name(c) for c in values}) if values else "named_struct('none', 1)"
-        return df.join(suspects, list(keys), "left_semi").selectExpr(*names(keys), f"{row} AS {as_name}")
+    row = sqltext.struct({c: name(c) for c in values}) if values else "named_struct('none', 1)"
+    kind = s.selectExpr(f"{row} AS r").schema["r"].dataType.simpleString()
+
+    def rows(df: DataFrame, side: str) -> DataFrame:
+        sides = [f"{row if x == side else f'CAST(NULL AS {kind})'} AS __{x}" for x in ("source", "target")]
+        return df.join(suspects, list(keys), "left_semi").selectExpr(*names(keys), *sides, "false AS __asked")
+
+    asked = known.selectExpr(*names(keys), *[f"CAST(NULL AS {kind}) AS __{x}" for x in ("source", "target")], "true AS __asked")
 
     checks = []
     for c in values:
@@ -120,9 +127,15 @@ def column_findings(
         detail = sqltext.struct({"column_name": sqltext.text(c), "source_value": as_text(a, dtype), "target_value": as_text(b, dtype)})
         checks.append(f"if({differs(a, b, dtype, tolerance)}, {detail}, NULL)")
     none = "CAST(array() AS ARRAY<STRUCT<column_name: STRING, source_value: STRING, target_value: STRING>>)"
+    gone = sqltext.struct({"column_name": "CAST(NULL AS STRING)", **{
+        f"{x}_value": f"if(__{x} IS NULL, 'row changed during the comparison', '{PRESENT}')" for x in ("source", "target")}})
+    compared = f"array_compact(array({', '.join(checks)}))" if checks else none
     detailed = (
-        rows(s, "__source").join(rows(t, "__target"), list(keys))
-        .selectExpr(*names(keys), f"{f'array_compact(array({", ".join(checks)}))' if checks else none} AS diffs")
+        rows(s, "source").unionByName(rows(t, "target")).unionByName(asked)
+        .groupBy(*names(keys))
+        .agg(*[F.expr(f"any_value(__{x}, true) AS __{x}") for x in ("source", "target")], F.expr("bool_or(__asked) AS __asked"))
+        .filter("__asked")
+        .selectExpr(*names(keys), f"if(__source IS NULL OR __target IS NULL, array({gone}), {compared}) AS diffs")
         .selectExpr(
             *names(keys), "CAST(1 AS BIGINT) AS n_source", "CAST(1 AS BIGINT) AS n_target",
             "if(size(diffs) > 0, 'value_diff', 'match') AS diff_class", "diffs",
@@ -190,18 +203,20 @@ def keyed_outcome(pairs: DataFrame, mode: str, label: str) -> DataFrame:
     )
 
 
-def keyed_samples(pairs: DataFrame, keys, cap: int = SAMPLE_CAP) -> DataFrame:
-    """Up to ``cap`` keys per mismatch class, first keys first, as evidence rows."""
+def keyed_samples(pairs: DataFrame, keys, cap: int | None = None) -> DataFrame:
+    """All keys of each mismatch class as evidence rows; with a ``cap`` the first so many keys of a class."""
     detailed = "diffs" in pairs.columns
     shown = ", ".join(sqltext.text(c) for c in DIFF_CLASSES)
-    picked = top_per_group(pairs.filter(f"diff_class IN ({shown})"), ["diff_class"], names(keys), cap)
+    picked = pairs.filter(f"diff_class IN ({shown})")
+    if cap is not None:
+        picked = top_per_group(picked, ["diff_class"], names(keys), cap)
     if detailed:
         picked = picked.selectExpr("*", "explode_outer(diffs) AS d")
     value = "CASE WHEN diff_class = 'value_diff' THEN d.{0}_value" if detailed else "CASE"
     marker = value + f" WHEN diff_class = 'only_in_{{0}}' THEN '{PRESENT}' END AS {{0}}_value"
     return picked.selectExpr(
         "diff_class AS mismatch_type",
-        f"{key_json(keys)} AS pk_values",
+        f"{key_json(keys, pairs)} AS pk_values",
         "d.column_name" if detailed else "CAST(NULL AS STRING) AS column_name",
         marker.format("source"),
         marker.format("target"),

@@ -14,21 +14,28 @@ from evenkeel.errors import ConfigError
 from evenkeel.functions.canonical import canonical_rows, row_digest, row_json
 from evenkeel.functions.topk import top_per_group
 from evenkeel.operators.columns import align
-from evenkeel.spec import SAMPLE_CAP
+from evenkeel.sources.tables import snapshot
 
 
-def _tagged(source: DataFrame, target: DataFrame, columns, form, evidence: bool = False) -> DataFrame:
+def _aligned(source: DataFrame, target: DataFrame, columns) -> tuple[DataFrame, DataFrame]:
     if not columns:
         raise ConfigError("no columns to compare after applying the skip list and the drift policy")
-    s, t = align(source, target, columns)
+    return align(source, target, columns)
+
+
+def _tagged(source: DataFrame, target: DataFrame, columns, form) -> DataFrame:
+    s, t = _aligned(source, target, columns)
 
     def tag(df: DataFrame, *side: str) -> DataFrame:
-        extra = [f"{row_json(df, columns, **form)} AS evidence"] if evidence else []
-        return df.selectExpr(f"unhex({row_digest(df, columns, **form)}) AS __digest", *side, *extra)
+        return df.selectExpr(f"unhex({row_digest(df, columns, **form)}) AS __digest", *side)
 
     return tag(s, "1 AS __s", "0 AS __t").unionByName(tag(t, "0 AS __s", "1 AS __t"))
 
 
+#: Bytes of a pick in a broadcast table, and how many of them a broadcast may have.
+_PICK_BYTES, _BROADCAST_BYTES = 128, 32 * 1024 * 1024
+
+
 def row_buckets(source: DataFrame, target: DataFrame, columns, **form) -> DataFrame:
     """Per distinct row: its digest and its number of copies on each side."""
     return (
@@ -88,19 +95,31 @@ def multiset_outcome(buckets: DataFrame, mode: str) -> DataFrame:
 
 
 def _with_evidence(picked: DataFrame, source: DataFrame, target: DataFrame, columns, form) -> DataFrame:
-    """Attach the content of each picked row. ``picked`` holds at most the sample cap of rows, so it
-    is small enough to broadcast whatever the size of the tables."""
-    found = _tagged(source, target, columns, form, evidence=True).join(F.broadcast(picked), "__digest")
-    return found.drop("__s", "__t").distinct()
+    """Attach the content of each picked row. A digest finds it; its text is made after the join, for picked
+    rows alone. The picks are counted first and broadcast while they are few; each is one row, so a join
+    cannot multiply."""
+    if picked.count() * _PICK_BYTES <= _BROADCAST_BYTES:
+        picked = F.broadcast(picked)
+    facts = [c for c in picked.columns if c != "__digest"]
+    picked_by = picked.select("__digest", F.struct(*facts).alias("__facts"))
+
+    def found(df: DataFrame) -> DataFrame:
+        hit = df.selectExpr("*", f"unhex({row_digest(df, columns, **form)}) AS __digest").join(picked_by, "__digest")
+        return hit.selectExpr(f"{row_json(df, columns, **form)} AS evidence", *[f"__facts.{c}" for c in facts])
+
+    s, t = _aligned(source, target, columns)
+    return found(s).unionByName(found(t)).distinct()
 
 
 def bucket_samples(
-    source: DataFrame, target: DataFrame, columns, cap: int = SAMPLE_CAP, buckets: DataFrame | None = None, **form
+    source: DataFrame, target: DataFrame, columns, cap: int | None = None, buckets: DataFrame | None = None, **form
 ) -> DataFrame:
-    """Up to ``cap`` diverging rows in digest order: content and copies on each side. ``buckets`` are
-    those of the same frames, if they are at hand."""
-    found = row_buckets(source, target, columns, **form) if buckets is None else buckets
-    picked = found.filter("n_source <> n_target").orderBy("__digest").limit(cap)
+    """The diverging rows, or the first ``cap`` in digest order: content and copies on each side. ``buckets``
+    are those of the same frames, if they are at hand."""
+    found = snapshot(condensed(row_buckets(source, target, columns, **form)), "buckets") if buckets is None else buckets
+    picked = found.filter("n_source <> n_target")
+    if cap is not None:
+        picked = picked.orderBy("__digest").limit(cap)
     return _with_evidence(picked, source, target, columns, form).selectExpr(
         _BUCKET_CLASS,
         "evidence AS pk_values",
@@ -111,15 +130,15 @@ def bucket_samples(
 
 
 def excess_rows(
-    source: DataFrame, target: DataFrame, columns, cap: int = SAMPLE_CAP, buckets: DataFrame | None = None, **form
+    source: DataFrame, target: DataFrame, columns, cap: int | None = None, buckets: DataFrame | None = None, **form
 ) -> DataFrame:
-    """Distinct surplus rows with their surplus, half the cap for each side, in digest order."""
-    found = row_buckets(source, target, columns, **form) if buckets is None else buckets
+    """Distinct surplus rows with their surplus; with a ``cap`` half of it for each side, in digest order."""
+    found = snapshot(condensed(row_buckets(source, target, columns, **form)), "buckets") if buckets is None else buckets
     surplus = (
         found.filter("n_source <> n_target")
         .selectExpr("__digest", "if(n_source > n_target, 'source', 'target') AS side", "abs(n_source - n_target) AS surplus")
     )
-    picked = top_per_group(surplus, ["side"], ["__digest"], max(1, cap // 2))
+    picked = surplus if cap is None else top_per_group(surplus, ["side"], ["__digest"], max(1, cap // 2))
     return _with_evidence(picked, source, target, columns, form).selectExpr(
         "concat('only_in_', side, '_no_pk') AS mismatch_type",
         "evidence AS pk_values",

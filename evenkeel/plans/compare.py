@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -17,7 +18,7 @@ from evenkeel.functions.sqltext import any_null
 from evenkeel.operators import counts, keyed, keys as key_ops, multiset
 from evenkeel.operators.columns import resolve_columns
 from evenkeel.plans.config import missing_keys_message, route
-from evenkeel.plans.verdict import as_result, samples_audit
+from evenkeel.plans.verdict import append_run, as_result, samples_audit
 from evenkeel.sources.tables import snapshot
 from evenkeel.sources.window import scan, use_utc, window_bounds
 from evenkeel.spec import OUTCOME_SCHEMA, RESULT_SCHEMA, SAMPLE_SCHEMA, TableSpec
@@ -58,8 +59,8 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool =
     """Plan the comparison of two frames. Schema drift raises; every other finding is in the outcome.
 
     With ``keep`` the findings are written to the shared folder first, so that outcome and samples come
-    from one pass over one state of the tables. Without it nothing runs here, except for ``advanced``:
-    its digest pass decides by row counts whether a column-by-column diff is allowed, and for which keys.
+    from one pass. Without it nothing runs here, except for ``advanced``: its digest pass decides for which
+    keys the columns are compared one by one.
     """
     spark = source.sparkSession
     use_utc(spark)
@@ -84,7 +85,7 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool =
                            "shorten its skip list or change its drift policy")
         pick = multiset.bucket_samples
         if mode == "advanced_no_pk":
-            form |= {"decimals": decimals_for(spec.effective_tolerance), "decimal_as_double": True}
+            form |= {"decimals": decimals_for(spec.effective_tolerance), "round_decimals": True}
             pick = multiset.excess_rows
         buckets = multiset.row_buckets(source, target, columns, **form)
         if keep:
@@ -99,23 +100,17 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool =
         text = "; ".join(f"PK column '{k}' missing in compared columns" for k in absent)
         return _failed(spark, mode, "DATA_QUALITY_ERROR", text)
 
-    recorded, label = mode, "hash_diff"
+    label = "hash_diff" if mode == "hash" else "value_diff"
     if mode == "advanced":
-        digests = keyed.exact_findings(source, target, spec.keys, columns)
-        seen = digests.agg(F.expr("greatest(sum(n_source), sum(n_target)) AS n")).first()["n"]
-        if seen > spec.effective_max_rows:
-            mode, recorded = "hash", "hash (fallback)"
-        else:
-            label = "value_diff"
-            findings = keyed.column_findings(source, target, spec.keys, columns, spec.effective_tolerance, digests)
-    if mode == "hash":
+        findings = keyed.column_findings(source, target, spec.keys, columns, spec.effective_tolerance)
+    else:
         findings = keyed.hash_pairs(source, target, spec.keys, columns, **form)
         if keep:
             findings = keyed.condensed(findings, spec.keys)
     if keep:
         findings = snapshot(findings, "findings")
     return Comparison(
-        recorded, keyed.keyed_outcome(findings, recorded, label),
+        mode, keyed.keyed_outcome(findings, mode, label),
         lambda: keyed.keyed_samples(findings, spec.keys, spec.sample_cap),
     )
 
@@ -129,6 +124,34 @@ class TablePair:
     target: Callable[[], DataFrame]
 
 
+def _compared(spark: SparkSession, pair: TablePair, run_id: str, now: datetime, trusted: bool, by_column: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Result row and samples of one pair; a failure is a result."""
+    spec, began, samples = pair.spec, time.monotonic(), None
+    start, end = window_bounds(now, spec.effective_days, spec.effective_lag)
+    meta = {"run_id": run_id, "table_name": spec.name, "window_start": start, "window_end": end,
+            "safety_lag_minutes": spec.effective_lag, "executed_at": now}
+    try:
+        source = scan(pair.source(), spec.filter_column_source or spec.filter_column, start, end, trusted)
+        target = scan(pair.target(), spec.filter_column, start, end, trusted)
+        plan = compare(source, target, spec, keep=True)
+        row = plan.outcome.first().asDict()
+        if row["raw_status"] in ("FAIL", "INCONCLUSIVE"):
+            samples = snapshot(samples_audit(plan.samples, run_id, spec.name, now, spec.sample_cap), "samples")
+    except SchemaDrift as drift:
+        row = {"comparison_mode": spec.mode, "raw_status": "SCHEMA_DRIFT", "error_message": str(drift)}
+    except Exception as failure:  # noqa: BLE001 - one table must not stop the run
+        row = {"comparison_mode": spec.mode, "raw_status": "ERROR", "error_message": str(failure)}
+    outcome = literal_frame(spark, [[row.get(f.name) for f in OUTCOME_SCHEMA]], OUTCOME_SCHEMA)
+    return as_result(outcome, meta, time.monotonic() - began, by_column), samples
+
+
+def _together(frames) -> DataFrame:
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.unionByName(df)
+    return out
+
+
 def run_tables(
     spark: SparkSession,
     pairs,
@@ -138,28 +161,27 @@ def run_tables(
     sample_path: str,
     trusted_expressions: bool = False,
     distinct_column_status: bool = False,
+    parallel: int = 4,
+    run_path: str | None = None,
 ) -> DataFrame:
-    """Compare each pair inside its window, append its result and samples as parquet, and return the
-    results of the run. A table that fails becomes a result row; the others still run."""
-    use_utc(spark)
-    for pair in pairs:
-        spec, began = pair.spec, time.monotonic()
-        start, end = window_bounds(now, spec.effective_days, spec.effective_lag)
-        meta = {"run_id": run_id, "table_name": spec.name, "window_start": start, "window_end": end,
-                "safety_lag_minutes": spec.effective_lag, "executed_at": now}
-        try:
-            source = scan(pair.source(), spec.filter_column_source or spec.filter_column, start, end, trusted_expressions)
-            target = scan(pair.target(), spec.filter_column, start, end, trusted_expressions)
-            plan = compare(source, target, spec, keep=True)
-            row = plan.outcome.first().asDict()
-            if row["raw_status"] in ("FAIL", "INCONCLUSIVE"):
-                samples_audit(plan.samples, run_id, spec.name, now, spec.sample_cap).write.mode("append").parquet(sample_path)
-        except SchemaDrift as drift:
-            row = {"comparison_mode": spec.mode, "raw_status": "SCHEMA_DRIFT", "error_message": str(drift)}
-        except Exception as failure:  # noqa: BLE001 - one table must not stop the run
-            row = {"comparison_mode": spec.mode, "raw_status": "ERROR", "error_message": str(failure)[:500]}
-        outcome = literal_frame(spark, [[row.get(f.name) for f in OUTCOME_SCHEMA]], OUTCOME_SCHEMA)
-        as_result(outcome, meta, time.monotonic() - began, distinct_column_status).write.mode("append").parquet(result_path)
-    return spark.read.schema(RESULT_SCHEMA).parquet(result_path).filter(F.col("run_id") == run_id)
-
+    """Compare each pair inside its window, append results and samples as parquet, and return the
+    results of the run. A table that fails becomes a result row; the others still run.
 
+    ``parallel`` tables are compared at a time. Results and samples are written once per batch of four
+    times as many, so a crash loses the batch at work and no more. With ``run_path`` the run itself is
+    a row there, written before the first table and once more at the end.
+    """
+    use_utc(spark)
+    pairs, size = list(pairs), max(1, parallel) * 4
+    if run_path is not None:
+        append_run(spark, run_path, run_id, now)
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        for k in range(0, len(pairs), size):
+            done = list(pool.map(lambda p: _compared(spark, p, run_id, now, trusted_expressions, distinct_column_status), pairs[k : k + size]))
+            if samples := [s for _, s in done if s is not None]:
+                _together(samples).write.mode("append").parquet(sample_path)
+            _together([r for r, _ in done]).coalesce(1).write.mode("append").parquet(result_path)
+    results = spark.read.schema(RESULT_SCHEMA).parquet(result_path).filter(F.col("run_id") == run_id)
+    if run_path is not None:
+        append_run(spark, run_path, run_id, now, results)
+    return results

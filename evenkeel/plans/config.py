@@ -18,8 +18,8 @@ from evenkeel.spec import (
 )
 
 
-def load_config(configs: DataFrame, key_columns: DataFrame, skip_columns: DataFrame) -> DataFrame:
-    """Enabled configs with ``key_cols`` (by ordinal) and ``skip_cols`` (by name).
+def load_config(configs: DataFrame, key_columns: DataFrame, skip_columns: DataFrame, disabled: bool = False) -> DataFrame:
+    """Enabled configs (with ``disabled`` all, as the scenario gate needs them) with ``key_cols`` (by ordinal) and ``skip_cols`` (by name).
 
     Keys and skips are gathered on their own before they are joined, so they cannot multiply each
     other. Each is reduced to one row per column first: a list is never longer than the table is
@@ -36,7 +36,7 @@ def load_config(configs: DataFrame, key_columns: DataFrame, skip_columns: DataFr
     )
     none = F.array().cast("array<string>")
     return (
-        configs.filter("enabled")
+        (configs if disabled else configs.filter("enabled"))
         .join(keys, "table_name", "left")
         .join(skips, "table_name", "left")
         .withColumn("key_cols", F.coalesce("key_cols", none))
@@ -219,7 +219,7 @@ def to_specs(loaded: DataFrame) -> list[TableSpec]:
         TableSpec(
             name=r["table_name"], mode=r["comparison_mode"], keys=tuple(r["key_cols"]), skip=tuple(r["skip_cols"]),
             drift_policy=r["schema_drift_policy"], tolerance=r["numeric_tolerance"],
-            max_rows_advanced=r["max_rows_advanced"], pk_fallback_strategy=r["pk_fallback_strategy"],
+            pk_fallback_strategy=r["pk_fallback_strategy"],
             filter_column=r["filter_column"], filter_column_source=r["filter_column_source"] or r["filter_column"],
             filter_days=r["filter_days"], safety_lag_minutes=r["safety_lag_minutes"],
         )

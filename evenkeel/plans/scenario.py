@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.errors import ConfigError
 from evenkeel.operators import drift
-from evenkeel.spec import MESSAGE_CHARS, MUTATIONS
+from evenkeel.spec import MUTATIONS
 
 PARAMS = "count int, column string, column_name string, mutate boolean, expected_error_substring string"
 _COLUMN_MUTATIONS = ("add_extra_column", "drop_column")
@@ -36,16 +36,16 @@ def apply_mutation(
     if mutation == "add_extra_column":
         return drift.add_extra_column(df, params.get("column_name", "scenario_extra"))
     if mutation == "drop_column":
-        return drift.drop_column(df, params["column_name"])
+        return drift.drop_column(df, params["column_name"], (*keys, filter_column))
     if mutation == "null_out_pk":
         return drift.null_out_key(df, keys, **count)
     if mutation == "delete_rows_no_pk":
         return drift.delete_rows_keyless(df, filter_column=filter_column, **count)
     if mutation == "insert_extra_rows_no_pk":
         mutate = bool(params.get("mutate", False))
-        return drift.insert_extra_rows_keyless(df, at if mutate else None, mutate=mutate, suffix=f"_scn_{scenario_id[:32]}", filter_column=filter_column, **count)
+        return drift.insert_extra_rows_keyless(df, at if mutate else None, mutate=mutate, suffix=f"_scn_{scenario_id}", filter_column=filter_column, **count)
     if mutation == "content_swap_no_pk":
-        return drift.content_swap_keyless(df, suffix=f"_swap_{scenario_id[:24]}", filter_column=filter_column)
+        return drift.content_swap_keyless(df, suffix=f"_swap_{scenario_id}", filter_column=filter_column)
     return drift.noop(df)
 
 
@@ -101,14 +101,18 @@ def scenario_lint(scenarios: DataFrame, loaded: DataFrame) -> DataFrame:
     )
 
 
+MISMATCH_TYPES = (
+    "hash_diff", "value_diff", "only_in_source", "only_in_target", "only_in_source_multiset", "only_in_target_multiset",
+    "only_in_source_no_pk", "only_in_target_no_pk", "multiset_count_diff",
+)
+
+
 def sample_kinds(samples: DataFrame) -> DataFrame:
-    """Per (run, table): the set of (mismatch_type, column_name) that its samples show. The set is
-    bounded by the number of types and columns, not by the number of samples."""
-    return (
-        samples.select("run_id", "table_name", "mismatch_type", "column_name").distinct()
-        .groupBy("run_id", "table_name")
-        .agg(F.collect_set(F.struct("mismatch_type", "column_name")).alias("kinds"))
-    )
+    """Per (run, table): a flag for each mismatch type that its samples show, and the columns that differ.
+    One shuffle of flags, combined in the map task; the set is bounded by the table's columns."""
+    flags = [F.bool_or(F.col("mismatch_type") == t).alias(f"has_{t}") for t in MISMATCH_TYPES]
+    columns = F.collect_set(F.when(F.col("mismatch_type") == "value_diff", F.col("column_name"))).alias("diff_columns")
+    return samples.groupBy("run_id", "table_name").agg(F.lit(True).alias("sampled"), *flags, columns)
 
 
 def _evidence() -> tuple[Column, Column]:
@@ -116,10 +120,10 @@ def _evidence() -> tuple[Column, Column]:
     count, column, mutate = F.col("p.count"), F.col("p.column"), F.coalesce("p.mutate", F.lit(False))
     surplus = F.col("source_count") - F.col("target_count")
     error = F.coalesce("error_message", F.lit(""))
-    sampled = F.size("kinds") > 0
+    sampled = F.coalesce("sampled", F.lit(False))
 
     def shown(*types: str) -> Column:
-        return F.exists("kinds", lambda k: k["mismatch_type"].isin(*types))
+        return F.coalesce(F.greatest(*[F.coalesce(f"has_{t}", F.lit(False)) for t in (*types, types[0])]), F.lit(False))
 
     def text_of(number: Column) -> Column:
         return number.cast("string")
@@ -140,7 +144,7 @@ def _evidence() -> tuple[Column, Column]:
             F.concat(F.lit("delta "), text_of(surplus), F.lit(" differs from requested "), text_of(wanted)),
         )
 
-    column_diff = F.exists("kinds", lambda k: (k["mismatch_type"] == "value_diff") & (k["column_name"] == column))
+    column_diff = F.coalesce(F.array_contains("diff_columns", column), F.lit(False))
     needle = F.coalesce("p.expected_error_substring", F.lit(""))
     named = F.coalesce("p.column_name", F.lit(""))
     only_target = ("only_in_target_multiset", "only_in_target_no_pk")
@@ -187,11 +191,10 @@ def scenario_verdicts(runs: DataFrame, results: DataFrame, samples: DataFrame) -
         "source_count", "target_count", "error_message",
     )
     kinds = sample_kinds(samples).withColumnRenamed("table_name", "target_table")
-    no_kinds = F.expr("cast(array() as array<struct<mismatch_type:string,column_name:string>>)")
     joined = (
         runs.join(found, ["run_id", "target_table"], "left")
         .join(kinds, ["run_id", "target_table"], "left")
-        .withColumns({"kinds": F.coalesce("kinds", no_kinds), "p": F.from_json(F.coalesce("mutation_params", F.lit("{}")), PARAMS)})
+        .withColumn("p", F.from_json(F.coalesce("mutation_params", F.lit("{}")), PARAMS))
     )
     for mutation, default in _DEFAULT_COUNTS.items():
         filled = F.coalesce(F.col("p.count"), F.lit(default))
@@ -214,7 +217,7 @@ def scenario_verdicts(runs: DataFrame, results: DataFrame, samples: DataFrame) -
     clean = ~F.coalesce(F.col("notes").rlike("missing|mismatch"), F.lit(False))
     return (
         joined.withColumns({"hard": hard, "note": note})
-        .withColumns({"notes": F.substring(notes, 1, MESSAGE_CHARS), "verdict": verdict})
+        .withColumns({"notes": notes, "verdict": verdict})
         .select(
             "scenario_id", "target_table", "mutation_type", F.col("run_id").alias("engine_run_id"), "expected_status",
             F.when(~skipped, F.col("actual_status")).alias("actual_status"),

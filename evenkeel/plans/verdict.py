@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.functions import sqltext
+from evenkeel.functions.literals import literal_frame
+from evenkeel.functions.numbering import number_rows
 from evenkeel.functions.topk import top_per_group
 from evenkeel.operators.keyed import DIFF_CLASSES
-from evenkeel.spec import FAILING_STATUSES, MESSAGE_CHARS, RESULT_SCHEMA, SAMPLE_CAP, SAMPLE_VALUE_CHARS
+from evenkeel.spec import FAILING_STATUSES, RESULT_SCHEMA, RUN_SCHEMA
 
 def status_sql(distinct_column_status: bool = False) -> str:
     """Audit status from ``raw_status`` and ``count_match``; different counts win over content."""
@@ -43,7 +45,6 @@ def as_result(outcome: DataFrame, meta: dict, seconds: float, distinct_column_st
         "safety_lag_minutes": str(meta["safety_lag_minutes"]),
         "executed_at": sqltext.moment(meta["executed_at"]),
         "duration_seconds": f"{seconds:.2f}D",
-        "error_message": f"substring(error_message, 1, {MESSAGE_CHARS})",
     }
     judged = with_verdict(outcome, distinct_column_status)
     return judged.selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
@@ -61,6 +62,23 @@ def run_summary(results: DataFrame) -> DataFrame:
     return totals.selectExpr("*", overall)
 
 
+def append_run(spark: SparkSession, path: str, run_id: str, started_at: datetime, results: DataFrame | None = None) -> None:
+    """Append the row of a run: as ``running`` before its first table, with totals after its last."""
+    row = [run_id, started_at, None, "running", None, None, None]
+    if results is not None:
+        totals = run_summary(results).first()
+        ended = datetime.now(timezone.utc).replace(tzinfo=None)
+        row[2:] = [ended, *([totals.overall, totals.total_tables, totals.pass_count, totals.fail_count] if totals else ["success", 0, 0, 0])]
+    literal_frame(spark, [row], RUN_SCHEMA).write.mode("append").parquet(path)
+
+
+def run_rows(spark: SparkSession, path: str) -> DataFrame:
+    """One row per run: its totals, or ``running`` if it has not ended (or never did)."""
+    stored = spark.read.schema(RUN_SCHEMA).parquet(path)
+    newest = stored.groupBy("run_id").agg(F.expr("max_by(struct(*), coalesce(ended_at, TIMESTAMP_NTZ '0001-01-01 00:00:00')) AS r"))
+    return newest.select("r.*")
+
+
 def run_digest(results: DataFrame) -> DataFrame:
     """One line of figures per result: count delta with its direction, and number of issues."""
     delta = """CASE
@@ -73,25 +91,27 @@ def run_digest(results: DataFrame) -> DataFrame:
     )
 
 
-def samples_audit(samples: DataFrame, run_id: str, table: str, captured_at: datetime, cap: int = SAMPLE_CAP) -> DataFrame:
-    """Samples of one table as stored: numbered, cut to length, at most ``cap`` in all."""
+def samples_audit(samples: DataFrame, run_id: str, table: str, captured_at: datetime, cap: int | None = None) -> DataFrame:
+    """Samples of one table as stored: numbered and whole; with a ``cap`` the first so many of each class."""
     tagged = samples.selectExpr("*", f"{sqltext.text(run_id)} AS run_id", f"{sqltext.text(table)} AS table_name")
     return number_samples(tagged, cap).selectExpr("*", f"{sqltext.moment(captured_at)} AS captured_at")
 
 
-def number_samples(samples: DataFrame, cap: int = SAMPLE_CAP) -> DataFrame:
+def number_samples(samples: DataFrame, cap: int | None = None) -> DataFrame:
     """Sequence per (run, table): classes in their fixed order, then by key and column."""
     classes = ", ".join(sqltext.text(c) for c in DIFF_CLASSES)
-    order = [f"array_position(array({classes}), mismatch_type)", "mismatch_type", "pk_values", "column_name NULLS FIRST"]
-    numbered = top_per_group(samples, ["run_id", "table_name"], order, cap, rank="sample_seq")
-    cut = [f"substring({c}, 1, {SAMPLE_VALUE_CHARS}) AS {c}" for c in ("pk_values", "source_value", "target_value")]
-    return numbered.selectExpr("run_id", "table_name", "sample_seq", "mismatch_type", "column_name", *cut)
+    if cap is not None:
+        samples = top_per_group(samples, ["run_id", "table_name", "mismatch_type"], ["pk_values", "column_name NULLS FIRST"], cap)
+    order = [f"array_position(array({classes}), mismatch_type)", "mismatch_type", "pk_values", "column_name"]
+    numbered = number_rows(samples, ["run_id", "table_name"], order, "sample_seq")
+    return numbered.select("run_id", "table_name", "sample_seq", "mismatch_type", "column_name", "pk_values", "source_value", "target_value")
 
 
 def latest_results(results: DataFrame) -> DataFrame:
     """The newest result of each table, by time of execution. A table's history collapses inside each
     task before it is shuffled, so a table with a long one is no burden."""
-    return top_per_group(results, ["table_name"], ["executed_at DESC", "run_id DESC"], 1)
+    newest = results.groupBy("table_name").agg(F.expr("max_by(struct(*), struct(executed_at, run_id)) AS r"))
+    return newest.select(*[f"r.{c}" for c in results.columns])
 
 
 def failure_trend(results: DataFrame, now: datetime, days: int = 7) -> DataFrame:

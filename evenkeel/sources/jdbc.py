@@ -31,6 +31,11 @@ class JdbcSource:
         return {"url": self.url, "fetchsize": str(self.fetch_size), **self.options}
 
 
+def quoted(column: str, kind: str) -> str:
+    """A column as the database reads it, so that upper and lower case stay apart."""
+    return f'"{safe_name(column, kind)}"'
+
+
 def where_clause(source: JdbcSource, filter_column: str | None, start: datetime, end: datetime, trusted: bool = False) -> str:
     """The window as SQL for the database."""
     if filter_column is None:
@@ -39,7 +44,7 @@ def where_clause(source: JdbcSource, filter_column: str | None, start: datetime,
         if not trusted:
             raise ConfigError(f"filter expression is not marked as trusted: {filter_column!r}")
         return fill_template(filter_column, start, end)
-    column = f'"{safe_name(filter_column, "filter column")}"'
+    column = quoted(filter_column, "filter column")
     low, high = (source.time_literal.format(iso_utc(ts)) for ts in (start, end))
     return f"{column} >= {low} AND {column} < {high}"
 
@@ -64,12 +69,34 @@ def read_windowed_count(spark: SparkSession, source: JdbcSource, schema: str, ta
     return spark.read.format("jdbc").options(**source.read_options()).option("dbtable", query).load()
 
 
+def windowed_split_options(source: JdbcSource, schema: str, table: str, filter_column: str | None, start: datetime, end: datetime,
+                           column: str, low, high, num_partitions: int = JDBC_PARTITIONS, trusted: bool = False) -> dict[str, str]:
+    """Options of a read that takes the window in ranges of a column, each by a connection of its own."""
+    query = windowed_query(source, schema, table, filter_column, start, end, trusted)
+    return {"dbtable": f"({query}) windowed", **partition_options(column, low, high, num_partitions)}
+
+
+def bounds_query(source: JdbcSource, schema: str, table: str, filter_column: str | None, start: datetime, end: datetime,
+                 column: str, trusted: bool = False) -> str:
+    split, where = quoted(column, "partition column"), where_clause(source, filter_column, start, end, trusted)
+    return f"(SELECT MIN({split}) AS lo, MAX({split}) AS hi FROM {qualified(schema, table)} WHERE {where}) bounds"
+
+
+def read_windowed_split(spark: SparkSession, source: JdbcSource, schema: str, table: str, filter_column: str | None, start: datetime,
+                        end: datetime, column: str, num_partitions: int = JDBC_PARTITIONS, trusted: bool = False) -> DataFrame:
+    """The rows of the window, read in ``num_partitions`` ranges of a column between its bounds in the window."""
+    query = bounds_query(source, schema, table, filter_column, start, end, column, trusted)
+    low, high = spark.read.format("jdbc").options(**source.read_options()).option("dbtable", query).load().first()
+    options = windowed_split_options(source, schema, table, filter_column, start, end, column, low, high, num_partitions, trusted)
+    return spark.read.format("jdbc").options(**source.read_options()).options(**options).load()
+
+
 def partition_options(column: str, low, high, num_partitions: int = JDBC_PARTITIONS) -> dict[str, str]:
     """Options for a split read; none if the table is empty or the column holds only nulls."""
     if low is None or high is None:
         return {}
     return {
-        "partitionColumn": safe_name(column, "partition column"),
+        "partitionColumn": quoted(column, "partition column"),
         "lowerBound": str(low),
         "upperBound": str(high),
         "numPartitions": str(num_partitions),
@@ -79,7 +106,7 @@ def partition_options(column: str, low, high, num_partitions: int = JDBC_PARTITI
 def read_partitioned(spark: SparkSession, source: JdbcSource, schema: str, table: str, column: str,
                      num_partitions: int = JDBC_PARTITIONS) -> DataFrame:
     """A whole table, read in ``num_partitions`` ranges between the column's smallest and largest value."""
-    name, split = qualified(schema, table), safe_name(column, "partition column")
+    name, split = qualified(schema, table), quoted(column, "partition column")
     reader = spark.read.format("jdbc").options(**source.read_options())
     bounds = reader.option("dbtable", f"(SELECT MIN({split}) AS lo, MAX({split}) AS hi FROM {name}) bounds").load().first()
     reader = spark.read.format("jdbc").options(**source.read_options()).option("dbtable", name)

@@ -28,10 +28,14 @@ COPY_SCHEMA = T.StructType([
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors can reach, as the session names it in ``spark.checkpoint.dir``.
 
-    Where the setting is absent, as in tests on one machine, the session gets a new local folder.
+    Where the setting is absent, a session on one machine gets a new local folder; on a cluster that is
+    an error, because each executor would write to its own disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ConfigError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
@@ -122,7 +126,7 @@ def copy_tables(spark: SparkSession, jobs) -> DataFrame:
             safe_name(job.table, "table name")
             n, status, error = copy_table(job.read(), job.path, job.mode), "success", None
         except Exception as failure:  # noqa: BLE001 - isolation is the point
-            n, status, error = 0, "failed", str(failure)[:200]
+            n, status, error = 0, "failed", str(failure)
         rows.append((job.table, status, n, time.monotonic() - began, error))
     return literal_frame(spark, rows, COPY_SCHEMA)
 
@@ -137,9 +141,10 @@ def copy_summary(results: DataFrame) -> DataFrame:
 def fail_if_any(results: DataFrame, failing, name: str = "table_name", context: str = "run", show: int = 10) -> None:
     """Raise ``ParityFailure`` if a row is in a failing status; call it after the results are stored."""
     failed = results.filter(F.col("status").isin(*failing))
-    names = [r[0] for r in failed.orderBy(name).select(name).limit(show + 1).collect()]
-    if names:
-        more = " and more" if len(names) > show else ""
-        raise ParityFailure(f"{context}: failed for {', '.join(map(str, names[:show]))}{more}")
+    n = failed.count()
+    if n:
+        names = [str(r[0]) for r in failed.orderBy(name).select(name).limit(show).collect()]
+        more = f" and {n - len(names)} more" if n > len(names) else ""
+        raise ParityFailure(f"{context}: failed for {', '.join(names)}{more}")
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +39,7 @@ def with_window_bounds(configs: DataFrame, now: str) -> DataFrame:
 
 def iso_utc(ts: datetime) -> str:
     """A naive UTC time with microseconds and an explicit offset, the same instant in every session."""
-    return ts.strftime("%Y-%m-%dT%H:%M:%S.%f") + "+00:00"
+    return ts.replace(tzinfo=timezone.utc).isoformat(timespec="microseconds")
 
 
 def is_expression(filter_column: str) -> bool:
@@ -58,7 +58,8 @@ def time_literal(ts: datetime, dtype: T.DataType) -> str:
 def windowed_scan(df: DataFrame, column: str, start: datetime, end: datetime) -> DataFrame:
     """Rows with ``start <= column < end``; rows without a time are left out."""
     dtype = type_of(df, safe_name(column, "filter column"))
-    return df.filter(f"{column} >= {time_literal(start, dtype)} AND {column} < {time_literal(end, dtype)}")
+    name = sqltext.name(column)
+    return df.filter(f"{name} >= {time_literal(start, dtype)} AND {name} < {time_literal(end, dtype)}")
 
 
 def expr_window_scan(df: DataFrame, template: str, start: datetime, end: datetime, trusted: bool = False) -> DataFrame:
@@ -69,7 +70,9 @@ def expr_window_scan(df: DataFrame, template: str, start: datetime, end: datetim
     """
     if not trusted:
         raise ConfigError(f"filter expression is not marked as trusted: {template!r}")
-    return df.filter(re.sub(r'"(\w+)"', r"`\1`", fill_template(template, start, end)))
+    filled = fill_template(template, start, end)
+    # string literals are matched first, so that a quoted word inside one stays as it is
+    return df.filter(re.sub(r"""('(?:[^']|'')*')|"(\w+)\"""", lambda m: m[1] or f"`{m[2]}`", filled))
 
 
 def scan(df: DataFrame, filter_column: str | None, start: datetime, end: datetime, trusted: bool = False) -> DataFrame:

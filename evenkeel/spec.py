@@ -29,9 +29,6 @@ DEFAULT_LAG_MINUTES = 30
 DEFAULT_TOLERANCE = 0.001
 DEFAULT_MAX_ROWS_ADVANCED = 500_000
 HASH_DECIMALS = 8
-SAMPLE_CAP = 1000
-SAMPLE_VALUE_CHARS = 8000
-MESSAGE_CHARS = 3500
 NEW_KEY_OFFSET = 10_000_000
 NEW_KEY_PREFIX = "scn_test_"
 FETCH_SIZE = 10_000
@@ -100,6 +97,16 @@ RESULT_SCHEMA = T.StructType([
     T.StructField("duration_seconds", T.DoubleType()),
 ])
 
+RUN_SCHEMA = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("started_at", T.TimestampNTZType()),
+    T.StructField("ended_at", T.TimestampNTZType()),
+    T.StructField("overall", T.StringType()),
+    T.StructField("total_tables", T.LongType()),
+    T.StructField("pass_count", T.LongType()),
+    T.StructField("fail_count", T.LongType()),
+])
+
 SAMPLE_SCHEMA = T.StructType([
     T.StructField("mismatch_type", T.StringType()),
     T.StructField("pk_values", T.StringType()),
@@ -123,7 +130,8 @@ SCENARIO_SCHEMA = T.StructType([
 
 @dataclass(frozen=True)
 class TableSpec:
-    """How one pair of tables is compared. Only ``None`` stands for a default; 0 is a real value."""
+    """How one pair of tables is compared. Only ``None`` stands for a default; 0 is a real value. All
+    evidence is kept unless ``sample_cap`` asks for so many rows of a class."""
 
     name: str
     mode: str
@@ -131,10 +139,9 @@ class TableSpec:
     skip: tuple[str, ...] = ()
     drift_policy: str = "fail"
     tolerance: float | None = None
-    max_rows_advanced: int | None = None
     pk_fallback_strategy: str | None = None
     timestamp_unit: str | None = None
-    sample_cap: int = SAMPLE_CAP
+    sample_cap: int | None = None
     filter_column: str | None = None
     filter_column_source: str | None = None
     filter_days: int | None = None
@@ -144,10 +151,6 @@ class TableSpec:
     def effective_tolerance(self) -> float:
         return DEFAULT_TOLERANCE if self.tolerance is None else float(self.tolerance)
 
-    @property
-    def effective_max_rows(self) -> int:
-        return DEFAULT_MAX_ROWS_ADVANCED if self.max_rows_advanced is None else self.max_rows_advanced
-
     @property
     def effective_days(self) -> int:
         return DEFAULT_FILTER_DAYS if self.filter_days is None else self.filter_days

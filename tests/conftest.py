@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 from datetime import datetime
 
 import pytest
@@ -17,6 +18,7 @@ def spark():
         .appName("evenkeel-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -33,7 +33,7 @@ def test_to_specs(loaded):
     audit, log = cfg.to_specs(loaded)
     assert audit == TableSpec("audit", "hash", ("tenant", "entity", "version"), ("a", "b", "c", "d"), "fail",
                               filter_column="changed_at", filter_column_source="changed_at")
-    assert (log.effective_days, log.effective_lag, log.effective_tolerance, log.effective_max_rows) == (7, 30, 0.001, 500_000)
+    assert (log.effective_days, log.effective_lag, log.effective_tolerance) == (7, 30, 0.001)
     zero = TableSpec("z", "hash", tolerance=0.0, filter_days=0, safety_lag_minutes=0)
     assert (zero.effective_days, zero.effective_lag, zero.effective_tolerance) == (0, 0, 0.0)
 

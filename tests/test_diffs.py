@@ -77,10 +77,67 @@ def test_advanced_shuffles_when_many_keys_differ(small, monkeypatch):
     assert "Broadcast" not in got.outcome._jdf.queryExecution().analyzed().toString()
 
 
-def test_size_guard_keeps_samples(small):
-    first, got = outcome(*small, "advanced", max_rows_advanced=4)
-    assert (first.comparison_mode, first.rows_with_mismatches) == ("hash (fallback)", 3)
-    assert got.samples.count() == 5
+def test_the_tolerance_holds_at_any_size(spark):
+    s = spark.range(0, 600_000, 1, 8).selectExpr("id AS k", "CAST(id AS DOUBLE) AS v")
+    got = compare(s, s.selectExpr("k", "v + 0.0004 AS v"), TableSpec("t", "advanced", keys=("k",), tolerance=0.001)).outcome.first()
+    assert (got.comparison_mode, got.raw_status, got.source_count) == ("advanced", "PASS", 600_000)
+
+
+def test_evidence_is_whole(spark):
+    s = spark.range(0, 4500).selectExpr("id AS k", "1.0D AS v", "repeat('x', 9000) AS s")
+    t = spark.range(1500, 6000).selectExpr("id AS k", "if(id < 3000, 2.0D, 1.0D) AS v", "repeat('x', 9000) AS s")
+    _, got = outcome(s, t, "advanced")
+    assert Counter(r.mismatch_type for r in got.samples.collect()) == {"only_in_source": 1500, "only_in_target": 1500, "value_diff": 1500}
+    for mode, n in (("hash_no_pk", 6000), ("advanced_no_pk", 6000)):
+        found = outcome(s, t, mode, keys=())[1].samples
+        assert found.count() == n and found.filter("length(pk_values) > 9000").count() == n
+
+
+def test_evidence_is_joined_by_size(spark, monkeypatch):
+    s, t = spark.range(50).selectExpr("CAST(id % 7 AS STRING) AS x"), spark.range(60).selectExpr("CAST(id % 9 AS STRING) AS x")
+    want = rows(multiset.bucket_samples(s, t, ["x"]))
+    monkeypatch.setattr(multiset, "_BROADCAST_BYTES", 0)
+    assert rows(multiset.bucket_samples(s, t, ["x"])) == want and len(want) == 4
+
+
+def test_values_beyond_doubles_differ(spark):
+    amount = lambda x: spark.sql(f"SELECT 1 AS k, CAST({x} AS DECIMAL(38,2)) AS v")
+    s, t = amount("9007199254740993.00"), amount("9007199254740992.00")
+    assert compare(s, t, TableSpec("t", "advanced", keys=("k",))).outcome.first().raw_status == "FAIL"
+    assert compare(s, t, TableSpec("t", "advanced_no_pk")).outcome.first().raw_status == "INCONCLUSIVE"
+    assert compare(s, amount("9007199254740993.0004"), TableSpec("t", "advanced_no_pk")).outcome.first().raw_status == "PASS"
+
+
+def test_a_tolerance_of_nothing_is_exact(spark):
+    s, t = spark.sql("SELECT 1e-12D AS v, -0.0D AS z"), spark.sql("SELECT 2e-12D AS v, 0.0D AS z")
+    assert compare(s, t, TableSpec("t", "advanced_no_pk", tolerance=0.0)).outcome.first().raw_status == "INCONCLUSIVE"
+    assert compare(s, t, TableSpec("t", "advanced_no_pk", tolerance=1e-13)).outcome.first().raw_status == "INCONCLUSIVE"
+    assert compare(s, t, TableSpec("t", "advanced_no_pk", tolerance=1e-3)).outcome.first().raw_status == "PASS"
+    assert compare(s, s.selectExpr("v", "0.0D AS z"), TableSpec("t", "advanced_no_pk", tolerance=0.0)).outcome.first().raw_status == "PASS"
+
+
+def test_nested_times_are_compared_by_the_microsecond(spark):
+    def at(t):
+        return spark.sql(f"SELECT 1 AS k, named_struct('t', TIMESTAMP '{t}') AS a, array(TIMESTAMP_NTZ '{t}') AS b, map('x', TIMESTAMP '{t}') AS c")
+
+    first, got = outcome(at("2024-01-01 00:00:00.000001"), at("2024-01-01 00:00:00.000002"), "advanced")
+    assert first.raw_status == "FAIL" and sorted(r.column_name for r in got.samples.collect()) == ["a", "b", "c"]
+    assert all(".000001" in r.source_value for r in got.samples.collect())
+
+
+def test_rows_that_go_between_the_passes_are_reported(spark):
+    s = spark.range(10).selectExpr("id AS k", "1.0D AS v")
+    t = s.selectExpr("k", "if(k < 3, 5.0D, v) AS v")
+    first = keyed.exact_findings(s, t, ["k"], ["k", "v"])
+    found = keyed.column_findings(s.filter("k <> 1"), t, ["k"], ["k", "v"], 0.001, first)
+    got = keyed.keyed_outcome(found, "advanced", "value_diff").first()
+    assert (got.source_count, got.target_count, got.rows_with_mismatches) == (10, 10, 3)
+    assert ("value_diff", '{"k":"1"}', None, "row changed during the comparison", "EXISTS") in rows(keyed.keyed_samples(found, ["k"]))
+
+
+def test_binary_keys_are_shown_whole(spark):
+    s = spark.sql("SELECT X'ff01' AS k, 1 AS v")
+    assert [r.pk_values for r in outcome(s, s.limit(0), "hash", skip=())[1].samples.collect()] == ['{"k":"FF01"}']
 
 
 def test_keyless_modes(spark):
@@ -202,3 +259,13 @@ def test_hot_keys_do_not_multiply(spark):
     x, y = Counter(r[1:] for r in left), Counter(r[1:] for r in right)
     got = compare(s.drop("k"), t.drop("k"), TableSpec("x", "hash_no_pk")).outcome.first()
     assert (got.rows_only_in_source, got.rows_only_in_target) == (sum((x - y).values()), sum((y - x).values()))
+
+
+def test_bigints_beside_doubles_and_dates_beside_times(spark):
+    s = spark.sql("SELECT 1 AS k, 9007199254740993L AS v, DATE '2024-01-01' AS d")
+    t = spark.sql("SELECT 1 AS k, 9007199254740992D AS v, TIMESTAMP '2024-01-01 00:00:00' AS d")
+    for mode in ("hash", "advanced"):
+        assert outcome(s, t, mode, tolerance=0.0)[0].rows_with_mismatches == 1
+        assert outcome(s.withColumn("v", s.v - 1), t, mode, tolerance=0.0)[0].raw_status == "PASS"
+    for odd in ("1e30D", "CAST('NaN' AS DOUBLE)", "-1e25D", "0.5D"):
+        assert outcome(spark.sql("SELECT 1 AS k, CAST(NULL AS BIGINT) AS v"), spark.sql(f"SELECT 1 AS k, {odd} AS v"), "advanced")[0].raw_status == "FAIL"

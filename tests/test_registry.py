@@ -1,5 +1,6 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import re
 from collections import Counter
 
 import duckdb
@@ -24,15 +25,20 @@ def multiset(names, rows):
     return Counter(tuple(repr(r[i]) for i in order) for r in rows)
 
 
+def own(names):
+    """Without the corpus queries, which have tests of their own."""
+    return sorted(n for n in names if not re.match(r"op\d+_|pipeline$", n))
+
+
 def test_every_query_has_its_sql():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+    assert own(registry.queries()) == own(registry.oracle_sql())
 
 
 def test_entry(spark):
     assert registry.entry(spark).first().raw_status == "FAIL"
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", own(registry.queries()))
 def test_query(spark, db, sf, name):
     df = registry.queries()[name](spark, sf)
     cursor = db.execute(registry.oracle_sql()[name])

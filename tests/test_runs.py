@@ -66,7 +66,7 @@ def test_gate(spark, history):
     with pytest.raises(ParityFailure, match="run r: failed for a, a, b, b, c, d$"):
         fail_if_any(history, FAILING_STATUSES, context="run r")
     many = literal_frame(spark, [result("r", f"t{i:02}", "error", NOW) for i in range(12)], RESULT_SCHEMA)
-    with pytest.raises(ParityFailure, match="t09 and more$"):
+    with pytest.raises(ParityFailure, match="t09 and 2 more$"):
         fail_if_any(many, FAILING_STATUSES)
 
 
@@ -105,11 +105,21 @@ def test_run(spark, tmp_path):
     assert run_tables(spark, pairs[7:], "r3", NOW, out, samples, trusted_expressions=True).first().status == "pass"
 
 
-def test_stored_samples_are_cut_and_capped(spark):
+def test_stored_samples_are_whole_and_numbered(spark):
     df = spark.range(3000).selectExpr(
         "if(id % 2 = 0, 'value_diff', 'only_in_source') AS mismatch_type", "lpad(CAST(id AS STRING), 9000, '0') AS pk_values",
         "'c' AS column_name", "repeat('x', 9000) AS source_value", "CAST(NULL AS STRING) AS target_value")
-    got = v.samples_audit(df, "r", "t", NOW).orderBy("sample_seq").collect()
-    assert [r.sample_seq for r in got] == list(range(1, 1001))
-    assert {r.mismatch_type for r in got} == {"only_in_source"}
-    assert len(got[0].pk_values) == len(got[0].source_value) == 8000 and got[0].target_value is None
+    got = v.samples_audit(df.repartition(5), "r", "t", NOW).orderBy("sample_seq").collect()
+    assert [r.sample_seq for r in got] == list(range(1, 3001))
+    assert [(r.mismatch_type, int(r.pk_values)) for r in got] == [("only_in_source", k) for k in range(1, 3000, 2)] + [("value_diff", k) for k in range(0, 3000, 2)]
+    assert len(got[0].pk_values) == len(got[0].source_value) == 9000 and got[0].target_value is None
+    assert [int(r.pk_values) for r in v.samples_audit(df, "r", "t", NOW, 2).orderBy("sample_seq").collect()] == [1, 3, 0, 2]
+
+
+def test_a_run_leaves_a_row_before_and_after(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    v.append_run(spark, path, "crashed", NOW)
+    pairs = [TablePair(TableSpec(f"t{k}", "hash", keys=("id",)), lambda: spark.range(5), lambda k=k: spark.range(5 - k % 2)) for k in range(6)]
+    run_tables(spark, pairs, "r", NOW, str(tmp_path / "a"), str(tmp_path / "b"), parallel=1, run_path=path)
+    got = {r.run_id: (r.overall, r.total_tables, r.pass_count, r.fail_count, r.ended_at is None) for r in v.run_rows(spark, path).collect()}
+    assert got == {"crashed": ("running", None, None, None, True), "r": ("partial", 6, 3, 3, False)}

@@ -7,6 +7,8 @@ from conftest import NOW, rows
 from pyspark.sql import functions as F
 
 from evenkeel import ConfigError, ParityFailure
+from evenkeel.functions.names import safe_name
+from evenkeel.operators import drift
 from evenkeel.operators.evolve import add_and_backfill, backfill_check
 from evenkeel.operators.merge import check_merge_source, empty_like, upsert_merge
 from evenkeel.sources import jdbc, tables, window
@@ -57,7 +59,7 @@ def test_jdbc_text():
 
 
 def test_jdbc_partitions_and_writes():
-    assert jdbc.partition_options("id", 3, 900) == {"partitionColumn": "id", "lowerBound": "3", "upperBound": "900", "numPartitions": "4"}
+    assert jdbc.partition_options("id", 3, 900) == {"partitionColumn": '"id"', "lowerBound": "3", "upperBound": "900", "numPartitions": "4"}
     assert jdbc.partition_options("id", None, None) == {}
     db = jdbc.JdbcSource("jdbc:some:db")
     assert jdbc.write_options(db, "s.t", "overwrite") == {"url": "jdbc:some:db", "dbtable": "s.t", "batchsize": "100000", "truncate": "false"}
@@ -145,3 +147,53 @@ def test_backfill(spark):
     assert rows(add_and_backfill(filled, "updated", F.lit("later"), "created")) == rows(filled)
     assert rows(add_and_backfill(df, "seen", F.lit("now"), "absent").select("seen")) == [("now",), ("now",)]
     assert rows(backfill_check(df, "updated")) == [(2, 1)]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ConfigError, match="spark.checkpoint.dir"):
+        tables.shared_folder(Session())
+    Context.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ConfigError):
+        tables.shared_folder(Session())
+
+
+def test_names_end_where_they_end():
+    with pytest.raises(ConfigError):
+        safe_name("orders\n")
+
+
+def test_mutations_refuse_what_they_cannot_change(spark):
+    df = spark.range(3).selectExpr("id", "'a' AS s", "current_timestamp() AS ts")
+    for column in ("absent", "id", "ts"):
+        with pytest.raises(ConfigError):
+            drift.update_column(df, ["id"], column, F.lit("x"), datetime(2024, 1, 1), filter_column="ts")
+    with pytest.raises(ConfigError):
+        drift.drop_column(df, "absent")
+    with pytest.raises(ConfigError):
+        drift.drop_column(df, "id", ("id",))
+
+
+def test_a_window_is_read_in_ranges():
+    db = jdbc.JdbcSource("jdbc:some:db")
+    got = jdbc.windowed_split_options(db, "app", "orders", "changedAt", START, END, "Id", 1, 9, 3)
+    window_sql = f"""SELECT * FROM app.orders WHERE "changedAt" >= TIMESTAMPTZ '{window.iso_utc(START)}' AND "changedAt" < TIMESTAMPTZ '{window.iso_utc(END)}'"""
+    assert got == {"dbtable": f"({window_sql}) windowed", "partitionColumn": '"Id"', "lowerBound": "1", "upperBound": "9", "numPartitions": "3"}
+    assert jdbc.bounds_query(db, "app", "orders", None, START, END, "Id") == '(SELECT MIN("Id") AS lo, MAX("Id") AS hi FROM app.orders WHERE 1 = 1) bounds'
+
+
+def test_quotes_inside_literals_stay(spark):
+    df = spark.sql("""SELECT 1 AS id, 'say "id"' AS s UNION ALL SELECT 2, 'x'""")
+    assert [r.id for r in window.expr_window_scan(df, """"s" = 'say "id"' AND "id" < 5""", START, END, trusted=True).collect()] == [1]

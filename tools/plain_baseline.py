@@ -98,7 +98,7 @@ def main():
     big = 2_000_000_000
     cases = {
         "hash, orders": (orders, plain_hash, TableSpec("x", "hash", keys=key)),
-        "advanced, orders": (orders, plain_advanced, TableSpec("x", "advanced", keys=key, max_rows_advanced=big)),
+        "advanced, orders": (orders, plain_advanced, TableSpec("x", "advanced", keys=key)),
         "hash_no_pk, lineitem": ((lines, changed), plain_multiset, TableSpec("x", "hash_no_pk")),
         "advanced_no_pk, lineitem": ((lines, changed), plain_rows, TableSpec("x", "advanced_no_pk")),
     }

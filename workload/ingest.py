@@ -25,8 +25,7 @@ def copy_table(spark, d):
 def copy_summary(spark, d):
     """A bulk copy in which one table has a bad name and one does not exist."""
     out = t.scratch_path(spark, "copies")
-    names = ("region", "nation", "supplier", "customer", "part", "orders")
-    jobs = [t.CopyJob(n, lambda n=n: load(spark, d, n), f"{out}/{n}") for n in names]
+    jobs = [t.CopyJob(n, lambda n=n: load(spark, d, n), f"{out}/{n}") for n in t.discover_tables(spark, d)]
     jobs += [t.CopyJob("bad name", lambda: load(spark, d, "orders"), f"{out}/bad"), t.CopyJob("absent", lambda: load(spark, d, "absent"), f"{out}/absent")]
     return t.copy_summary(t.copy_tables(spark, jobs)).drop("seconds")
 
@@ -89,8 +88,8 @@ ORACLES = {
     "discover_tables": " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, CAST({w} AS INT) AS n_columns, COUNT(*) AS n_rows FROM {n}" for n, w in _WIDTHS.items()),
     "copy_table": "SELECT * FROM orders",
-    "copy_summary": """SELECT 'success' AS status, CAST(6 AS BIGINT) AS n_tables, CAST((SELECT COUNT(*) FROM region) + (SELECT COUNT(*) FROM nation)
-          + (SELECT COUNT(*) FROM supplier) + (SELECT COUNT(*) FROM customer) + (SELECT COUNT(*) FROM part) + (SELECT COUNT(*) FROM orders) AS BIGINT) AS n_rows
+    "copy_summary": f"""SELECT 'success' AS status, CAST({len(_WIDTHS)} AS BIGINT) AS n_tables,
+          CAST({" + ".join(f"(SELECT COUNT(*) FROM {n})" for n in _WIDTHS)} AS BIGINT) AS n_rows
         UNION ALL SELECT 'failed', 2, 0""",
     "upsert_merge": """SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 'N' ELSE o_orderstatus END AS o_orderstatus) FROM orders
         WHERE o_orderkey % 10 <> 0 OR o_orderkey % 3 = 0""",

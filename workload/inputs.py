@@ -96,12 +96,10 @@ KEY_COLUMNS = {
     "column_name": "CASE o_orderkey % 5 WHEN 0 THEN 'tenant_id' WHEN 1 THEN 'entity_id' WHEN 2 THEN 'version' WHEN 3 THEN 'entity id' ELSE 'id' END",
     "ordinal": "CAST(CASE o_orderkey % 5 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 5 WHEN 3 THEN 4 ELSE 1 END AS INT)",
 }
-KEY_COLUMNS_WHERE = "o_orderpriority = '1-URGENT'"
 SKIP_COLUMNS = {
     "table_name": TABLE_OF_ORDER,
     "column_name": "CASE o_orderkey % 4 WHEN 0 THEN 'created_at' WHEN 1 THEN 'etl_batch_id' WHEN 2 THEN 'notes' ELSE 'id' END",
 }
-SKIP_COLUMNS_WHERE = "o_orderpriority = '5-LOW'"
 
 
 def configs(spark: SparkSession, folder: str) -> DataFrame:
@@ -109,17 +107,17 @@ def configs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def key_columns(spark: SparkSession, folder: str) -> DataFrame:
-    return derive(load(spark, folder, "orders").filter(KEY_COLUMNS_WHERE), KEY_COLUMNS)
+    return derive(load(spark, folder, "orders"), KEY_COLUMNS)
 
 
 def skip_columns(spark: SparkSession, folder: str) -> DataFrame:
-    return derive(load(spark, folder, "orders").filter(SKIP_COLUMNS_WHERE), SKIP_COLUMNS)
+    return derive(load(spark, folder, "orders"), SKIP_COLUMNS)
 
 
 CONFIG_SQL = f"""
 cfg AS ({derive_sql(CONFIG, "customer")}),
-kc AS ({derive_sql(KEY_COLUMNS, "orders", KEY_COLUMNS_WHERE)}),
-sc AS ({derive_sql(SKIP_COLUMNS, "orders", SKIP_COLUMNS_WHERE)})"""
+kc AS ({derive_sql(KEY_COLUMNS, "orders")}),
+sc AS ({derive_sql(SKIP_COLUMNS, "orders")})"""
 
 LOADED_SQL = f"""{CONFIG_SQL},
 k2 AS (SELECT table_name, column_name, MIN(ordinal) AS ordinal FROM kc GROUP BY 1, 2),

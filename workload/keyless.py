@@ -45,7 +45,7 @@ def bucket_samples(spark, d):
 
 
 def excess_rows(spark, d):
-    return multiset.excess_rows(*events_pair(spark, d), _COLUMNS, decimals=3, decimal_as_double=True)
+    return multiset.excess_rows(*events_pair(spark, d), _COLUMNS, decimals=3, round_decimals=True)
 
 
 def except_all_source(spark, d):
@@ -94,15 +94,14 @@ ORACLES = {
             || n_buckets || ' distinct rows affected; see samples)' AS error_message FROM n""",
     "diff_multiset_buckets": f"""WITH {_BUCKETS_SQL} SELECT sha256(evidence) AS row_hash, {_CLASS} AS mismatch_type,
         CAST(n_source AS BIGINT) AS n_source, CAST(n_target AS BIGINT) AS n_target FROM d""",
-    "bucket_samples": f"""WITH {_BUCKETS_SQL}, r AS (SELECT *, ROW_NUMBER() OVER (ORDER BY sha256(evidence)) AS rk FROM d)
+    "bucket_samples": f"""WITH {_BUCKETS_SQL}
         SELECT {_CLASS} AS mismatch_type, evidence AS pk_values, CAST(NULL AS VARCHAR) AS column_name,
-          CAST(CAST(n_source AS BIGINT) AS VARCHAR) AS source_value, CAST(CAST(n_target AS BIGINT) AS VARCHAR) AS target_value FROM r WHERE rk <= 1000""",
+          CAST(CAST(n_source AS BIGINT) AS VARCHAR) AS source_value, CAST(CAST(n_target AS BIGINT) AS VARCHAR) AS target_value FROM d""",
     "excess_rows": f"""WITH {_BUCKETS_SQL}, e AS (SELECT evidence, CASE WHEN n_source > n_target THEN 'source' ELSE 'target' END AS side,
-          CAST(ABS(n_source - n_target) AS BIGINT) AS surplus FROM d),
-        r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY side ORDER BY sha256(evidence)) AS rk FROM e)
+          CAST(ABS(n_source - n_target) AS BIGINT) AS surplus FROM d)
         SELECT 'only_in_' || side || '_no_pk' AS mismatch_type, evidence AS pk_values, CAST(NULL AS VARCHAR) AS column_name,
           CASE WHEN side = 'source' THEN CAST(surplus AS VARCHAR) ELSE '0' END AS source_value,
-          CASE WHEN side = 'source' THEN '0' ELSE CAST(surplus AS VARCHAR) END AS target_value FROM r WHERE rk <= 500""",
+          CASE WHEN side = 'source' THEN '0' ELSE CAST(surplus AS VARCHAR) END AS target_value FROM e""",
     "except_all_source": f"WITH {EVENTS_PAIR_SQL} SELECT event_type, CAST(user_id AS VARCHAR) AS user_id FROM (SELECT * FROM s EXCEPT ALL SELECT * FROM t)",
     "except_all_target": f"WITH {EVENTS_PAIR_SQL} SELECT event_type, CAST(user_id AS VARCHAR) AS user_id FROM (SELECT * FROM t EXCEPT ALL SELECT * FROM s)",
 }

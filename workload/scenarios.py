@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
+from evenkeel.functions.literals import literal_frame
 from evenkeel.plans import scenario as scn
 from evenkeel.plans.config import mode_routing
+from evenkeel.plans.selftest import run_scenarios
+from evenkeel.sources import tables as t
+from evenkeel.spec import CONFIG_SCHEMA, KEY_COLUMNS_SCHEMA, SCENARIO_SCHEMA, SKIP_COLUMNS_SCHEMA
 from workload.config import ROUTED_SQL, loaded_config
 from workload.inputs import SCENARIO_SQL, derive, derive_sql, load, scenarios
 
@@ -41,7 +47,48 @@ def scenario_verdicts(spark, d):
     return scn.scenario_verdicts(scenarios(spark, d), results, samples)
 
 
+# Scenario types, their parameters, expected statuses and the modes they hold for.
+_NEEDLE = '{"expected_error_substring": "requires entries in"}'
+_KEYLESS = "hash_no_pk,advanced_no_pk"
+CATALOG = [
+    ("baseline", "noop", "{}", "pass", "basic,hash,advanced", "hash"),
+    ("delete-basic", "delete_rows", '{"count": 50}', "count_mismatch", "basic", "basic"),
+    ("delete", "delete_rows", '{"count": 50}', "count_mismatch", "hash,advanced", "advanced"),
+    ("extra", "insert_extra_rows", '{"count": 30}', "count_mismatch", "hash,advanced", "hash"),
+    ("update", "update_column", '{"column": "props", "count": 20}', "hash_mismatch", "hash,advanced", "advanced"),
+    ("add-column", "add_extra_column", '{"column_name": "scenario_extra"}', "schema_drift", "hash,advanced", "hash"),
+    ("drop-column", "drop_column", '{"column_name": "props"}', "schema_drift", "hash,advanced", "advanced"),
+    ("null-key", "null_out_pk", '{"count": 5}', "error", "hash,advanced", "hash"),
+    ("no-keys", "clear_key_cols", _NEEDLE, "error", "hash,advanced", "advanced"),
+    ("keyless-pass", "noop", "{}", "pass", _KEYLESS, "hash_no_pk"),
+    ("keyless-extra", "insert_extra_rows_no_pk", '{"count": 1, "mutate": true}', "count_mismatch", _KEYLESS, "advanced_no_pk"),
+    ("keyless-missing", "delete_rows_no_pk", '{"count": 1}', "count_mismatch", _KEYLESS, "hash_no_pk"),
+    ("keyless-copies", "insert_extra_rows_no_pk", '{"count": 1, "mutate": false}', "count_mismatch", _KEYLESS, "advanced_no_pk"),
+    ("keyless-swap", "content_swap_no_pk", '{"count": 1}', "inconclusive", _KEYLESS, "hash_no_pk"),
+    ("wrong-mode", "delete_rows", "{}", "count_mismatch", "basic", "hash"),
+    ("not-enabled", "noop", "{}", "pass", "hash", "disabled"),
+]
+
+
+def scenario_run(spark, d):
+    """The whole catalog against ``events``, one config per mode; verdicts as stored."""
+    modes = sorted({m for *_, m in CATALOG})
+    row = lambda mode: [{
+        "table_name": f"events_{mode}", "comparison_mode": "hash" if mode == "disabled" else mode, "schema_drift_policy": "fail",
+        "enabled": mode != "disabled", "filter_column": "ts", "filter_days": 3650}.get(f.name) for f in CONFIG_SCHEMA]
+    configs = literal_frame(spark, [row(m) for m in modes], CONFIG_SCHEMA)
+    keys = literal_frame(spark, [[f"events_{m}", "event_id", 1] for m in modes if not m.endswith("_no_pk")], KEY_COLUMNS_SCHEMA)
+    listed = [[i, None, f"events_{m}", mutation, params, expected, valid, True, None] for i, mutation, params, expected, valid, m in CATALOG]
+    now = load(spark, d, "events").agg({"ts": "max"}).first()[0] + timedelta(hours=1)  # the newest rows lie in the window
+    found = run_scenarios(
+        spark, literal_frame(spark, listed, SCENARIO_SCHEMA), configs, keys, literal_frame(spark, [], SKIP_COLUMNS_SCHEMA),
+        lambda _: load(spark, d, "events"), "selftest", now, t.scratch_path(spark, "selftest"),
+    )
+    return found.select("scenario_id", "target_table", "mutation_type", "expected_status", "actual_status", "verdict", "notes")
+
+
 QUERIES = {
+    "scenario_run": scenario_run,
     "scenario_applicability": scenario_applicability,
     "scenario_lint": scenario_lint,
     "scenario_verdicts": scenario_verdicts,
@@ -61,7 +108,14 @@ def _off(share: str) -> str:
 _GOT = "'; got source=' || source_count || ' target=' || target_count"
 _OFF_TEXT = "'delta ' || (source_count - target_count) || ' differs from requested ' || n"
 
+_GATED = {"wrong-mode": "scenario does not apply to this table", "not-enabled": "scenario does not apply to this table"}
+_CATALOG_SQL = ", ".join(
+    f"('{i}', 'events_{m}', '{mutation}', '{expected}', {'NULL' if i in _GATED else repr(expected)}, '{'not_applicable' if i in _GATED else 'pass'}', {repr(_GATED[i]) if i in _GATED else 'NULL'})"
+    for i, mutation, _, expected, _, m in CATALOG)
+
 ORACLES = {
+    "scenario_run": f"""SELECT * FROM (VALUES {_CATALOG_SQL})
+        v(scenario_id, target_table, mutation_type, expected_status, actual_status, verdict, notes) WHERE (SELECT COUNT(*) FROM events) > 0""",
     "scenario_applicability": f"""WITH {ROUTED_SQL}, {SCENARIO_SQL},
         j AS (SELECT scn.*, COALESCE(r.effective_mode, r.comparison_mode) AS active_mode, r.schema_drift_policy, r.table_name AS configured
           FROM scn LEFT JOIN routed r ON r.table_name = scn.target_table),
