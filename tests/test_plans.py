@@ -62,12 +62,14 @@ def test_samples_are_pruned_before_every_shuffle(pair):
 def test_column_diff_does_not_shuffle_rows(pair):
     found = keyed.column_findings(*pair, ["o_orderkey"], pair[0].columns, 0.001)
     text = plan(found)
-    assert text.count("BroadcastHashJoin") == 2 and text.count("LeftSemi") == 2 and "SortMergeJoin" not in text
+    assert text.count("BroadcastHashJoin") == text.count("LeftSemi") >= 2 and "SortMergeJoin" not in text
+    assert exchanges(text) == ["hashpartitioning"]  # above the joins: rows of suspects alone are moved
 
 
 def test_evidence_joins_a_measured_pick(pair):
     text = plan(multiset.bucket_samples(*pair, pair[0].columns))
-    assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text and "to_json" in text
+    assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
+    assert text.index("StructsToJson") < text.index("BroadcastHashJoin")  # the text is made after the join
 
 
 def test_drift_picks_are_pruned_and_broadcast(spark, sf):
