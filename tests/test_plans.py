@@ -63,7 +63,7 @@ def test_column_diff_does_not_shuffle_rows(pair):
     found = keyed.column_findings(*pair, ["o_orderkey"], pair[0].columns, 0.001)
     text = plan(found)
     assert text.count("BroadcastHashJoin") == text.count("LeftSemi") >= 2 and "SortMergeJoin" not in text
-    assert exchanges(text) == ["hashpartitioning"]  # above the joins: rows of suspects alone are moved
+    assert text.count("Exchange hashpartitioning") == 1  # above the joins: rows of suspects alone are moved
 
 
 def test_evidence_joins_a_measured_pick(pair):
