@@ -107,13 +107,13 @@ def test_run(spark, tmp_path):
 
 def test_stored_samples_are_whole_and_numbered(spark):
     df = spark.range(3000).selectExpr(
-        "if(id % 2 = 0, 'value_diff', 'only_in_source') AS mismatch_type", "lpad(CAST(id AS STRING), 9000, '0') AS pk_values",
+        "if(id % 2 = 0, 'value_diff', 'only_in_source') AS mismatch_type", "concat(lpad(CAST(id AS STRING), 4, '0'), repeat('k', 8996)) AS pk_values",
         "'c' AS column_name", "repeat('x', 9000) AS source_value", "CAST(NULL AS STRING) AS target_value")
     got = v.samples_audit(df.repartition(5), "r", "t", NOW).orderBy("sample_seq").collect()
     assert [r.sample_seq for r in got] == list(range(1, 3001))
-    assert [(r.mismatch_type, int(r.pk_values)) for r in got] == [("only_in_source", k) for k in range(1, 3000, 2)] + [("value_diff", k) for k in range(0, 3000, 2)]
+    assert [(r.mismatch_type, int(r.pk_values[:4])) for r in got] == [("only_in_source", k) for k in range(1, 3000, 2)] + [("value_diff", k) for k in range(0, 3000, 2)]
     assert len(got[0].pk_values) == len(got[0].source_value) == 9000 and got[0].target_value is None
-    assert [int(r.pk_values) for r in v.samples_audit(df, "r", "t", NOW, 2).orderBy("sample_seq").collect()] == [1, 3, 0, 2]
+    assert [int(r.pk_values[:4]) for r in v.samples_audit(df, "r", "t", NOW, 2).orderBy("sample_seq").collect()] == [1, 3, 0, 2]
 
 
 def test_a_run_leaves_a_row_before_and_after(spark, tmp_path):

@@ -32,7 +32,10 @@ def text(spark, sql, **form):
         ("double('NaN')", {}, "NaN"),
         ("double('Infinity')", {}, "Infinity"),
         ("CAST('1.10' AS DECIMAL(10,2))", {}, "1.10"),
-        ("CAST('1.10' AS DECIMAL(10,2))", {"decimal_as_double": True, "decimals": 3}, "1.1"),
+        ("CAST('1.10' AS DECIMAL(10,2))", {"round_decimals": True, "decimals": 3}, "1.10"),
+        ("CAST('9007199254740993.06' AS DECIMAL(38,2))", {"round_decimals": True, "decimals": 1}, "9007199254740993.1"),
+        ("-0.0D", {"decimals": None}, "0.0"),
+        ("named_struct('t', TIMESTAMP_NTZ '2024-01-01 00:00:00.000001')", {}, '{"t":"2024-01-01T00:00:00.000001"}'),
         ("X'00ff'", {}, "00FF"),
         ("array(1, NULL, 3)", {}, "[1,null,3]"),
         ("TIMESTAMP '2024-01-01 00:00:01.9'", {}, "1704067201"),
@@ -84,10 +87,10 @@ def test_row_hash_is_sha256_of_the_json(spark):
 def test_odd_column_names(spark):
     df = spark.createDataFrame([(1, 2)], ["a`b", "it's"])
     assert df.selectExpr(row_json(df, df.columns)).first()[0] == '{"a`b":"1","it\'s":"2"}'
-    assert df.selectExpr(key_json(["it's"])).first()[0] == '{"it\'s":"2"}'
+    assert df.selectExpr(key_json(["it's"], df)).first()[0] == '{"it\'s":"2"}'
 
 
-@pytest.mark.parametrize(("tol", "want"), [(0.001, 3), (0.01, 2), (0.0, 8), (-1, 8), (1e-12, 8), (5.0, 0), (0.002, 3), (1e-8, 8)])
+@pytest.mark.parametrize(("tol", "want"), [(0.001, 3), (0.01, 2), (0.0, None), (-1, None), (1e-12, 12), (5.0, 0), (0.002, 3), (1e-8, 8)])
 def test_decimals_for(tol, want):
     assert decimals_for(tol) == want
 
@@ -145,7 +148,8 @@ def test_common_type():
     assert common_type(T.TimestampType(), T.TimestampNTZType()) == T.TimestampType()
     assert common_type(T.TimestampNTZType(), T.TimestampNTZType()) == T.TimestampType()
     assert common_type(T.StringType(), T.IntegerType()) is None
-    assert common_type(T.DateType(), T.TimestampType()) is None
+    assert common_type(T.DateType(), T.TimestampType()) == common_type(T.TimestampNTZType(), T.DateType()) == T.TimestampType()
+    assert common_type(T.LongType(), T.DoubleType()) == dec(38, 18) and common_type(T.IntegerType(), T.DoubleType()) == T.DoubleType()
 
 
 def test_evidence_text(spark):
