@@ -104,7 +104,8 @@ def _with_evidence(picked: DataFrame, source: DataFrame, target: DataFrame, colu
     picked_by = picked.select("__digest", F.struct(*facts).alias("__facts"))
 
     def found(df: DataFrame) -> DataFrame:
-        hit = df.selectExpr("*", f"unhex({row_digest(df, columns, **form)}) AS __digest").join(picked_by, "__digest")
+        # never null, so that the join needs no filter that would hash every row once more
+        hit = df.selectExpr("*", f"coalesce(unhex({row_digest(df, columns, **form)}), X'') AS __digest").join(picked_by, "__digest")
         return hit.selectExpr(f"{row_json(df, columns, **form)} AS evidence", *[f"__facts.{c}" for c in facts])
 
     s, t = _aligned(source, target, columns)
