@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from evenkeel.errors import ConfigError, ParityFailure
 from evenkeel.functions.literals import literal_frame
 from evenkeel.functions.names import safe_name
+from evenkeel.operators.merge import check_merge_source, upsert_merge
 
 COPY_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -148,3 +149,28 @@ def fail_if_any(results: DataFrame, failing, name: str = "table_name", context:
         raise ParityFailure(f"{context}: failed for {', '.join(names)}{more}")
 
 
+
+
+def merge_into(path: str, source: DataFrame, keys, delete_unmatched: bool = False) -> DataFrame:
+    """Merge a frame into the parquet table at a path and return the table; a table that is not there is created.
+
+    The merged table is written beside the old one and takes its place by two renames, so readers see the old
+    or the new rows and a failed merge changes nothing. After a crash between the renames the old table is at
+    ``<path>.old-*``. One merge at a time may run on a table.
+    """
+    spark = source.sparkSession
+    check_merge_source(source, keys)
+    jvm = spark._jvm
+    table = jvm.org.apache.hadoop.fs.Path(path)
+    fs, mark = table.getFileSystem(spark._jsc.hadoopConfiguration()), uuid.uuid4().hex
+    staged, old = (jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.{kind}-{mark}") for kind in ("new", "old"))
+    there = fs.exists(table)
+    merged = upsert_merge(spark.read.parquet(path), source, keys, delete_unmatched=delete_unmatched) if there else source
+    merged.write.parquet(staged.toString())
+    for before, after in ([(table, old)] if there else []) + [(staged, table)]:
+        if not fs.rename(before, after):
+            raise ConfigError(f"cannot rename {before} to {after}")
+    if there:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
+    return spark.read.parquet(path)

@@ -10,7 +10,7 @@ from evenkeel import TableSpec, compare
 from evenkeel.operators import counts, drift, keyed, keys, multiset
 from workload.inputs import orders_pair
 
-EAGER = {"validation_results", "copy_summary", "copy_table"}
+EAGER = {"validation_results", "run_row", "scenario_run", "copy_summary", "copy_table", "merge_into"}
 
 
 def plan(df) -> str:

@@ -197,3 +197,14 @@ def test_a_window_is_read_in_ranges():
 def test_quotes_inside_literals_stay(spark):
     df = spark.sql("""SELECT 1 AS id, 'say "id"' AS s UNION ALL SELECT 2, 'x'""")
     assert [r.id for r in window.expr_window_scan(df, """"s" = 'say "id"' AND "id" < 5""", START, END, trusted=True).collect()] == [1]
+
+
+def test_merge_into_a_path(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, s string")
+    assert rows(tables.merge_into(path, first, ["k"])) == [(1, "a"), (2, "b")]
+    assert rows(tables.merge_into(path, spark.createDataFrame([(2, "x"), (3, "c")], "k int, s string"), ["k"])) == [(1, "a"), (2, "x"), (3, "c")]
+    assert rows(tables.merge_into(path, first.filter("k = 1"), ["k"], delete_unmatched=True)) == [(1, "a")]
+    with pytest.raises(ConfigError):
+        tables.merge_into(path, first.union(first), ["k"])
+    assert rows(spark.read.parquet(path)) == [(1, "a")] and [p.name for p in tmp_path.iterdir()] == ["t"]

@@ -42,6 +42,14 @@ def upsert_merge(spark, d):
     return merge(target, source, ["o_orderkey"])
 
 
+def merge_into(spark, d):
+    """A table that is merged into where it lies, twice."""
+    path = t.scratch_path(spark, "merged")
+    target, source = _orders(spark, d)
+    t.merge_into(path, target, ["o_orderkey"])
+    return t.merge_into(path, source, ["o_orderkey"])
+
+
 def upsert_merge_delete(spark, d):
     target, source = _orders(spark, d)
     check_merge_source(source, ["o_orderkey"])
@@ -74,6 +82,7 @@ QUERIES = {
     "copy_table": copy_table,
     "copy_summary": copy_summary,
     "upsert_merge": upsert_merge,
+    "merge_into": merge_into,
     "upsert_merge_delete": upsert_merge_delete,
     "upsert_merge_partial": upsert_merge_partial,
     "coerce_complex_to_json": coerce_complex_to_json,
@@ -93,6 +102,8 @@ ORACLES = {
         UNION ALL SELECT 'failed', 2, 0""",
     "upsert_merge": """SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 'N' ELSE o_orderstatus END AS o_orderstatus) FROM orders
         WHERE o_orderkey % 10 <> 0 OR o_orderkey % 3 = 0""",
+    "merge_into": """SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 'N' ELSE o_orderstatus END AS o_orderstatus) FROM orders
+        WHERE o_orderkey % 10 <> 0 OR o_orderkey % 3 = 0""",
     "upsert_merge_delete": "SELECT * REPLACE ('N' AS o_orderstatus) FROM orders WHERE o_orderkey % 3 = 0",
     "upsert_merge_partial": """WITH t AS (SELECT l_orderkey, l_linenumber, l_returnflag, l_partkey FROM lineitem),
         s AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 4 <> 1)
