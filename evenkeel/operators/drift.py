@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from evenkeel.errors import ConfigError
 from evenkeel.functions.canonical import canonical_columns, row_digest
 from evenkeel.functions.names import safe_name
-from evenkeel.functions.types import TIMESTAMP, is_numeric, type_of
+from evenkeel.functions.types import TIMESTAMP, holds_map, is_numeric, type_of
 from evenkeel.operators.keys import require_keys
 from evenkeel.sources.window import time_literal
 from evenkeel.spec import NEW_KEY_OFFSET, NEW_KEY_PREFIX
@@ -28,8 +28,14 @@ def _content_order(df: DataFrame) -> list[Column]:
 def pick_newest(df: DataFrame, n: int, filter_column: str | None, keys=()) -> DataFrame:
     """The newest ``n`` rows inside the window; give it a frame that is already windowed."""
     newest = [F.col(f"`{filter_column}`").desc()] if filter_column else []
-    order = [F.col(f"`{k}`") for k in keys] if keys else _content_order(df)
-    return df.orderBy(*newest, *order).limit(n)
+    if keys:
+        return df.orderBy(*newest, *[F.col(f"`{k}`") for k in keys]).limit(n)
+    if filter_column:
+        # The time of the nth row decides who can be picked, so content is made to text for those alone.
+        time = F.col(f"`{filter_column}`")
+        last = df.select(time).orderBy(time.desc()).limit(n).agg(F.struct(F.min(time).alias("at"), F.bool_or(time.isNull()).alias("all_rows"))).scalar()
+        df = df.filter(last["all_rows"] | (time >= last["at"]))
+    return df.orderBy(*newest, *_content_order(df)).limit(n)
 
 
 def bump_into_window(df: DataFrame, filter_column: str | None, at: datetime) -> DataFrame:
@@ -126,8 +132,12 @@ def clear_keys(key_columns: DataFrame, table: str) -> DataFrame:
 
 
 def _without_rows(df: DataFrame, rows: DataFrame) -> DataFrame:
-    """Drop every row that equals one of ``rows`` in all columns, nulls included. Rows are matched by
-    the digest of their exact content, so wide rows travel as 64 characters."""
+    """Drop every row that equals one of the few ``rows`` in all columns, nulls included. Maps have no equality, so
+    rows that hold one are matched by the digest of their exact content."""
+    if not any(holds_map(f.dataType) for f in df.schema.fields):
+        victims = rows.select(*[F.col(f"`{c}`").alias(f"v__{c}") for c in df.columns])
+        same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`v__{c}`")) for c in df.columns]
+        return df.join(victims, same, "left_anti")
     exact = {"decimals": None, "timestamp_unit": "microsecond"}
     victims = rows.selectExpr(f"{row_digest(rows, rows.columns, **exact)} AS v__row")
     marked = df.selectExpr("*", f"{row_digest(df, df.columns, **exact)} AS __row")
