@@ -8,7 +8,11 @@ Boxes alone cannot keep unrelated texts apart in many dimensions, so the trees a
 all. Two sets with a similarity of t or more differ in so few shingles that, dealt over one group more than that,
 they agree in at least one group; which groups depends on a band of sizes, and a set takes part in its own band
 and, near the edge, in the one below. Texts that agree in a group hang on the smallest id there, in the map task
-first and then over all tasks, so no task meets a whole group however many rows share it. What is connected that way
+first and then over all tasks, so no task meets a whole group however many rows share it. Below a similarity of
+``GROUPED`` a group would hold so few shingles that every shared passage connects its texts. There the shingles of a
+set are put in one order for all sets, the rarest first, and a set hangs on so many of its first ones that two linked
+sets must share one; a passage of many texts comes last. How rare a shingle is, is read from a table of counts of fixed
+size, in which shingles share cells: that can only change the order, not what is found. What is connected that way
 gets a tree: in one task up to ``BLOCK_SHINGLES``, else in blocks, whose pairs are looked at only where they are not
 connected already. No pair is lost, and copies are compared once.
 
@@ -33,6 +37,8 @@ SHINGLE, PERCENT = 3, 90
 DIMENSIONS, LEAF, FAN = 64, 32, 32
 #: Ratio of the sizes at the ends of a band.
 BAND = 0.75
+#: Percent from which sets meet by groups, and below which by their rarest shingles; cells of the table of counts.
+GROUPED, CELLS, SLICES = 90, 1 << 22, 64
 #: Shingles whose trees are built in one task.
 BLOCK_SHINGLES = 2_000_000
 #: Keys that meet in one task, and keys that a map task combines before it sends them.
@@ -108,6 +114,20 @@ def group_keys(values: np.ndarray, bounds: np.ndarray, bands: Bands) -> tuple[np
     return np.concatenate(keys), np.concatenate(texts)
 
 
+def rarest_keys(values: np.ndarray, bounds: np.ndarray, percent: int, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, text) for the rarest shingles of every text: all but those that a linked set must share, and one more."""
+    sizes = np.diff(bounds)
+    texts = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((values, counts[_cells(values)], texts))
+    place = np.arange(len(values)) - np.repeat(bounds[:-1], sizes)
+    first = place < np.repeat(sizes - -(-sizes * percent // 100) + 1, sizes)
+    return values[order][first], texts[first]
+
+
+def _cells(values: np.ndarray) -> np.ndarray:
+    return (values % np.uint64(CELLS)).astype(np.int64)
+
+
 def _hubs(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The different keys, the smallest id of each, and the different pairs (id, smallest id of one of its keys)."""
     order = np.lexsort((ids, keys))
@@ -149,9 +169,34 @@ def _signatures(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(read, "doc_id long, n long, low long, high long")
 
 
+def _shingle_counts(docs: DataFrame, length: int) -> np.ndarray:
+    """For each cell the texts that hold its shingles, up to 65,535; summed in the map task first."""
+
+    def read(batches):
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for _, _, values, _ in _pieces_of(batch, length):
+                total += np.bincount(_cells(values), minlength=CELLS)
+        parts = np.minimum(total, 65_535).astype(np.uint16).reshape(SLICES, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES)), pa.array([x.tobytes() for x in parts], pa.binary())], ["slice", "counts"])
+
+    def add(key, table):
+        total = np.zeros(CELLS // SLICES, np.int64)
+        for x in table["counts"].to_pylist():
+            total += np.frombuffer(x, np.uint16)
+        return pa.table({"slice": pa.array([key[0].as_py()]), "counts": pa.array([np.minimum(total, 65_535).astype(np.uint16).tobytes()], pa.binary())})
+
+    kind = "slice long, counts binary"
+    counts = np.zeros((SLICES, CELLS // SLICES), np.uint16)
+    for r in docs.mapInArrow(read, kind).groupBy("slice").applyInArrow(add, kind).collect():
+        counts[r["slice"]] = np.frombuffer(r["counts"], np.uint16)
+    return counts.ravel()
+
+
 def _keys(docs: DataFrame, length: int, percent: int, buckets: int) -> DataFrame:
-    """Group keys and their smallest ids by bucket (0 and up), and the pairs that the task has found itself (-1)."""
-    bands = Bands(percent)
+    """Keys and their smallest ids by bucket (0 and up), and the pairs that the task has found itself (-1)."""
+    bands, grouped = Bands(percent), percent >= GROUPED
+    counts = None if grouped else docs.sparkSession.sparkContext.broadcast(_shingle_counts(docs, length))
 
     def rows(bucket, ids, keys) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(ids, pa.binary()), pa.array(keys, pa.binary())], ["bucket", "ids", "keys"])
@@ -170,7 +215,7 @@ def _keys(docs: DataFrame, length: int, percent: int, buckets: int) -> DataFrame
         for batch in batches:
             known, numbers = np.asarray(batch.column(0).is_valid()), np.asarray(batch.column(0).fill_null(0))
             for a, b, values, bounds in _pieces_of(batch, length):
-                keys, texts = group_keys(values, bounds, bands)
+                keys, texts = group_keys(values, bounds, bands) if grouped else rarest_keys(values, bounds, percent, counts.value)
                 use = known[a:b][texts]
                 held.append((keys[use], numbers[a:b][texts[use]]))
                 n_held += len(held[-1][0])

@@ -136,6 +136,23 @@ def test_near_copies_of_odd_rows(odd, empty):
     assert jaccard.near_duplicates(empty).count() == jaccard.keep_first(empty).count() == 0
 
 
+def test_linked_sets_share_a_rare_key_and_a_common_passage_is_none():
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    passage = rng.integers(1 << 63, size=40, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([passage, rng.integers(1 << 63, size=60, dtype=np.uint64)])) for _ in range(30)]
+    sets += [np.unique(np.concatenate([s[rng.random(len(s)) > rng.uniform(0, 0.2)], rng.integers(1 << 63, size=int(rng.integers(12)), dtype=np.uint64)])) for s in sets]
+    values, bounds = np.concatenate(sets), np.cumsum([0, *map(len, sets)])
+    counts = np.bincount(jaccard._cells(values), minlength=jaccard.CELLS).astype(np.uint16)
+    keys, texts = jaccard.rarest_keys(values, bounds, 80, counts)
+    own = [set(keys[texts == i].tolist()) for i in range(len(sets))]
+    plainly = [set(s.tolist()) for s in sets]
+    alike = [(i, j) for i in range(60) for j in range(i) if 5 * len(plainly[i] & plainly[j]) >= 4 * len(plainly[i] | plainly[j])]
+    assert alike and all(own[i] & own[j] for i, j in alike)
+    assert not any(own[i] & own[j] for i in range(30) for j in range(i))
+
+
 # -- decontamination ---------------------------------------------------------------------------------------------------------
 
 
