@@ -13,7 +13,7 @@ never listed are dropped by the join alone; nothing is broadcast by assumption.
 Defined results: a null or malformed URL has no key and is not blocked, a null fetch time is matched by nothing, an
 entry without pattern or date is ignored, of entries for a pattern at one time the removal wins, captures that
 repeat are judged each for itself, an empty list blocks nothing and an empty table gives none. Hosts are compared in
-lower case, without port, user or trailing dot; queries and fragments play no part.
+lower case, without port, user or trailing dot; paths keep their case, in patterns as in URLs; queries and fragments play no part.
 """
 
 from __future__ import annotations
@@ -51,7 +51,8 @@ def validity(entries: DataFrame) -> DataFrame:
     """Intervals of (list, pattern, action, at) entries: list, key, since, until (open where null). ``action`` is add or
     remove; ``at`` is in seconds."""
     dated = entries.filter("pattern IS NOT NULL AND at IS NOT NULL AND action IN ('add', 'remove')")
-    state = dated.groupBy("list", F.lower("pattern").alias("key"), "at").agg(F.bool_and(F.col("action") == "add").alias("added"))
+    key = F.concat(F.lower(F.substring_index("pattern", "/", 1)), F.regexp_extract("pattern", "(?s)/.*", 0))
+    state = dated.groupBy("list", key.alias("key"), "at").agg(F.bool_and(F.col("action") == "add").alias("added"))
     history = Window.partitionBy("list", "key").orderBy("at")
     changed = state.withColumn("before", F.lag("added", 1, False).over(history)).filter("added <> before")
     return changed.withColumn("until", F.lead("at").over(history)).filter("added").select("list", "key", F.col("at").alias("since"), "until")

@@ -398,3 +398,10 @@ def test_urls_are_judged_at_their_time(spark):
         assert got == {k: (bool(w), len(w)) for k, (_, _, w) in enumerate(rows)}
     assert url_filter.judge(captures, entries.limit(0)).filter("blocked").isEmpty() and url_filter.judge(captures.limit(0), entries).isEmpty()
     assert T.BooleanType() == url_filter.judge(captures, entries).schema["blocked"].dataType
+
+
+def test_paths_of_patterns_keep_their_case(spark):
+    rows = [("http://Case.example/Blog/x", True), ("http://case.example/blog/x", False), ("http://case.example/Blog/", True)]
+    captures = spark.createDataFrame([(u, 10, w) for u, w in rows], "url string, fetched_at long, want boolean")
+    entries = spark.createDataFrame([("a", "CASE.example/Blog/", "add", 1), ("a", "case.example/blog/", "remove", 5)], "list string, pattern string, action string, at long")
+    assert url_filter.judge(captures, entries).filter("blocked <> want").isEmpty()
