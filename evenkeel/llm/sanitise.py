@@ -1,15 +1,16 @@
 """Personal data by patterns and by what the corpus discloses about it, with DataFrame functions only.
 
-Patterns find the protected entities: e-mail and IP addresses, card and phone numbers. A word near an entity then
-counts as disclosing it when the corpus ties the two together: with N documents, of which n(e) hold the entity, n(t)
-the word and n(t, e) the word near the entity, the word's information about it is log2(N n(t, e) / (n(t) n(e))), and
-all that can be known is log2(N / n(e)). Words whose share of that is at least ``DISCLOSURE`` are spans as well,
-wherever they stand near that entity, if at least ``SUPPORT`` different texts say so.
-
-The texts are read twice: for entities with their surroundings, and for the counts n(t). The second reading counts only
-words whose hash is marked by a candidate, in a mask of ``MASK_BITS`` bits whatever the size of the corpus; a mark that
-several words share costs time, not correctness. Counts are summed in the map task before they are moved, so no entity
-or word is too frequent.
+Patterns find the protected entities: e-mail and IP addresses, card and phone numbers. A word of a text that holds an
+entity then counts as disclosing it when the corpus ties the two together: with N documents, of which n(e) hold the
+entity, n(t) the word and n(t, e) both, the word's information about it is log2(N n(t, e) / (n(t) n(e))), and all that
+can be known is log2(N / n(e)). Words whose share of that is at least ``DISCLOSURE`` are spans as well, wherever they
+stand in a text with that entity, if at least ``SUPPORT`` different texts say so. Words are runs of letters, marks and
+digits that do not overlap an entity.
+
+The texts are read twice: for entities, and for the counts n(t). Words are paired only with entities that ``SUPPORT``
+different texts hold, as no other can be disclosed. The second reading counts only words whose hash is marked by a
+candidate, in a mask of ``MASK_BITS`` bits whatever the size of the corpus; a mark that several words share costs time,
+not correctness. Counts are summed in the map task before they are moved, so no entity or word is too frequent.
 
 Defined results: a null text is empty, an empty text has no spans, repeated rows are counted and answered each for
 itself, null ids are kept, an empty table gives none. Offsets are code points, ends are exclusive.
@@ -22,9 +23,10 @@ from pyspark.sql import functions as F
 
 from evenkeel.sources.tables import snapshot
 
-DISCLOSURE, SUPPORT, NEAR_CHARS, MASK_BITS = 0.9, 2, 80, 1 << 20
+DISCLOSURE, SUPPORT, MASK_BITS = 0.9, 2, 1 << 20
 KINDS = ("email", "ip", "card", "phone", "term")
-_TERM = r"\p{L}{3,}"
+_LETTER = r"[\p{L}\p{M}\p{N}]"
+_TERM = _LETTER + "++"
 # The patterns accept what the plain ones do, but start only where a match can start, so long runs cost linear time.
 _LOCAL = r"A-Za-z0-9._%+-"
 _PATTERNS = {
@@ -55,7 +57,7 @@ _LOOKS = {"email": lambda t: F.contains(t, F.lit("@")), "ip": lambda t: t.rlike(
           "phone": lambda t: F.contains(t, F.lit("+"))}
 
 
-def located(text: Column, pattern: str) -> Column:
+def located(text: Column, pattern: str | Column) -> Column:
     """All matches of a pattern from left to right as an array of (start, end, value): what lies between the matches
     and the matches themselves give the places."""
     between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
@@ -83,14 +85,25 @@ def _entities(text: Column) -> Column:
     return F.concat(*[of(number, kind) for number, kind in enumerate(KINDS[:4])])
 
 
-def _surroundings(entities: DataFrame) -> DataFrame:
-    """row, digest, entity, term, start, end: the words near every entity of every row."""
-    one = entities.select("row", "digest", F.explode("near").alias("e"))
-    value = F.when(F.col("e.kind") == 0, F.lower("e.value")).when(F.col("e.kind") == 1, F.col("e.value")).otherwise(_digits(F.col("e.value")))
-    sides = F.array(F.struct(F.col("e.left_at").alias("at"), F.col("e.left").alias("part")), F.struct(F.col("e.end").alias("at"), F.col("e.right").alias("part")))
-    one = one.select("row", "digest", F.concat_ws(":", "e.kind", value).alias("entity"), F.explode(sides).alias("side"))
-    one = one.select("row", "digest", "entity", "side.at", F.explode(located(F.col("side.part"), _TERM)).alias("t"))
-    return one.select("row", "digest", "entity", F.lower("t.value").alias("term"), (F.col("at") + F.col("t.start")).alias("start"), (F.col("at") + F.col("t.end")).alias("end"))
+def _name(e: Column) -> Column:
+    """An entity's kind and value, as equal ones have them."""
+    value = F.when(e["kind"] == 0, F.lower(e["value"])).when(e["kind"] == 1, e["value"]).otherwise(_digits(e["value"]))
+    return F.concat_ws(":", e["kind"], value)
+
+
+def _words(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_TERM), 0), F.lower))
+
+
+def _outside(text: Column, entities: Column) -> Column:
+    """The text with each entity, and the rest of a word that it cuts, blanked."""
+    ordered = F.array_sort(F.transform(entities, lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end"))))
+    blank = lambda t, e: F.concat(
+        F.regexp_replace(F.substring(t, F.lit(1), e["start"]), rf"{_LETTER}+$", ""),
+        F.repeat(F.lit(" "), F.length(t) - F.length(F.regexp_replace(F.substring(t, F.lit(1), e["start"]), rf"{_LETTER}+$", "")) - F.length(F.regexp_replace(F.substring(t, e["end"] + 1, F.length(t)), rf"^{_LETTER}+", ""))),
+        F.regexp_replace(F.substring(t, e["end"] + 1, F.length(t)), rf"^{_LETTER}+", ""),
+    )
+    return F.aggregate(ordered, text, blank)
 
 
 def _cell(term: Column) -> Column:
@@ -106,43 +119,44 @@ def _mask(terms: DataFrame) -> Column:
     return every.agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias("mask")).scalar()
 
 
-def disclosing(near: DataFrame, docs: DataFrame, text_col: str, disclosure: float, support: int) -> DataFrame:
+def disclosing(found: DataFrame, docs: DataFrame, text_col: str, disclosure: float, support: int) -> DataFrame:
     """entity, term: the words that disclose an entity."""
-    pairs = near.select("row", "digest", "entity", "term").distinct()
-    by_text = pairs.groupBy("entity", "term", "digest").agg(F.count(F.lit(1)).alias("n"))
+    held = found.select("row", "digest", F.explode("names").alias("entity"))
+    holders = held.groupBy("entity", "digest").agg(F.count(F.lit(1)).alias("n")).groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("n_texts"))
+    holders = snapshot(holders.filter(F.col("n_texts") >= support).drop("n_texts"), "holders")
+    named = held.join(holders, "entity").groupBy("row").agg(F.collect_set("entity").alias("names"))
+    pairs = found.select("row", "digest", "rest").join(named, "row").select("digest", "names", F.explode(_words(F.col("rest"))).alias("term"))
+    by_text = pairs.select("digest", "term", F.explode("names").alias("entity")).groupBy("entity", "term", "digest").agg(F.count(F.lit(1)).alias("n"))
     tied = by_text.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts"))
     tied = snapshot(tied.filter(F.col("n_texts") >= support), "tied-words")
-    holders = near.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     mask = _mask(tied.select("term").distinct())
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(_TERM), 0))
     cell = _cell(F.col("term"))
     marked = F.getbit(F.get(mask, F.floor(cell / 64).cast("int")), (cell % 64).cast("int")) == 1
-    n_term = docs.select(F.explode(words).alias("term")).filter(marked).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    n_term = docs.select(F.explode(_words(F.col(text_col))).alias("term")).filter(marked).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     known = tied.join(holders, "entity").join(n_term, "term").withColumn("every", F.lit(docs.count()))
     told = F.log2(F.col("every") * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
     return known.filter((F.col("every") > F.col("n_entity")) & (told >= disclosure * F.log2(F.col("every") / F.col("n_entity")))).select("entity", "term")
 
 
-def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT,
-                  near_chars: int = NEAR_CHARS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, row, base and terms, arrays of (kind, start, end); kind is a place in KINDS."""
+def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+    """One row per row of ``docs``: doc_id, row, digest (of a text with entities, else null), base and terms, arrays of
+    (kind, start, end); kind is a place in KINDS."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     whole = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), text.alias("text")).withColumn("found", _entities(F.col("text")))
-
-    def side(e):
-        left = F.greatest(e["start"] - near_chars, F.lit(0))
-        return F.struct(e["kind"].alias("kind"), e["start"].alias("start"), e["end"].alias("end"), e["value"].alias("value"), left.alias("left_at"),
-                        F.substring("text", left + 1, e["start"] - left).alias("left"), F.substring("text", e["end"] + 1, F.lit(near_chars)).alias("right"))
-
-    digest = F.when(F.size("found") > 0, F.xxhash64("text"))
-    found = snapshot(whole.select("doc_id", "row", digest.alias("digest"), F.transform("found", side).alias("near")), "entities")
-    near = snapshot(_surroundings(found.filter(F.size("near") > 0)), "surroundings")
-    words = snapshot(disclosing(near, docs, text_col, disclosure, support), "disclosing")
-    spans = near.join(words, ["entity", "term"]).select("row", F.struct(F.lit(4).alias("kind"), "start", "end").alias("span"))
-    terms = spans.groupBy("row").agg(F.sort_array(F.collect_set("span")).alias("terms"))
-    base = F.transform("near", lambda e: F.struct(e["kind"], e["start"], e["end"]))
+    some = F.size("found") > 0
+    found = whole.select("doc_id", "row", F.when(some, F.xxhash64("text")).alias("digest"), "found", F.when(some, _outside(F.col("text"), F.col("found"))).alias("rest"))
+    found = snapshot(found.withColumn("names", F.array_distinct(F.transform("found", _name))), "entities")
+    holding = found.filter(some)
+    words = snapshot(disclosing(holding, docs, text_col, disclosure, support), "disclosing")
+    told = holding.select("row", F.explode("names").alias("entity")).join(words, "entity").groupBy("row").agg(F.collect_set("term").alias("told"))
+    forms = F.filter(F.array_distinct(F.regexp_extract_all("rest", F.lit(_TERM), 0)), lambda w: F.array_contains("told", F.lower(w)))
+    pattern = F.concat(F.lit(f"(?<!{_LETTER})(?:"), F.array_join(forms, "|"), F.lit(f")(?!{_LETTER})"))
+    told = holding.select("row", "rest").join(told, "row").withColumn("pattern", pattern)
+    spans = F.transform(located(F.col("rest"), F.col("pattern")), lambda s: F.struct(F.lit(4).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    terms = told.select("row", spans.alias("terms"))
+    base = F.transform("found", lambda e: F.struct(e["kind"].alias("kind"), e["start"].alias("start"), e["end"].alias("end")))
     none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
-    return found.select("doc_id", "row", base.alias("base")).join(terms, "row", "left").withColumn("terms", F.coalesce("terms", none))
+    return found.select("doc_id", "row", "digest", base.alias("base")).join(terms, "row", "left").withColumn("terms", F.coalesce("terms", none))
 
 
 def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -347,6 +347,14 @@ def test_words_that_disclose_an_entity(spark):
     assert text[1] == "letter 1 from [TERM] near [EMAIL] with regards and greetings number 1" and text[12] == rows[5][1]
 
 
+def test_words_disclose_from_anywhere_in_the_text(spark):
+    gap = "and so on with more of the same " * 8
+    rows = [(i, f"Zebediah {i} {gap}ann@example.org {gap}zebediah x{i} Jo") for i in range(3)]
+    rows += [(10 + i, f"{gap} {i} x{i}") for i in range(40)]
+    found = sanitise.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).filter("size(terms) > 0").collect()
+    assert {r.doc_id: [rows[r.doc_id][1][s.start : s.end] for s in r.terms] for r in found} == {i: ["Zebediah", "zebediah", "Jo"] for i in range(3)}
+
+
 def test_personal_data_of_odd_rows(odd, empty):
     assert sanitise.personal_data(odd).count() == odd.count()
     assert sanitise.personal_data(empty).count() == sanitise.sanitised(empty).count() == 0
