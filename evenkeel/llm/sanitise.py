@@ -162,14 +162,16 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """doc_id and text with every span replaced by its kind; a word that overlaps an entity goes with it. One row per
     different id and text."""
-    found = personal_data(docs, id_col, text_col, **options).select("doc_id", F.concat("base", "terms").alias("spans")).filter(F.size("spans") > 0).dropDuplicates(["doc_id"])
+    found = personal_data(docs, id_col, text_col, **options).filter(F.size("base") > 0)
+    found = found.select(F.col("doc_id").alias("id"), F.col("digest").alias("of"), F.concat("base", "terms").alias("spans")).dropDuplicates(["id", "of"])
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     free = F.filter("spans", lambda s: ~F.exists("spans", lambda o: ((o["kind"] < s["kind"]) | ((o["kind"] == s["kind"]) & (o["start"] < s["start"]))) & (o["start"] < s["end"]) & (s["start"] < o["end"])))
     last_first = F.reverse(F.array_sort(F.transform(free, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))))
     put = lambda t, s: F.concat(F.substring(t, F.lit(1), s["start"]), F.get(names, s["kind"]), F.substring(t, s["end"] + 1, F.length(t)))
     text = F.coalesce(F.aggregate(last_first, F.col("text"), put), F.col("text"))
     one = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")).dropDuplicates(["doc_id", "text"])
-    return one.join(found, "doc_id", "left").select("doc_id", text.alias("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("of"))
+    return one.join(found, same, "left").select("doc_id", text.alias("text"))
 
 
 def _listed(spans: Column) -> Column:

@@ -355,6 +355,13 @@ def test_words_disclose_from_anywhere_in_the_text(spark):
     assert {r.doc_id: [rows[r.doc_id][1][s.start : s.end] for s in r.terms] for r in found} == {i: ["Zebediah", "zebediah", "Jo"] for i in range(3)}
 
 
+def test_sanitised_rows_of_one_id_and_without_id(spark):
+    rows = [(1, "a@b.org is first"), (1, "second is a@b.org"), (1, "third"), (None, "no id: 1.2.3.4"), (None, "no id: 1.2.3.4"), (None, "c@d.org"), (2, None)]
+    got = sanitise.sanitised(spark.createDataFrame(rows, "doc_id long, text string"), support=9)
+    want = [(None, "[EMAIL]"), (None, "no id: [IP]"), (1, "[EMAIL] is first"), (1, "second is [EMAIL]"), (1, "third"), (2, "")]
+    assert plain(got, "doc_id", "text") == want
+
+
 def test_personal_data_of_odd_rows(odd, empty):
     assert sanitise.personal_data(odd).count() == odd.count()
     assert sanitise.personal_data(empty).count() == sanitise.sanitised(empty).count() == 0
