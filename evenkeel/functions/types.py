@@ -13,8 +13,8 @@ NESTED = (T.ArrayType, T.MapType, T.StructType)
 TIMESTAMP = (T.TimestampType, T.TimestampNTZType)
 TEXT = (T.StringType, T.CharType, T.VarcharType)
 
-# Holds every bigint, and of a double all that matters beside one.
-WIDE = T.DecimalType(38, 18)
+# Digits of a decimal that a double always holds.
+_DOUBLE_DIGITS = 15
 
 # Decimal digits that hold every value of the integral type.
 _INTEGRAL_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
@@ -44,6 +44,13 @@ def _as_decimal(dtype: T.DataType) -> T.DecimalType:
     return T.DecimalType(_INTEGRAL_DIGITS[dtype.simpleString()], 0)
 
 
+def _beside_double(exact: T.DecimalType) -> T.DecimalType:
+    """The decimal in which a wide decimal or bigint meets a double: all its own digits, one more whole digit if there is
+    room for it, and as many places as are left."""
+    whole = exact.precision - exact.scale
+    return T.DecimalType(38, max(exact.scale, 38 - whole - 1))
+
+
 def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
     """The type both sides can be cast to without losing a difference; ``None`` if there is none."""
     if isinstance(a, TEXT) and isinstance(b, TEXT):
@@ -56,10 +63,11 @@ def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
         if isinstance(date, T.DateType) and isinstance(time, TIMESTAMP):
             return T.TimestampType()
     if is_numeric(a) and is_numeric(b):
-        if T.LongType() in (a, b) and isinstance(a if b == T.LongType() else b, FLOATING):
-            return WIDE
         if isinstance(a, FLOATING) or isinstance(b, FLOATING):
-            return T.DoubleType()
+            other = b if isinstance(a, FLOATING) else a
+            if isinstance(other, FLOATING) or _as_decimal(other).precision <= _DOUBLE_DIGITS:
+                return T.DoubleType()
+            return _beside_double(_as_decimal(other))
         if isinstance(a, INTEGRAL) and isinstance(b, INTEGRAL):
             return T.LongType()
         da, db = _as_decimal(a), _as_decimal(b)
@@ -71,12 +79,16 @@ def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
     return None
 
 
-def converted(e: str, dtype: T.DataType, to: T.DataType) -> str:
-    """A value in the common type. A double that no bigint equals, as it is too large or not a number, becomes a
-    number that no bigint has."""
-    if isinstance(dtype, FLOATING) and to == WIDE:
-        beyond = f"CAST('{'9' * 20}' AS {to.simpleString()})"
-        return f"if(abs({e}) < 1e19D, CAST({e} AS {to.simpleString()}), if({e} IS NULL, NULL, {beyond}))"
+def converted(e: str, dtype: T.DataType, to: T.DataType, exact: bool = True) -> str:
+    """A value in the common type. A double beside a wide decimal or bigint is the decimal that its shortest text names.
+    One that is too large for it or not a number becomes the largest decimal of the type, which the other side does not
+    reach (unless it has 38 digits itself); so does one with more places than fit, if it is to be ``exact``, as nothing
+    there can equal it; else it is rounded to the places that fit."""
+    if isinstance(dtype, FLOATING) and isinstance(to, T.DecimalType):
+        cast, whole = f"try_cast({e} AS {to.simpleString()})", to.precision - to.scale
+        beyond = f"CAST('{'9' * whole}{'.' + '9' * to.scale if to.scale else ''}' AS {to.simpleString()})"
+        held = f"if(CAST({cast} AS DOUBLE) = CAST({e} AS DOUBLE), {cast}, NULL)" if exact else cast
+        return f"if({e} IS NULL, NULL, coalesce({held}, {beyond}))"
     return f"CAST({e} AS {to.simpleString()})"
 
 

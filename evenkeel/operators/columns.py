@@ -51,8 +51,9 @@ def schema_drift(source: DataFrame, target: DataFrame) -> DataFrame:
     return literal_frame(source.sparkSession, rows, DRIFT_SCHEMA)
 
 
-def align(source: DataFrame, target: DataFrame, columns) -> tuple[DataFrame, DataFrame]:
-    """Project both sides to ``columns`` under one type each; text where no common type exists."""
+def align(source: DataFrame, target: DataFrame, columns, exact: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Project both sides to ``columns`` under one type each; text where no common type exists. ``exact`` says whether a
+    double may equal a decimal of which it differs in places beyond those of the common type."""
     left, right = [], []
     for c in columns:
         s, t, q = type_of(source, c), type_of(target, c), sqltext.name(c)
@@ -61,7 +62,7 @@ def align(source: DataFrame, target: DataFrame, columns) -> tuple[DataFrame, Dat
             if shared is None:
                 out.append(f"{canonical(q, dtype)} AS {q}")
             else:
-                out.append(q if dtype == shared else f"{converted(q, dtype, shared)} AS {q}")
+                out.append(q if dtype == shared else f"{converted(q, dtype, shared, exact)} AS {q}")
     return source.selectExpr(*left), target.selectExpr(*right)
 
 

@@ -109,7 +109,7 @@ def column_findings(
     if _size(suspects) <= _BROADCAST_BYTES:
         suspects = F.broadcast(suspects)
     values = sorted(c for c in columns if c not in set(keys))
-    s, t = align(source, target, _sorted_union(columns, keys))
+    s, t = align(source, target, _sorted_union(columns, keys), exact=tolerance <= 0)
 
     row = sqltext.struct({c: name(c) for c in values}) if values else "named_struct('none', 1)"
     kind = s.selectExpr(f"{row} AS r").schema["r"].dataType.simpleString()

@@ -17,14 +17,15 @@ from evenkeel.operators.columns import align
 from evenkeel.sources.tables import snapshot
 
 
-def _aligned(source: DataFrame, target: DataFrame, columns) -> tuple[DataFrame, DataFrame]:
+def aligned(source: DataFrame, target: DataFrame, columns, form) -> tuple[DataFrame, DataFrame]:
+    """Both sides under the types in which a keyless mode compares them."""
     if not columns:
         raise ConfigError("no columns to compare after applying the skip list and the drift policy")
-    return align(source, target, columns)
+    return align(source, target, columns, exact=not form.get("round_decimals") or form.get("decimals") is None)
 
 
 def _tagged(source: DataFrame, target: DataFrame, columns, form) -> DataFrame:
-    s, t = _aligned(source, target, columns)
+    s, t = aligned(source, target, columns, form)
 
     def tag(df: DataFrame, *side: str) -> DataFrame:
         return df.selectExpr(f"unhex({row_digest(df, columns, **form)}) AS __digest", *side)
@@ -108,7 +109,7 @@ def _with_evidence(picked: DataFrame, source: DataFrame, target: DataFrame, colu
         hit = df.selectExpr("*", f"coalesce(unhex({row_digest(df, columns, **form)}), X'') AS __digest").join(picked_by, "__digest")
         return hit.selectExpr(f"{row_json(df, columns, **form)} AS evidence", *[f"__facts.{c}" for c in facts])
 
-    s, t = _aligned(source, target, columns)
+    s, t = aligned(source, target, columns, form)
     return found(s).unionByName(found(t)).distinct()
 
 
@@ -151,5 +152,5 @@ def excess_rows(
 
 def except_all(left: DataFrame, right: DataFrame, columns, **form) -> DataFrame:
     """Canonical rows of ``left`` that ``right`` lacks, copies counted."""
-    a, b = align(left, right, columns)
+    a, b = aligned(left, right, columns, form)
     return canonical_rows(a, columns, **form).exceptAll(canonical_rows(b, columns, **form))

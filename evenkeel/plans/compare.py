@@ -15,7 +15,7 @@ from evenkeel.errors import ConfigError, SchemaDrift
 from evenkeel.functions.canonical import decimals_for
 from evenkeel.functions.literals import literal_frame
 from evenkeel.functions.sqltext import any_null
-from evenkeel.operators import counts, keyed, keys as key_ops, multiset
+from evenkeel.operators import counts, keyed, keys as key_ops, multiset, segments
 from evenkeel.operators.columns import resolve_columns
 from evenkeel.plans.config import missing_keys_message, route
 from evenkeel.plans.verdict import append_run, as_result, samples_audit
@@ -59,8 +59,8 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool =
     """Plan the comparison of two frames. Schema drift raises; every other finding is in the outcome.
 
     With ``keep`` the findings are written to the shared folder first, so that outcome and samples come
-    from one pass. Without it nothing runs here, except for ``advanced``: its digest pass decides for which
-    keys the columns are compared one by one.
+    from one pass. Without it nothing runs here, except for ``advanced``, whose digest pass decides for which
+    keys the columns are compared one by one, and for diffs by segments, whose sums decide which rows are.
     """
     spark = source.sparkSession
     use_utc(spark)
@@ -87,8 +87,11 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool =
         if mode == "advanced_no_pk":
             form |= {"decimals": decimals_for(spec.effective_tolerance), "round_decimals": True}
             pick = multiset.excess_rows
-        buckets = multiset.row_buckets(source, target, columns, **form)
-        if keep:
+        if spec.by_segments:
+            buckets = segments.keyless_segments(source, target, columns, **form)
+        else:
+            buckets = multiset.row_buckets(source, target, columns, **form)
+        if keep and not spec.by_segments:
             buckets = snapshot(multiset.condensed(buckets), "buckets")
         return Comparison(
             mode, multiset.multiset_outcome(buckets, mode),
@@ -103,11 +106,13 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool =
     label = "hash_diff" if mode == "hash" else "value_diff"
     if mode == "advanced":
         findings = keyed.column_findings(source, target, spec.keys, columns, spec.effective_tolerance)
+    elif spec.by_segments:
+        findings = segments.keyed_segments(source, target, spec.keys, columns, spec.unique_keys, **form)
     else:
         findings = keyed.hash_pairs(source, target, spec.keys, columns, **form)
         if keep:
             findings = keyed.condensed(findings, spec.keys)
-    if keep:
+    if keep and not (spec.by_segments and mode == "hash"):
         findings = snapshot(findings, "findings")
     return Comparison(
         mode, keyed.keyed_outcome(findings, mode, label),

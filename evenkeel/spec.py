@@ -131,7 +131,9 @@ SCENARIO_SCHEMA = T.StructType([
 @dataclass(frozen=True)
 class TableSpec:
     """How one pair of tables is compared. Only ``None`` stands for a default; 0 is a real value. All
-    evidence is kept unless ``sample_cap`` asks for so many rows of a class."""
+    evidence is kept unless ``sample_cap`` asks for so many rows of a class. ``by_segments`` makes the hash modes look
+    for segments that differ before they move rows; ``unique_keys`` says that a constraint keeps the keys of both sides
+    unique and without nulls, which then is not checked where the sides are equal."""
 
     name: str
     mode: str
@@ -142,6 +144,8 @@ class TableSpec:
     pk_fallback_strategy: str | None = None
     timestamp_unit: str | None = None
     sample_cap: int | None = None
+    by_segments: bool = False
+    unique_keys: bool = False
     filter_column: str | None = None
     filter_column_source: str | None = None
     filter_days: int | None = None
