@@ -5,8 +5,8 @@ A bucket's gain is the logarithm of its share in the target over its share in th
 gain of its features, and Gumbel noise from its id turns "the highest scores" into a draw without replacement.
 
 Text has few words that are very frequent, and very many others. The frequent ones are the head: all tasks count their
-words and pairs, what has a share of one in ``HEAD_SHARE`` somewhere is summed over the corpus, and the most frequent
-``HEAD_WORDS`` words and ``HEAD_PAIRS`` pairs are broadcast, a bounded table. A head word comes with the state in which
+words and pairs, and those that make up one in ``HEAD_SHARE`` of all words are broadcast, of which there can be no more
+than ``HEAD_SHARE`` words and as many pairs at any size of the corpus. A head word comes with the state in which
 its CRC leaves the checksum, alone and followed by a space, and a head pair with its bucket, so that their bytes are not
 read again. Any other feature, the tail, gets its CRC directly; a pair that begins with a head word goes on from that
 word's state. Both ways give the same bucket, so totals are exact and do not depend on what is in the head.
@@ -35,10 +35,10 @@ from evenkeel.sources.tables import snapshot
 
 # Buckets, seed of the noise, share drawn, words that a document needs.
 BUCKETS, SEED, PERCENT, LEAST_WORDS = 10_000, 7, 25, 20
-#: Size of the head.
-HEAD_WORDS, HEAD_PAIRS = 1 << 13, 1 << 15
-#: Words that a task counts at a time, and the share of them from which a word or pair may belong to the head.
-COUNTED_WORDS, HEAD_SHARE = 1 << 18, 20_000
+#: A word or pair belongs to the head if it is one in so many words; also the largest number of either in the head.
+HEAD_SHARE = 20_000
+#: Words that a task counts at a time; what is rarer among them than half that share is not counted on.
+COUNTED_WORDS = 1 << 18
 
 
 class Vocabulary:
@@ -87,19 +87,16 @@ def frequent(texts: DataFrame) -> tuple[list[bytes], list[tuple[bytes, bytes]]]:
         yield listed(words, pairs, n)
 
     def listed(words: Counter, pairs: Counter, n: int) -> pa.RecordBatch:
-        least = max(2, n // HEAD_SHARE)
-        rows = [(w, None, k) for w, k in words.items() if k >= least] + [(a, b, k) for (a, b), k in pairs.items() if k >= least]
+        least = max(2, n // (2 * HEAD_SHARE))
+        rows = [(None, None, n)] + [(w, None, k) for w, k in words.items() if k >= least] + [(a, b, k) for (a, b), k in pairs.items() if k >= least]
         kinds = (pa.binary(), pa.binary(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["a", "b", "n"])
 
     counted = texts.mapInArrow(count, "a binary, b binary, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
     counted = snapshot(counted, "frequent")
-
-    def top(which: str, k: int) -> list:
-        return counted.filter(which).orderBy(F.desc("n"), "a", "b").limit(k).collect()  # a head of fixed size
-
-    words, pairs = top("b IS NULL", HEAD_WORDS), top("b IS NOT NULL", HEAD_PAIRS)
-    return [bytes(r.a) for r in words], [(bytes(r.a), bytes(r.b)) for r in pairs]
+    total = counted.filter("a IS NULL").agg(F.sum("n")).first()[0] or 0
+    head = counted.filter((F.col("n") * HEAD_SHARE >= total) & F.col("a").isNotNull()).collect()  # HEAD_SHARE words and pairs at most
+    return [bytes(r.a) for r in head if r.b is None], [(bytes(r.a), bytes(r.b)) for r in head if r.b is not None]
 
 
 def bucket_totals(texts: DataFrame, vocabulary) -> DataFrame:
