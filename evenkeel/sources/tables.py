@@ -6,7 +6,9 @@ import tempfile
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -110,26 +112,32 @@ def copy_to_catalog(df: DataFrame, table: str, mode: str = "overwrite", file_for
 
 @dataclass(frozen=True)
 class CopyJob:
-    """A table to copy. ``read`` is called at copy time, so a bad source fails that table alone."""
+    """A table to copy. ``read`` is called at copy time, so a bad source fails that table alone. With a ``window`` (time
+    column, start, end) the copy replaces the days of that window and can be repeated (``copies.copy_window``)."""
 
     table: str
     read: Callable[[], DataFrame]
     path: str
     mode: str = "overwrite"
+    window: tuple[str, datetime, datetime] | None = None
 
 
-def copy_tables(spark: SparkSession, jobs) -> DataFrame:
-    """Copy each table; a failure is recorded and does not stop the others."""
-    rows = []
-    for job in jobs:
+def copy_tables(spark: SparkSession, jobs, parallel: int = 4) -> DataFrame:
+    """Copy the tables, ``parallel`` at a time; a failure is recorded and does not stop the others."""
+    from evenkeel.sources.copies import copy_window
+
+    def copied(job: CopyJob) -> tuple:
         began = time.monotonic()
         try:
             safe_name(job.table, "table name")
-            n, status, error = copy_table(job.read(), job.path, job.mode), "success", None
+            n = copy_window(job.read(), job.path, *job.window) if job.window else copy_table(job.read(), job.path, job.mode)
+            status, error = "success", None
         except Exception as failure:  # noqa: BLE001 - isolation is the point
             n, status, error = 0, "failed", str(failure)
-        rows.append((job.table, status, n, time.monotonic() - began, error))
-    return literal_frame(spark, rows, COPY_SCHEMA)
+        return job.table, status, n, time.monotonic() - began, error
+
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        return literal_frame(spark, list(pool.map(copied, jobs)), COPY_SCHEMA)
 
 
 def copy_summary(results: DataFrame) -> DataFrame:
@@ -149,15 +157,15 @@ def fail_if_any(results: DataFrame, failing, name: str = "table_name", context:
         raise ParityFailure(f"{context}: failed for {', '.join(names)}{more}")
 
 
-
-
 def merge_into(path: str, source: DataFrame, keys, delete_unmatched: bool = False) -> DataFrame:
     """Merge a frame into the parquet table at a path and return the table; a table that is not there is created.
 
-    The merged table is written beside the old one and takes its place by two renames, so readers see the old
-    or the new rows and a failed merge changes nothing. After a crash between the renames the old table is at
-    ``<path>.old-*``. One merge at a time may run on a table.
+    The merged table is written beside the old one, in its partitions, and takes its place by two renames, so readers see
+    the old or the new rows and a failed merge changes nothing. After a crash between the renames the old table is at
+    ``<path>.old-*``. One merge at a time may run on a table. ``merges.merge_touched`` rewrites only the files it must.
     """
+    from evenkeel.sources.files import Folder, partition_columns
+
     spark = source.sparkSession
     check_merge_source(source, keys)
     jvm = spark._jvm
@@ -165,8 +173,9 @@ def merge_into(path: str, source: DataFrame, keys, delete_unmatched: bool = Fals
     fs, mark = table.getFileSystem(spark._jsc.hadoopConfiguration()), uuid.uuid4().hex
     staged, old = (jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.{kind}-{mark}") for kind in ("new", "old"))
     there = fs.exists(table)
+    parts = partition_columns(Folder(spark, path).data_files()) if there else []
     merged = upsert_merge(spark.read.parquet(path), source, keys, delete_unmatched=delete_unmatched) if there else source
-    merged.write.parquet(staged.toString())
+    (merged.hint("rebalance", *parts).write.partitionBy(*parts) if parts else merged.write).parquet(staged.toString())
     for before, after in ([(table, old)] if there else []) + [(staged, table)]:
         if not fs.rename(before, after):
             raise ConfigError(f"cannot rename {before} to {after}")
