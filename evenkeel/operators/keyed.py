@@ -19,6 +19,7 @@ from evenkeel.functions.topk import top_per_group
 from evenkeel.functions.types import as_text, type_of
 from evenkeel.operators.columns import align
 from evenkeel.operators.keys import require_keys
+from evenkeel.operators.sieve import sieved
 from evenkeel.sources.tables import snapshot
 from evenkeel.spec import PRESENT
 
@@ -92,30 +93,37 @@ def _size(df: DataFrame) -> int:
 
 
 def column_findings(
-    source: DataFrame, target: DataFrame, keys, columns, tolerance: float = 0.0, digests: DataFrame | None = None
+    source: DataFrame, target: DataFrame, keys, columns, tolerance: float = 0.0, digests: DataFrame | None = None,
+    broadcast_bytes: int = _BROADCAST_BYTES,
 ) -> DataFrame:
     """Condensed pairs under the tolerance: ``diff_class`` (``value_diff`` in place of ``hash_diff``)
     and ``diffs``, an array with one (column_name, source_value, target_value) per differing column.
 
     Two passes: digests find the keys that may differ, then full rows are fetched for these alone.
     The first pass runs at once, because the size of these keys decides how they are joined: up to
-    ``_BROADCAST_BYTES`` they are broadcast and no other row is shuffled; beyond, both sides are shuffled
-    by key. Both sides' rows and the suspects themselves then meet in one ``groupBy`` on the key, so the
+    ``broadcast_bytes`` they are broadcast and no other row is shuffled; beyond, a filter of the keys keeps all but a
+    few other rows from that. Both sides' rows and the suspects themselves then meet in one ``groupBy`` on the key, so the
     counts are those of the first pass, and a row that has gone since is reported as a difference.
     """
     found = exact_findings(source, target, keys, columns) if digests is None else digests
     suspects = found.filter("diff_class = 'hash_diff'").select(*names(keys))
-    known = suspects
-    if _size(suspects) <= _BROADCAST_BYTES:
+    known, n_many = suspects, 0
+    if _size(suspects) <= broadcast_bytes:
         suspects = F.broadcast(suspects)
+    else:
+        n_many = max(1, suspects.count())
     values = sorted(c for c in columns if c not in set(keys))
     s, t = align(source, target, _sorted_union(columns, keys), exact=tolerance <= 0)
 
     row = sqltext.struct({c: name(c) for c in values}) if values else "named_struct('none', 1)"
     kind = s.selectExpr(f"{row} AS r").schema["r"].dataType.simpleString()
 
+    key_hash = f"xxhash64({', '.join(names(keys))})"  # suspects have no nulls in their keys
+
     def rows(df: DataFrame, side: str) -> DataFrame:
         sides = [f"{row if x == side else f'CAST(NULL AS {kind})'} AS __{x}" for x in ("source", "target")]
+        if n_many:
+            df = sieved(df, key_hash, known, key_hash, n_many)
         return df.join(suspects, list(keys), "left_semi").selectExpr(*names(keys), *sides, "false AS __asked")
 
     asked = known.selectExpr(*names(keys), *[f"CAST(NULL AS {kind}) AS __{x}" for x in ("source", "target")], "true AS __asked")

@@ -14,6 +14,7 @@ from evenkeel.errors import ConfigError
 from evenkeel.functions.canonical import canonical_rows, row_digest, row_json
 from evenkeel.functions.topk import top_per_group
 from evenkeel.operators.columns import align
+from evenkeel.operators.sieve import sieved
 from evenkeel.sources.tables import snapshot
 
 
@@ -95,26 +96,32 @@ def multiset_outcome(buckets: DataFrame, mode: str) -> DataFrame:
     )
 
 
-def _with_evidence(picked: DataFrame, source: DataFrame, target: DataFrame, columns, form) -> DataFrame:
-    """Attach the content of each picked row. A digest finds it; its text is made after the join, for picked
-    rows alone. The picks are counted first and broadcast while they are few; each is one row, so a join
-    cannot multiply."""
-    if picked.count() * _PICK_BYTES <= _BROADCAST_BYTES:
-        picked = F.broadcast(picked)
+def _with_evidence(picked: DataFrame, source: DataFrame, target: DataFrame, columns, form, broadcast_bytes: int) -> DataFrame:
+    """Attach the content of each picked row. A digest finds it; its text is made after the join, for picked rows alone.
+    The picks are counted first. While they are few they are broadcast; beyond, a filter of their digests keeps all but a
+    few other rows from being shuffled. Each pick is one row, so a join cannot multiply, and one whose row has gone since
+    is kept and says so."""
+    n = picked.count()
+    few = n * _PICK_BYTES <= broadcast_bytes
+    marks = F.broadcast(picked.select("__digest")) if few else picked.select("__digest")
     facts = [c for c in picked.columns if c != "__digest"]
-    picked_by = picked.select("__digest", F.struct(*facts).alias("__facts"))
+    s, t = aligned(source, target, columns, form)
 
     def found(df: DataFrame) -> DataFrame:
         # never null, so that the join needs no filter that would hash every row once more
-        hit = df.selectExpr("*", f"coalesce(unhex({row_digest(df, columns, **form)}), X'') AS __digest").join(picked_by, "__digest")
-        return hit.selectExpr(f"{row_json(df, columns, **form)} AS evidence", *[f"__facts.{c}" for c in facts])
+        rows = df.selectExpr("*", f"coalesce(unhex({row_digest(df, columns, **form)}), X'') AS __digest")
+        if not few:
+            rows = sieved(rows, "__digest", marks, "__digest", n)
+        return rows.join(marks, "__digest").selectExpr("__digest", f"{row_json(df, columns, **form)} AS evidence", *[f"CAST(NULL AS {picked.schema[c].dataType.simpleString()}) AS {c}" for c in facts])
 
-    s, t = aligned(source, target, columns, form)
-    return found(s).unionByName(found(t)).distinct()
+    asked = picked.selectExpr("__digest", "CAST(NULL AS STRING) AS evidence", *facts)
+    met = found(s).unionByName(found(t)).unionByName(asked).groupBy("__digest").agg(*[F.expr(f"max({c}) AS {c}") for c in ("evidence", *facts)])
+    return met.filter(f"{facts[0]} IS NOT NULL").selectExpr("coalesce(evidence, 'row changed during the comparison') AS evidence", *facts)
 
 
 def bucket_samples(
-    source: DataFrame, target: DataFrame, columns, cap: int | None = None, buckets: DataFrame | None = None, **form
+    source: DataFrame, target: DataFrame, columns, cap: int | None = None, buckets: DataFrame | None = None,
+    broadcast_bytes: int = _BROADCAST_BYTES, **form
 ) -> DataFrame:
     """The diverging rows, or the first ``cap`` in digest order: content and copies on each side. ``buckets``
     are those of the same frames, if they are at hand."""
@@ -122,7 +129,7 @@ def bucket_samples(
     picked = found.filter("n_source <> n_target")
     if cap is not None:
         picked = picked.orderBy("__digest").limit(cap)
-    return _with_evidence(picked, source, target, columns, form).selectExpr(
+    return _with_evidence(picked, source, target, columns, form, broadcast_bytes).selectExpr(
         _BUCKET_CLASS,
         "evidence AS pk_values",
         "CAST(NULL AS STRING) AS column_name",
@@ -132,7 +139,8 @@ def bucket_samples(
 
 
 def excess_rows(
-    source: DataFrame, target: DataFrame, columns, cap: int | None = None, buckets: DataFrame | None = None, **form
+    source: DataFrame, target: DataFrame, columns, cap: int | None = None, buckets: DataFrame | None = None,
+    broadcast_bytes: int = _BROADCAST_BYTES, **form
 ) -> DataFrame:
     """Distinct surplus rows with their surplus; with a ``cap`` half of it for each side, in digest order."""
     found = snapshot(condensed(row_buckets(source, target, columns, **form)), "buckets") if buckets is None else buckets
@@ -141,7 +149,7 @@ def excess_rows(
         .selectExpr("__digest", "if(n_source > n_target, 'source', 'target') AS side", "abs(n_source - n_target) AS surplus")
     )
     picked = surplus if cap is None else top_per_group(surplus, ["side"], ["__digest"], max(1, cap // 2))
-    return _with_evidence(picked, source, target, columns, form).selectExpr(
+    return _with_evidence(picked, source, target, columns, form, broadcast_bytes).selectExpr(
         "concat('only_in_', side, '_no_pk') AS mismatch_type",
         "evidence AS pk_values",
         "CAST(NULL AS STRING) AS column_name",

@@ -15,7 +15,7 @@ from evenkeel.errors import ConfigError, SchemaDrift
 from evenkeel.functions.canonical import decimals_for
 from evenkeel.functions.literals import literal_frame
 from evenkeel.functions.sqltext import any_null
-from evenkeel.operators import counts, keyed, keys as key_ops, multiset, segments
+from evenkeel.operators import counts, keyed, keys as key_ops, multiset, segments, tolerant
 from evenkeel.operators.columns import resolve_columns
 from evenkeel.plans.config import missing_keys_message, route
 from evenkeel.plans.verdict import append_run, as_result, samples_audit
@@ -60,7 +60,8 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool =
 
     With ``keep`` the findings are written to the shared folder first, so that outcome and samples come
     from one pass. Without it nothing runs here, except for ``advanced``, whose digest pass decides for which
-    keys the columns are compared one by one, and for diffs by segments, whose sums decide which rows are.
+    keys the columns are compared one by one, for diffs by segments, whose sums decide which rows are, and for
+    ``advanced_no_pk`` under a tolerance, which matches the rows that differ.
     """
     spark = source.sparkSession
     use_utc(spark)
@@ -83,15 +84,18 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool =
         if not columns:
             return _failed(spark, mode, "DATA_QUALITY_ERROR", f"{mode}: no columns to compare for '{spec.name}'; "
                            "shorten its skip list or change its drift policy")
-        pick = multiset.bucket_samples
+        pick, kept = multiset.bucket_samples, False
         if mode == "advanced_no_pk":
-            form |= {"decimals": decimals_for(spec.effective_tolerance), "round_decimals": True}
-            pick = multiset.excess_rows
-        if spec.by_segments:
-            buckets = segments.keyless_segments(source, target, columns, **form)
+            pick, form = multiset.excess_rows, form | {"decimals": decimals_for(spec.effective_tolerance), "round_decimals": True}
+        if mode == "advanced_no_pk" and spec.effective_tolerance > 0:
+            source, target = tolerant.aligned(source, target, columns)
+            form, kept = {"timestamp_unit": form["timestamp_unit"], "decimals": None}, True
+            buckets = tolerant.tolerant_buckets(source, target, columns, spec.effective_tolerance, timestamp_unit=form["timestamp_unit"])
+        elif spec.by_segments:
+            buckets, kept = segments.keyless_segments(source, target, columns, **form), True
         else:
             buckets = multiset.row_buckets(source, target, columns, **form)
-        if keep and not spec.by_segments:
+        if keep and not kept:
             buckets = snapshot(multiset.condensed(buckets), "buckets")
         return Comparison(
             mode, multiset.multiset_outcome(buckets, mode),

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evenkeel import TableSpec, compare
-from evenkeel.operators import segments
-from workload import keyed, keyless
-from workload.inputs import ORDERS_PAIR_SQL, load, orders_pair
+from evenkeel.operators import keyed as keyed_ops, multiset, pairing, segments
+from workload import keyed, keyless, wide
+from workload.inputs import ORDERS_PAIR_SQL, events_pair, load, orders_pair
 
 
 def diff_segments(spark, d):
@@ -39,15 +39,70 @@ def segment_sums(spark, d):
     return segments.segment_sums(source, target, ["o_orderkey"], source.columns)
 
 
+def diff_rows_tolerant(spark, d):
+    """Prices of all lines lie on either side of a rounding edge, some of them further apart than the tolerance."""
+    lines = load(spark, d, "lineitem")
+    low = lines.withColumn("l_extendedprice", F.expr("l_extendedprice + 0.0004999D"))
+    high = lines.withColumn("l_extendedprice", F.expr("l_extendedprice + if(l_orderkey % 500 = 3, 0.0025D, 0.0005001D)"))
+    return compare(low, high, TableSpec("lineitem", "advanced_no_pk", tolerance=0.001)).outcome
+
+
+def evidence_filtered(spark, d):
+    """The evidence of a keyless diff by a filter of digests, as for very many differing rows."""
+    return multiset.bucket_samples(*events_pair(spark, d), ["event_type", "user_id"], broadcast_bytes=0)
+
+
+def findings_filtered(spark, d):
+    """Differing columns of keyed rows by a filter of keys, as for very many differing rows."""
+    source, target = orders_pair(spark, d)
+    found = keyed_ops.column_findings(source, target, ["o_orderkey"], source.columns, 0.001, broadcast_bytes=0)
+    return keyed_ops.value_diffs(found, ["o_orderkey"])
+
+
+def pair_changes(spark, d):
+    """Lines without a key of which some changed in one column, some in two, and some went: rows per changed column."""
+    lines = load(spark, d, "lineitem").drop("l_linenumber")
+    changed = lines.filter("l_orderkey % 700 <> 9").withColumns({
+        "l_returnflag": F.expr("if(l_orderkey % 100 = 3, 'X', l_returnflag)"),
+        "l_linestatus": F.expr("if(l_orderkey % 100 IN (5, 7), 'Y', l_linestatus)"),
+        "l_quantity": F.expr("if(l_orderkey % 100 = 7, l_quantity + 1000, l_quantity)"),
+    })
+    return pairing.changes_by_column(pairing.pair_changes(lines, changed, lines.columns))
+
+
+def pair_changes_copies(spark, d):
+    """Events without a key: copies of a row that changed are paired by their number."""
+    events = load(spark, d, "events").select("user_id", "event_type")
+    changed = events.withColumn("event_type", F.expr("if(user_id % 10 = 3, concat(event_type, '?'), event_type)"))
+    return pairing.pair_changes(events, changed, events.columns).groupBy("change", "column_name", "source_value", "target_value").agg(
+        F.expr("CAST(sum(n_rows) AS BIGINT) AS n_rows"))
+
+
 QUERIES = {
     "diff_segments": diff_segments,
     "diff_segments_lineitem": diff_segments_lineitem,
     "diff_segments_rows": diff_segments_rows,
     "diff_segments_equal": diff_segments_equal,
     "segment_sums": segment_sums,
+    "diff_rows_tolerant": diff_rows_tolerant,
+    "evidence_filtered": evidence_filtered,
+    "findings_filtered": findings_filtered,
+    "pair_changes": pair_changes,
+    "pair_changes_copies": pair_changes_copies,
 }
 
 ORACLES = {
+    "diff_rows_tolerant": wide.keyless_sql(
+        "advanced_no_pk", "SELECT * FROM lineitem",
+        "SELECT * REPLACE (CASE WHEN l_orderkey % 500 = 3 THEN l_extendedprice + 0.002 ELSE l_extendedprice END AS l_extendedprice) FROM lineitem"),
+    "evidence_filtered": keyless.ORACLES["bucket_samples"],
+    "findings_filtered": keyed.ORACLES["value_diffs"],
+    "pair_changes": """SELECT 'changed' AS change, 'l_returnflag' AS column_name, COUNT(*) AS n_rows FROM lineitem WHERE l_orderkey % 700 <> 9 AND l_orderkey % 100 = 3
+        UNION ALL SELECT 'changed', 'l_linestatus', COUNT(*) FROM lineitem WHERE l_orderkey % 700 <> 9 AND l_orderkey % 100 = 5
+        UNION ALL SELECT 'only_in_target', NULL, COUNT(*) FROM lineitem WHERE l_orderkey % 700 <> 9 AND l_orderkey % 100 = 7
+        UNION ALL SELECT 'only_in_source', NULL, COUNT(*) FROM lineitem WHERE l_orderkey % 700 = 9 OR l_orderkey % 100 = 7""",
+    "pair_changes_copies": """SELECT 'changed' AS change, 'event_type' AS column_name, event_type AS source_value, event_type || '?' AS target_value, COUNT(*) AS n_rows
+        FROM events WHERE user_id % 10 = 3 GROUP BY event_type""",
     "diff_segments": keyed.ORACLES["diff_hash"],
     "diff_segments_lineitem": keyed.ORACLES["diff_hash_bad_keys"],
     "diff_segments_rows": keyless.ORACLES["diff_multiset_lineitem"],

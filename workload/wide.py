@@ -91,7 +91,7 @@ def _keyed_sql(table: str, mode: str, gone: str, changed: str) -> str:
           || rows_with_mismatches || ' {what}' END AS error_message FROM n"""
 
 
-def _keyless_sql(mode: str, source: str, target: str) -> str:
+def keyless_sql(mode: str, source: str, target: str) -> str:
     """The outcome of two multisets with equal totals."""
     return f"""WITH s AS ({source}), t AS ({target}), a AS (SELECT * FROM s EXCEPT ALL SELECT * FROM t), b AS (SELECT * FROM t EXCEPT ALL SELECT * FROM s),
         n AS (SELECT (SELECT COUNT(*) FROM s) AS source_count, (SELECT COUNT(*) FROM t) AS target_count, (SELECT COUNT(*) FROM a) AS rows_only_in_source,
@@ -108,10 +108,10 @@ ORACLES = {
     "diff_embeddings": _keyed_sql("embeddings", "advanced", "FALSE", "vec_id % 20 = 7 AND list_reverse(embedding) <> embedding"),
     "diff_documents": _keyed_sql("documents", "hash", "doc_id % 31 = 5", "doc_id % 20 = 1"),
     "diff_pages": _keyed_sql("pages", "advanced", "FALSE", "page_id % 10 = 1"),
-    "diff_decimals": _keyless_sql("advanced_no_pk", "SELECT o_orderkey, 9007199254740992 + o_orderkey AS amount FROM orders",
+    "diff_decimals": keyless_sql("advanced_no_pk", "SELECT o_orderkey, 9007199254740992 + o_orderkey AS amount FROM orders",
                                   "SELECT o_orderkey, 9007199254740992 + o_orderkey + CASE WHEN o_orderkey % 50 = 1 THEN 1 ELSE 0 END AS amount FROM orders"),
     "diff_decimals_keyed": _keyed_sql("orders", "advanced", "FALSE", "o_orderkey % 50 = 1"),
     "diff_nested": _keyed_sql("events", "advanced", "FALSE", "event_id % 100 = 7"),
-    "diff_rows_lineitem": _keyless_sql("advanced_no_pk", "SELECT * FROM lineitem",
+    "diff_rows_lineitem": keyless_sql("advanced_no_pk", "SELECT * FROM lineitem",
                                        "SELECT * REPLACE (CASE WHEN l_orderkey % 500 = 3 THEN l_extendedprice + 0.01 ELSE l_extendedprice END AS l_extendedprice) FROM lineitem"),
 }
