@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from evenkeel.errors import ConfigError, SchemaDrift
 from evenkeel.functions.canonical import decimals_for
 from evenkeel.functions.literals import literal_frame
+from evenkeel.functions.normal import normalised
 from evenkeel.functions.sqltext import any_null
-from evenkeel.operators import counts, keyed, keys as key_ops, multiset, segments, tolerant
+from evenkeel.operators import counts, keyed, keys as key_ops, many, multiset, segments, tolerant
 from evenkeel.operators.columns import resolve_columns
 from evenkeel.plans.config import missing_keys_message, route
 from evenkeel.plans.verdict import append_run, as_result, samples_audit
@@ -65,6 +66,7 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool =
     """
     spark = source.sparkSession
     use_utc(spark)
+    source, target = (normalised(df, spec.json_columns, spec.collations) for df in (source, target))
     try:
         mode = route(spec.mode, bool(spec.keys), spec.pk_fallback_strategy)
     except ConfigError as unknown:
@@ -124,25 +126,112 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool =
     )
 
 
+def _shape(source: DataFrame, target: DataFrame, spec: TableSpec) -> tuple | None:
+    """What copies must have in common to be compared with one source at a time; ``None`` for one that is compared alone."""
+    mode = route(spec.mode, bool(spec.keys), spec.pk_fallback_strategy)
+    if mode not in ("hash", "hash_no_pk", "advanced") or spec.by_segments or spec.json_columns or spec.collations:
+        return None
+    columns = tuple(resolve_columns(source, target, spec.skip, spec.drift_policy))
+    if not columns or not set(spec.keys) <= set(columns) or not many.alike(source, target, columns):
+        return None
+    return mode, () if mode == "hash_no_pk" else tuple(spec.keys), columns, spec.timestamp_unit or "second"
+
+
+def compare_many(source: DataFrame, copies: dict[str, tuple[DataFrame, TableSpec]]) -> dict[str, Comparison]:
+    """Compare several copies with one source, which is read and hashed once for all that are compared alike. Copies that
+    cannot be compared this way are left out of the result; compare these one by one."""
+    use_utc(source.sparkSession)
+    groups: dict[tuple, list[str]] = {}
+    for label, (target, spec) in copies.items():
+        try:
+            shape = _shape(source, target, spec)
+        except (ConfigError, SchemaDrift):
+            continue  # a finding of that copy alone
+        if shape is not None:
+            groups.setdefault(shape, []).append(label)
+    out: dict[str, Comparison] = {}
+
+    def planned(label: str, mode: str, findings: DataFrame, kind: str) -> Comparison:
+        spec = copies[label][1]
+        return Comparison(mode, keyed.keyed_outcome(findings, mode, kind), lambda: keyed.keyed_samples(findings, spec.keys, spec.sample_cap))
+
+    for (mode, keys, columns, unit), every in groups.items():
+        for first in range(0, len(every), many.MOST_KEYED):
+            labels = every[first : first + many.MOST_KEYED]
+            if len(labels) < 2:
+                continue
+            targets = {x: copies[x][0] for x in labels}
+            if mode == "hash_no_pk":
+                for x, buckets in many.keyless_many(source, targets, columns, timestamp_unit=unit).items():
+                    out[x] = Comparison(
+                        mode, multiset.multiset_outcome(buckets, mode),
+                        lambda x=x, buckets=buckets: multiset.bucket_samples(source, targets[x], columns, copies[x][1].sample_cap, buckets=buckets, timestamp_unit=unit),
+                    )
+            elif mode == "hash":
+                for x, findings in many.keyed_many(source, targets, keys, columns, timestamp_unit=unit).items():
+                    out[x] = planned(x, mode, findings, "hash_diff")
+            else:
+                for x, digests in many.keyed_many(source, targets, keys, columns, decimals=None, timestamp_unit="microsecond").items():
+                    findings = keyed.column_findings(source, targets[x], keys, columns, copies[x][1].effective_tolerance, digests)
+                    out[x] = planned(x, mode, snapshot(findings, "findings"), "value_diff")
+    return out
+
+
 @dataclass(frozen=True)
 class TablePair:
-    """Where the two sides of a spec come from; read when the table's turn comes."""
+    """Where the two sides of a spec come from; read when the table's turn comes. Pairs of one ``source_name`` have the
+    same source, and those of them with one window are compared with it together."""
 
     spec: TableSpec
     source: Callable[[], DataFrame]
     target: Callable[[], DataFrame]
+    source_name: str | None = None
+
+
+def _source(pair: TablePair, now: datetime, trusted: bool) -> DataFrame:
+    spec = pair.spec
+    return scan(pair.source(), spec.filter_column_source or spec.filter_column, *window_bounds(now, spec.effective_days, spec.effective_lag), trusted)
+
+
+def _target(pair: TablePair, now: datetime, trusted: bool) -> DataFrame:
+    spec = pair.spec
+    return scan(pair.target(), spec.filter_column, *window_bounds(now, spec.effective_days, spec.effective_lag), trusted)
+
+
+def _together_by_source(pairs, now: datetime, trusted: bool) -> dict[int, Comparison]:
+    """Comparisons of the pairs that share a source, by their places in the list."""
+    groups: dict[tuple, list[int]] = {}
+    for k, pair in enumerate(pairs):
+        if pair.source_name is not None:
+            spec = pair.spec
+            groups.setdefault((pair.source_name, spec.filter_column_source or spec.filter_column, spec.effective_days, spec.effective_lag), []).append(k)
+    out: dict[int, Comparison] = {}
+    for places in groups.values():
+        if len(places) > 1:
+            copies = {}
+            for k in places:
+                try:
+                    copies[str(k)] = (_target(pairs[k], now, trusted), pairs[k].spec)
+                except Exception:  # noqa: BLE001 - is found again, and told, when the pair is compared alone
+                    continue
+            try:
+                out |= {int(k): plan for k, plan in compare_many(_source(pairs[places[0]], now, trusted), copies).items()}
+            except Exception:  # noqa: BLE001 - the same
+                continue
+    return out
 
 
-def _compared(spark: SparkSession, pair: TablePair, run_id: str, now: datetime, trusted: bool, by_column: bool) -> tuple[DataFrame, DataFrame | None]:
-    """Result row and samples of one pair; a failure is a result."""
+def _compared(
+    spark: SparkSession, pair: TablePair, run_id: str, now: datetime, trusted: bool, by_column: bool, plan: Comparison | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """Result row and samples of one pair; a failure is a result. ``plan`` is its comparison, if it is at hand."""
     spec, began, samples = pair.spec, time.monotonic(), None
     start, end = window_bounds(now, spec.effective_days, spec.effective_lag)
     meta = {"run_id": run_id, "table_name": spec.name, "window_start": start, "window_end": end,
             "safety_lag_minutes": spec.effective_lag, "executed_at": now}
     try:
-        source = scan(pair.source(), spec.filter_column_source or spec.filter_column, start, end, trusted)
-        target = scan(pair.target(), spec.filter_column, start, end, trusted)
-        plan = compare(source, target, spec, keep=True)
+        if plan is None:
+            plan = compare(_source(pair, now, trusted), _target(pair, now, trusted), spec, keep=True)
         row = plan.outcome.first().asDict()
         if row["raw_status"] in ("FAIL", "INCONCLUSIVE"):
             samples = snapshot(samples_audit(plan.samples, run_id, spec.name, now, spec.sample_cap), "samples")
@@ -186,7 +275,11 @@ def run_tables(
         append_run(spark, run_path, run_id, now)
     with ThreadPoolExecutor(max(1, parallel)) as pool:
         for k in range(0, len(pairs), size):
-            done = list(pool.map(lambda p: _compared(spark, p, run_id, now, trusted_expressions, distinct_column_status), pairs[k : k + size]))
+            batch = pairs[k : k + size]
+            plans = _together_by_source(batch, now, trusted_expressions)
+            done = list(pool.map(
+                lambda i: _compared(spark, batch[i], run_id, now, trusted_expressions, distinct_column_status, plans.get(i)), range(len(batch))
+            ))
             if samples := [s for _, s in done if s is not None]:
                 _together(samples).write.mode("append").parquet(sample_path)
             _together([r for r, _ in done]).coalesce(1).write.mode("append").parquet(result_path)

@@ -41,7 +41,8 @@ def run_scenarios(
     ``folder/scenario_results``; results, samples and the run's own row are stored beside it.
 
     ``read`` gives a compared table by name. Every scenario is compared as a table of its own, named by
-    its id. What a scenario does to a table is a plan over it, so nothing is copied or restored.
+    its id. What a scenario does to a table is a plan over it, so nothing is copied or restored; scenarios of one table are
+    compared with it together, so it is read as a source once for them.
     """
     loaded = load_config(configs, key_columns, skip_columns, disabled=True)
     gate = applicability(scenarios, mode_routing(loaded)).select("scenario_id", "applicable")
@@ -55,6 +56,7 @@ def run_scenarios(
         return TablePair(
             replace(spec, name=row.scenario_id, keys=keys), lambda: read(row.target_table),
             lambda: apply_mutation(read(row.target_table), row.mutation_type, params, spec.keys, at, row.scenario_id, spec.filter_column),
+            row.target_table,
         )
 
     pairs = [pair(r) for r in listed.filter("applicable").orderBy("scenario_id").toLocalIterator()]

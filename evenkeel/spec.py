@@ -133,7 +133,9 @@ class TableSpec:
     """How one pair of tables is compared. Only ``None`` stands for a default; 0 is a real value. All
     evidence is kept unless ``sample_cap`` asks for so many rows of a class. ``by_segments`` makes the hash modes look
     for segments that differ before they move rows; ``unique_keys`` says that a constraint keeps the keys of both sides
-    unique and without nulls, which then is not checked where the sides are equal."""
+    unique and without nulls, which then is not checked where the sides are equal. ``json_columns`` are compared as JSON
+    values and not as text; ``collations`` has (column, collation) pairs of columns, keys among them, in which trailing
+    blanks or case do not count."""
 
     name: str
     mode: str
@@ -146,6 +148,8 @@ class TableSpec:
     sample_cap: int | None = None
     by_segments: bool = False
     unique_keys: bool = False
+    json_columns: tuple[str, ...] = ()
+    collations: tuple[tuple[str, str], ...] = ()
     filter_column: str | None = None
     filter_column_source: str | None = None
     filter_days: int | None = None

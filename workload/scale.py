@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evenkeel import TableSpec, compare
-from evenkeel.operators import keyed as keyed_ops, multiset, pairing, segments
+from evenkeel.operators import keyed as keyed_ops, many, multiset, pairing, segments
 from workload import keyed, keyless, wide
-from workload.inputs import ORDERS_PAIR_SQL, events_pair, load, orders_pair
+from workload.inputs import EVENTS_PAIR_SQL, ORDERS_PAIR_SQL, events_pair, load, orders_pair
 
 
 def diff_segments(spark, d):
@@ -78,6 +78,36 @@ def pair_changes_copies(spark, d):
         F.expr("CAST(sum(n_rows) AS BIGINT) AS n_rows"))
 
 
+_COPIES = {
+    "same": "true", "lost": "o_orderkey % 97 <> 0", "few": "o_orderkey % 1000 = 7",
+}
+
+
+def diff_many(spark, d):
+    """Orders against five copies in one shuffle: equal, with rows lost, with nearly all lost, changed, and with copies of keys."""
+    orders = load(spark, d, "orders")
+    copies = {n: orders.filter(where) for n, where in _COPIES.items()}
+    copies["changed"] = orders_pair(spark, d)[1]
+    copies["twice"] = orders.unionByName(orders.filter("o_orderkey % 50 = 3"))
+    found = many.keyed_many(orders, copies, ["o_orderkey"], orders.columns)
+    out = None
+    for n, findings in found.items():
+        one = keyed_ops.keyed_outcome(findings, "hash", "hash_diff").select(F.lit(n).alias("copy"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def diff_many_rows(spark, d):
+    """The same without a key: events against copies, by the number of each row."""
+    source, target = events_pair(spark, d)
+    copies = {"same": source, "drifted": target, "none": source.filter("false"), "doubled": source.unionByName(source)}
+    found, out = many.keyless_many(source, copies, ["event_type", "user_id"]), None
+    for n, buckets in found.items():
+        one = multiset.multiset_outcome(buckets, "hash_no_pk").select(F.lit(n).alias("copy"), "source_count", "target_count", "rows_only_in_source", "rows_only_in_target", "raw_status")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 QUERIES = {
     "diff_segments": diff_segments,
     "diff_segments_lineitem": diff_segments_lineitem,
@@ -89,9 +119,26 @@ QUERIES = {
     "findings_filtered": findings_filtered,
     "pair_changes": pair_changes,
     "pair_changes_copies": pair_changes_copies,
+    "diff_many": diff_many,
+    "diff_many_rows": diff_many_rows,
 }
 
+
+def _copy_sql(n: str, where: str) -> str:
+    gone = f"COUNT(*) FILTER (NOT ({where}))"
+    return f"""SELECT '{n}' AS copy, 'hash' AS comparison_mode, COUNT(*) AS source_count, COUNT(*) FILTER ({where}) AS target_count, {gone} = 0 AS count_match,
+        {gone} AS rows_only_in_source, CAST(0 AS BIGINT) AS rows_only_in_target, CAST(0 AS BIGINT) AS rows_with_mismatches, CASE WHEN {gone} = 0 THEN 'PASS' ELSE 'FAIL' END AS raw_status,
+        CASE WHEN {gone} > 0 THEN 'Mismatches: 0 only_in_target, ' || {gone} || ' only_in_source, 0 hash_diff' END AS error_message FROM orders"""
+
+
 ORACLES = {
+    "diff_many": " UNION ALL ".join(_copy_sql(n, where) for n, where in _COPIES.items()) + f""" UNION ALL SELECT 'changed' AS copy, * FROM ({keyed.ORACLES["diff_hash"]})
+        UNION ALL SELECT 'twice', 'hash', COUNT(*), COUNT(*) + COUNT(*) FILTER (o_orderkey % 50 = 3), NULL, NULL, NULL, NULL, 'DATA_QUALITY_ERROR',
+          'target: ' || COUNT(*) FILTER (o_orderkey % 50 = 3) || ' duplicate PK rows' FROM orders""",
+    "diff_many_rows": f"""WITH {EVENTS_PAIR_SQL}, n AS (SELECT (SELECT COUNT(*) FROM s) AS sn, (SELECT COUNT(*) FROM t) AS tn,
+          (SELECT COUNT(*) FROM (SELECT * FROM s EXCEPT ALL SELECT * FROM t)) AS a, (SELECT COUNT(*) FROM (SELECT * FROM t EXCEPT ALL SELECT * FROM s)) AS b)
+        SELECT 'same' AS copy, sn AS source_count, sn AS target_count, CAST(0 AS BIGINT) AS rows_only_in_source, CAST(0 AS BIGINT) AS rows_only_in_target, 'PASS' AS raw_status FROM n
+        UNION ALL SELECT 'drifted', sn, tn, a, b, 'FAIL' FROM n UNION ALL SELECT 'none', sn, 0, sn, 0, 'FAIL' FROM n UNION ALL SELECT 'doubled', sn, 2 * sn, 0, sn, 'FAIL' FROM n""",
     "diff_rows_tolerant": wide.keyless_sql(
         "advanced_no_pk", "SELECT * FROM lineitem",
         "SELECT * REPLACE (CASE WHEN l_orderkey % 500 = 3 THEN l_extendedprice + 0.002 ELSE l_extendedprice END AS l_extendedprice) FROM lineitem"),
