@@ -12,8 +12,10 @@ first and then over all tasks, so no task meets a whole group however many rows
 ``GROUPED`` a group would hold so few shingles that every shared passage connects its texts. There the shingles of a
 set are put in one order for all sets, the rarest first, and a set hangs on so many of its first ones that two linked
 sets must share one; a passage of many texts comes last. How rare a shingle is, is read from a table of counts of fixed
-size, in which shingles share cells: that can only change the order, not what is found. What is connected that way
-gets a tree: in one task up to ``BLOCK_SHINGLES``, else in blocks, whose pairs are looked at only where they are not
+size, in which shingles share cells: that can only change the order, not what is found. Texts that have one of these
+shingles in common are held against each other on their counts, in as many groups as their size asks for, and only those
+whose smaller counts add up to what a link needs go on together, so that texts which merely share a passage do not chain
+up; where more than ``POSTINGS`` texts share one they all go on together. What is connected that way gets a tree: in one task up to ``BLOCK_SHINGLES``, else in blocks, whose pairs are looked at only where they are not
 connected already. No pair is lost, and copies are compared once.
 
 Defined results: a null or empty text has no shingles and links with nothing, texts of fewer words than a shingle are
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.llm.components import components
-from evenkeel.llm.words import SPACED, Words, chain, mix, pieces, run_starts, text_bytes
+from evenkeel.llm.words import SPACED, Words, chain, give_back, mix, pieces, run_starts, text_bytes
 from evenkeel.sources.tables import snapshot
 
 SHINGLE, PERCENT = 3, 90
@@ -43,6 +45,10 @@ GROUPED, CELLS, SLICES = 90, 1 << 22, 64
 BLOCK_SHINGLES = 2_000_000
 #: Keys that meet in one task, and keys that a map task combines before it sends them.
 BUCKET_KEYS, COMBINED_KEYS = 100_000, 1_000_000
+#: Texts under one shingle that are held against each other; and those of one map task that are sent on one by one.
+POSTINGS, TASK_POSTINGS = 20_000, 64
+#: Shingles in a group of the counts by which texts under one shingle are told apart, on average; groups at most.
+GROUP_SHINGLES, MOST_GROUPS = 8, 4096
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -154,6 +160,7 @@ def _pieces_of(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, int, n
     data, offsets = text_bytes(batch.column(1))
     for a, b in pieces(offsets):
         yield a, b, *shingle_sets(Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], SPACED, fold=True), length)
+    give_back()
 
 
 def _signatures(docs: DataFrame, length: int) -> DataFrame:
@@ -194,9 +201,8 @@ def _shingle_counts(docs: DataFrame, length: int) -> np.ndarray:
 
 
 def _keys(docs: DataFrame, length: int, percent: int, buckets: int) -> DataFrame:
-    """Keys and their smallest ids by bucket (0 and up), and the pairs that the task has found itself (-1)."""
-    bands, grouped = Bands(percent), percent >= GROUPED
-    counts = None if grouped else docs.sparkSession.sparkContext.broadcast(_shingle_counts(docs, length))
+    """Group keys and their smallest ids by bucket (0 and up), and the pairs that the task has found itself (-1)."""
+    bands = Bands(percent)
 
     def rows(bucket, ids, keys) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(ids, pa.binary()), pa.array(keys, pa.binary())], ["bucket", "ids", "keys"])
@@ -215,7 +221,7 @@ def _keys(docs: DataFrame, length: int, percent: int, buckets: int) -> DataFrame
         for batch in batches:
             known, numbers = np.asarray(batch.column(0).is_valid()), np.asarray(batch.column(0).fill_null(0))
             for a, b, values, bounds in _pieces_of(batch, length):
-                keys, texts = group_keys(values, bounds, bands) if grouped else rarest_keys(values, bounds, percent, counts.value)
+                keys, texts = group_keys(values, bounds, bands)
                 use = known[a:b][texts]
                 held.append((keys[use], numbers[a:b][texts[use]]))
                 n_held += len(held[-1][0])
@@ -238,6 +244,149 @@ def _bucket_pairs(key, table):
     return pa.table({"u": pairs[:, 0], "v": pairs[:, 1]})
 
 
+def _profile(values: np.ndarray) -> np.ndarray:
+    """Counts of a set's shingles in groups, a power of two of them; half as many groups are the sums of both halves."""
+    groups = DIMENSIONS
+    while groups < MOST_GROUPS and len(values) > groups * GROUP_SHINGLES:
+        groups *= 2
+    return np.bincount((mix(values) % np.uint64(groups)).astype(np.int64), minlength=groups).astype(np.uint32)
+
+
+def _profiles(docs: DataFrame, length: int) -> DataFrame:
+    """doc_id, n and the counts of each set."""
+
+    def read(batches):
+        for batch in batches:
+            for a, b, values, bounds in _pieces_of(batch, length):
+                counts = [_profile(values[bounds[i] : bounds[i + 1]]) for i in range(b - a)]
+                packed = [(c.astype(np.uint8) if c.max() < 256 else c).tobytes() for c in counts]
+                wide = [bool(c.max() >= 256) for c in counts]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[a:b], pa.array(np.diff(bounds)), pa.array(packed, pa.binary()), pa.array(wide)], ["doc_id", "n", "counts", "wide"]
+                )
+
+    return docs.mapInArrow(read, "doc_id long, n long, counts binary, wide boolean")
+
+
+def _postings(docs: DataFrame, length: int, percent: int, buckets: int) -> DataFrame:
+    """Texts by their rarest shingles, by bucket (0 and up): ids and keys as arrays; and hub pairs (-1) of texts of which
+    a task found very many under one shingle."""
+    counts = docs.sparkSession.sparkContext.broadcast(_shingle_counts(docs, length))
+
+    def rows(bucket, ids, keys) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(ids, pa.binary()), pa.array(keys, pa.binary())], ["bucket", "ids", "keys"])
+
+    def flush(held) -> Iterator[pa.RecordBatch]:
+        keys, ids = np.concatenate([k for k, _ in held]), np.concatenate([i for _, i in held])
+        order = np.lexsort((ids, keys))
+        keys, ids = keys[order], ids[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        many = np.repeat(np.diff(np.append(first, len(keys))) > TASK_POSTINGS, np.diff(np.append(first, len(keys))))
+        if many.any():
+            hub_keys, hubs, pairs = _hubs(keys[many], ids[many])
+            if len(pairs):
+                yield rows([-1], [_planes(pairs[:, 0])], [_planes(pairs[:, 1])])
+            keys, ids = np.concatenate([keys[~many], hub_keys]), np.concatenate([ids[~many], hubs])
+            order = np.lexsort((ids, keys))
+            keys, ids = keys[order], ids[order]
+        cuts = np.searchsorted(keys, (np.arange(1, buckets, dtype=np.float64) * (2.0**64 / buckets)).astype(np.uint64))
+        cuts = [0, *cuts.tolist(), len(keys)]
+        full = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
+        yield rows(full, [_planes(ids[cuts[b] : cuts[b + 1]]) for b in full], [keys[cuts[b] : cuts[b + 1]].tobytes() for b in full])
+
+    def read(batches):
+        held, n_held = [], 0
+        for batch in batches:
+            known, numbers = np.asarray(batch.column(0).is_valid()), np.asarray(batch.column(0).fill_null(0))
+            for a, b, values, bounds in _pieces_of(batch, length):
+                keys, texts = rarest_keys(values, bounds, percent, counts.value)
+                use = known[a:b][texts]
+                held.append((keys[use], numbers[a:b][texts[use]]))
+                n_held += len(held[-1][0])
+                if n_held >= COMBINED_KEYS:
+                    yield from flush(held)
+                    held, n_held = [], 0
+        if n_held:
+            yield from flush(held)
+
+    return docs.mapInArrow(read, "bucket long, ids binary, keys binary")
+
+
+def _shared(key, table):
+    """(key, doc_id) of the shingles that several texts have; hub pairs (null, u, v) where they are too many."""
+    ids = np.concatenate([_from_planes(x) for x in table["ids"].to_pylist()])
+    if key[0].as_py() < 0:
+        hubs = np.concatenate([_from_planes(x) for x in table["keys"].to_pylist()])
+        return pa.table({"key": pa.nulls(len(ids), pa.int64()), "doc_id": pa.array(ids), "hub": pa.array(hubs)})
+    keys = np.concatenate([np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()])
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
+    keys, ids = keys[fresh], ids[fresh]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    size = np.repeat(np.diff(np.append(first, len(keys))), np.diff(np.append(first, len(keys))))
+    some, many = (size > 1) & (size <= POSTINGS), size > POSTINGS
+    pairs = _hubs(keys[many], ids[many])[2]
+    return pa.table({
+        "key": pa.concat_arrays([pa.array(keys[some].view(np.int64)), pa.nulls(len(pairs), pa.int64())]),
+        "doc_id": np.concatenate([ids[some], pairs[:, 0]]),
+        "hub": pa.concat_arrays([pa.nulls(int(some.sum()), pa.int64()), pa.array(pairs[:, 1])]),
+    })
+
+
+def _may_link(percent: int):
+    """Pairs (u, v) that connect what can link among the texts under each shingle of a task."""
+
+    def met(key, table):
+        give_back()
+        table = table.sort_by([("key", "ascending"), ("n", "ascending"), ("doc_id", "ascending")])
+        keys, ids, sizes = (np.asarray(table[c].combine_chunks()) for c in ("key", "doc_id", "n"))
+        _, first, label = np.unique(ids, return_index=True, return_inverse=True)
+        packed, wide = table["counts"].combine_chunks(), table["wide"].combine_chunks()
+        counts = [np.frombuffer(packed[int(i)].as_buffer(), np.uint32 if wide[int(i)].as_py() else np.uint8).astype(np.uint32) for i in first]
+        forest = Forest(np.arange(len(first)))
+        folded: dict[tuple[int, int], np.ndarray] = {}
+
+        def profile(text: int, groups: int) -> np.ndarray:
+            found = folded.get((text, groups))
+            if found is None:
+                found = folded[text, groups] = counts[text].reshape(-1, groups).sum(0)
+            return found
+
+        cuts = np.append(np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])), len(keys))
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            own, n = label[low:high], sizes[low:high]
+            last = np.searchsorted(n, np.floor(n * 100 / percent + 1e-9), "right")
+            for i in range(len(own) - 1):
+                others = np.arange(i + 1, last[i])
+                others = others[forest.label[own[others]] != forest.label[own[i]]]
+                groups = len(counts[own[i]])
+                for k in range(0, len(others), 4096):
+                    part = others[k : k + 4096]
+                    bound = np.minimum(np.stack([profile(t, groups) for t in own[part].tolist()]), counts[own[i]]).sum(1)
+                    for j in part[bound >= _needed(n[i], n[part], percent)].tolist():
+                        if forest.label[own[i]] != forest.label[own[j]]:
+                            forest.join(own[i], own[j])
+        names = ids[first]
+        u, v = zip(*forest.joins) if forest.joins else ((), ())
+        return pa.table({"u": pa.array(names[list(u)], pa.int64()), "v": pa.array(names[list(v)], pa.int64())})
+
+    return met
+
+
+def _rare_pairs(docs: DataFrame, length: int, percent: int, buckets: int) -> DataFrame:
+    """Pairs (u, v) that connect all texts that can link: they share a rare shingle and their counts allow it."""
+    posted = _postings(docs, length, percent, buckets).withColumn("salt", F.when(F.col("bucket") < 0, F.xxhash64("ids")).otherwise(0))
+    shared = snapshot(posted.groupBy("bucket", "salt").applyInArrow(_shared, "key long, doc_id long, hub long"), "postings")
+    asked = shared.filter("key IS NOT NULL").select("doc_id").distinct()
+    profiles = snapshot(_profiles(docs, length).join(asked, "doc_id", "left_semi").dropDuplicates(["doc_id", "n", "counts"]), "profiles")
+    groups = max(1, shared.count() // POSTINGS)
+    listed = shared.filter("key IS NOT NULL").select("key", "doc_id").join(profiles, "doc_id").withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups)))
+    near = listed.groupBy("group").applyInArrow(_may_link(percent), "u long, v long")
+    return near.union(shared.filter("key IS NULL").select(F.col("doc_id").alias("u"), F.col("hub").alias("v")))
+
+
 class Forest:
     """Which of a task's rows are connected."""
 
@@ -324,6 +473,7 @@ def _task(percent: int):
     """Links of one task: rows of the block, and rows of the probe where there are any."""
 
     def linked(key, table):
+        give_back()
         table = table.sort_by("doc_id")
         sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
         ids, labels = (np.asarray(table[c].combine_chunks()) for c in ("doc_id", "label"))
@@ -403,9 +553,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kinds = snapshot(kinds, "kinds")  # a join of two plain exchanges, which adaptive execution can split
     own = snapshot(own.join(kinds, ["n", "low", "high"], "left").select("doc_id", "n", "first"), "set-kinds")
 
-    # Pairs of a task need no bucket; their rows are salted, as there are many with the number -1.
-    keys = _keys(docs, length, percent, buckets).withColumn("salt", F.when(F.col("bucket") < 0, F.xxhash64("ids")).otherwise(0))
-    pairs = keys.groupBy("bucket", "salt").applyInArrow(_bucket_pairs, "u long, v long")
+    if percent >= GROUPED:
+        # Pairs of a task need no bucket; their rows are salted, as there are many with the number -1.
+        keys = _keys(docs, length, percent, buckets).withColumn("salt", F.when(F.col("bucket") < 0, F.xxhash64("ids")).otherwise(0))
+        pairs = keys.groupBy("bucket", "salt").applyInArrow(_bucket_pairs, "u long, v long")
+    else:
+        pairs = _rare_pairs(docs, length, percent, buckets)
     may = components(snapshot(pairs.distinct(), "may-link"))
 
     firsts = own.filter("doc_id = first").select("doc_id", "n").distinct()

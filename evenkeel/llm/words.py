@@ -36,6 +36,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def give_back() -> None:
+    """Return the memory that Arrow keeps for later. A worker lives on between stages, beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column, and the offsets of its rows in them. Null reads as empty."""
     column = column.cast(pa.large_binary())
