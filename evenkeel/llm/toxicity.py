@@ -18,11 +18,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.llm.words import ALPHANUMERIC, Words, mix, pieces, text_bytes
+from evenkeel.llm.words import ALPHANUMERIC, Words, give_back, mix, pieces, text_bytes
 
 WINDOW, STRIDE, THRESHOLD = 40, 24, 0.3
 #: Labelled rows of each class that the network is fitted on, at most.
@@ -346,21 +347,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return bytes(found[0].network) if found else pickle.dumps(Network())
 
 
-def scored(docs: DataFrame, network: bytes, carry: list[str], text_col: str = "text") -> DataFrame:
-    """The carried columns and ``__score``."""
+def scored(docs: DataFrame, network: bytes, carry: list[str], text_col: str = "text", inside: str | None = None) -> DataFrame:
+    """The carried columns and ``__score``. The text may lie ``inside`` one of them, which is a struct."""
     weights = docs.sparkSession.sparkContext.broadcast(network)
     schema = T.StructType([docs.schema[c] for c in carry] + [T.StructField("__score", T.DoubleType())])
 
     def score(batches):
         model = pickle.loads(weights.value)
         for batch in batches:
-            data, offsets = text_bytes(batch.column(batch.schema.get_field_index(text_col)))
+            column = batch.column(batch.schema.get_field_index(inside or text_col))
+            data, offsets = text_bytes(pc.struct_field(column, text_col) if inside else column)
             out = [model.scores(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in pieces(offsets, 1 << 20)]
             found = pa.array(np.concatenate(out).astype(np.float64) if out else np.empty(0))
             carried = [batch.column(batch.schema.get_field_index(c)) for c in carry]
             yield pa.RecordBatch.from_arrays([*carried, found], [*carry, "__score"])
+            del batch, column, carried, data
+            give_back()
 
-    return docs.select(*dict.fromkeys([*carry, text_col])).mapInArrow(score, schema)
+    return docs.select(*dict.fromkeys([*carry, *([] if inside else [text_col])])).mapInArrow(score, schema)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -371,8 +375,8 @@ def held_out(id_col: str = "doc_id"):
 def drop_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, **options) -> DataFrame:
     """The documents that score below the threshold, with all their columns."""
     network = fit(docs, labels, text_col=text_col, learn_from=~held_out(), **options)
-    whole = docs.select(F.struct("*").alias("whole"), F.col(text_col).alias("text"))
-    return scored(whole, network, ["whole"]).filter(F.col("__score") < threshold).select("whole.*")
+    whole = docs.select(F.struct("*").alias("whole"))  # the text goes to the workers once
+    return scored(whole, network, ["whole"], text_col, inside="whole").filter(F.col("__score") < threshold).select("whole.*")
 
 
 def op8_gated_recurrent(spark, d: str) -> DataFrame:
