@@ -5,12 +5,15 @@ of one duplicate cluster share a bin. Bins are ordered by what they have left an
 one of their clusters; the search starts at the smallest room that fits and goes on to the next larger until a
 compatible bin is found, else a new one is opened.
 
-The documents are dealt by a hash of the id over shards of about ``SHARD_PIECES`` pieces, which are packed each for
-itself, so a source or cluster of any size is spread over all of them. A document of more words than a bin is cut into
-full bins and a rest. Only ids, lengths and the two hashes are moved.
+The pieces are dealt over shards of about ``SHARD_PIECES`` by a hash of their row's number, so a source, cluster or id of
+any size, and the pieces of a very long document, are spread over all of them; shards are packed each for itself. Then the
+pieces of all bins that are less than ``FULL`` full are dealt anew over fewer shards and packed again, until they are one
+shard or a round fills hardly any bin. So a table of any size ends with one shard of what is left, as a small one begins.
+A document of more words than a bin is cut into full bins and a rest. Only ids, lengths and the two hashes are moved.
 
 Defined results: a null or empty text has no words and no piece, a null source or cluster conflicts with nothing,
-documents that share an id are pieces of the same name, and an empty table gives no bins.
+documents that share an id (or have none) are pieces of the same name, pieces of one length go by id (a null one last) and
+number, of equal rooms the bin that got its last piece first is taken, and an empty table gives no bins.
 """
 
 from __future__ import annotations
@@ -21,8 +24,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evenkeel.sources.tables import snapshot
+
 CAPACITY = 2048
 SHARD_PIECES = 5_000
+#: Share of its capacity from which a bin is left as it is, and share of the loose pieces that a round must settle.
+FULL, SETTLED = 0.95, 0.1
 _PIECES = "shard long, bin long, position long, doc_id long, piece long, first_word long, n_words long, source string, cluster long"
 
 
@@ -110,13 +117,38 @@ def pack(docs: DataFrame, n_words: Column, id_col: str = "doc_id", source: Colum
         (source if source is not None else none).cast("string").alias("source"),
         (cluster if cluster is not None else none).cast("long").alias("cluster"),
     ).filter("words > 0")
-    shards = max(1, -(-docs.count() // shard_pieces))
+    sized = snapshot(sized, "sizes")  # fixed rows, so that their numbers are the same in every attempt
+    n = sized.agg(F.expr(f"sum(ceil(words / {capacity}))")).first()[0] or 0
     starts = F.sequence(F.lit(0).cast("long"), F.col("words") - 1, F.lit(capacity).cast("long"))
-    pieces = sized.select("*", F.posexplode(starts).alias("piece", "first_word")).select(
-        F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).alias("shard"), "doc_id", F.col("piece").cast("long").alias("piece"), "first_word",
+    numbered = sized.withColumn("row", F.monotonically_increasing_id())
+    pieces = numbered.select("*", F.posexplode(starts).alias("piece", "first_word")).select(
+        F.xxhash64("row", "piece").alias("hash"), "doc_id", F.col("piece").cast("long").alias("piece"), "first_word",
         F.least(F.lit(capacity), F.col("words") - F.col("first_word")).cast("long").alias("n_words"), "source", "cluster",
     )
-    return pieces.groupBy("shard").applyInArrow(_pack(capacity), _PIECES)
+    shards, first, kept = max(1, -(-n // shard_pieces)), 0, []
+    while True:
+        dealt = pieces.withColumn("shard", F.pmod("hash", F.lit(shards)) + first).drop("hash")
+        packed = dealt.groupBy("shard").applyInArrow(_pack(capacity), _PIECES)
+        if shards == 1:
+            return _all([*kept, packed])
+        packed = snapshot(packed, "packed")
+        fill = packed.groupBy("shard", "bin").agg(F.sum("n_words").alias("fill")).filter(F.col("fill") < FULL * capacity).select("shard", "bin")
+        loose = snapshot(packed.join(fill, ["shard", "bin"], "left_semi"), "loose")
+        left = loose.count()
+        if left > (1 - SETTLED) * n:
+            return _all([*kept, packed])
+        kept.append(packed.join(fill, ["shard", "bin"], "left_anti").select(*packed.columns))
+        if not left:
+            return _all(kept)
+        pieces = loose.withColumn("hash", F.xxhash64("shard", "bin", "position")).drop("shard", "bin", "position")
+        n, first, shards = left, first + shards, -(-left // shard_pieces)
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.unionByName(df)
+    return out
 
 
 def packed_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:

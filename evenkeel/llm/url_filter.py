@@ -2,8 +2,8 @@
 
 A list is a history of dated entries that add or remove a pattern: a host with all hosts below it, or a host with a
 path prefix. The history of a pattern becomes validity intervals, each from one entry to the next. A capture asks with
-every key it could be listed under: its host and the domains above it, and each prefix of its path; an as-of join finds
-the interval of each key that holds at fetch time.
+every key it could be listed under: its host and the domains above it, its whole path, and the prefixes of its path that
+are as deep as some listed pattern; an as-of join finds the interval of each key that holds at fetch time.
 
 The join is an equality on the key and on a bucket of time. An interval is in every bucket that it touches and that lies
 in the captures' time; a capture is in one. So a key with a long history is split by time, a frequent host is split by
@@ -13,7 +13,8 @@ never listed are dropped by the join alone; nothing is broadcast by assumption.
 Defined results: a null or malformed URL has no key and is not blocked, a null fetch time is matched by nothing, an
 entry without pattern or date is ignored, of entries for a pattern at one time the removal wins, captures that
 repeat are judged each for itself, an empty list blocks nothing and an empty table gives none. Hosts are compared in
-lower case, without port, user or trailing dot; paths keep their case, in patterns as in URLs; queries and fragments play no part.
+lower case, without port, user or trailing dot; paths keep their case, in patterns as in URLs; queries and fragments play
+no part. A URL of any length is read whole, in time proportional to its length.
 """
 
 from __future__ import annotations
@@ -33,18 +34,27 @@ def host(url: Column) -> Column:
     return F.regexp_replace(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), _HOST, 1)), r"\.$", "")
 
 
-def keys(url: Column) -> Column:
-    """All patterns that would list a URL: its host and the domains above (at least two labels), and the host with each
-    prefix of its path that ends at a slash or at the path's end."""
-    labels = F.split(host(url), r"\.")
+def keys(url: Column, depths: Column) -> Column:
+    """All patterns that could list a URL: its host and the domains above (at least two labels), the host with its whole
+    path, and with each prefix of the path that ends at a slash and has as many slashes as some listed pattern. ``depths``
+    is an array of these numbers, so a path costs its length for each of them and not its length for each of its parts."""
+    name = host(url)
+    labels = F.split(name, r"\.")
     n = F.size(labels)
     domains = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.concat_ws(".", F.slice(labels, i, n)))
     path = F.regexp_extract(F.coalesce(url, F.lit("")), _PATH, 1)
-    parts = F.split(path, "/")
-    prefixes = F.transform(F.sequence(F.lit(2), F.greatest(F.size(parts), F.lit(2))),
-                           lambda i: F.concat(host(url), F.concat_ws("/", F.slice(parts, 1, i)), F.when(i < F.size(parts), F.lit("/")).otherwise(F.lit(""))))
-    every = F.when(path == "", domains).otherwise(F.concat(domains, prefixes))
-    return F.when(host(url) == "", F.array().cast("array<string>")).otherwise(F.array_distinct(every))
+    slashes = F.length(path) - F.length(F.translate(path, "/", ""))
+    listed = F.filter(depths, lambda d: (d >= 2) & (d <= slashes))
+    prefixes = F.transform(listed, lambda d: F.concat(name, F.call_function("substring_index", path, F.lit("/"), d), F.lit("/")))
+    every = F.when(path == "", domains).otherwise(F.concat(domains, prefixes, F.array(F.concat(name, path))))
+    return F.when(name == "", F.array().cast("array<string>")).otherwise(F.array_distinct(every))
+
+
+def _depths(entries: DataFrame) -> Column:
+    """The different numbers of slashes in the listed patterns; k of them take patterns of k * k / 2 characters."""
+    slashes = F.length("pattern") - F.length(F.translate("pattern", "/", ""))
+    found = entries.filter("pattern IS NOT NULL").select(slashes.alias("depth")).distinct().collect()
+    return F.array(*[F.lit(r.depth) for r in found]).cast("array<int>")
 
 
 def validity(entries: DataFrame) -> DataFrame:
@@ -66,7 +76,8 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: st
     span = whole.agg(F.min("fetched").alias("first"), F.max("fetched").alias("last")).first()
     if span["first"] is not None:
         bucket = max(bucket, -(-(span["last"] - span["first"]) // BUCKETS))
-    asked = whole.select("row", "fetched", F.explode(keys(F.col("url"))).alias("asked"))
+    depths = _depths(entries)
+    asked = whole.select("row", "fetched", F.explode(keys(F.col("url"), depths)).alias("asked"))
     asked = asked.withColumn("at_bucket", F.floor(F.col("fetched") / bucket))
     first, last = (0, -1) if span["first"] is None else (span["first"] // bucket, span["last"] // bucket)
     from_, to = F.greatest(F.floor(F.col("since") / bucket), F.lit(first)), F.least(F.coalesce(F.floor(F.col("until") / bucket), F.lit(last)), F.lit(last))

@@ -244,6 +244,55 @@ def test_packing_of_odd_rows(odd, empty):
     assert packing.packed_documents(empty).count() == 0
 
 
+def plain_bins(pieces, capacity):
+    """Best fit in plain Python over (doc_id, piece, words, source, cluster): sets of (doc_id, piece)."""
+    bins = []  # [room, when it last changed, sources, clusters, members]
+    for when, (i, k, n, source, cluster) in enumerate(sorted(pieces, key=lambda p: (-p[2], p[0] is None, p[0] or 0, p[1]))):
+        fits = [b for b in bins if b[0] >= n and not (source is not None and source in b[2]) and not (cluster is not None and cluster in b[3])]
+        b = min(fits, key=lambda b: (b[0], b[1]), default=None)
+        if b is None:
+            b = [capacity, 0, set(), set(), set()]
+            bins.append(b)
+        b[0], b[1] = b[0] - n, when
+        b[2].add(source), b[3].add(cluster), b[4].add((i, k))
+    return sorted(sorted(b[4]) for b in bins)
+
+
+def test_bins_equal_a_plain_best_fit(docs, texts):
+    capacity = 60
+    rows = packing.pack(docs, packing.word_count(F.col("text")), source=F.col("source"), cluster=F.xxhash64("text"), capacity=capacity).collect()
+    pieces = [(i, k, min(capacity, n - k * capacity), f"s{i % 3}", t) for i, t in texts for n in [len(brute.words(t))] for k in range(-(-n // capacity))]
+    found = {}
+    for r in rows:
+        found.setdefault((r.shard, r.bin), []).append((r.doc_id, r.piece))
+    assert sorted(sorted(b) for b in found.values()) == plain_bins(pieces, capacity)
+
+
+@pytest.mark.parametrize("kind", ["null ids", "one id", "long documents"])
+def test_pieces_of_one_name_are_spread_over_shards(spark, kind):
+    n, size = {"null ids": (20_000, 30), "one id": (20_000, 30), "long documents": (100, 15_000)}[kind]
+    docs = spark.range(n).select(F.when(F.lit(kind == "long documents"), F.col("id")).when(F.lit(kind == "one id"), F.lit(7)).alias("doc_id"), F.lit(size).cast("long").alias("n"))
+    rows = packing.pack(docs, F.col("n"), capacity=50, shard_pieces=1000)
+    largest = rows.groupBy("shard").count().agg(F.max("count")).first()[0]
+    assert largest < 2000 and rows.agg(F.sum("n_words")).first()[0] == n * size
+    assert rows.groupBy("shard", "bin").agg(F.sum("n_words").alias("n")).filter("n > 50").isEmpty()
+
+
+def test_loose_bins_are_packed_again_over_all_shards(spark):
+    """Many shards give about as many bins as one: what each of them leaves half empty is put together."""
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), (F.pmod(F.xxhash64("id"), F.lit(60)) + 1).cast("long").alias("n"), (F.col("id") % 700).cast("string").alias("source"))
+    counts = []
+    for shard in (6000, 200):
+        rows = packing.pack(docs, F.col("n"), source=F.col("source"), capacity=100, shard_pieces=shard).collect()
+        bins = {}
+        for r in rows:
+            bins.setdefault((r.shard, r.bin), []).append(r)
+        assert len(rows) == 6000 and all(sum(r.n_words for r in b) <= 100 and len({r.source for r in b}) == len(b) for b in bins.values())
+        assert all(sorted(r.position for r in b) == list(range(len(b))) for b in bins.values())
+        counts.append(len(bins))
+    assert counts[1] <= 1.02 * counts[0]
+
+
 # -- toxicity ---------------------------------------------------------------------------------------------------------------
 
 
@@ -420,3 +469,18 @@ def test_paths_of_patterns_keep_their_case(spark):
     captures = spark.createDataFrame([(u, 10, w) for u, w in rows], "url string, fetched_at long, want boolean")
     entries = spark.createDataFrame([("a", "CASE.example/Blog/", "add", 1), ("a", "case.example/blog/", "remove", 5)], "list string, pattern string, action string, at long")
     assert url_filter.judge(captures, entries).filter("blocked <> want").isEmpty()
+
+
+def test_very_long_urls_cost_their_length(spark):
+    """100,000 path parts, whole, listed by a shallow and by a deep folder."""
+    import time
+
+    deep = "/" + "/".join(str(k % 10) for k in range(100_000))
+    folder = "/" + "/".join(str(k % 10) for k in range(90_000)) + "/"
+    rows = [("http://deep.example" + deep, 3), ("http://deep.example" + deep[:-1] + "x", 2), ("http://other.example" + deep, 0), ("http://deep.example/0/x", 1)]
+    captures = spark.createDataFrame([(u, 10, n) for u, n in rows], "url string, fetched_at long, want long")
+    entries = spark.createDataFrame([("a", "deep.example/0/", "add", 1), ("a", "deep.example" + folder, "add", 1), ("a", "deep.example" + deep, "add", 1)],
+                                    "list string, pattern string, action string, at long")
+    began = time.monotonic()
+    assert url_filter.judge(captures, entries).filter("n_entries <> want").isEmpty()
+    assert time.monotonic() - began < 60
