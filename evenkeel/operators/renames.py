@@ -50,12 +50,14 @@ def column_renames(source: DataFrame, target: DataFrame, shared: float = SHARED)
     if not all(lone):
         return literal_frame(source.sparkSession, [], RENAMES_SCHEMA)
     s, t = (snapshot(column_facts(df, sorted(cs)).filter("nulls < n"), "columns") for df, cs in zip((source, target), lone))
-    left, right = (df.select(*[F.col(f"`{c}`").alias(f"{side}_{c}") for c in df.columns]) for df, side in ((s, "s"), (t, "t")))
-    sizes = "hll_sketch_estimate(s_sketch) AS a", "hll_sketch_estimate(t_sketch) AS b", "hll_sketch_estimate(hll_union(s_sketch, t_sketch)) AS both"
-    same = "s_n = t_n AND s_nulls = t_nulls AND s_low = t_low AND s_high = t_high"
-    # an equi-join on a constant: a few columns against a few columns
-    pairs = left.withColumn("one", F.lit(1)).join(F.broadcast(right.withColumn("one", F.lit(1))), "one").selectExpr(
-        "s_column AS source_column", "t_column AS target_column", f"{same} AS same", *sizes,
+    # all columns of both sides are one row with two short arrays
+    sides = s.withColumn("side", F.lit("s")).unionByName(t.withColumn("side", F.lit("t")))
+    fact = "named_struct('column', column, 'n', n, 'nulls', nulls, 'low', low, 'high', high, 'sketch', sketch)"
+    both = sides.agg(*[F.expr(f"collect_list(if(side = '{x}', {fact}, NULL)) AS {x}") for x in "st"])
+    sizes = "hll_sketch_estimate(s.sketch) AS a", "hll_sketch_estimate(t.sketch) AS b", "hll_sketch_estimate(hll_union(s.sketch, t.sketch)) AS both"
+    same = " AND ".join(f"s.{c} = t.{c}" for c in ("n", "nulls", "low", "high"))
+    pairs = both.selectExpr("explode(s) AS s", "t").selectExpr("s", "explode(t) AS t").selectExpr(
+        "s.column AS source_column", "t.column AS target_column", f"{same} AS same", *sizes,
     ).selectExpr("source_column", "target_column", "same", "greatest(0D, least(1D, (a + b - both) / CAST(both AS DOUBLE))) AS shared")
     found = pairs.filter(f"same OR shared >= {float(shared)!r}D").selectExpr(
         "source_column", "target_column", "if(same, 'identical', 'similar') AS match", "if(same, 1D, shared) AS shared"
