@@ -2,6 +2,10 @@
 
 Each stage takes what its predecessor kept, as a table. All but the last return the columns of ``documents`` and leave
 kept documents as they are.
+
+Defined results: documents without an id go through (no stage can name them), null and empty texts are equal to each other
+and end before packing, as they have no words; repeated rows are equal texts, of which one stays; very long texts are read
+whole by every stage; empty tables give empty results; columns beside those of ``documents`` are kept until packing.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.llm import decontamination, jaccard, packing, recipes, toxicity
-from evenkeel.sources.tables import snapshot
+from evenkeel.sources.tables import delete_path, scratch_path, scratch_scope
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +55,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage over ``documents``. What a stage writes on its way is deleted when its result is
+    written, and that result when the next one is; only the last stage's findings stay, as its rows are read from them."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = snapshot(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_path(spark, name.replace(" ", "-"))
+        with scratch_scope(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before is not None:
+            delete_path(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -44,9 +46,31 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_SCOPE = threading.local()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, or in that of the scope that this thread is in."""
+    return f"{getattr(_SCOPE, 'folder', None) or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Paths that this thread asks for inside are in a folder of their own, which is deleted at the end. What is computed
+    from them must be written elsewhere before that."""
+    before, folder = getattr(_SCOPE, "folder", None), scratch_path(spark, "scope")
+    _SCOPE.folder = folder
+    try:
+        yield
+    finally:
+        _SCOPE.folder = before
+        delete_path(spark, folder)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that Spark uses for it; one that is not there is no error."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def snapshot(df: DataFrame, label: str = "snapshot") -> DataFrame:

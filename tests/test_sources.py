@@ -208,3 +208,22 @@ def test_merge_into_a_path(spark, tmp_path):
     with pytest.raises(ConfigError):
         tables.merge_into(path, first.union(first), ["k"])
     assert rows(spark.read.parquet(path)) == [(1, "a")] and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_a_scope_deletes_what_it_wrote(spark):
+    from evenkeel.sources.files import Folder
+    from evenkeel.sources.tables import scratch_path, scratch_scope, snapshot
+
+    with scratch_scope(spark):
+        inner = scratch_path(spark, "inner")
+        snapshot(spark.range(3), "in-scope")
+        with scratch_scope(spark):
+            deeper = scratch_path(spark, "deeper")
+        assert deeper.startswith(inner.rsplit("/", 1)[0])
+    folder = inner.rsplit("/", 1)[0]
+    assert not Folder(spark, folder).exists() and "scope-" not in scratch_path(spark, "outside")
+    with pytest.raises(RuntimeError), scratch_scope(spark):
+        broken = snapshot(spark.range(3), "in-scope")
+        raise RuntimeError
+    with pytest.raises(Exception):
+        broken.count()
