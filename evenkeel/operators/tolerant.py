@@ -3,10 +3,12 @@
 Rounding rows before they are compared calls 0.0004999 and 0.0005001 different at a tolerance of 0.001. Here the number of
 rows without a partner is that of a largest matching:
 
-1. Distinct rows are counted on both sides by exact digest, in one shuffle; equal tables end here.
-2. Only rows that can be part of a chain of close rows with a differing one are looked at again. Numbers of the leading
-   tolerant column are dealt into cells of a grid far wider than the tolerance; the rows in the cells of differing rows
-   and in the cells beside them are read, and further cells are added until no chain leaves them.
+1. Numbers of the leading tolerant column are dealt into cells of a grid far wider than the tolerance, and rows whose other
+   columns agree are summed up by cell on both sides: their numbers, a sum of digests, and the ends of their numbers. A
+   cell is settled if both sides have the same rows there, or as many, all of them so close that any two match, and none
+   within reach of the next cell. One shuffle of fixed-size sums does this; equal tables end here.
+2. Only rows of cells that are open, and of those beside them that a row is within reach of, are looked at again, by exact
+   digest; further cells are added until no chain of close rows with a differing one leaves them.
 3. These rows are cut into ranges by the other columns and the leading number, so that no task sorts them all, and fall
    into chains: runs of rows whose other columns agree and whose leading numbers lie close together.
 4. Each chain is matched in order of its numbers, copies by their count and not one by one. With one tolerant column that
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterator
+from dataclasses import dataclass
 from decimal import Decimal
 from itertools import groupby, islice
 
@@ -34,10 +37,13 @@ from evenkeel.functions.types import FLOATING, INTEGRAL, type_of
 from evenkeel.operators import multiset
 from evenkeel.operators.columns import align
 from evenkeel.operators.segments import comparable
-from evenkeel.sources.tables import snapshot
+from evenkeel.operators.sieve import sieved
+from evenkeel.sources.tables import scratch_path, scratch_scope, snapshot
 
 #: Width of a cell in tolerances.
 CELL = 256
+#: Bytes of a cell in a broadcast table.
+_CELL_BYTES = 64
 
 
 def aligned(source: DataFrame, target: DataFrame, columns) -> tuple[DataFrame, DataFrame]:
@@ -55,34 +61,103 @@ def _finite(e: str, dtype: T.DataType) -> str:
     return f"({e} IS NOT NULL AND NOT isnan({e}) AND abs({e}) < double('Infinity'))" if isinstance(dtype, FLOATING) else f"({e} IS NOT NULL)"
 
 
-def _rows(source: DataFrame, target: DataFrame, columns, loose, form) -> DataFrame:
-    """Both sides' rows: __digest (exact), other (a digest of what must agree), lead (the leading number), numbers (the
-    tolerant columns as text), __s and __t."""
-    parts, numbers = [], []
+def _place(lead: str, tolerance: float) -> str:
+    """The cell of a number: a double, as a bigint would overflow. 0, which is common, is in the middle of one."""
+    return f"rint({lead} / {CELL * tolerance!r}D)"
+
+
+def _reaches(lead: str, cell: str, tolerance: float) -> tuple[str, str]:
+    """Whether a chain may go on from a number into the cell below, and into that above; never less than in ``_chains``."""
+    far = f"({2 * tolerance!r}D + abs({lead}) * 1e-15D)"
+    return f"{_place(f'({lead} - {far})', tolerance)} < {cell}", f"{_place(f'({lead} + {far})', tolerance)} > {cell}"
+
+
+@dataclass(frozen=True)
+class _Form:
+    """SQL of a row: what must agree, and the tolerant columns as numbers, 0 where there is none."""
+
+    columns: list[str]
+    loose: list[str]
+    parts: list[str]
+    numbers: list[str]
+    texts: list[str]
+    tolerance: float
+    form: dict
+
+    def placed(self, df: DataFrame) -> DataFrame:
+        """The rows with __other (a digest of what must agree), __lead (the leading number) and __cell."""
+        df = df.selectExpr("*", f"xxhash64({', '.join(['0', *self.parts])}) AS __other", f"CAST({self.numbers[0]} AS DOUBLE) AS __lead")
+        return df.selectExpr("*", f"{_place('__lead', self.tolerance)} AS __cell")
+
+    def exact(self, df: DataFrame, s: int, t: int) -> DataFrame:
+        """Placed rows with an exact digest and the tolerant columns as text, for one side."""
+        digest = row_digest(df, self.columns, **{**self.form, "decimals": None, "round_decimals": False})
+        return df.selectExpr(f"unhex({digest}) AS __digest", "__other AS other", "__lead AS lead", f"array({', '.join(self.texts)}) AS numbers", f"{s} AS __s", f"{t} AS __t")
+
+    def within(self, hi: str, lo: str, dtype: T.DataType) -> str:
+        """Whether two numbers match; wide decimals, whose difference may lose places, only if they are equal."""
+        if isinstance(dtype, T.DecimalType):
+            return f"{hi} - {lo} <= {Decimal(repr(self.tolerance)):f}BD" if dtype.precision <= 20 else f"{hi} = {lo}"
+        return f"{hi} - {lo} <= {self.tolerance!r}D"
+
+
+def _form_of(df: DataFrame, columns, loose, tolerance: float, form) -> _Form:
+    parts, numbers, texts = [], [], []
     for c in columns:
-        e, dtype = name(c), type_of(source, c)
-        if c in loose:
-            finite = _finite(e, dtype)
-            parts += [finite, f"if({finite}, NULL, CAST({e} AS STRING))"]
-            wide = f"CAST({e} AS DOUBLE)" if isinstance(dtype, FLOATING) else e
-            numbers.append(f"if({finite}, CAST({wide} AS STRING), '0')")
-        else:
+        e, dtype = name(c), type_of(df, c)
+        if c not in loose:
             parts += [f"{e} IS NULL", comparable(e, dtype, **form)]
-    first = f"if({_finite(name(loose[0]), type_of(source, loose[0]))}, CAST({name(loose[0])} AS DOUBLE), 0D)"
-    exact = {**form, "decimals": None, "round_decimals": False}
+            continue
+        finite, floating = _finite(e, dtype), isinstance(dtype, FLOATING)
+        parts += [finite, f"if({finite}, NULL, CAST({e} AS STRING))"]
+        wide = f"CAST({e} AS DOUBLE)" if floating else e
+        texts.append(f"if({finite}, CAST({wide} AS STRING), '0')")
+        kind = "DOUBLE" if floating else dtype.simpleString() if isinstance(dtype, T.DecimalType) else "DECIMAL(20,0)"
+        numbers.append(f"if({finite}, CAST({e} AS {kind}), CAST(0 AS {kind}))")
+    return _Form(list(columns), list(loose), parts, numbers, texts, tolerance, dict(form))
+
+
+def _open_cells(source: DataFrame, target: DataFrame, how: _Form) -> DataFrame:
+    """The open cells (__other, __cell, below and above: whether they reach the next ones) with their rows of either side,
+    and rows without a cell that stand for all others."""
 
     def side(df: DataFrame, s: int, t: int) -> DataFrame:
+        sign = "" if s else "-"
+        df = how.placed(df).selectExpr(
+            "__other", "__cell", *[f"{e} AS __v{k}" for k, e in enumerate(how.numbers)],
+            f"xxhash64({', '.join(['1', *how.parts, *how.numbers])}) AS __w",
+        )
         return df.selectExpr(
-            f"unhex({row_digest(df, columns, **exact)}) AS __digest", f"xxhash64({', '.join(['0', *parts])}) AS other",
-            f"{first} AS lead", f"array({', '.join(numbers)}) AS numbers", f"{s} AS __s", f"{t} AS __t",
+            "__other", "__cell", *values, f"{s}L AS __s", f"{t}L AS __t",
+            f"{sign}(__w & 4294967295L) AS __d0", f"{sign}shiftrightunsigned(__w, 32) AS __d1",
         )
 
-    return side(source, 1, 0).unionByName(side(target, 0, 1))
+    values = [f"__v{k}" for k in range(len(how.loose))]
+    rows = side(source, 1, 0).unionByName(side(target, 0, 1))
+    sums = rows.groupBy("__other", "__cell").agg(*[F.expr(e) for e in (
+        "sum(__s) AS n_source", "sum(__t) AS n_target", "sum(__d0) AS d0", "sum(__d1) AS d1",
+        *[f"{end}({v}) AS {end}{v}" for v in values for end in ("min", "max")])])
+    below, above = (_reaches(f"CAST({end}__v0 AS DOUBLE)", "__cell", how.tolerance)[k] for k, end in enumerate(("min", "max")))
+    close = " AND ".join(how.within(f"max{v}", f"min{v}", type_of(rows, v)) for v in values)
+    told = sums.selectExpr("*", f"{below} AS below", f"{above} AS above").selectExpr(
+        "*", f"n_source = n_target AND ((d0 = 0 AND d1 = 0) OR {close} AND NOT below AND NOT above) AS settled")
+    kept = [F.expr(f"if(settled, NULL, {c}) AS {c}") for c in ("__other", "__cell", "below", "above")]
+    return told.groupBy(*kept).agg(F.expr("sum(n_source) AS n_source"), F.expr("sum(n_target) AS n_target"))
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    kept = [F.expr(f"any_value({c}) AS {c}") for c in ("other", "lead", "numbers")]
+    return rows.groupBy("__digest").agg(F.expr("sum(__s) AS n_source"), F.expr("sum(__t) AS n_target"), *kept)
 
 
-def _counted(rows: DataFrame, *more: str) -> DataFrame:
-    kept = [F.expr(f"any_value({c}) AS {c}") for c in ("other", "lead", *more)]
-    return rows.groupBy("__digest").agg(F.expr("sum(__s) AS n_source"), F.expr("sum(__t) AS n_target"), *kept)
+def _inside(df: DataFrame, cells: DataFrame, n: int, few_rows: bool) -> DataFrame:
+    """Placed rows of one side in ``n`` cells, which are broadcast while they are few; a filter of them ends most other rows
+    before the shuffle beyond that, unless most rows are asked for."""
+    if n * _CELL_BYTES <= multiset._BROADCAST_BYTES:
+        cells = F.broadcast(cells)
+    elif few_rows:
+        df = sieved(df, "xxhash64(__other, __cell)", cells, "xxhash64(__other, __cell)", n)
+    return df.join(cells, ["__other", "__cell"], "left_semi")
 
 
 def _chains(rows: DataFrame, tolerance: float) -> DataFrame:
@@ -217,45 +292,50 @@ def _matched(kinds: list[str], tolerance: float):
 
 def tolerant_buckets(source: DataFrame, target: DataFrame, columns, tolerance: float, **form) -> DataFrame:
     """Rows without a partner within the tolerance as buckets (__digest, n_source, n_target) of exact digests, and one row
-    without a digest that stands for all matched rows. Kept in the shared folder. The sides must have the types of
-    ``aligned``."""
-    s, t = source, target
-    columns, loose = sorted(columns), tolerant_columns(s, columns, tolerance)
+    without a digest that stands for all matched rows. Kept in the shared folder; what is written on the way is deleted.
+    The sides must have the types of ``aligned``."""
+    columns, spark = sorted(columns), source.sparkSession
+    loose = tolerant_columns(source, columns, tolerance)
     if not loose:
-        return snapshot(multiset.condensed(multiset.row_buckets(s, t, columns, **{**form, "decimals": None})), "buckets")
-    rows = _rows(s, t, columns, loose, form)
-    counted = snapshot(_with_totals(_counted(rows)), "buckets")
-    totals = counted.filter("__digest IS NULL").first()
-    apart = counted.filter("__digest IS NOT NULL")
-    if apart.isEmpty():
-        return counted.select("__digest", "n_source", "n_target")
-    width = f"{CELL * tolerance!r}D"
-    cell = f"rint(lead / {width} - 0.5D)"  # a double, as a bigint would overflow
-    beside = f"explode(array({cell} - 1, {cell}, {cell} + 1)) AS cell"
-    cells = snapshot(apart.selectExpr("other", beside).distinct(), "cells")
+        return snapshot(multiset.condensed(multiset.row_buckets(source, target, columns, **{**form, "decimals": None})), "buckets")
+    path = scratch_path(spark, "buckets")
+    with scratch_scope(spark):
+        found = _unmatched(source, target, _form_of(source, columns, loose, tolerance, form))
+        found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
+
+
+def _unmatched(source: DataFrame, target: DataFrame, how: _Form) -> DataFrame:
+    spark, counts = source.sparkSession, ("n_source", "n_target")
+    opened = snapshot(_open_cells(source, target, how), "opened")
+    every = opened.agg(*[F.expr(f"CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}") for c in counts]).first()
+    opened = opened.filter("__cell IS NOT NULL")
+
+    def totals(lost) -> DataFrame:
+        return spark.range(1).selectExpr("CAST(NULL AS BINARY) AS __digest", *[f"{n - k}L AS {c}" for n, k, c in zip(every, lost, counts)])
+
+    if opened.isEmpty():
+        return totals((0, 0))
+    spread = "__other", "explode(array_distinct(array(__cell, if(below, __cell - 1, __cell), if(above, __cell + 1, __cell)))) AS __cell"
+    cells = snapshot(opened.selectExpr(*spread).distinct(), "cells")
     while True:
-        inside = rows.selectExpr("*", f"{cell} AS cell").join(cells, ["other", "cell"], "left_semi")
-        chained = snapshot(_chains(_counted(inside, "numbers"), tolerance), "chains")
+        n = cells.count()
+        sides = [how.exact(_inside(how.placed(df), cells, n, 4 * n <= sum(every)), s, t) for df, s, t in ((source, 1, 0), (target, 0, 1))]
+        chained = snapshot(_chains(_counted(sides[0].unionByName(sides[1])), how.tolerance), "chains")
         uneven = chained.groupBy("chain").agg(F.expr("max(if(n_source <> n_target, 1, 0)) AS uneven")).filter("uneven = 1")
         live = chained.join(uneven.select("chain"), "chain", "left_semi")
-        wider = live.selectExpr("other", beside).distinct()
-        more = snapshot(wider.join(cells, ["other", "cell"], "left_anti"), "cells")
+        below, above = _reaches("lead", "__cell", how.tolerance)
+        ends = live.selectExpr("other AS __other", "lead", f"{_place('lead', how.tolerance)} AS __cell").selectExpr("*", f"{below} AS below", f"{above} AS above")
+        wider = ends.filter("below OR above").selectExpr(*spread).distinct()
+        more = snapshot(wider.join(cells, ["__other", "__cell"], "left_anti"), "cells")
         if more.isEmpty():
             break
         cells = cells.unionByName(more)
-    kinds = ["float" if isinstance(type_of(s, c), FLOATING) else "decimal" for c in loose]
+    kinds = ["float" if isinstance(type_of(source, c), FLOATING) else "decimal" for c in how.loose]
     ordered = live.select("chain", "numbers", "n_source", "n_target", "__digest", "lead")
     if kinds[0] == "decimal":  # doubles may put close decimals out of order
-        ordered = ordered.withColumn("lead", F.expr(f"CAST(numbers[0] AS {type_of(s, loose[0]).simpleString()})"))
+        ordered = ordered.withColumn("lead", F.expr(f"CAST(numbers[0] AS {type_of(source, how.loose[0]).simpleString()})"))
     ordered = ordered.repartition("chain").sortWithinPartitions("chain", "lead").drop("lead")
-    left = snapshot(ordered.mapInArrow(_matched(kinds, tolerance), "__digest binary, n_source long, n_target long"), "unmatched")
-    lost = left.agg(*[F.expr(f"coalesce(sum({c}), 0)") for c in ("n_source", "n_target")]).first()
-    every = [totals[c] + n for c, n in zip(("n_source", "n_target"), apart.agg(F.sum("n_source"), F.sum("n_target")).first())]
-    matched = source.sparkSession.range(1).selectExpr("CAST(NULL AS BINARY) AS __digest", *[f"CAST({n - k} AS BIGINT) AS {c}" for n, k, c in zip(every, lost, ("n_source", "n_target"))])
-    return snapshot(left.groupBy("__digest").agg(F.sum("n_source").alias("n_source"), F.sum("n_target").alias("n_target")).unionByName(matched), "buckets")
-
-
-def _with_totals(counted: DataFrame) -> DataFrame:
-    equal = counted.filter("n_source = n_target").agg(*[F.expr(f"coalesce(sum({c}), 0) AS {c}") for c in ("n_source", "n_target")])
-    nothing = ["CAST(NULL AS BINARY) AS __digest", "n_source", "n_target", "CAST(NULL AS BIGINT) AS other", "CAST(NULL AS DOUBLE) AS lead"]
-    return counted.filter("n_source <> n_target").unionByName(equal.selectExpr(*nothing))
+    left = snapshot(ordered.mapInArrow(_matched(kinds, how.tolerance), "__digest binary, n_source long, n_target long"), "unmatched")
+    lost = left.agg(*[F.expr(f"coalesce(sum({c}), 0)") for c in counts]).first()
+    return left.groupBy("__digest").agg(*[F.sum(c).alias(c) for c in counts]).unionByName(totals(lost))

@@ -142,3 +142,17 @@ def test_chains_are_whole_where_leading_numbers_tie(spark):
     s = spark.range(3000).selectExpr("CAST(id DIV 3 AS STRING) AS name", "0.5D AS a", "id * 10.0D AS b").repartition(5)
     t = s.selectExpr("name", "a", "b + 0.0005D AS b")
     assert rows(tolerant.tolerant_buckets(s, t, s.columns, 0.001)) == [(None, 3000, 3000)]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_rows_that_all_match_are_not_written(spark, monkeypatch, broadcast):
+    """Rows that all moved by less than the tolerance, but for a few: only those few are looked at one by one."""
+    seen = []
+    monkeypatch.setattr(tolerant, "snapshot", lambda df, label="snapshot", keep=tolerant.snapshot: (seen.append((label, out := keep(df, label), out.count())), out)[1])
+    if not broadcast:
+        monkeypatch.setattr(multiset, "_BROADCAST_BYTES", 0)
+    s = spark.range(4000).selectExpr("id", "id % 11 / 100D AS a", "id + 0.0004999D AS b")
+    t = s.selectExpr("id", "a", "b + if(id % 400 = 3, 0.002D, 0.0000002D) AS b")
+    found = tolerant.tolerant_buckets(s, t, s.columns, 0.001)
+    assert sorted(r[1:] for r in found.collect()) == [(0, 1)] * 10 + [(1, 0)] * 10 + [(3990, 3990)]
+    assert {"opened", "chains"} <= {label for label, *_ in seen} and all(n <= 100 for *_, n in seen)
