@@ -1,9 +1,10 @@
 """Chat formatting by prefix-target expansion: every assistant turn becomes an example of its own.
 
 A conversation is rendered once, turn by turn; an example is the rendered text up to and with its assistant turn. All
-turns before are its context, and the loss mask covers that reply's text alone. Examples are kept as places in the
-rendered conversation, so that a conversation of n turns costs n rows and not their squares; ``example_texts`` writes
-them out where a trainer wants that.
+turns before are its context, and the loss mask covers that reply's text alone. ``expanded`` writes each example out from
+the one rendered text, row after row, so that a task holds a conversation and one of its examples however many it has;
+nothing of an example is shuffled before it is used. What follows the last reply is in no example: it is a row of its own
+without a target. ``examples`` gives the same as places in the rendered conversation.
 
 A turn is rendered as ``### role: text</turn>`` and a line end. In roles and texts every backslash, ``#``, ``<`` and
 (in roles) ``:`` is preceded by a backslash, so no text can hold a mark, and removing one backslash before any
@@ -57,14 +58,39 @@ def examples(segments: DataFrame) -> DataFrame:
     )
 
 
+def expanded(segments: DataFrame) -> DataFrame:
+    """The examples with their texts, and what they leave out: conv_id, example (null for the turns after the last reply),
+    begin (where the text begins in the rendered conversation: 0 for examples), n_chars, reply_start and reply_end (in the
+    text), last (whether no later row holds these turns) and text."""
+    parts = F.array_sort(F.collect_list(F.struct("place", "segment", "end", "reply_start", "reply_end")))
+    held = segments.groupBy("conv_id").agg(parts.alias("parts")).select(
+        "conv_id", F.concat_ws("", "parts.segment").alias("whole"), F.expr("transform(parts, p -> struct(p.place, p.end, p.reply_start, p.reply_end))").alias("parts"))
+    told = held.withColumn("replies", F.expr("filter(parts, p -> p.reply_start IS NOT NULL)")).withColumns({
+        "cut": F.expr("coalesce(array_max(replies.end), 0L)"), "size": F.expr("array_max(parts.end)")})
+    row = "named_struct('example', {}, 'begin', {}, 'end', {}, 'reply_start', {}, 'reply_end', {}, 'last', {})"
+    own = f"transform(replies, r -> {row.format('r.place', '0L', 'r.end', 'r.reply_start', 'r.reply_end', 'r.end = cut')})"
+    rest = f"if(cut < size, array({row.format('CAST(NULL AS BIGINT)', 'cut', 'size', 'CAST(NULL AS BIGINT)', 'CAST(NULL AS BIGINT)', 'true')}), array())"
+    each = told.select("conv_id", "whole", F.expr(f"inline(concat({own}, {rest}))"))
+    return each.selectExpr(
+        "conv_id", "example", "begin", "end - begin AS n_chars", "reply_start", "reply_end", "last",
+        "substring(whole, CAST(begin + 1 AS INT), CAST(end - begin AS INT)) AS text")
+
+
 def example_texts(segments: DataFrame) -> DataFrame:
     """The examples with their texts: every turn is repeated in each example after it."""
-    own = examples(segments)
-    context = segments.select(F.col("conv_id").alias("c"), "place", "segment")
-    joined = own.join(context, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("place") <= F.col("example")))
-    text = F.array_sort(F.collect_list(F.struct("place", "segment")))
-    grouped = joined.groupBy("conv_id", "example", "n_chars", "reply_start", "reply_end").agg(text.alias("parts"))
-    return grouped.withColumn("text", F.concat_ws("", F.col("parts.segment"))).drop("parts")
+    return expanded(segments).filter("example IS NOT NULL").select("conv_id", "example", "n_chars", "reply_start", "reply_end", "text")
+
+
+def read_examples(texts: DataFrame) -> DataFrame:
+    """What the texts of ``expanded`` hold: conv_id, example, begin, trained (the text under the loss mask, null without a
+    target), n_chars, and of the last ones roles and texts of their turns (of others null, as a later one has them too)."""
+    role, text = (rf"([^\\#<{also}]*+(?:\\.[^\\#<{also}]*+)*+)" for also in (":", ""))
+    turn = F.lit(rf"(?s){OPEN}{role}: {text}{CLOSE}")
+    said = lambda k: F.when(F.col("last"), F.transform(F.regexp_extract_all("text", turn, F.lit(k)), unescaped))
+    trained = F.substring("text", F.col("reply_start") + 1, F.col("reply_end") - F.col("reply_start"))
+    return texts.select(
+        "conv_id", "example", "begin", unescaped(trained).alias("trained"), F.length("text").cast("long").alias("n_chars"),
+        said(1).alias("roles"), said(2).alias("texts"), "last")
 
 
 def read_back(segments: DataFrame) -> DataFrame:
@@ -81,12 +107,12 @@ def op4_prefix_target(spark, d: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise(TARGET).alias("role"), F.lit(said).alias("text"))
     turns = spark.read.parquet(f"{d}/conversations.parquet").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
-    segments = rendered(turns.unionByName(extra))
-    back = read_back(segments)
-    in_order = lambda value: F.transform(F.array_sort(F.collect_list(F.struct("place", value.alias("v")))), lambda s: s["v"])
-    whole = back.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n_turns"), in_order(F.concat("role", F.lit("\n"), "text", F.lit("\n"))).alias("turns"),
-        in_order(F.col("trained")).alias("trained"), F.sum("n_chars").alias("formatted_chars"),
+    read = read_examples(expanded(rendered(turns.unionByName(extra))))
+    read = read.withColumn("turns", F.concat_ws("", F.zip_with("roles", "texts", lambda r, t: F.concat(r, F.lit("\n"), t, F.lit("\n")))))
+    in_order = lambda place, value: F.transform(F.array_sort(F.collect_list(F.when(F.col(place).isNotNull(), F.struct(place, value)))), lambda s: s[value])
+    whole = read.withColumn("begun", F.when(F.col("last"), F.col("begin"))).groupBy("conv_id").agg(
+        F.sum(F.when(F.col("last"), F.size("roles"))).cast("long").alias("n_turns"), in_order("begun", "turns").alias("turns"),
+        in_order("example", "trained").alias("trained"), F.sum(F.when(F.col("last"), F.col("n_chars"))).alias("formatted_chars"),
     )
     loss = F.concat_ws("", "trained")
     return whole.select(

@@ -1,5 +1,6 @@
 """The corpus operators against plain Python, on small tables with every odd case."""
 
+import hashlib
 import random
 
 import brute
@@ -442,6 +443,22 @@ def test_chat_round_trip(spark):
     assert chat.rendered(turns.limit(0)).count() == 0
 
 
+def test_chat_query_reads_its_examples(spark, tmp_path, monkeypatch):
+    """What the query returns comes from the texts of its examples: a mark put into each shows in the results."""
+    texts = [(1, k, "assistant" if k % 2 else "user", f"said {k} \\ # <") for k in range(301)] + [(2, 0, "user", "alone")]
+    spark.createDataFrame(texts, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r for r in chat.op4_prefix_target(spark, str(tmp_path)).collect()}
+    loss = "".join(t for c, _, role, t in texts if role == "assistant")
+    turns = "".join(f"{role}\n{t}\n" for c, _, role, t in texts if c == 1)
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert (got[1].n_turns, got[1].turns_sha256, got[1].loss_chars, got[1].loss_sha256) == (301, digest(turns), len(loss), digest(loss))
+    assert got[1].formatted_chars == sum(len(f"### {role}: {t}</turn>\n") + 3 for c, _, role, t in texts if c == 1)
+    assert (got[2].n_turns, got[2].loss_chars, got[2].turns_sha256) == (1, 0, digest("user\nalone\n"))
+    monkeypatch.setattr(chat, "expanded", lambda s, keep=chat.expanded: keep(s).withColumn("text", F.regexp_replace("text", "said 1 ", "heard ")))
+    marked = {r.conv_id: r for r in chat.op4_prefix_target(spark, str(tmp_path)).collect()}
+    assert marked[1].turns_sha256 != got[1].turns_sha256 and marked[1].loss_sha256 != got[1].loss_sha256 and marked[2] == got[2]
+
+
 # -- URLs -----------------------------------------------------------------------------------------------------------------------
 
 
