@@ -3,8 +3,8 @@
 A keyless diff says which rows one side has too many of. For each such row and each column, a digest of all other columns
 is made; a row of either side under the same column and digest is a change of that column. Pairs are one to one, copies by
 their count: a round gives every row its first column under which there are rows of both sides, pairs those that chose the
-same, in order of the values, and goes on with what is left over until no pair is found. Only surplus rows are handled, so
-the work is that of the damage; a digest under which very many rows meet is dealt into lanes first.
+same, in order of the values, and goes on with what is left over of the rows that had a choice until no pair is found; a row
+without one gets none later, as partners only become fewer. Only surplus rows are handled, so the work is that of the damage; a digest under which very many rows meet is dealt into lanes first.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions import sqltext
-from evenkeel.functions.canonical import canonical_columns, row_digest
+from evenkeel.functions.canonical import canonical_columns
 from evenkeel.operators import multiset
+from evenkeel.operators.segments import digest_of
 from evenkeel.sources.tables import snapshot
 
 #: Rows of one side under a digest up to which they are ordered in one task.
@@ -22,27 +23,29 @@ LANE_ROWS = 100_000
 
 
 def _surplus(source: DataFrame, target: DataFrame, columns, form) -> DataFrame:
-    """Surplus rows with their columns' texts: mark (digest), side, n and texts (by column, in order)."""
-    buckets = snapshot(multiset.condensed(multiset.row_buckets(source, target, columns, **form)), "buckets")
-    picked = buckets.filter("n_source <> n_target").selectExpr(
-        "__digest", "if(n_source > n_target, 's', 't') AS side", "abs(n_source - n_target) AS n"
-    )
-    s, t = multiset.aligned(source, target, columns, form)
+    """Surplus rows with their columns' texts: mark (of the digest), side, n and texts (by column, in order). A digest is two
+    64-bit words of the values as they are; texts are made of surplus rows alone."""
+    sides = dict(zip("st", multiset.aligned(source, target, columns, form)))
+    words = {k: [f"{digest_of(df, [], columns, seed, form)} AS __w{seed}" for seed in (0, 1)] for k, df in sides.items()}
+    tagged = [sides[k].selectExpr(*words[k], f"{n}L AS __n") for k, n in (("s", 1), ("t", -1))]
+    # like rows of both sides cancel each other
+    counted = tagged[0].unionByName(tagged[1]).groupBy("__w0", "__w1").agg(F.expr("sum(__n) AS n")).filter("n <> 0")
+    picked = snapshot(counted.selectExpr("__w0", "__w1", "if(n > 0, 's', 't') AS side", "abs(n) AS n"), "buckets")
     picks = picked.count()
 
-    def content(df: DataFrame, side: str) -> DataFrame:
-        texts = canonical_columns(df, columns, **form)
-        rows = df.selectExpr(f"coalesce(unhex({row_digest(df, columns, **form)}), X'') AS __digest", f"array({', '.join(texts.values())}) AS texts")
-        own = picked.filter(f"side = '{side}'")
+    def content(side: str) -> DataFrame:
+        df = sides[side]
+        rows, own = df.selectExpr("*", *words[side]), picked.filter(f"side = '{side}'").withColumnsRenamed({"side": "__side", "n": "__n"})
         if picks * 64 <= multiset._BROADCAST_BYTES:
             own = F.broadcast(own)
         else:
-            rows = multiset.sieved(rows, "__digest", own, "__digest", picks)
-        return rows.join(own, "__digest")
+            rows = multiset.sieved(rows, "__w0", own, "__w0", picks)
+        texts = canonical_columns(df, columns, **form)
+        return rows.join(own, ["__w0", "__w1"]).selectExpr(
+            "concat(CAST(__w0 AS STRING), ' ', CAST(__w1 AS STRING)) AS mark", "__side AS side", "__n AS n", f"array({', '.join(texts.values())}) AS texts")
 
     # every copy of a row brings its content; one is enough
-    every = content(s, "s").unionByName(content(t, "t"))
-    return every.groupBy("__digest", "side", "n").agg(F.expr("max(texts) AS texts")).withColumnRenamed("__digest", "mark")
+    return content("s").unionByName(content("t")).groupBy("mark", "side", "n").agg(F.expr("max(texts) AS texts"))
 
 
 def _choices(rows: DataFrame, columns, turn: int) -> DataFrame:
@@ -79,22 +82,30 @@ def _paired(chosen: DataFrame) -> DataFrame:
     )
 
 
+def _left_over(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows with the copies that are in no pair."""
+    used = pairs.selectExpr("source_mark AS mark", "'s' AS side", "n AS used").unionByName(pairs.selectExpr("target_mark AS mark", "'t' AS side", "n AS used"))
+    used = used.groupBy("mark", "side").agg(F.sum("used").alias("used"))
+    return rows.join(used, ["mark", "side"], "left").selectExpr("mark", "side", "n - coalesce(used, 0) AS n", "texts").filter("n > 0")
+
+
 def pair_changes(source: DataFrame, target: DataFrame, columns, **form) -> DataFrame:
     """One row per pair of surplus rows that differ in one column: change (``changed``), column_name, source_value,
     target_value, n_rows (copies), row (JSON of the source row). Surplus rows without such a partner are rows too, as
     ``only_in_source`` or ``only_in_target``, with nulls for the column and values."""
     columns = sorted(columns)
-    rows = snapshot(_surplus(source, target, columns, form), "surplus")
-    every, pairs, turn = rows, None, 0
+    every = snapshot(_surplus(source, target, columns, form), "surplus")
+    rows, pairs, turn = every, None, 0
     while True:
-        found = snapshot(_paired(_choices(rows, columns, turn)), "pairs")
+        chosen = snapshot(_choices(rows, columns, turn), "choices")
+        found = snapshot(_paired(chosen), "pairs")
         if found.isEmpty():
             break
         pairs = found if pairs is None else pairs.unionByName(found)
-        used = found.selectExpr("source_mark AS mark", "'s' AS side", "n AS used").unionByName(found.selectExpr("target_mark AS mark", "'t' AS side", "n AS used"))
-        used = used.groupBy("mark", "side").agg(F.sum("used").alias("used"))
-        rows = rows.join(used, ["mark", "side"], "left").selectExpr("mark", "side", "n - coalesce(used, 0) AS n", "texts").filter("n > 0")
-        rows, turn = snapshot(rows, "surplus"), turn + 1
+        rows, turn = snapshot(_left_over(chosen, found), "surplus"), turn + 1
+        if rows.isEmpty():
+            break
+    rows = every if pairs is None else _left_over(every, pairs)
     text = sqltext.json(sqltext.struct({c: f"texts[{k}]" for k, c in enumerate(columns)})) + " AS row"
     alone = rows.selectExpr(
         "if(side = 's', 'only_in_source', 'only_in_target') AS change", "CAST(NULL AS STRING) AS column_name",

@@ -106,3 +106,14 @@ def test_one_column_and_nothing_to_pair(spark):
     t = spark.createDataFrame([("c",), ("b",)], "x string")
     assert totals(pairing.pair_changes(s, t, ["x"])) == {("changed", "x", "a", "c"): 1, ("only_in_source", None, None, None): 1}
     assert pairing.pair_changes(s, s, ["x"]).collect() == []
+
+
+def test_rows_without_a_partner_are_not_tried_again(spark, monkeypatch):
+    """One pair among many lone rows: one round finds it, and no other is made for rows that have no choice."""
+    seen = []
+    monkeypatch.setattr(pairing, "_choices", lambda rows, *more, keep=pairing._choices: (seen.append(rows.count()), keep(rows, *more))[1])
+    s = spark.range(50).selectExpr("id AS x", "concat('s', id) AS y")
+    t = s.selectExpr("x + if(x > 0, 100, 0) AS x", "replace(y, 's', 't') AS y")
+    found = totals(pairing.pair_changes(s, t, s.columns))
+    assert found == {("changed", "y", "s0", "t0"): 1, ("only_in_source", None, None, None): 49, ("only_in_target", None, None, None): 49}
+    assert seen == [100]
