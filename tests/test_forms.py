@@ -134,3 +134,12 @@ def test_one_scan_per_side(spark, sf):
     text = column_facts(orders, ["o_custkey", "o_orderdate"])._jdf.queryExecution().executedPlan().toString()
     assert text.count("FileScan") == 1 and "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in text
     assert rows(column_facts(orders, ["o_custkey"]).select("column", "nulls")) == [("o_custkey", 0)]
+
+
+def test_json_is_parsed_once_for_all_modes(spark, sf, monkeypatch):
+    from workload import forms
+
+    seen = []
+    monkeypatch.setattr(forms, "compare", lambda s, t, spec, keep=compare: (seen.extend((s, t)), keep(s, t, spec))[1])
+    found = forms.diff_json(spark, sf)
+    assert len(seen) == 8 and all("parse_json" not in df._jdf.queryExecution().optimizedPlan().toString().lower() for df in [*seen, found])
