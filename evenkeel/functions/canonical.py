@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from evenkeel.functions import sqltext
-from evenkeel.functions.types import FLOATING, NESTED, TIMESTAMP, as_text, type_of, with_sorted_maps
+from evenkeel.functions.types import FLOATING, INTEGRAL, NESTED, TIMESTAMP, as_text, type_of, with_sorted_maps
 from evenkeel.spec import HASH_DECIMALS
 
 
@@ -88,6 +88,44 @@ def digest_words(digest: str) -> list[str]:
     return [f"xxhash64(substring({digest}, {start}, 32))" for start in (1, 33)]
 
 
+def comparable(e: str, dtype: T.DataType, decimals: int | None = HASH_DECIMALS, round_decimals: bool = False, timestamp_unit: str = "second") -> str:
+    """A value whose hash stands for its canonical text: equal exactly when the texts are equal, but not made text where
+    its type can be hashed as it is."""
+    form = {"decimals": decimals, "round_decimals": round_decimals, "timestamp_unit": timestamp_unit}
+    if isinstance(dtype, T.DoubleType) and decimals is not None:
+        return rounded(e, decimals)
+    if isinstance(dtype, FLOATING):
+        return f"round({e}, {decimals})" if decimals is not None else e
+    if isinstance(dtype, T.DecimalType) and round_decimals and decimals is not None:
+        return f"round({e}, {decimals})"
+    if isinstance(dtype, TIMESTAMP):
+        return f"{'unix_micros' if timestamp_unit == 'microsecond' else 'unix_seconds'}(CAST({e} AS TIMESTAMP))"
+    if isinstance(dtype, NESTED) or not isinstance(dtype, INTEGRAL + (T.DecimalType, T.StringType, T.BinaryType, T.BooleanType, T.DateType)):
+        return canonical(e, dtype, **form)
+    return e
+
+
+#: The form of keys, which are never rounded.
+_EXACT = {"decimals": None, "timestamp_unit": "microsecond"}
+
+
+def digest_of(df: DataFrame, keys, columns, seed: int, form) -> str:
+    """SQL for a 64-bit digest of a row; nulls count."""
+    values = [(c, comparable(sqltext.name(c), type_of(df, c), **(_EXACT if c in keys else form))) for c in [*keys, *columns]]
+    return f"xxhash64({', '.join([str(seed), *[f'{sqltext.name(c)} IS NULL, {v}' for c, v in values]])})"
+
+
+def quick_words(df: DataFrame, columns, **form) -> list[str]:
+    """Two 64-bit words of a row that differ where its texts do, up to chance, hashed from values that are not made text:
+    several times faster than ``row_digest``."""
+    return [digest_of(df, (), columns, seed, form) for seed in (0, 1)]
+
+
+def quick_digest(words) -> str:
+    """Such words as bytes, in place of a SHA-256."""
+    return f"CAST(concat({words[0]}, ' ', {words[1]}) AS BINARY)"
+
+
 def key_json(keys, df: DataFrame) -> str:
     """Key values as JSON text, nulls spelled out."""
     return sqltext.json(sqltext.struct({k: as_text(sqltext.name(k), type_of(df, k)) for k in keys}))

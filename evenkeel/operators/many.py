@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.errors import ConfigError
-from evenkeel.functions.canonical import digest_words, row_digest
+from evenkeel.functions.canonical import quick_digest, quick_words, row_digest
 from evenkeel.functions.sqltext import any_null, name, names
 from evenkeel.functions.types import type_of
 from evenkeel.operators import keyed, multiset
@@ -28,9 +28,10 @@ MOST_KEYED, MOST_KEYLESS = 62, 8
 
 
 def alike(source: DataFrame, target: DataFrame, columns) -> bool:
-    """Whether a copy has the source's types, so that one digest of a source row serves for it."""
-    a, b = align(source, target, columns)
-    return all(type_of(source, c) == type_of(a, c) == type_of(b, c) for c in columns)
+    """Whether a copy meets the source under the types in which the source meets itself (times without a zone become times
+    with one), so that one digest of a source row serves for it."""
+    own, a, b = align(source, source, columns)[0], *align(source, target, columns)
+    return all(type_of(own, c) == type_of(a, c) == type_of(b, c) for c in columns)
 
 
 def _union(frames) -> DataFrame:
@@ -44,12 +45,12 @@ def keyed_many(source: DataFrame, targets: dict[str, DataFrame], keys, columns,
     keys, values = list(keys), [c for c in columns if c not in set(keys)]
     for df in (source, *targets.values()):
         require_keys(df, keys)
-    by, w = names(keys), digest_words("__digest")
+    by = names(keys)
 
     def narrow(df: DataFrame, side: int) -> DataFrame:
         df = align(source, df, keys + values)[1]
-        return df.selectExpr(*by, f"{row_digest(df, values, **form)} AS __digest").selectExpr(
-            *by, f"{w[0]} AS __w0", f"{w[1]} AS __w1", f"{1 << side}L AS __side")
+        w = quick_words(df, values, **form)
+        return df.selectExpr(*by, f"{w[0]} AS __w0", f"{w[1]} AS __w1", f"{1 << side}L AS __side")
 
     rows = _union(narrow(df, k) for k, df in enumerate((source, *targets.values())))
     sides = rows.groupBy(*by, "__w0", "__w1").agg(F.expr("bit_or(__side) AS __has"), F.expr("count(1) AS __n"))
@@ -87,7 +88,7 @@ def keyed_many(source: DataFrame, targets: dict[str, DataFrame], keys, columns,
             counts[r["__copy"] - 1] += r["count"]
         found = found.unionByName(met.filter("diff_class <> 'match'"))
     found = snapshot(found, "many-findings")
-    nothing = [f"CAST(NULL AS {type_of(source, k).simpleString()}) AS {name(k)}" for k in keys]
+    nothing = [f"CAST(NULL AS {type_of(found, k).simpleString()}) AS {name(k)}" for k in keys]
 
     def one(k: int) -> DataFrame:
         n = counts[k - 1]
@@ -97,18 +98,25 @@ def keyed_many(source: DataFrame, targets: dict[str, DataFrame], keys, columns,
     return {target: one(k) for k, target in enumerate(targets, 1)}
 
 
-def keyless_many(source: DataFrame, targets: dict[str, DataFrame], columns, **form) -> dict[str, DataFrame]:
-    """The diverging buckets of ``multiset.row_buckets`` in condensed form for each target, kept in the shared folder."""
+def keyless_many(source: DataFrame, targets: dict[str, DataFrame], columns, quick: bool = False, **form) -> dict[str, DataFrame]:
+    """The diverging buckets of ``multiset.row_buckets`` in condensed form for each target, kept in the shared folder. With
+    ``quick`` their digests are ``quick_digest`` and not SHA-256."""
     out, every = {}, list(targets)
+    by, digest = (("__w0", "__w1"), quick_digest(("__w0", "__w1"))) if quick else (("__digest",), "__digest")
+
+    def hashed(df: DataFrame) -> list[str]:
+        found = quick_words(df, columns, **form) if quick else [f"unhex({row_digest(df, columns, **form)})"]
+        return [f"{e} AS {c}" for e, c in zip(found, by)]
+
     for first in range(0, len(every), MOST_KEYLESS):
         some = every[first : first + MOST_KEYLESS]
         frames = [multiset.aligned(source, source, columns, form)[0], *[multiset.aligned(source, targets[t], columns, form)[1] for t in some]]
-        rows = _union(df.selectExpr(f"unhex({row_digest(df, columns, **form)}) AS __digest", f"{k} AS __side") for k, df in enumerate(frames))
+        rows = _union(df.selectExpr(*hashed(df), f"{k} AS __side") for k, df in enumerate(frames))
         sums = [F.expr(f"count_if(__side = {k}) AS n{k}") for k in range(len(frames))]
-        counted = rows.groupBy("__digest").agg(*sums)
+        counted = rows.groupBy(*by).agg(*sums)
         uneven = " OR ".join(f"n0 <> n{k}" for k in range(1, len(frames)))
         # even rows go on as one row of totals
-        folded = counted.groupBy(F.when(F.expr(uneven), F.col("__digest")).alias("__digest")).agg(*[F.expr(f"sum(n{k}) AS n{k}") for k in range(len(frames))])
+        folded = counted.groupBy(F.when(F.expr(uneven), F.expr(digest)).alias("__digest")).agg(*[F.expr(f"sum(n{k}) AS n{k}") for k in range(len(frames))])
         folded = snapshot(folded, "many")
         for k, target in enumerate(some, 1):
             # what is uneven for another copy may be even for this one

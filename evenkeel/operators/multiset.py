@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.errors import ConfigError
-from evenkeel.functions.canonical import canonical_rows, row_digest, row_json
+from evenkeel.functions.canonical import canonical_rows, quick_digest, quick_words, row_digest, row_json
 from evenkeel.functions.topk import top_per_group
 from evenkeel.operators.columns import align
 from evenkeel.operators.sieve import sieved
@@ -96,7 +96,7 @@ def multiset_outcome(buckets: DataFrame, mode: str) -> DataFrame:
     )
 
 
-def _with_evidence(picked: DataFrame, source: DataFrame, target: DataFrame, columns, form, broadcast_bytes: int) -> DataFrame:
+def _with_evidence(picked: DataFrame, source: DataFrame, target: DataFrame, columns, form, broadcast_bytes: int, quick: bool) -> DataFrame:
     """Attach the content of each picked row. A digest finds it; its text is made after the join, for picked rows alone.
     The picks are counted first. While they are few they are broadcast; beyond, a filter of their digests keeps all but a
     few other rows from being shuffled. Each pick is one row, so a join cannot multiply, and one whose row has gone since
@@ -109,7 +109,8 @@ def _with_evidence(picked: DataFrame, source: DataFrame, target: DataFrame, colu
 
     def found(df: DataFrame) -> DataFrame:
         # never null, so that the join needs no filter that would hash every row once more
-        rows = df.selectExpr("*", f"coalesce(unhex({row_digest(df, columns, **form)}), X'') AS __digest")
+        digest = quick_digest(quick_words(df, columns, **form)) if quick else f"coalesce(unhex({row_digest(df, columns, **form)}), X'')"
+        rows = df.selectExpr("*", f"{digest} AS __digest")
         if not few:
             rows = sieved(rows, "__digest", marks, "__digest", n)
         return rows.join(marks, "__digest").selectExpr("__digest", f"{row_json(df, columns, **form)} AS evidence", *[f"CAST(NULL AS {picked.schema[c].dataType.simpleString()}) AS {c}" for c in facts])
@@ -121,15 +122,16 @@ def _with_evidence(picked: DataFrame, source: DataFrame, target: DataFrame, colu
 
 def bucket_samples(
     source: DataFrame, target: DataFrame, columns, cap: int | None = None, buckets: DataFrame | None = None,
-    broadcast_bytes: int = _BROADCAST_BYTES, **form
+    broadcast_bytes: int = _BROADCAST_BYTES, quick: bool = False, **form
 ) -> DataFrame:
     """The diverging rows, or the first ``cap`` in digest order: content and copies on each side. ``buckets``
-    are those of the same frames, if they are at hand."""
+    are those of the same frames, if they are at hand; ``quick`` says that their digests are ``quick_digest``."""
     found = snapshot(condensed(row_buckets(source, target, columns, **form)), "buckets") if buckets is None else buckets
+    quick = quick and buckets is not None
     picked = found.filter("n_source <> n_target")
     if cap is not None:
         picked = picked.orderBy("__digest").limit(cap)
-    return _with_evidence(picked, source, target, columns, form, broadcast_bytes).selectExpr(
+    return _with_evidence(picked, source, target, columns, form, broadcast_bytes, quick).selectExpr(
         _BUCKET_CLASS,
         "evidence AS pk_values",
         "CAST(NULL AS STRING) AS column_name",
@@ -140,16 +142,17 @@ def bucket_samples(
 
 def excess_rows(
     source: DataFrame, target: DataFrame, columns, cap: int | None = None, buckets: DataFrame | None = None,
-    broadcast_bytes: int = _BROADCAST_BYTES, **form
+    broadcast_bytes: int = _BROADCAST_BYTES, quick: bool = False, **form
 ) -> DataFrame:
     """Distinct surplus rows with their surplus; with a ``cap`` half of it for each side, in digest order."""
     found = snapshot(condensed(row_buckets(source, target, columns, **form)), "buckets") if buckets is None else buckets
+    quick = quick and buckets is not None
     surplus = (
         found.filter("n_source <> n_target")
         .selectExpr("__digest", "if(n_source > n_target, 'source', 'target') AS side", "abs(n_source - n_target) AS surplus")
     )
     picked = surplus if cap is None else top_per_group(surplus, ["side"], ["__digest"], max(1, cap // 2))
-    return _with_evidence(picked, source, target, columns, form, broadcast_bytes).selectExpr(
+    return _with_evidence(picked, source, target, columns, form, broadcast_bytes, quick).selectExpr(
         "concat('only_in_', side, '_no_pk') AS mismatch_type",
         "evidence AS pk_values",
         "CAST(NULL AS STRING) AS column_name",

@@ -20,17 +20,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from evenkeel.functions import sqltext
-from evenkeel.functions.canonical import canonical, rounded
+from evenkeel.functions.canonical import comparable, digest_of
 from evenkeel.functions.sqltext import any_null, name, names
-from evenkeel.functions.types import FLOATING, INTEGRAL, NESTED, TIMESTAMP, type_of
+from evenkeel.functions.types import INTEGRAL, type_of
 from evenkeel.operators import keyed, multiset
 from evenkeel.operators.columns import align
 from evenkeel.operators.keys import require_keys
 from evenkeel.sources.tables import snapshot
-from evenkeel.spec import HASH_DECIMALS
 
 #: Segments of the first level (a power of two), and segments of any level at most.
 FIRST_BITS, MAX_SEGMENTS = 12, 1 << 16
@@ -44,33 +41,6 @@ _PARTS = 4
 _SIGN = "shiftleft(1L, 63)"
 
 
-def comparable(e: str, dtype: T.DataType, decimals: int | None = HASH_DECIMALS, round_decimals: bool = False, timestamp_unit: str = "second") -> str:
-    """A value whose hash stands for its canonical text: equal exactly when the texts are equal, but not made text where
-    its type can be hashed as it is."""
-    form = {"decimals": decimals, "round_decimals": round_decimals, "timestamp_unit": timestamp_unit}
-    if isinstance(dtype, T.DoubleType) and decimals is not None:
-        return rounded(e, decimals)
-    if isinstance(dtype, FLOATING):
-        return f"round({e}, {decimals})" if decimals is not None else e
-    if isinstance(dtype, T.DecimalType) and round_decimals and decimals is not None:
-        return f"round({e}, {decimals})"
-    if isinstance(dtype, TIMESTAMP):
-        return f"{'unix_micros' if timestamp_unit == 'microsecond' else 'unix_seconds'}(CAST({e} AS TIMESTAMP))"
-    if isinstance(dtype, NESTED) or not isinstance(dtype, INTEGRAL + (T.DecimalType, T.StringType, T.BinaryType, T.BooleanType, T.DateType)):
-        return canonical(e, dtype, **form)
-    return e
-
-
-#: The form of keys, which are never rounded.
-_EXACT = {"decimals": None, "timestamp_unit": "microsecond"}
-
-
-def digest_of(df: DataFrame, keys, columns, seed: int, form) -> str:
-    """SQL for a 64-bit digest of a row; nulls count."""
-    values = [(c, comparable(name(c), type_of(df, c), **(_EXACT if c in keys else form))) for c in [*keys, *columns]]
-    return f"xxhash64({', '.join([str(seed), *[f'{name(c)} IS NULL, {v}' for c, v in values]])})"
-
-
 @dataclass
 class _Sides:
     """Both sides under one type each, and where a row lies: ``place`` is an unsigned number, by which segments are cut."""

@@ -31,12 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.functions.canonical import row_digest
+from evenkeel.functions.canonical import comparable, quick_digest, quick_words, row_digest
 from evenkeel.functions.sqltext import name
 from evenkeel.functions.types import FLOATING, INTEGRAL, type_of
 from evenkeel.operators import multiset
 from evenkeel.operators.columns import align
-from evenkeel.operators.segments import comparable
 from evenkeel.operators.sieve import sieved
 from evenkeel.sources.tables import scratch_path, scratch_scope, snapshot
 
@@ -83,6 +82,7 @@ class _Form:
     texts: list[str]
     tolerance: float
     form: dict
+    quick: bool = False
 
     def placed(self, df: DataFrame) -> DataFrame:
         """The rows with __other (a digest of what must agree), __lead (the leading number) and __cell."""
@@ -91,8 +91,9 @@ class _Form:
 
     def exact(self, df: DataFrame, s: int, t: int) -> DataFrame:
         """Placed rows with an exact digest and the tolerant columns as text, for one side."""
-        digest = row_digest(df, self.columns, **{**self.form, "decimals": None, "round_decimals": False})
-        return df.selectExpr(f"unhex({digest}) AS __digest", "__other AS other", "__lead AS lead", f"array({', '.join(self.texts)}) AS numbers", f"{s} AS __s", f"{t} AS __t")
+        form = {**self.form, "decimals": None, "round_decimals": False}
+        digest = quick_digest(quick_words(df, self.columns, **form)) if self.quick else f"unhex({row_digest(df, self.columns, **form)})"
+        return df.selectExpr(f"{digest} AS __digest", "__other AS other", "__lead AS lead", f"array({', '.join(self.texts)}) AS numbers", f"{s} AS __s", f"{t} AS __t")
 
     def within(self, hi: str, lo: str, dtype: T.DataType) -> str:
         """Whether two numbers match; wide decimals, whose difference may lose places, only if they are equal."""
@@ -101,7 +102,7 @@ class _Form:
         return f"{hi} - {lo} <= {self.tolerance!r}D"
 
 
-def _form_of(df: DataFrame, columns, loose, tolerance: float, form) -> _Form:
+def _form_of(df: DataFrame, columns, loose, tolerance: float, form, quick: bool) -> _Form:
     parts, numbers, texts = [], [], []
     for c in columns:
         e, dtype = name(c), type_of(df, c)
@@ -114,7 +115,7 @@ def _form_of(df: DataFrame, columns, loose, tolerance: float, form) -> _Form:
         texts.append(f"if({finite}, CAST({wide} AS STRING), '0')")
         kind = "DOUBLE" if floating else dtype.simpleString() if isinstance(dtype, T.DecimalType) else "DECIMAL(20,0)"
         numbers.append(f"if({finite}, CAST({e} AS {kind}), CAST(0 AS {kind}))")
-    return _Form(list(columns), list(loose), parts, numbers, texts, tolerance, dict(form))
+    return _Form(list(columns), list(loose), parts, numbers, texts, tolerance, dict(form), quick)
 
 
 def _open_cells(source: DataFrame, target: DataFrame, how: _Form) -> DataFrame:
@@ -290,17 +291,17 @@ def _matched(kinds: list[str], tolerance: float):
     return match
 
 
-def tolerant_buckets(source: DataFrame, target: DataFrame, columns, tolerance: float, **form) -> DataFrame:
-    """Rows without a partner within the tolerance as buckets (__digest, n_source, n_target) of exact digests, and one row
-    without a digest that stands for all matched rows. Kept in the shared folder; what is written on the way is deleted.
-    The sides must have the types of ``aligned``."""
+def tolerant_buckets(source: DataFrame, target: DataFrame, columns, tolerance: float, quick: bool = False, **form) -> DataFrame:
+    """Rows without a partner within the tolerance as buckets (__digest, n_source, n_target) of exact digests (``quick_digest``
+    or else SHA-256), and one row without a digest that stands for all matched rows. Kept in the shared folder; what is
+    written on the way is deleted. The sides must have the types of ``aligned``."""
     columns, spark = sorted(columns), source.sparkSession
     loose = tolerant_columns(source, columns, tolerance)
     if not loose:
         return snapshot(multiset.condensed(multiset.row_buckets(source, target, columns, **{**form, "decimals": None})), "buckets")
     path = scratch_path(spark, "buckets")
     with scratch_scope(spark):
-        found = _unmatched(source, target, _form_of(source, columns, loose, tolerance, form))
+        found = _unmatched(source, target, _form_of(source, columns, loose, tolerance, form, quick))
         found.write.parquet(path)
     return spark.read.schema(found.schema).parquet(path)
 

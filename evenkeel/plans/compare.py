@@ -44,8 +44,9 @@ def _failed(spark: SparkSession, mode: str, raw_status: str, message: str) -> Co
     return Comparison(mode, literal_frame(spark, row, OUTCOME_SCHEMA), lambda: literal_frame(spark, [], SAMPLE_SCHEMA))
 
 
-def _basic_samples(source: DataFrame, target: DataFrame, spec: TableSpec) -> DataFrame:
-    """Keys without a partner; one with a null has none on either side."""
+def _basic_samples(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool) -> DataFrame:
+    """Keys without a partner; one with a null has none on either side. With ``keep`` they are written to the shared folder,
+    so that putting them in order does not count all keys once more."""
     null = any_null(spec.keys)
     lone = key_ops.key_counts(source, target, spec.keys).selectExpr(
         "*",
@@ -53,7 +54,7 @@ def _basic_samples(source: DataFrame, target: DataFrame, spec: TableSpec) -> Dat
             if(n_source > 0 AND (n_target = 0 OR {null}), 'only_in_source', NULL),
             if(n_target > 0 AND (n_source = 0 OR {null}), 'only_in_target', NULL)))) AS diff_class""",
     )
-    return keyed.keyed_samples(lone, spec.keys, spec.sample_cap)
+    return keyed.keyed_samples(snapshot(lone, "lone") if keep else lone, spec.keys, spec.sample_cap)
 
 
 def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool = False) -> Comparison:
@@ -77,7 +78,7 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool =
     if mode == "basic":
         return Comparison(
             mode, counts.diff_basic(source, target),
-            lambda: _basic_samples(source, target, spec) if spec.keys else literal_frame(spark, [], SAMPLE_SCHEMA),
+            lambda: _basic_samples(source, target, spec, keep) if spec.keys else literal_frame(spark, [], SAMPLE_SCHEMA),
         )
 
     columns = resolve_columns(source, target, spec.skip, spec.drift_policy)
@@ -86,13 +87,14 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool =
         if not columns:
             return _failed(spark, mode, "DATA_QUALITY_ERROR", f"{mode}: no columns to compare for '{spec.name}'; "
                            "shorten its skip list or change its drift policy")
-        pick, kept = multiset.bucket_samples, False
+        pick, kept, quick = multiset.bucket_samples, False, False
         if mode == "advanced_no_pk":
             pick, form = multiset.excess_rows, form | {"decimals": decimals_for(spec.effective_tolerance), "round_decimals": True}
         if mode == "advanced_no_pk" and spec.effective_tolerance > 0:
             source, target = tolerant.aligned(source, target, columns)
             form, kept = {"timestamp_unit": form["timestamp_unit"], "decimals": None}, True
-            buckets = tolerant.tolerant_buckets(source, target, columns, spec.effective_tolerance, timestamp_unit=form["timestamp_unit"])
+            quick = spec.sample_cap is None and bool(tolerant.tolerant_columns(source, columns, spec.effective_tolerance))  # a cap picks by SHA-256
+            buckets = tolerant.tolerant_buckets(source, target, columns, spec.effective_tolerance, quick, timestamp_unit=form["timestamp_unit"])
         elif spec.by_segments:
             buckets, kept = segments.keyless_segments(source, target, columns, **form), True
         else:
@@ -101,7 +103,7 @@ def compare(source: DataFrame, target: DataFrame, spec: TableSpec, keep: bool =
             buckets = snapshot(multiset.condensed(buckets), "buckets")
         return Comparison(
             mode, multiset.multiset_outcome(buckets, mode),
-            lambda: pick(source, target, columns, spec.sample_cap, buckets=buckets, **form),
+            lambda: pick(source, target, columns, spec.sample_cap, buckets=buckets, quick=quick, **form),
         )
 
     absent = [k for k in spec.keys if k not in columns]
@@ -162,10 +164,12 @@ def compare_many(source: DataFrame, copies: dict[str, tuple[DataFrame, TableSpec
                 continue
             targets = {x: copies[x][0] for x in labels}
             if mode == "hash_no_pk":
-                for x, buckets in many.keyless_many(source, targets, columns, timestamp_unit=unit).items():
+                form = {"quick": all(copies[x][1].sample_cap is None for x in labels), "timestamp_unit": unit}  # a cap picks by SHA-256
+                for x, buckets in many.keyless_many(source, targets, columns, **form).items():
                     out[x] = Comparison(
                         mode, multiset.multiset_outcome(buckets, mode),
-                        lambda x=x, buckets=buckets: multiset.bucket_samples(source, targets[x], columns, copies[x][1].sample_cap, buckets=buckets, timestamp_unit=unit),
+                        lambda x=x, buckets=buckets, targets=targets, columns=columns, form=form: multiset.bucket_samples(
+                            source, targets[x], columns, copies[x][1].sample_cap, buckets=buckets, **form),
                     )
             elif mode == "hash":
                 for x, findings in many.keyed_many(source, targets, keys, columns, timestamp_unit=unit).items():
@@ -198,27 +202,28 @@ def _target(pair: TablePair, now: datetime, trusted: bool) -> DataFrame:
     return scan(pair.target(), spec.filter_column, *window_bounds(now, spec.effective_days, spec.effective_lag), trusted)
 
 
-def _together_by_source(pairs, now: datetime, trusted: bool) -> dict[int, Comparison]:
-    """Comparisons of the pairs that share a source, by their places in the list."""
+def _groups_by_source(pairs) -> list[list[int]]:
+    """Places in the list of pairs that share a source and a window; pairs that share it with none are left out."""
     groups: dict[tuple, list[int]] = {}
     for k, pair in enumerate(pairs):
         if pair.source_name is not None:
             spec = pair.spec
             groups.setdefault((pair.source_name, spec.filter_column_source or spec.filter_column, spec.effective_days, spec.effective_lag), []).append(k)
-    out: dict[int, Comparison] = {}
-    for places in groups.values():
-        if len(places) > 1:
-            copies = {}
-            for k in places:
-                try:
-                    copies[str(k)] = (_target(pairs[k], now, trusted), pairs[k].spec)
-                except Exception:  # noqa: BLE001 - is found again, and told, when the pair is compared alone
-                    continue
-            try:
-                out |= {int(k): plan for k, plan in compare_many(_source(pairs[places[0]], now, trusted), copies).items()}
-            except Exception:  # noqa: BLE001 - the same
-                continue
-    return out
+    return [places for places in groups.values() if len(places) > 1]
+
+
+def _together(pairs, places: list[int], now: datetime, trusted: bool) -> dict[int, Comparison]:
+    """Comparisons of pairs that share a source, by their places in the list."""
+    copies = {}
+    for k in places:
+        try:
+            copies[str(k)] = (_target(pairs[k], now, trusted), pairs[k].spec)
+        except Exception:  # noqa: BLE001 - is found again, and told, when the pair is compared alone
+            continue
+    try:
+        return {int(k): plan for k, plan in compare_many(_source(pairs[places[0]], now, trusted), copies).items()}
+    except Exception:  # noqa: BLE001 - the same
+        return {}
 
 
 def _compared(
@@ -243,7 +248,7 @@ def _compared(
     return as_result(outcome, meta, time.monotonic() - began, by_column), samples
 
 
-def _together(frames) -> DataFrame:
+def _union(frames) -> DataFrame:
     out = frames[0]
     for df in frames[1:]:
         out = out.unionByName(df)
@@ -276,13 +281,19 @@ def run_tables(
     with ThreadPoolExecutor(max(1, parallel)) as pool:
         for k in range(0, len(pairs), size):
             batch = pairs[k : k + size]
-            plans = _together_by_source(batch, now, trusted_expressions)
-            done = list(pool.map(
-                lambda i: _compared(spark, batch[i], run_id, now, trusted_expressions, distinct_column_status, plans.get(i)), range(len(batch))
-            ))
+            # groups come before all pairs, so that a pair that waits for its group never keeps that from a thread
+            plans = {}
+            for places in _groups_by_source(batch):
+                plans |= dict.fromkeys(places, pool.submit(_together, batch, places, now, trusted_expressions))
+            done = {
+                i: pool.submit(lambda i: _compared(
+                    spark, batch[i], run_id, now, trusted_expressions, distinct_column_status, plans[i].result().get(i) if i in plans else None), i)
+                for i in sorted(range(len(batch)), key=lambda i: i in plans)
+            }
+            done = [done[i].result() for i in range(len(batch))]
             if samples := [s for _, s in done if s is not None]:
-                _together(samples).write.mode("append").parquet(sample_path)
-            _together([r for r, _ in done]).coalesce(1).write.mode("append").parquet(result_path)
+                _union(samples).write.mode("append").parquet(sample_path)
+            _union([r for r, _ in done]).coalesce(1).write.mode("append").parquet(result_path)
     results = spark.read.schema(RESULT_SCHEMA).parquet(result_path).filter(F.col("run_id") == run_id)
     if run_path is not None:
         append_run(spark, run_path, run_id, now, results)
