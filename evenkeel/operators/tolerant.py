@@ -126,7 +126,7 @@ def _open_cells(source: DataFrame, target: DataFrame, how: _Form) -> DataFrame:
         sign = "" if s else "-"
         df = how.placed(df).selectExpr(
             "__other", "__cell", *[f"{e} AS __v{k}" for k, e in enumerate(how.numbers)],
-            f"xxhash64({', '.join(['1', *how.parts, *how.numbers])}) AS __w",
+            f"xxhash64({', '.join(['1', *how.numbers])}) AS __w",  # rows of a cell agree in all else
         )
         return df.selectExpr(
             "__other", "__cell", *values, f"{s}L AS __s", f"{t}L AS __t",

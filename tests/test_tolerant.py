@@ -144,6 +144,15 @@ def test_chains_are_whole_where_leading_numbers_tie(spark):
     assert rows(tolerant.tolerant_buckets(s, t, s.columns, 0.001)) == [(None, 3000, 3000)]
 
 
+def test_what_must_agree_is_hashed_once_a_side(spark):
+    """A cell is of rows that agree in it, so the digest of a row in a cell needs its numbers alone."""
+    s = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "name string, v double")
+    t = spark.createDataFrame([("a", 1.0), ("c", 1.0)], "name string, v double")
+    text = tolerant._open_cells(s, t, tolerant._form_of(s, ["name", "v"], ["v"], 0.001, {}, False))._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("isnull(name#") == 2
+    assert matched(spark, [("a", 1.0), ("b", 1.0)], [("a", 1.0), ("c", 1.0)], "name string, v double", 0.001) == (1, 1)
+
+
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_rows_that_all_match_are_not_written(spark, monkeypatch, broadcast):
     """Rows that all moved by less than the tolerance, but for a few: only those few are looked at one by one."""
