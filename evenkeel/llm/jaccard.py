@@ -7,7 +7,9 @@ Pairs that pass the bound are verified on the sets themselves.
 Boxes alone cannot keep unrelated texts apart in many dimensions, so the trees are built over what can link at
 all. Two sets with a similarity of t or more differ in so few shingles that, dealt over one group more than that,
 they agree in at least one group; which groups depends on a band of sizes, and a set takes part in its own band
-and, near the edge, in the one below. Texts that agree in a group hang on the smallest id there, in the map task
+and, near the edge, in the one below. Large sets are dealt over some groups more, so that linked ones agree in several:
+then groups that got hardly any shingles, in which unrelated texts agree by chance and chain up, need not be met, unless
+a set has so many of them that they could be all that it agrees in. Texts that agree in a group hang on the smallest id there, in the map task
 first and then over all tasks, so no task meets a whole group however many rows share it. Below a similarity of
 ``GROUPED`` a group would hold so few shingles that every shared passage connects its texts. There the shingles of a
 set are put in one order for all sets, the rarest first, and a set hangs on so many of its first ones that two linked
@@ -15,8 +17,8 @@ sets must share one; a passage of many texts comes last. How rare a shingle is,
 size, in which shingles share cells: that can only change the order, not what is found. Texts that have one of these
 shingles in common are held against each other on their counts, in as many groups as their size asks for, and only those
 whose smaller counts add up to what a link needs go on together, so that texts which merely share a passage do not chain
-up; where more than ``POSTINGS`` texts share one they all go on together. What is connected that way gets a tree: in one task up to ``BLOCK_SHINGLES``, else in blocks, whose pairs are looked at only where they are not
-connected already. No pair is lost, and copies are compared once.
+up; where more than ``POSTINGS`` texts share one they all go on together. What is connected that way gets a tree: in one task up to ``BLOCK_SHINGLES``, else in blocks of sets of like size, whose pairs are looked at only where sizes allow
+a link and they are not connected already. No pair is lost, and copies are compared once.
 
 Defined results: a null or empty text has no shingles and links with nothing, texts of fewer words than a shingle are
 one shingle, rows that share an id are one node, a null id links with nothing and has a null component.
@@ -39,10 +41,14 @@ SHINGLE, PERCENT = 3, 90
 DIMENSIONS, LEAF, FAN = 64, 32, 32
 #: Ratio of the sizes at the ends of a band.
 BAND = 0.75
+#: Percent of groups that sets are dealt over beyond those that linked ones need; and shingles of a group that is met in need only.
+SPARE, WEAK = 15, 2
 #: Percent from which sets meet by groups, and below which by their rarest shingles; cells of the table of counts.
 GROUPED, CELLS, SLICES = 90, 1 << 22, 64
 #: Shingles whose trees are built in one task.
 BLOCK_SHINGLES = 2_000_000
+#: Blocks of sets of like size in a part, at most.
+STEP_BLOCKS = 1 << 20
 #: Keys that meet in one task, and keys that a map task combines before it sends them.
 BUCKET_KEYS, COMBINED_KEYS = 100_000, 1_000_000
 #: Texts under one shingle that are held against each other; and those of one map task that are sent on one by one.
@@ -92,7 +98,8 @@ class Bands:
 
 
 def group_keys(values: np.ndarray, bounds: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """(key, text) for every text and group: the key stands for the band, the group and the shingles in it."""
+    """(key, text) for every text and each of its groups that must be met: the key stands for the band, the group and the
+    shingles in it."""
     sizes = np.diff(bounds)
     keys, texts = [], []
     own, low = bands.of(sizes), bands.lower(sizes)
@@ -101,7 +108,8 @@ def group_keys(values: np.ndarray, bounds: np.ndarray, bands: Bands) -> tuple[np
         if not len(chosen):
             continue
         band = own[chosen] - shift
-        groups = bands.groups(band)
+        least = bands.groups(band)
+        groups = least + least * SPARE // 100
         first = np.cumsum(groups) - groups
         lengths = sizes[chosen]
         before = np.cumsum(lengths) - lengths
@@ -113,8 +121,11 @@ def group_keys(values: np.ndarray, bounds: np.ndarray, bands: Bands) -> tuple[np
         np.add.at(content, cell, mix(spread + np.uint64(1)))
         number = np.arange(total) - np.repeat(first, groups)
         seed = np.repeat(band, groups).astype(np.uint64) * np.uint64(1_000_003) + number.astype(np.uint64)
-        keys.append(mix(content ^ mix(seed + np.uint64(7))))
-        texts.append(np.repeat(chosen, groups))
+        # Linked sets agree in more than ``groups - least`` groups, so with no more weak ones than that, they do in another.
+        weak = np.bincount(cell, minlength=total) <= WEAK
+        met = ~weak | np.repeat(np.add.reduceat(weak.astype(np.int64), first) > groups - least, groups)
+        keys.append(mix(content ^ mix(seed + np.uint64(7)))[met])
+        texts.append(np.repeat(chosen, groups)[met])
     if not keys:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     return np.concatenate(keys), np.concatenate(texts)
@@ -508,35 +519,49 @@ def _sets(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(read, "doc_id long, part long, block long, blocks long, shingles binary")
 
 
+def _size_step(n, percent: int):
+    """A number for sizes: those of linked sets have the same or adjacent ones."""
+    return F.floor(F.log(n) / -float(np.log(min(percent, 99) / 100)) + 1e-9)
+
+
+def _step_of(block):
+    return F.floor(F.col(block) / STEP_BLOCKS)
+
+
 def _far_links(sets: DataFrame, near: DataFrame, percent: int, block_shingles: int) -> DataFrame:
     """Links between the blocks of parts that are too large for a task.
 
     First the root of the largest tree in a part is held against every block; then all that is still apart from
-    the part's largest component, in blocks of its own, against every block. Nothing else can be a new link.
+    the part's largest component, in blocks of its own, against every block. Blocks hold sets of one size step, and only
+    those of the same or adjacent steps meet. Nothing else can be a new link. What is broadcast is a row per block or part.
     """
     task, pair = _task(percent), "u long, v long"
-    all_blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    blocks = F.broadcast(snapshot(sets.select("part", "block").distinct(), "block-list"))
+
+    def to_blocks(rows: DataFrame) -> DataFrame:
+        """A row for each block that it can have links with."""
+        rows = rows.withColumn("own", _step_of("block")).drop("block")
+        return rows.join(blocks, "part").filter(F.abs(_step_of("block") - F.col("own")) <= 1).drop("own").withColumn("probe", F.lit(True))
 
     def labelled(links: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The sets with their component so far, and the largest component of each part."""
         rows = sets.join(components(links), F.col("doc_id") == F.col("node"), "left")
         rows = snapshot(rows.withColumn("label", F.coalesce("label", "doc_id")).drop("node"), "blocks")
         counted = rows.groupBy("part", "label").agg(F.count(F.lit(1)).alias("n"))
-        return rows, counted.groupBy("part").agg(F.max(F.struct("n", "label"))["label"].alias("main"))
+        return rows, F.broadcast(snapshot(counted.groupBy("part").agg(F.max(F.struct("n", "label"))["label"].alias("main")), "main"))
 
     rows, main = labelled(near)
-    hubs = rows.join(main, "part").filter("doc_id = main").drop("main")
-    hubs = hubs.withColumn("block", all_blocks).withColumn("probe", F.lit(True))
+    hubs = to_blocks(rows.join(main, "part").filter("doc_id = main").drop("main"))
     first = rows.withColumn("probe", F.lit(False)).unionByName(hubs).groupBy("part", "block").applyInArrow(task, pair)
     first = snapshot(first, "hub-links")
 
     rows, main = labelled(near.union(first))
-    apart = rows.join(main, "part").filter("label <> main").drop("main")
-    probes = apart.groupBy("part").agg(F.ceil(F.sum(F.length("shingles") / 8) / block_shingles).alias("probes"))
-    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("probes") - 1))
-    left = rows.join(probes, "part").withColumn("other", each).withColumn("probe", F.lit(False)).drop("probes")
-    right = apart.join(probes, "part").withColumn("other", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("probes"))).drop("probes")
-    right = right.withColumn("block", all_blocks).withColumn("probe", F.lit(True))
+    apart = rows.join(main, "part").filter("label <> main").drop("main").withColumn("step", _step_of("block"))
+    probes = snapshot(apart.groupBy("part", "step").agg(F.ceil(F.sum(F.length("shingles") / 8) / block_shingles).alias("probes")), "probes")
+    each = probes.select("part", F.explode(F.expr(f"sequence(step * {STEP_BLOCKS}, step * {STEP_BLOCKS} + probes - 1)")).alias("other"))
+    left = rows.join(F.broadcast(each), "part").filter(F.abs(_step_of("block") - _step_of("other")) <= 1).withColumn("probe", F.lit(False))
+    right = apart.join(F.broadcast(probes), ["part", "step"])
+    right = to_blocks(right.withColumn("other", F.col("step") * STEP_BLOCKS + F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("probes"))).drop("probes", "step"))
     second = left.unionByName(right).groupBy("part", "block", "other").applyInArrow(task, pair)
     return first.union(second)
 
@@ -565,7 +590,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     parts = may.join(firsts, F.col("node") == F.col("doc_id")).select("doc_id", "n", F.col("label").alias("part"))
     parts = snapshot(parts, "parts")
     weights = parts.groupBy("part").agg(F.count(F.lit(1)).alias("members"), F.ceil(F.sum("n") / block_shingles).alias("blocks")).filter("members > 1")
-    chosen = parts.join(weights, "part").select("doc_id", "part", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("block"), "blocks")
+    chosen = snapshot(parts.join(weights, "part").withColumn("step", F.when(F.col("blocks") > 1, _size_step(F.col("n"), percent)).otherwise(F.lit(0).cast("long"))), "members")
+    # A row for each step of the parts that are too large for a task.
+    steps = chosen.filter("blocks > 1").groupBy("part", "step").agg(F.ceil(F.sum("n") / block_shingles).alias("own"))
+    number = F.col("step") * STEP_BLOCKS + F.pmod(F.xxhash64("doc_id"), F.coalesce("own", F.lit(1).cast("long")))
+    chosen = chosen.join(F.broadcast(steps), ["part", "step"], "left").select("doc_id", "part", number.alias("block"), "blocks")
     sets = snapshot(_sets(docs.join(chosen.hint("merge"), "doc_id").select("doc_id", "text", "part", "block", "blocks"), length).dropDuplicates(["doc_id", "shingles"]), "sets")
     task = _task(percent)
     tasked = sets.withColumn("label", F.col("doc_id")).withColumn("probe", F.lit(False))

@@ -137,6 +137,31 @@ def test_near_copies_of_odd_rows(odd, empty):
     assert jaccard.near_duplicates(empty).count() == jaccard.keep_first(empty).count() == 0
 
 
+def test_unrelated_large_sets_share_no_group_and_linked_sets_of_any_size_do():
+    import numpy as np
+
+    rng, bands = np.random.default_rng(5), jaccard.Bands(90)
+    draw = lambda n: np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+    keyed = lambda sets: jaccard.group_keys(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), bands)
+    keys, texts = keyed([draw(2400) for _ in range(200)])
+    assert len(np.unique(keys)) == len(keys) and len(np.unique(texts)) == 200
+    sizes = [*range(1, 80), *rng.integers(80, 4000, 60).tolist()]
+    for n in sizes:
+        x = draw(n)
+        differ = n * 10 // 190  # swapped for others, the pair still links
+        cut = n - -(-n * 90 // 100)  # left out, it does as well
+        for y in (np.sort(np.concatenate([x[differ:], draw(differ)])), x[cut:]):
+            keys, texts = keyed([x, y])
+            assert set(keys[texts == 0].tolist()) & set(keys[texts == 1].tolist())
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 100])
+def test_sizes_of_linked_sets_are_in_adjacent_steps(spark, percent):
+    sizes = spark.range(1, 20000).select(F.col("id").alias("n"), F.ceil(F.col("id") * percent / 100).alias("least"))
+    steps = sizes.select((jaccard._size_step(F.col("n"), percent) - jaccard._size_step(F.col("least"), percent)).alias("d"))
+    assert {r.d for r in steps.distinct().collect()} <= {0, 1}
+
+
 def test_linked_sets_share_a_rare_key_and_a_common_passage_is_none():
     import numpy as np
 
