@@ -15,6 +15,7 @@ document, rows that share an id are counted each for itself, and an empty table
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +29,11 @@ from evenkeel.sources.tables import scratch_path
 
 # The ids of a byte vocabulary.
 END_OF_DOCUMENT, FIRST_BYTE = 1, 3
-BLOCK_TOKENS = 1 << 19
+BLOCK_TOKENS = 1 << 16
 #: Blocks in a file; bounds the rows of a prefix scan.
 FILE_BLOCKS = 1024
+#: How blocks are written: Parquet would first look at the size of a page or row group, which are held whole, after 100 rows.
+LAYOUT = {"compression": "zstd", "parquet.block.size": 4 << 20, "parquet.block.size.row.check.min": 8, "parquet.page.size.row.check.min": 4}
 
 
 def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> None:
@@ -45,32 +48,33 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
 
     def encode(batches) -> Iterator[pa.RecordBatch]:
         file, count = TaskContext.get().partitionId() << 24, 0
-        held, ids = np.empty(0, np.uint16), []  # tokens not yet written, and (place of its end, id) of the documents in them
+        held, ends, ids = np.empty(0, np.uint16), [], []  # tokens not yet written, and the places of ends and ids of the documents in them
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             names = batch.column(0).cast(pa.int64()).to_pylist()
             for a, b in pieces(offsets, 1 << 20):
                 part = data[offsets[a] : offsets[b]].astype(np.uint16) + np.uint16(FIRST_BYTE)
                 part = np.insert(part, offsets[a + 1 : b + 1] - offsets[a], END_OF_DOCUMENT)
-                ends = offsets[a + 1 : b + 1] - offsets[a] + np.arange(b - a) + len(held)
-                ids += zip(ends.tolist(), names[a:b])
+                ends += (offsets[a + 1 : b + 1] - offsets[a] + np.arange(b - a) + len(held)).tolist()
+                ids += names[a:b]
                 held = np.concatenate([held, part])
-                while len(held) >= block_tokens:
-                    full = count + 1 >= FILE_BLOCKS and ids and ids[0][0] < block_tokens
-                    size = max(end for end, _ in ids if end < block_tokens) + 1 if full else block_tokens
-                    done = [i for end, i in ids if end < size]
-                    yield row(file, count, held[:size], done)
-                    ids = [(end - size, i) for end, i in ids[len(done) :]]
-                    held, count = held[size:], count + 1
+                first, done = 0, 0  # tokens and documents of these that are written
+                while len(held) - first >= block_tokens:
+                    last = bisect_left(ends, first + block_tokens, done)
+                    full = count + 1 >= FILE_BLOCKS and last > done
+                    size = ends[last - 1] + 1 - first if full else block_tokens
+                    yield row(file, count, held[first : first + size], ids[done:last])
+                    first, done, count = first + size, last, count + 1
                     if full:  # a file ends with a document, so its scan needs no other file
                         file, count = file + 1, 0
+                held, ends, ids = held[first:].copy(), [end - first for end in ends[done:]], ids[done:]
         if len(held):
-            yield row(file, count, held, [i for _, i in ids])
+            yield row(file, count, held, ids)
 
     blocks = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         encode, "file long, block long, tokens binary, ended array<long>"
     )
-    blocks.write.option("compression", "zstd").parquet(path)
+    blocks.write.options(**LAYOUT).parquet(path)
 
 
 def scan(blocks: DataFrame, separator: int = END_OF_DOCUMENT, token_bytes: int = 2, carry: list[str] | None = None) -> DataFrame:

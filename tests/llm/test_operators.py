@@ -379,6 +379,19 @@ def test_token_counts_over_block_edges(docs, texts, block, file, monkeypatch):
     assert ends.filter("m + 1 <> n OR n <> d").isEmpty()
 
 
+def test_token_files_are_read_in_small_pieces(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    rng = random.Random(2)
+    rows = [(i, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=3_000_000))) for i in range(4)] + [(None, "x"), (9, None)]
+    token_files.write_token_files(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), str(tmp_path / "tokens"))
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "tokens").glob("*.parquet")]
+    groups = [m.row_group(k).total_byte_size for m in files for k in range(m.num_row_groups)]
+    assert sum(groups) > 2 * 12_000_000 and max(groups) < 12_000_000
+    found = token_files.documents(token_files.scan(spark.read.parquet(str(tmp_path / "tokens")), carry=["ended"]))
+    assert plain(found, "doc_id", "n_tokens") == [(None, 1), *((i, 3_000_000) for i in range(4)), (9, 0)]
+
+
 def test_scan_of_other_files(spark):
     import numpy as np
 
